@@ -1,4 +1,8 @@
-"""Text expressions and chunkers. All of them stay inside the row: no shuffle, no Python."""
+"""Text expressions and chunkers. All of them stay inside the row: no shuffle, no Python.
+
+The chunkers use the outer form of explode and drop the rows of empty texts themselves: for the inner form the
+optimizer would add a filter that cuts the whole text a second time.
+"""
 
 from __future__ import annotations
 
@@ -56,9 +60,9 @@ def fixed_chunks(df: DataFrame, text: str, size: int = 500, overlap: int = 100)
     count = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / step)).cast("int")
     cut = pieces.select(
         *[c for c in df.columns if c != text],
-        F.when(F.length(text) > 0, count).otherwise(0).alias("_count"),
+        count.alias("_count"),
         F.col("_pieces"),
-        F.posexplode("_pieces").alias("chunk_no", "_piece"),
+        F.posexplode_outer("_pieces").alias("chunk_no", "_piece"),
     ).filter(F.col("chunk_no") < F.col("_count"))
     glued = F.concat(F.col("_piece"), *[F.coalesce(F.get("_pieces", F.col("chunk_no") + i), F.lit("")) for i in range(1, glue)])
     return cut.withColumn("chunk", F.substring(glued, 1, size)).drop("_pieces", "_piece", "_count")
@@ -73,8 +77,8 @@ def packed_chunks(df: DataFrame, text: str, size: int = 500) -> DataFrame:
     pattern = f"(?s){rest}|{sentences}|{cut}"
     return df.select(
         *[c for c in df.columns if c != text],
-        F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("chunk_no", "chunk"),
-    )
+        F.posexplode_outer(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("chunk_no", "chunk"),
+    ).filter(F.col("chunk_no").isNotNull())
 
 
 def semantic_chunks(df: DataFrame, text: str, threshold: float = 0.1) -> DataFrame:
@@ -99,8 +103,8 @@ def semantic_chunks(df: DataFrame, text: str, threshold: float = 0.1) -> DataFra
     )
     starts = F.filter(F.transform("_pairs", lambda opens, i: F.when(opens, i)), lambda i: i.isNotNull())
     numbered = cut.withColumn("_starts", starts).select(
-        *[c for c in df.columns if c != text], "_sentences", "_starts", F.posexplode("_starts").alias("chunk_no", "_from")
-    )
+        *[c for c in df.columns if c != text], "_sentences", "_starts", F.posexplode_outer("_starts").alias("chunk_no", "_from")
+    ).filter(F.col("chunk_no").isNotNull())
     until = F.coalesce(F.get("_starts", F.col("chunk_no") + 1), F.size("_sentences"))
     return numbered.withColumn(
         "chunk", F.array_join(F.slice("_sentences", F.col("_from") + 1, until - F.col("_from")), "")

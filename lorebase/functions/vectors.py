@@ -28,7 +28,7 @@ def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim:
     hashed = df.select(*ids, F.explode_outer(tokens(F.col(text))).alias("_token")).select(
         *ids, _bucket(F.col("_token"), dim).alias("_bucket")
     )
-    counts = hashed.groupBy(*ids).agg(*[F.count_if(F.col("_bucket") == b).alias(f"_c{b}") for b in range(dim)])
+    counts = hashed.groupBy(*ids).agg(*[F.count(F.when(F.col("_bucket") == b, b)).alias(f"_c{b}") for b in range(dim)])
     squares = sum((F.col(f"_c{b}") * F.col(f"_c{b}") for b in range(1, dim)), F.col("_c0") * F.col("_c0"))
     scaled = counts.withColumn("_norm", F.greatest(F.sqrt(squares.cast("double")), F.lit(1.0)))
     return scaled.select(*ids, F.array(*[F.col(f"_c{b}") / F.col("_norm") for b in range(dim)]).alias(out))

@@ -1,8 +1,8 @@
 """Keeping hot keys out of single tasks.
 
-A key is hot when it holds more than 1/1000 of the rows (and more than `rows` of them), so there are never more
-than 1,000 hot keys: that is the proven bound which lets their list be broadcast. The counts behind it are
-pre-aggregated before the shuffle and read only the key columns.
+The hot keys of a table are its 1,000 most frequent ones, as far as they have more than `rows` rows. Any other key
+holds less than a thousandth of the table. Their list is broadcast: it never has more than 1,000 rows. The counts
+behind it are pre-aggregated before the shuffle and read only the key columns.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-HOT_SHARE = 1_000
+MAX_HOT = 1_000
 HOT_ROWS = 1_000_000
 MAX_SALT = 4_096
 
@@ -21,8 +21,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, *measures: Co
     for key in keys:
         present = present & F.col(key).isNotNull()
     counts = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *measures)
-    floor = counts.select(F.greatest(F.lit(float(rows)), F.sum("_n") / HOT_SHARE)).scalar()
-    return counts.filter(F.col("_n") > floor)
+    return counts.filter(F.col("_n") > rows).orderBy(F.desc("_n"), *keys).limit(MAX_HOT)
 
 
 def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows: int = HOT_ROWS) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,12 +14,17 @@ from lorebase.operators.skew import HOT_ROWS, split_join
 
 @dataclass(frozen=True)
 class Tool:
-    """A named tool. `run` maps call rows (…, args MAP) to the same rows with `value` and `error` columns."""
+    """A named tool. It answers all calls at once, in one of two ways.
+
+    `answers` has one row (key, value) per value of the argument `param`; calls are joined to it. `run` maps call
+    rows (conv_id, seq, call_id, name, args) to the same rows with `value` and `error`; it takes precedence.
+    """
 
     name: str
     description: str
     param: str = ""
     kind: str = "function"
+    answers: DataFrame | None = None
     run: Callable[[DataFrame], DataFrame] | None = None
 
 
@@ -64,38 +70,41 @@ def unknown_calls(calls: DataFrame, tools: list[Tool]) -> DataFrame:
     return calls.filter(~known).withColumn("error", F.concat(F.lit("unknown tool: "), F.coalesce("name", F.lit("null"))))
 
 
-def dispatch(calls: DataFrame, tools: list[Tool]) -> DataFrame:
+def dispatch(calls: DataFrame, tools: list[Tool], rows: int = HOT_ROWS) -> DataFrame:
     """All calls (conv_id, seq, call_id, name, arguments) run, one output row each: (conv_id, seq, call_id, name, output).
 
-    Each tool gets all of its calls as one DataFrame. A call of an unknown tool yields its error as output and
-    stops nothing else.
+    The answers of all keyed tools are one relation, so the calls are joined once whatever the number of tools. A
+    call of an unknown tool or without its argument yields an error as output and stops nothing else; an argument
+    nothing is found for yields "[]".
     """
     keep = ["conv_id", "seq", "call_id", "name"]
-    ready = calls.select(*keep, parsed_arguments(F.col("arguments")).alias("args"))
-    done = unknown_calls(ready, tools).select(*keep, F.lit(None).cast("string").alias("value"), "error")
-    for tool in registered(tools).values():
-        if tool.run is not None:
-            done = done.unionByName(tool.run(ready.filter(F.col("name") == tool.name)).select(*keep, "value", "error"))
-    return done.select(*keep, tool_result(F.col("value"), F.col("error")).alias("output"))
-
-
-def keyed_tool(answers: DataFrame, param: str, key: str, value: Column, rows: int = HOT_ROWS) -> Callable[[DataFrame], DataFrame]:
-    """A tool that looks its argument up in `answers`, which has one row per `key`.
-
-    A call without the argument gets an error, one whose argument is not found the value "[]".
-    """
-    found = answers.select(F.col(key).alias("_key"), value.alias("_value"))
-
-    def run(calls: DataFrame) -> DataFrame:
-        asked = calls.withColumn("_key", F.try_element_at("args", F.lit(param)))
-        error = F.when(F.col("_key").isNull(), F.lit(f"missing argument: {param}"))
-        return (
-            split_join(asked, found, ["_key"], "left", rows)
-            .withColumn("error", error)
-            .withColumn("value", F.coalesce("_value", F.lit("[]")))
+    known = registered(tools)
+    own = [t for t in known.values() if t.run is not None]
+    keyed = [t for t in known.values() if t.run is None and t.answers is not None]
+    asked = calls.select(*keep, parsed_arguments(F.col("arguments")).alias("args"))
+
+    def key_of(tool: Tool) -> Column:
+        return F.try_element_at("args", F.lit(tool.param))
+
+    key, error = F.lit(None).cast("string"), F.concat(F.lit("unknown tool: "), F.coalesce("name", F.lit("null")))
+    for tool in keyed:
+        key = F.when(F.col("name") == tool.name, key_of(tool)).otherwise(key)
+        missing = F.when(key_of(tool).isNull(), f"missing argument: {tool.param}")
+        error = F.when(F.col("name") == tool.name, missing).otherwise(error)
+    shared = asked.filter(~F.coalesce(F.col("name").isin([t.name for t in own]), F.lit(False)))
+    shared = shared.select(*keep, key.alias("_key"), error.alias("error"))
+    if keyed:
+        answers = reduce(
+            DataFrame.unionByName,
+            [t.answers.select(F.lit(t.name).alias("name"), F.col("key").alias("_key"), "value") for t in keyed],
         )
-
-    return run
+        shared = split_join(shared, answers, ["name", "_key"], "left", rows)
+    else:
+        shared = shared.withColumn("value", F.lit(None).cast("string"))
+    done = shared.select(*keep, F.coalesce("value", F.lit("[]")).alias("value"), "error")
+    for tool in own:
+        done = done.unionByName(tool.run(asked.filter(F.col("name") == tool.name)).select(*keep, "value", "error"))
+    return done.select(*keep, tool_result(F.col("value"), F.col("error")).alias("output"))
 
 
 def dependencies(calls: DataFrame, tools: list[Tool], endpoint: str) -> DataFrame:

@@ -8,6 +8,7 @@ from lorebase.operators import messages as ops
 from lorebase.operators import tools
 from lorebase.plans import roles
 from lorebase.plans.lookups import HISTORY, POLICIES
+from lorebase.session import stored
 from lorebase.plans.roles import ENDPOINT, HISTORY_TOOL, POLICY_TOOL, SEARCH_TOOL, TOOLS
 
 PROMPT = "Answer from the knowledge base."
@@ -27,6 +28,11 @@ def role_changes(spark: SparkSession, sf: str) -> DataFrame:
     return ops.role_changes(ops.items_to_messages(roles.messages(spark, sf)))
 
 
+def _history(spark: SparkSession, sf: str) -> DataFrame:
+    """The message table, stored because the steps on it read it several times."""
+    return stored(roles.messages(spark, sf).drop("tool_calls"), "messages")
+
+
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
     return ops.merge_assistant_runs(ops.items_to_messages(roles.messages(spark, sf)))
 
@@ -58,11 +64,11 @@ def last_message(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pending_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.pending_calls(roles.messages(spark, sf)).select("conv_id", "seq", "call_id", "name")
+    return ops.pending_calls(_history(spark, sf)).select("conv_id", "seq", "call_id", "name")
 
 
 def next_action(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.next_action(roles.messages(spark, sf))
+    return ops.next_action(_history(spark, sf))
 
 
 def iteration_budget(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,19 +137,21 @@ def dependency_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dispatch_tools(spark: SparkSession, sf: str) -> DataFrame:
-    return tools.dispatch(ops.pending_calls(roles.messages(spark, sf)), roles.tools(spark, sf))
+    waiting = stored(ops.pending_calls(_history(spark, sf)), "pending")
+    return tools.dispatch(waiting, roles.tools(spark, sf))
 
 
 def tool_result(spark: SparkSession, sf: str) -> DataFrame:
     """Outputs per tool: how many calls, how many ended in an error."""
     failed = F.col("output").startswith("unknown tool: ") | F.col("output").startswith("missing argument: ")
-    done = tools.dispatch(roles.calls(spark, sf), roles.tools(spark, sf))
+    calls = _history(spark, sf).filter(F.col("type") == "function_call")
+    done = tools.dispatch(calls, roles.tools(spark, sf))
     return done.groupBy("name").agg(F.count(F.lit(1)).alias("calls"), F.count_if(failed).alias("errors"))
 
 
 def append_tool_outputs(spark: SparkSession, sf: str) -> DataFrame:
-    history = roles.messages(spark, sf)
-    waiting = ops.pending_calls(history)
+    history = _history(spark, sf)
+    waiting = stored(ops.pending_calls(history).select("conv_id", "call_id", "seq", "name"), "pending")
     outputs = waiting.select(
         "conv_id", "call_id", F.col("seq").alias("call_seq"), F.concat(F.lit("ran "), F.col("name")).alias("output")
     )

@@ -11,7 +11,7 @@ from lorebase.operators import combine
 from lorebase.plans import roles
 from lorebase.session import fresh_path
 from lorebase.sources import extract, publish
-from lorebase.sources.readers import read_table
+from lorebase.sources.readers import read_table, read_texts
 
 COUNTED = ["part", "documents", "benchmark", "events", "pages", "conversations", "embeddings", "labels"]
 
@@ -41,7 +41,7 @@ def derive_doc_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_page_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = read_table(spark, sf, "pages")
+    pages = read_texts(spark, sf, "pages", "page_id", "url", "html")
     return extract.extract_pages(pages, "url", "html").select("product_name", "product_doc")
 
 

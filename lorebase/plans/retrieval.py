@@ -10,7 +10,7 @@ from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, embedded
 from lorebase.plans.lookups import POLICIES
 from lorebase.plans.roles import TOOLS
-from lorebase.sources.readers import read_table
+from lorebase.sources.readers import read_table, read_texts
 
 # A chunk's vector id packs its document and its number; a text of 2 GB has fewer than 2^23 chunks.
 CHUNKS_PER_DOC = 1 << 23
@@ -19,7 +19,7 @@ ANN_BITS, ANN_WITHIN = 6, 2
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "documents").select("doc_id", "text")
+    return read_texts(spark, sf, "documents", "doc_id", "text")
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,8 +241,14 @@ OFFERS = ", ".join(f"('{t.name}', '{t.description}')" for t in TOOLS)
 ORACLES = {
     "chunk_fixed": CHUNKS,
     "chunk_packed": r"""
-        SELECT doc_id, CAST(unnest(range(len(c))) AS INT) AS chunk_no, unnest(c) AS chunk
-        FROM (SELECT doc_id, regexp_extract_all(text, '(?s).{1,500}\z|.{0,499}[.!?\n]|.{1,500}') AS c FROM documents)""",
+        WITH RECURSIVE cut AS (
+          SELECT doc_id, CAST(-1 AS INT) AS chunk_no, '' AS chunk, text AS rest FROM documents
+          UNION ALL
+          SELECT doc_id, chunk_no + 1, substring(rest, 1, size), substring(rest, size + 1)
+          FROM (SELECT doc_id, chunk_no, rest, CASE WHEN length(rest) <= 500 THEN length(rest)
+                  ELSE coalesce(nullif(length(regexp_replace(substring(rest, 1, 500), '[^.!?\n]*$', '')), 0), 500) END AS size
+                FROM cut WHERE rest <> ''))
+        SELECT doc_id, chunk_no, chunk FROM cut WHERE chunk_no >= 0""",
     "chunk_semantic": f"SELECT doc_id, CAST(chunk_no AS INT) AS chunk_no, string_agg(sentence, '' ORDER BY n) AS chunk "
     f"FROM ({SENTENCE_RUNS}) GROUP BY 1, 2",
     "embed_documents": f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lorebase.functions.text import html_text, strip
@@ -10,9 +12,9 @@ from lorebase.operators.messages import TOOL_CALLS
 from lorebase.operators.search import top_k
 from lorebase.operators.service import newest_policies, service_history
 from lorebase.operators.skew import positions
-from lorebase.operators.tools import Tool, keyed_tool
+from lorebase.operators.tools import Tool
 from lorebase.sources.extract import extract_pages
-from lorebase.sources.readers import read_table
+from lorebase.sources.readers import read_table, read_texts
 
 AS_OF = "2024-02-01"
 ENDPOINT = "answer-model"
@@ -132,7 +134,8 @@ def calls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chat(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("seq"), "role", F.col("text").alias("content"))
+    turns = read_texts(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    return turns.select("conv_id", F.col("turn").alias("seq"), "role", F.col("text").alias("content"))
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,7 +186,7 @@ def deltas(spark: SparkSession, sf: str) -> DataFrame:
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as fetched files: an address with a fragment has no content of its own, one with a query an empty one."""
     url = F.col("url")
-    return read_table(spark, sf, "pages").select(
+    return read_texts(spark, sf, "pages", "page_id", "url", "html").select(
         "page_id", "url", F.when(url.contains("#"), None).when(url.contains("?"), "").otherwise(F.col("html")).alias("html")
     )
 
@@ -214,7 +217,8 @@ def second_version(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return embed(read_table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "text"), ["vec_id"], "text")
+    texts = read_texts(spark, sf, "documents", "doc_id", "text")
+    return embed(texts, ["doc_id"], "text").withColumnRenamed("doc_id", "vec_id")
 
 
 def question_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,25 +234,21 @@ TOOLS = [
 
 def tools(spark: SparkSession, sf: str) -> list[Tool]:
     """The tools bound to the given tables. Each argument `k` names a policy, a customer or a question."""
-    found_policies = newest_policies(policies(spark, sf)).withColumn("k", F.regexp_extract("policy", r"(\d+)$", 1))
+    found_policies = newest_policies(policies(spark, sf))
     policy_json = F.to_json(F.struct("policy", "policy_details", F.col("last_updated").cast("string").alias("last_updated")))
     per_customer = (
         service_history(service(spark, sf), as_of())
         .groupBy("email")
-        .agg(F.array_sort(F.collect_list(F.struct("issue_category", "returns_last_12_months"))).alias("rows"))
-        .withColumn("k", F.regexp_extract("email", r"^user(\d+)@", 1))
-    )
-    best = (
-        top_k(document_vectors(spark, sf), question_vectors(spark, sf), 1)
-        .withColumn("k", F.col("query_id").cast("string"))
-        .withColumn("document", F.concat(F.lit("doc-"), F.col("vec_id").cast("string")))
+        .agg(F.array_sort(F.collect_list(F.struct("issue_category", "returns_last_12_months"))).alias("cases"))
     )
+    best = top_k(document_vectors(spark, sf), question_vectors(spark, sf), 1)
     answers = {
-        POLICY_TOOL: (found_policies, policy_json),
-        HISTORY_TOOL: (per_customer, F.to_json("rows")),
-        SEARCH_TOOL: (best, F.col("document")),
+        POLICY_TOOL: found_policies.select(F.regexp_extract("policy", r"(\d+)$", 1).alias("key"), policy_json.alias("value")),
+        HISTORY_TOOL: per_customer.select(
+            F.regexp_extract("email", r"^user(\d+)@", 1).alias("key"), F.to_json("cases").alias("value")
+        ),
+        SEARCH_TOOL: best.select(
+            F.col("query_id").cast("string").alias("key"), F.concat(F.lit("doc-"), F.col("vec_id").cast("string")).alias("value")
+        ),
     }
-    return [
-        Tool(t.name, t.description, t.param, t.kind, keyed_tool(answers[t.name][0], t.param, "k", answers[t.name][1]))
-        for t in TOOLS
-    ]
+    return [replace(tool, answers=answers[tool.name]) for tool in TOOLS]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,3 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """`df` written once to the shared folder and read back, for steps that read it several times.
+
+    Later reads take only the columns they need, and a lost executor costs a re-read, not the lineage.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
