@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from lorebase.operators.skew import HOT_ROWS, positions, split_join
+from lorebase.operators.skew import HOT_ROWS, positions, split_join, whole
 
 BLOCK = 1_024
 BLOCKS_PER_PART = 16
@@ -66,7 +66,7 @@ def with_neighbours(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     within = Window.partitionBy("conv_id", "_block").orderBy("seq")
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (
-        messages.withColumn("_block", F.floor(F.col("seq") / block))
+        messages.withColumn("_block", whole(F.col("seq"), block))
         .withColumn("_prev", F.lag("role").over(within))
         .withColumn("_first", F.row_number().over(within) == 1)
         .withColumn("_opens", F.when(F.col("_first") | joins, 0).otherwise(1))
@@ -138,18 +138,18 @@ def merge_assistant_runs(messages: DataFrame, block: int = BLOCK, blocks_per_par
     the same rule, so that folding the parts gives the whole; every other run is one row with part_no 0.
     """
     rows = with_neighbours(messages, block).withColumn("n_messages", F.lit(1).cast("long"))
-    inside = rows.groupBy("conv_id", "_block", "run_no").agg(
-        *_folded(), F.first("_start_block").alias("_start_block"), F.first("_edge").alias("_edge")
+    inner = rows.filter(~F.col("_edge")).groupBy("conv_id", "_block", "run_no").agg(*_folded())
+    border = (
+        rows.filter("_edge")
+        .groupBy("conv_id", "_block", "run_no")
+        .agg(*_folded(), F.first("_start_block").alias("_start_block"))
+        .withColumn("part_no", whole(F.col("_block") - F.col("_start_block"), blocks_per_part))
+        .withColumnRenamed("_seq", "seq")
     )
-    pieces = inside.withColumn(
-        "part_no", F.floor((F.col("_block") - F.col("_start_block")) / blocks_per_part).cast("long")
-    ).withColumnRenamed("_seq", "seq")
     columns = ["conv_id", "run_no", "part_no", "seq", "n_messages", "role", "content", "call_id", "tool_calls"]
-    whole = pieces.filter(~F.col("_edge")).select(*columns)
-    crossing = (
-        pieces.filter("_edge").groupBy("conv_id", "run_no", "part_no").agg(*_folded()).withColumnRenamed("_seq", "seq")
-    )
-    return whole.unionByName(crossing.select(*columns))
+    contained = inner.withColumn("part_no", F.lit(0).cast("long")).withColumnRenamed("_seq", "seq")
+    crossing = border.groupBy("conv_id", "run_no", "part_no").agg(*_folded()).withColumnRenamed("_seq", "seq")
+    return contained.select(*columns).unionByName(crossing.select(*columns))
 
 
 def last_message(messages: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def append_outputs(messages: DataFrame, outputs: DataFrame, rows: int = HOT_ROWS
     They keep the order of their calls and get the next free positions.
     """
     last = messages.groupBy("conv_id").agg(F.max("seq").alias("_last"))
-    numbered = positions(outputs, ["conv_id"], ["call_seq"], "_n", F.col("call_seq"), rows)
+    numbered = positions(outputs, ["conv_id"], ["call_seq"], "_n", rows)
     appended = split_join(numbered, last, ["conv_id"], rows=rows).select(
         "conv_id",
         (F.col("_last") + F.col("_n")).alias("seq"),
@@ -257,7 +257,7 @@ def assemble_deltas(deltas: DataFrame, keys: list[str], block: int = BLOCK) -> D
     Deltas are first joined in pieces of `block` positions, so no task lists all deltas of an item.
     """
     pieces = (
-        deltas.groupBy(*keys, F.floor(F.col("seq") / block).alias("_piece"))
+        deltas.groupBy(*keys, whole(F.col("seq"), block).alias("_piece"))
         .agg(F.array_sort(F.collect_list(F.struct("seq", "delta"))).alias("_d"), F.count(F.lit(1)).alias("n_deltas"))
         .withColumn("_text", F.array_join(F.transform("_d", lambda d: d["delta"]), ""))
         .drop("_d")

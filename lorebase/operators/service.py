@@ -46,12 +46,6 @@ def service_history_pivot(service: DataFrame, categories: list[str]) -> DataFram
     )
 
 
-def seconds(ts: Column) -> Column:
-    """Whole seconds of a zone-free timestamp, as a number that rises with it."""
-    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
-    return days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
-
-
 def trailing_counts(service: DataFrame, spans: dict[str, Column], rows: int = HOT_ROWS) -> DataFrame:
     """Cases of the customer in the span that ends at each of their timestamps, both ends included.
 
@@ -66,7 +60,7 @@ def trailing_counts(service: DataFrame, spans: dict[str, Column], rows: int = HO
         for name, width in spans.items()
     ]
     marked = moments.select("email", "ts", "cases", F.explode(F.array(*marks)).alias("_m")).select("email", "ts", "cases", "_m.*")
-    summed = running_sum(marked, ["email"], ["at", "side"], F.col("add"), "_upto", seconds(F.col("at")), rows)
+    summed = running_sum(marked, ["email"], ["at", "side"], F.col("add"), "_upto", rows)
     upto = F.max(F.when(F.col("span") == "", F.col("_upto")))
     return summed.groupBy("email", "ts").agg(
         F.max("cases").alias("cases"),
@@ -81,9 +75,7 @@ def return_eligibility(returns: DataFrame, order: list[str], rows: int = HOT_ROW
     when it is among the customer's first 12 of its calendar year and at most 30 days after the purchase.
     """
     dated = returns.withColumn("return_year", F.year("returned"))
-    ranked = positions(
-        dated, ["customer", "return_year"], ["returned", *order], "ordinal", seconds(F.col("returned")), rows
-    )
+    ranked = positions(dated, ["customer", "return_year"], ["returned", *order], "ordinal", rows)
     waited = F.datediff("returned", "purchased")
     return ranked.withColumn("days_kept", waited).withColumn(
         "eligible", (F.col("ordinal") <= RETURNS_PER_YEAR) & waited.between(0, RETURN_DAYS)

@@ -1,8 +1,8 @@
 """Keeping hot keys out of single tasks.
 
-The hot keys of a table are its 1,000 most frequent ones, as far as they have more than `rows` rows. Any other key
-holds less than a thousandth of the table. Their list is broadcast: it never has more than 1,000 rows. The counts
-behind it are pre-aggregated before the shuffle and read only the key columns.
+The hot keys of a table are its 1,000 most frequent ones, as far as they have more than `rows` rows; any other key
+holds less than a thousandth of the table. They are found by one count over the key columns, pre-aggregated before
+its shuffle, when the operator is set up. Without a hot key the operators below are the plain join or window.
 """
 
 from __future__ import annotations
@@ -10,18 +10,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-MAX_HOT = 1_000
+from lorebase.session import stored
+
 HOT_ROWS = 1_000_000
+MAX_HOT = 1_000
 MAX_SALT = 4_096
+MAX_SLOTS = 10_000
+
 
+def whole(dividend: Column, divisor: int) -> Column:
+    """Integer division of whole numbers, exact for every BIGINT."""
+    return F.call_function("div", dividend, F.lit(divisor))
 
-def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, *measures: Column) -> DataFrame:
-    """The hot keys of `df` with their row count `_n` and any further `measures`; at most 1,000 rows."""
+
+def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys of `df` with their row count `_n`, at most 1,000 rows; None if there are none.
+
+    Null keys are left out: they join nothing, and the operators here expect ordered keys not to be null.
+    """
     present = F.lit(True)
     for key in keys:
         present = present & F.col(key).isNotNull()
-    counts = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *measures)
-    return counts.filter(F.col("_n") > rows).orderBy(F.desc("_n"), *keys).limit(MAX_HOT)
+    counts = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.filter(F.col("_n") > rows).orderBy(F.desc("_n"), *keys).limit(MAX_HOT)
+    found = top.collect()
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None
 
 
 def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows: int = HOT_ROWS) -> DataFrame:
@@ -31,59 +44,58 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     salt, every other right row exactly once. `how` is inner, left, left_semi or left_anti: each decides per left
     row, so repeating right rows under different salts never changes the result.
     """
+    hot = hot_keys(left, on, rows)
+    if hot is None:
+        return left.join(right, on, how)
     salts = F.least(F.lit(MAX_SALT), F.ceil(F.col("_n") / rows)).cast("int")
-    hot = hot_keys(left, on, rows).select(*on, salts.alias("_salts"))
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.monotonically_increasing_id(), F.col("_salts")).cast("int")
-        ),
+    hot = F.broadcast(hot.select(*on, salts.alias("_salts")))
+    dealt = left.join(hot, on, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_salts")).cast("int"), F.lit(0))
     )
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
+    repeated = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
     return dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def running_sum(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    along: Column,
-    rows: int = HOT_ROWS,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows: int = HOT_ROWS
 ) -> DataFrame:
     """Inclusive running sum of `value` per key, in `order`, as BIGINT column `out`.
 
-    `along` is a whole number that never falls along `order`. A hot key is cut by it into slots of about `rows`
-    rows; each slot is summed by itself and then lifted by the total of the slots before it. Keys must not be null.
+    The rows of hot keys are range-partitioned by key and order into slots of about `rows` rows. Each slot is
+    summed by itself and then lifted by the total of the slots before it, so a key may spread over any number of
+    tasks. The cut is stored, because both steps must see the same one.
     """
-    measured = hot_keys(df.withColumn("_along", along), keys, rows, F.min("_along").alias("_lo"), F.max("_along").alias("_hi"))
-    slots = F.ceil(F.col("_n") / rows)
-    hot = measured.select(
-        *keys, "_lo", F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slots)).cast("long").alias("_width")
-    )
-    slot = F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((along - F.col("_lo")) / F.col("_width"))
+    upto = Window.unboundedPreceding, Window.currentRow
+    plain = F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)).cast("long")
+    hot = hot_keys(df, keys, rows)
+    if hot is None:
+        return df.withColumn(out, plain)
+    names = F.broadcast(hot.select(*keys))
+    slots = max(2, min(MAX_SLOTS, -(-hot.agg(F.sum("_n")).first()[0] // rows)))
+    cut = stored(
+        df.join(names, keys, "left_semi")
+        .repartitionByRange(slots, *keys, *order)
+        .withColumn("_slot", F.spark_partition_id()),
+        "slots",
     )
-    cut = df.join(F.broadcast(hot), keys, "left").withColumn("_slot", slot)
     piece = [*keys, "_slot"]
-    within = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        cut.filter(F.col("_width").isNotNull())
-        .groupBy(*piece)
-        .agg(F.sum(value).alias("_total"))
-        .select(*piece, F.sum("_total").over(earlier).alias("_before"))
-        .filter(F.col("_before").isNotNull())
+    # At most one row per slot and one per hot key: never more than 11,000.
+    before = cut.groupBy(*piece).agg(F.sum(value).alias("_total")).select(
+        *piece, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
     )
-    summed = cut.withColumn("_inside", F.sum(value).over(within)).join(before, piece, "left")
-    return summed.withColumn(out, (F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))).cast("long")).drop(
-        "_lo", "_width", "_slot", "_inside", "_before"
+    inside = F.sum(value).over(Window.partitionBy(*piece).orderBy(*order).rowsBetween(*upto))
+    lifted = (
+        cut.withColumn("_inside", inside)
+        .join(F.broadcast(before), piece)
+        .withColumn(out, (F.col("_inside") + F.col("_before")).cast("long"))
+        .drop("_slot", "_inside", "_before")
     )
+    return df.join(names, keys, "left_anti").withColumn(out, plain).unionByName(lifted)
 
 
-def positions(df: DataFrame, keys: list[str], order: list[str], out: str, along: Column, rows: int = HOT_ROWS) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], order: list[str], out: str, rows: int = HOT_ROWS) -> DataFrame:
     """1-based position of each row within its key: `row_number()` with hot keys spread over tasks."""
-    return running_sum(df, keys, order, F.lit(1), out, along, rows)
+    return running_sum(df, keys, order, F.lit(1), out, rows)

@@ -25,7 +25,7 @@ def items_to_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def role_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.role_changes(ops.items_to_messages(roles.messages(spark, sf)))
+    return ops.role_changes(ops.items_to_messages(_history(spark, sf)))
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,7 +34,7 @@ def _history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.merge_assistant_runs(ops.items_to_messages(roles.messages(spark, sf)))
+    return ops.merge_assistant_runs(ops.items_to_messages(_history(spark, sf)))
 
 
 def merge_assistant_runs(spark: SparkSession, sf: str) -> DataFrame:

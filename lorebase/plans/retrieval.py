@@ -13,7 +13,8 @@ from lorebase.plans.roles import TOOLS
 from lorebase.sources.readers import read_table, read_texts
 
 # A chunk's vector id packs its document and its number; a text of 2 GB has fewer than 2^23 chunks.
-CHUNKS_PER_DOC = 1 << 23
+CHUNK_BITS = 23
+CHUNKS_PER_DOC = 1 << CHUNK_BITS
 CONTEXT_CHUNKS = 3
 ANN_BITS, ANN_WITHIN = 6, 2
 
@@ -85,7 +86,7 @@ def search_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select(
         "query_id",
         "rank",
-        F.floor(F.col("vec_id") / CHUNKS_PER_DOC).alias("doc_id"),
+        F.shiftright("vec_id", CHUNK_BITS).alias("doc_id"),
         F.pmod("vec_id", F.lit(CHUNKS_PER_DOC)).cast("int").alias("chunk_no"),
         "score",
     )
