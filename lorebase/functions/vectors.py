@@ -29,9 +29,16 @@ def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim:
         *ids, _bucket(F.col("_token"), dim).alias("_bucket")
     )
     counts = hashed.groupBy(*ids).agg(*[F.count(F.when(F.col("_bucket") == b, b)).alias(f"_c{b}") for b in range(dim)])
-    squares = sum((F.col(f"_c{b}") * F.col(f"_c{b}") for b in range(1, dim)), F.col("_c0") * F.col("_c0"))
-    scaled = counts.withColumn("_norm", F.greatest(F.sqrt(squares.cast("double")), F.lit(1.0)))
-    return scaled.select(*ids, F.array(*[F.col(f"_c{b}") / F.col("_norm") for b in range(dim)]).alias(out))
+    listed = counts.select(*ids, F.array(*[f"_c{b}" for b in range(dim)]).alias("_counts"))
+    return listed.select(*ids, unit(F.col("_counts"), dim).alias(out))
+
+
+def unit(vector: Column, dim: int = DIM) -> Column:
+    """The vector scaled to length 1 in double precision; a zero vector stays as it is."""
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    norm = F.sqrt(squares)
+    # The norm is repeated rather than used inside the lambda, where it would be worked out once per component.
+    return F.zip_with(vector, F.array_repeat(F.when(norm > 0, norm).otherwise(1.0), dim), lambda x, n: x.cast("double") / n)
 
 
 def embed_with(df: DataFrame, text: str, model: Callable, out: str = "embedding") -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from lorebase.functions.vectors import BITS, sign_cell
+from lorebase.functions.vectors import BITS, DIM, sign_cell, unit
 
 QUERY_BLOCK = 16_384
 SLICE = 1_024
@@ -169,7 +169,7 @@ def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     )
 
 
-def label_queries(vectors: DataFrame) -> DataFrame:
+def label_queries(vectors: DataFrame, dim: int = DIM) -> DataFrame:
     """One query per label: the mean of its vectors scaled to length 1 (query_id, embedding)."""
     means = (
         vectors.select("label", F.posexplode("embedding").alias("_i", "_x"))
@@ -178,11 +178,7 @@ def label_queries(vectors: DataFrame) -> DataFrame:
         .groupBy("label")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda p: p["_x"]).alias("_mean"))
     )
-    norm = F.sqrt(F.aggregate("_mean", F.lit(0.0), lambda total, x: total + x * x))
-    return means.select(
-        F.col("label").cast("long").alias("query_id"),
-        F.transform("_mean", lambda x: x / F.greatest(norm, F.lit(1e-12))).alias("embedding"),
-    )
+    return means.select(F.col("label").cast("long").alias("query_id"), unit(F.col("_mean"), dim).alias("embedding"))
 
 
 def assemble_context(

@@ -1,0 +1,55 @@
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from lorebase.operators import combine
+
+
+def products(spark):
+    return spark.createDataFrame(
+        [(1, "a", "c1", "s1"), (2, "a", "c2", "s2"), (3, "b", None, "s3"), (4, "alone", "c", "s"), (5, None, "c", "s")],
+        "product_id BIGINT, product_name STRING, product_category STRING, product_sub_category STRING",
+    )
+
+
+def docs(spark):
+    return spark.createDataFrame(
+        [("a", "one"), ("a", "two <b>&"), ("b", "three"), ("spare", "four"), (None, "five")],
+        "product_name STRING, product_doc STRING",
+    )
+
+
+def test_duplicate_names_fan_out(spark):
+    joined = combine.join_documents(products(spark), docs(spark))
+    assert joined.columns == ["product_name", "product_id", "product_category", "product_sub_category", "product_doc"]
+    assert rows(joined, "product_id", "product_doc") == [
+        (1, "one"), (1, "two <b>&"), (2, "one"), (2, "two <b>&"), (3, "three"),
+    ]
+    assert rows(combine.join_documents(products(spark), docs(spark), rows=1)) == rows(joined)
+    assert rows(combine.fan_out(products(spark), docs(spark))) == [("a", 2, 2, 4), ("b", 1, 1, 1)]
+
+
+def test_tagged_text(spark):
+    combined = combine.product_docs_combined(products(spark), docs(spark))
+    assert combined.columns == combine.COMBINED
+    texts = {(r.product_id, r.product_doc): r.indexed_doc for r in combined.collect()}
+    assert texts[(2, "two <b>&")] == (
+        "<product_category>c2</product_category>\n<product_sub_category>s2</product_sub_category>\n"
+        "<product_name>a</product_name>\n<product_doc>\ntwo <b>&\n</product_doc>"
+    )
+    assert texts[(3, "three")] is None
+
+
+def test_coverage(spark):
+    assert rows(combine.join_coverage(products(spark).filter("product_name IS NOT NULL"), docs(spark).filter("product_name IS NOT NULL"))) == [
+        ("document without product", "spare", 1),
+        ("product without document", "alone", 1),
+    ]
+
+
+def test_previews(spark):
+    combined = combine.product_docs_combined(products(spark), docs(spark)).filter(F.col("product_id") == 1)
+    shown = combine.first_document(combined.filter("product_doc = 'one'")).first()
+    assert shown.product_name == "a" and shown.shown.endswith("</product_doc>...")
+    first = combine.first_rows(products(spark), ["product_id"], 2)
+    assert [r.product_id for r in first.collect()] == [1, 2]
+    assert "TakeOrderedAndProject" in plan(first)
