@@ -1,0 +1,48 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return con
+
+
+def normal(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else f"{value:.6f}"
+    return "\0" if value is None else str(value)
+
+
+def test_every_oracle_has_its_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_equals_sql(spark, duck, name):
+    df = contract.queries()[name](spark, FOLDER)
+    result = duck.execute(contract.oracle_sql()[name])
+    columns = [d[0] for d in result.description]
+    expected = sorted(tuple(map(normal, r)) for r in result.fetchall())
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(tuple(map(normal, r)) for r in df.select(*columns).collect()) == expected
