@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from lorebase.functions.vectors import BITS, DIM, sign_cell, unit
+from lorebase.session import stored
 
-QUERY_BLOCK = 16_384
-SLICE = 1_024
+QUERY_BYTES = 16 << 20
+SCORES = 4 << 20
 
 
 def _first_k(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> np.ndarray:
@@ -38,9 +39,10 @@ def _scan(block, k: int, within: int | None):
         best_q = np.empty(0, dtype=np.int64)
         best_s, best_i = np.empty(0), np.empty(0, dtype=np.int64)
         floor = np.full(len(ids), -np.inf)
+        step = max(16, SCORES // len(ids))
         for batch in batches:
-            for start in range(0, len(batch), SLICE):
-                part = batch.iloc[start : start + SLICE]
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
                 vectors = np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]])
                 idents = part["vec_id"].to_numpy(dtype=np.int64)
                 groups = [(np.arange(len(ids)), np.arange(len(part)))]
@@ -78,28 +80,21 @@ def _scan(block, k: int, within: int | None):
     return job
 
 
-def _blocks(queries: DataFrame, with_cells: bool, block_rows: int) -> Iterator[tuple]:
-    """The queries in blocks of bounded size, as (ids, matrix, cells)."""
+def _blocks(queries: DataFrame, with_cells: bool, block_rows: int | None) -> Iterator[tuple]:
+    """The queries in blocks of about QUERY_BYTES, as (ids, matrix, cells). They are worked out and stored once."""
     columns = ["query_id", "embedding"] + (["cell"] if with_cells else [])
-
-    def packed(rows: pd.DataFrame) -> tuple:
-        return (
-            rows["query_id"].to_numpy(dtype=np.int64),
-            np.stack([np.asarray(v, dtype=np.float64) for v in rows["embedding"]]),
-            rows["cell"].to_numpy() if with_cells else None,
-        )
-
-    first = queries.select(*columns).limit(block_rows + 1).toPandas()
-    if len(first) <= block_rows:
-        if len(first):
-            yield packed(first)
-        return
-    n = -(-2 * queries.count() // block_rows)
-    dealt = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(n)))
+    kept = stored(queries.select(*columns), "queries")
+    total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
+    n = -(-total // (block_rows or max(1, QUERY_BYTES // (8 * dim))))
+    dealt = kept.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))))
     for number in range(n):
         rows = dealt.filter(F.col("_block") == number).select(*columns).toPandas()
         if len(rows):
-            yield packed(rows)
+            yield (
+                rows["query_id"].to_numpy(dtype=np.int64),
+                np.stack([np.asarray(v, dtype=np.float64) for v in rows["embedding"]]),
+                rows["cell"].to_numpy() if with_cells else None,
+            )
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -111,7 +106,7 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _search(vectors: DataFrame, queries: DataFrame, k: int, within: int | None, bits: int, block_rows: int) -> DataFrame:
+def _search(vectors: DataFrame, queries: DataFrame, k: int, within: int | None, bits: int, block_rows: int | None) -> DataFrame:
     spark: SparkSession = vectors.sparkSession
     columns = ["vec_id", "embedding"] + ([] if within is None else ["cell"])
     found = []
@@ -130,10 +125,10 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int, within: int | None,
     return _ranked(reduce(DataFrame.unionByName, found), k)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = QUERY_BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int | None = None) -> DataFrame:
     """Exact search: (query_id, rank, vec_id, score), the k vectors of highest inner product per query.
 
-    `vectors` has vec_id and embedding, `queries` query_id and embedding. Scores are rounded to 6 digits, equal
+    `vectors` has vec_id and embedding, `queries` query_id (once each) and embedding. Scores are rounded to 6 digits, equal
     scores are ordered by vec_id.
     """
     return _search(vectors, queries, k, None, BITS, block_rows)
@@ -150,7 +145,7 @@ def write_index(vectors: DataFrame, path: str, bits: int = BITS) -> None:
 
 
 def ann_top_k(
-    index: DataFrame, queries: DataFrame, k: int = 5, within: int = 2, bits: int = BITS, block_rows: int = QUERY_BLOCK
+    index: DataFrame, queries: DataFrame, k: int = 5, within: int = 2, bits: int = BITS, block_rows: int | None = None
 ) -> DataFrame:
     """Approximate search: as `top_k`, over the cells that differ from the query's own in at most `within` bits.
 

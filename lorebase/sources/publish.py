@@ -7,25 +7,25 @@ unfinished folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from lorebase.session import stored
+
 LEDGER_SCHEMA = (
     "version BIGINT, ts TIMESTAMP, operation STRING, mode STRING, row_count BIGINT, schema_json STRING, "
     "source STRING, batch_id BIGINT"
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     """One row per publish of the table at `root`."""
-    path = f"{root}/ledger"
-    if not _exists(spark, path):
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{root}/ledger")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
@@ -74,39 +74,49 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/v{version}")
 
 
-def publish_catalog(df: DataFrame, table: str) -> None:
-    """Overwrite a managed catalog table together with its schema."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+def publish_catalog(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int = 0) -> None:
+    """Overwrite a managed catalog table together with its schema.
+
+    With `buckets` the rows are bucketed by `keys`; tables bucketed alike join on those keys without a shuffle.
+    """
+    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    if buckets:
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(table)
+
+
+def _fingerprint(columns: list[str]) -> list[Column]:
+    """128 bits over all columns. Null flags are hashed too, because the hash passes over nulls."""
+    parts = [*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns]]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
 
 
 def snapshot_changes(before: DataFrame, after: DataFrame, key: list[str], version: int) -> DataFrame:
     """Change rows that lead from one snapshot to the next.
 
     `_change_type` is insert, delete, update_preimage or update_postimage. Both snapshots have the same columns
-    and one row per key.
+    and one row per key. Only keys and row fingerprints are shuffled to find the changed keys; these are stored,
+    so that Spark knows how few they are when it fetches their rows.
     """
     columns = before.columns
-    old = before.select(F.struct(*columns).alias("_old"), *key)
-    new = after.select(F.struct(*columns).alias("_new"), *key)
-
-    def change(kind: str, row: str, applies: Column) -> Column:
-        return F.when(applies, F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row")))
-
-    gone, come = F.col("_new").isNull(), F.col("_old").isNull()
-    both = ~gone & ~come
-    changes = F.array_compact(
-        F.array(
-            change("insert", "_new", come),
-            change("delete", "_old", gone),
-            change("update_preimage", "_old", both),
-            change("update_postimage", "_new", both),
-        )
-    )
-    return (
+    low, high = _fingerprint(columns)
+    old = before.select(*key, F.struct(low, high).alias("_old"))
+    new = after.select(*key, F.struct(low, high).alias("_new"))
+    changed = stored(
         old.join(new, key, "full_outer")
         .filter(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select(F.explode(changes).alias("_change"))
-        .select("_change.row.*", F.col("_change.kind").alias("_change_type"), F.lit(version).cast("long").alias("_commit_version"))
+        .select(*key, F.col("_old").isNotNull().alias("_was"), F.col("_new").isNotNull().alias("_is")),
+        "changed",
+    )
+    both = F.col("_was") & F.col("_is")
+
+    def rows(side: DataFrame, present: str, kind: Column) -> DataFrame:
+        return side.join(changed.filter(present), key).select(
+            *columns, kind.alias("_change_type"), F.lit(version).cast("long").alias("_commit_version")
+        )
+
+    return rows(before, "_was", F.when(both, "update_preimage").otherwise("delete")).unionByName(
+        rows(after, "_is", F.when(both, "update_postimage").otherwise("insert"))
     )
 
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from lorebase.session import fresh_path
@@ -49,6 +49,25 @@ def test_catalog_table_replaces_its_schema(spark):
     spark.sql("DROP TABLE lore_t")
 
 
+def test_tables_bucketed_alike_join_without_a_shuffle(spark):
+    for name in ("lore_left", "lore_right"):
+        publish.publish_catalog(table(spark, [(f"k{i}", name) for i in range(50)]), name, ["k"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("lore_left").join(spark.table("lore_right"), "k")
+        assert joined.count() == 50 and "Exchange" not in plan(joined, "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE lore_left")
+        spark.sql("DROP TABLE lore_right")
+
+
+def test_values_that_only_swap_columns_with_a_null_are_changes(spark):
+    old = spark.createDataFrame([("a", None, "x"), ("b", "x", "y")], "k STRING, v STRING, w STRING")
+    new = spark.createDataFrame([("a", "x", None), ("b", "x", "y")], "k STRING, v STRING, w STRING")
+    assert rows(publish.snapshot_changes(old, new, ["k"], 1), "k", "_change_type") == [("a", "update_postimage"), ("a", "update_preimage")]
+
+
 def test_change_rows(spark):
     old = table(spark, [("same", "1"), ("gone", "2"), ("new text", "3"), ("null", None), ("to null", "4")])
     new = table(spark, [("same", "1"), ("come", "5"), ("new text", "6"), ("null", None), ("to null", None)])

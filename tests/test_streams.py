@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -11,8 +12,11 @@ DELTA = "conv_id BIGINT, item_id BIGINT, seq BIGINT, delta STRING, done BOOLEAN,
 
 
 def drop(folder, name, records):
+    """Write a file; the number in its name is its place in the stream."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(json.dumps(r) for r in records))
+    written = 1_700_000_000 + int(name.split(".")[0])
+    os.utime(folder / name, (written, written))
 
 
 def run(df, name):
