@@ -29,6 +29,17 @@ def real_text(content: Column) -> Column:
     return F.when(~content.isin(EMPTY_CONTENTS), content)
 
 
+def generated_id(*keys: str) -> Column:
+    """An id made from the keys of a row: running the job again gives the same one."""
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+
+
+def request_messages(requests: DataFrame) -> DataFrame:
+    """Requests (conv_id, input ARRAY<STRUCT<role, content>>) as messages: (conv_id, seq, role, content)."""
+    listed = requests.select("conv_id", F.posexplode("input").alias("seq", "_message"))
+    return listed.select("conv_id", F.col("seq").cast("long").alias("seq"), "_message.role", "_message.content")
+
+
 def items_to_messages(items: DataFrame) -> DataFrame:
     """Response items as chat messages (conv_id, seq, role, content, call_id, tool_calls).
 
@@ -191,6 +202,7 @@ def iteration_budget(rounds: DataFrame, max_iterations: int = MAX_ITERATIONS) ->
         F.least(used, F.lit(max_iterations)).cast("long").alias("iterations"),
         (used > max_iterations).alias("exhausted"),
         F.when(used > max_iterations, STOP_TEXT).alias("closing_text"),
+        F.when(used > max_iterations, generated_id("conv_id", "tool_rounds")).alias("closing_id"),
     )
 
 
@@ -246,6 +258,15 @@ def done_items(events: DataFrame) -> DataFrame:
     return events.filter(F.col("type") == "response.output_item.done").drop("type")
 
 
+def replies(events: DataFrame, requests: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """The completed items of every request's response, with the request's custom inputs handed back unchanged.
+
+    `events` has conv_id, seq, type and item, `requests` conv_id and custom_inputs, one row per conversation.
+    """
+    handed_back = requests.select("conv_id", F.col("custom_inputs").alias("custom_outputs"))
+    return split_join(done_items(events), handed_back, ["conv_id"], rows=rows)
+
+
 def event_json(*columns: str) -> Column:
     """An event as JSON without its null fields."""
     return F.to_json(F.struct(*columns))

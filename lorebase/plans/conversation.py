@@ -99,6 +99,15 @@ def done_items(spark: SparkSession, sf: str) -> DataFrame:
     return ops.done_items(roles.response_events(spark, sf))
 
 
+def replies(spark: SparkSession, sf: str) -> DataFrame:
+    answered = ops.replies(roles.response_events(spark, sf), roles.customer_requests(spark, sf))
+    return answered.select("conv_id", "seq", "item", F.try_element_at("custom_outputs", F.lit("session_id")).alias("session_id"))
+
+
+def request_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.request_messages(roles.turn_requests(spark, sf))
+
+
 def assemble_deltas(spark: SparkSession, sf: str) -> DataFrame:
     return ops.assemble_deltas(roles.deltas(spark, sf), ["conv_id", "item_id"]).select("conv_id", "item_id", "text")
 
@@ -149,6 +158,19 @@ def tool_result(spark: SparkSession, sf: str) -> DataFrame:
     return done.groupBy("name").agg(F.count(F.lit(1)).alias("calls"), F.count_if(failed).alias("errors"))
 
 
+def answer_questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user turn routed to a tool, the tool run with the conversation's number, its output the answer.
+
+    A turn that no tool fits has no output.
+    """
+    asked = roles.chat(spark, sf).filter(F.col("role") == "user")
+    routed = tools.route(asked, ["conv_id", "seq"], "content", TOOLS).filter(F.col("tool_name") != "none")
+    argument = F.to_json(F.struct(F.col("conv_id").alias("k")))
+    calls = routed.select("conv_id", "seq", ops.generated_id("conv_id", "seq").alias("call_id"), F.col("tool_name").alias("name"), argument.alias("arguments"))
+    answers = tools.dispatch(stored(calls, "calls"), roles.tools(spark, sf))
+    return asked.select("conv_id", "seq").join(answers.select("conv_id", "seq", "name", "output"), ["conv_id", "seq"], "left")
+
+
 def append_tool_outputs(spark: SparkSession, sf: str) -> DataFrame:
     history = _history(spark, sf)
     waiting = stored(ops.pending_calls(history).select("conv_id", "call_id", "seq", "name"), "pending")
@@ -175,6 +197,8 @@ QUERIES = {
         session_rollup,
         nonempty_chunks,
         done_items,
+        replies,
+        request_messages,
         assemble_deltas,
         tool_registry,
         tool_to_function_name,
@@ -184,6 +208,7 @@ QUERIES = {
         dependency_list,
         dispatch_tools,
         tool_result,
+        answer_questions,
         append_tool_outputs,
     )
 }
@@ -277,6 +302,21 @@ def dispatched(calls: str) -> str:
     LEFT JOIN (SELECT CAST(item_id AS VARCHAR) AS k, document FROM ({BEST_DOCUMENT})) d USING (k)"""
 
 
+OFFERS = ", ".join(f"('{t.name}', '{t.description}')" for t in TOOLS)
+ROUTED = f"""
+    WITH u AS (SELECT conv_id, seq, conv_id || '-' || seq AS id, content AS text FROM ({CHAT}) WHERE role = 'user'),
+    o AS (SELECT * FROM (VALUES {OFFERS}) t(tool, text)),
+    s AS (SELECT conv_id, seq, tool, round(coalesce(sum(q.weight * t.weight), 0), 6) AS score
+          FROM (SELECT u.*, o.tool FROM u, o)
+          LEFT JOIN ({embedded("SELECT id, text FROM u", "id")}) q USING (id)
+          LEFT JOIN ({embedded("SELECT tool, text FROM o", "tool")}) t USING (tool, bucket) GROUP BY 1, 2, 3)
+    SELECT conv_id, seq, CASE WHEN score >= 0.1 THEN tool ELSE 'none' END AS tool_name, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, seq ORDER BY score DESC, tool) AS n FROM s) WHERE n = 1"""
+ROUTED_CALLS = f"""
+    SELECT conv_id, seq, md5(conv_id || '|' || seq) AS call_id, tool_name AS name, '{{"k": ' || conv_id || '}}' AS arguments
+    FROM ({ROUTED}) WHERE tool_name <> 'none'"""
+
+
 def _registry_values() -> str:
     return ", ".join(
         f"('{t.name}', '{t.name.replace('__', '.')}', '{t.kind}', '{t.param}', '{t.description}')" for t in TOOLS
@@ -301,7 +341,8 @@ ORACLES = {
         LEFT JOIN (SELECT conv_id, count(*) AS n FROM ({PENDING}) GROUP BY 1) p USING (conv_id) WHERE r = 1""",
     "iteration_budget": f"""
         SELECT conv_id, tool_rounds, least(2 * tool_rounds + 2, 10) AS iterations, 2 * tool_rounds + 2 > 10 AS exhausted,
-               CASE WHEN 2 * tool_rounds + 2 > 10 THEN 'Max iterations reached. Stopping.' END AS closing_text
+               CASE WHEN 2 * tool_rounds + 2 > 10 THEN 'Max iterations reached. Stopping.' END AS closing_text,
+               CASE WHEN 2 * tool_rounds + 2 > 10 THEN md5(conv_id || '|' || tool_rounds) END AS closing_id
         FROM (SELECT conv_id, count(*) FILTER (n_calls > 0) AS tool_rounds FROM ({merged(SHAPED)}) GROUP BY 1)""",
     "resolve_session": """
         SELECT event_id, nullif(CASE event_type WHEN 'view' THEN 's' || k WHEN 'click' THEN NULL
@@ -316,6 +357,9 @@ ORACLES = {
     "nonempty_chunks": "SELECT event_id, 'k' || CAST(json_extract(props, '$.k') AS INT) AS content FROM events "
     "WHERE event_type NOT IN ('error', 'signup')",
     "done_items": "SELECT user_id AS conv_id, event_id AS seq, props AS item FROM events WHERE event_type = 'purchase'",
+    "replies": "SELECT user_id AS conv_id, event_id AS seq, props AS item, 's' || c_custkey AS session_id "
+    "FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'",
+    "request_messages": "SELECT conv_id, CAST(0 AS BIGINT) AS seq, role, text AS content FROM conversations",
     "assemble_deltas": "SELECT conv_id, turn AS item_id, text FROM conversations",
     "tool_registry": f"SELECT t.*, coalesce(n, 0) AS calls FROM (VALUES {_registry_values()}) "
     f"t(tool_name, function_name, kind, param, description) "
@@ -333,6 +377,9 @@ ORACLES = {
     "dispatch_tools": dispatched(PENDING),
     "tool_result": f"SELECT name, count(*) AS calls, count(*) FILTER (output LIKE 'unknown tool: %' OR output LIKE 'missing argument: %') "
     f"AS errors FROM ({dispatched(CALLS)}) GROUP BY 1",
+    "answer_questions": f"""
+        SELECT c.conv_id, c.seq, name, output FROM ({CHAT}) c
+        LEFT JOIN ({dispatched(ROUTED_CALLS)}) d ON d.conv_id = c.conv_id AND d.seq = c.seq WHERE c.role = 'user'""",
     "append_tool_outputs": f"""
         SELECT conv_id, seq, type, role, content, call_id FROM ({MESSAGES})
         UNION ALL

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lorebase.functions import text, vectors
 from lorebase.operators import evaluate, search, service, tools
 from lorebase.plans import roles
-from lorebase.plans.conversation import CHAT, embedded
+from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
 from lorebase.plans.roles import TOOLS
 from lorebase.sources.readers import read_table, read_texts
@@ -237,8 +237,6 @@ SCORES = f"""
     SELECT conv_id, seq, 'relevance' AS scorer, score FROM ({RELEVANCE})
     UNION ALL SELECT conv_id, seq, 'safety', score FROM ({SAFE})
     UNION ALL SELECT conv_id, seq, 'groundedness', score FROM ({GROUNDED})"""
-OFFERS = ", ".join(f"('{t.name}', '{t.description}')" for t in TOOLS)
-
 ORACLES = {
     "chunk_fixed": CHUNKS,
     "chunk_packed": r"""
@@ -271,15 +269,7 @@ ORACLES = {
         SELECT query_id, string_agg(chunk, chr(10) || '---' || chr(10) ORDER BY rank) || chr(10) || '---' || chr(10)
                  || max(policy) || ' of ' || max(last_updated) AS context, arg_min(chunk, rank) AS answer
         FROM ({CHUNK_HITS}) JOIN ({CHUNKS}) USING (doc_id, chunk_no) JOIN ({POLICIES}) ON policy = 'Policy ' || query_id GROUP BY 1""",
-    "route_questions": f"""
-        WITH u AS (SELECT conv_id, seq, conv_id || '-' || seq AS id, content AS text FROM ({CHAT}) WHERE role = 'user'),
-        o AS (SELECT * FROM (VALUES {OFFERS}) t(tool, text)),
-        s AS (SELECT conv_id, seq, tool, round(coalesce(sum(q.weight * t.weight), 0), 6) AS score
-              FROM (SELECT u.*, o.tool FROM u, o)
-              LEFT JOIN ({embedded("SELECT id, text FROM u", "id")}) q USING (id)
-              LEFT JOIN ({embedded("SELECT tool, text FROM o", "tool")}) t USING (tool, bucket) GROUP BY 1, 2, 3)
-        SELECT conv_id, seq, CASE WHEN score >= 0.1 THEN tool ELSE 'none' END AS tool_name, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, seq ORDER BY score DESC, tool) AS n FROM s) WHERE n = 1""",
+    "route_questions": ROUTED,
     "eval_scores": SCORES,
     "eval_summary": f"SELECT scorer, round(avg(score), 6) AS mean_score, count(*) AS n_rows FROM ({SCORES}) GROUP BY 1",
     "groundedness": f"SELECT conv_id, seq, score AS groundedness FROM ({GROUNDED})",

@@ -157,6 +157,20 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def customer_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """One open request per customer, with the inputs that came along."""
+    session = F.concat(F.lit("s"), F.col("c_custkey").cast("string"))
+    return read_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("conv_id"), F.create_map(F.lit("session_id"), session).alias("custom_inputs")
+    )
+
+
+def turn_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation turn as a request of one message."""
+    message = F.struct("role", F.col("text").alias("content"))
+    return read_table(spark, sf, "conversations").select("conv_id", F.array(message).alias("input"))
+
+
 def response_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Response chunks: some with a choice, some with an empty list, some without the list."""
     choice = F.array(F.struct(F.concat(F.lit("k"), _k().cast("string")).alias("content")))

@@ -170,7 +170,9 @@ def test_session(spark):
 
 def test_iteration_budget(spark):
     rounds = spark.createDataFrame([(1, 0), (2, 4), (3, 5)], "conv_id BIGINT, tool_rounds BIGINT")
-    assert rows(ops.iteration_budget(rounds)) == [
+    budget = ops.iteration_budget(rounds)
+    assert [len(r.closing_id or "") for r in budget.orderBy("conv_id").collect()] == [0, 0, 32]
+    assert rows(budget.drop("closing_id")) == [
         (1, 0, 2, False, None),
         (2, 4, 10, False, None),
         (3, 5, 10, True, "Max iterations reached. Stopping."),
@@ -192,3 +194,16 @@ def test_deltas(spark):
         (1, 1, "".join(f"{i} " for i in range(25)), 25),
         (1, 2, "x", 1),
     ]
+
+
+def test_requests_and_replies(spark):
+    requests = spark.createDataFrame(
+        [(1, [("user", "a"), ("assistant", None)], {"session_id": "s"}), (2, [], None)],
+        "conv_id BIGINT, input ARRAY<STRUCT<role:STRING,content:STRING>>, custom_inputs MAP<STRING,STRING>",
+    )
+    assert rows(ops.request_messages(requests)) == [(1, 0, "user", "a"), (1, 1, "assistant", None)]
+    events = spark.createDataFrame(
+        [(1, 0, "response.output_item.done", "x"), (1, 1, "other", "y"), (2, 0, "response.output_item.done", "z")],
+        "conv_id BIGINT, seq BIGINT, type STRING, item STRING",
+    )
+    assert rows(ops.replies(events, requests)) == [(1, 0, "x", {"session_id": "s"}), (2, 0, "z", None)]

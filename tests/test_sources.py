@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lorebase.sources import extract
-from lorebase.sources.readers import read_documents, read_policies, read_texts, schema_rows
+from lorebase.sources.readers import read_documents, read_policies, read_texts, scan, schema_rows
 
 
 @pytest.fixture
@@ -73,3 +73,9 @@ def test_texts_are_spread_only_when_there_are_few_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_catalog_names_of_three_parts(spark):
+    spark.range(3).write.mode("overwrite").saveAsTable("lore_scanned")
+    assert scan(spark, "spark_catalog.default.lore_scanned").count() == 3
+    spark.sql("DROP TABLE lore_scanned")
