@@ -13,8 +13,9 @@ from pyspark.sql.window import Window
 
 from lorebase.operators.skew import HOT_ROWS, positions, split_join, whole
 
-BLOCK = 1_024
-BLOCKS_PER_PART = 16
+BLOCK = 8_192
+BLOCKS_PER_PART = 2
+PIECE = 1_024
 MAX_ITERATIONS = 10
 
 # Contents that count as no text, and the closing message.
@@ -272,18 +273,19 @@ def event_json(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def assemble_deltas(deltas: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
-    """Text deltas (keys, seq, delta) put together into one text per item.
+def assemble_deltas(deltas: DataFrame, keys: list[str], piece: int = PIECE) -> DataFrame:
+    """Text deltas (keys, seq, delta) put together into one text per item: (keys, part_no, text, n_deltas).
 
-    Deltas are first joined in pieces of `block` positions, so no task lists all deltas of an item.
+    Deltas are joined to pieces of `piece` positions, and as many pieces to a part. An item of up to `piece`²
+    deltas is one row with part_no 0; a longer one comes in several parts, so no task lists all of its deltas.
     """
-    pieces = (
-        deltas.groupBy(*keys, whole(F.col("seq"), block).alias("_piece"))
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "delta"))).alias("_d"), F.count(F.lit(1)).alias("n_deltas"))
-        .withColumn("_text", F.array_join(F.transform("_d", lambda d: d["delta"]), ""))
-        .drop("_d")
+
+    def glued(order: str, text: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda d: d[text]), "")
+
+    pieces = deltas.groupBy(*keys, whole(F.col("seq"), piece).alias("_piece")).agg(
+        glued("seq", "delta").alias("_text"), F.count(F.lit(1)).alias("_n")
     )
-    return pieces.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_text"))), lambda d: d["_text"]), "").alias("text"),
-        F.sum("n_deltas").alias("n_deltas"),
+    return pieces.groupBy(*keys, whole(F.col("_piece"), piece).alias("part_no")).agg(
+        glued("_piece", "_text").alias("text"), F.sum("_n").alias("n_deltas")
     )

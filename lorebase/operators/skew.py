@@ -7,7 +7,7 @@ its shuffle, when the operator is set up. Without a hot key the operators below
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from lorebase.session import stored
@@ -49,9 +49,10 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
         return left.join(right, on, how)
     salts = F.least(F.lit(MAX_SALT), F.ceil(F.col("_n") / rows)).cast("int")
     hot = F.broadcast(hot.select(*on, salts.alias("_salts")))
-    dealt = left.join(hot, on, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_salts")).cast("int"), F.lit(0))
-    )
+    # The salt follows from the row and its task, so a task that is run again deals its rows the same way.
+    hashed = [f.name for f in left.schema if not isinstance(f.dataType, T.MapType)]
+    dealt_to = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.col("_salts")).cast("int")
+    dealt = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), dealt_to).otherwise(0))
     repeated = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )

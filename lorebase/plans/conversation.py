@@ -109,7 +109,7 @@ def request_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assemble_deltas(spark: SparkSession, sf: str) -> DataFrame:
-    return ops.assemble_deltas(roles.deltas(spark, sf), ["conv_id", "item_id"]).select("conv_id", "item_id", "text")
+    return ops.assemble_deltas(roles.deltas(spark, sf), ["conv_id", "item_id"])
 
 
 def tool_registry(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,7 +360,8 @@ ORACLES = {
     "replies": "SELECT user_id AS conv_id, event_id AS seq, props AS item, 's' || c_custkey AS session_id "
     "FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'",
     "request_messages": "SELECT conv_id, CAST(0 AS BIGINT) AS seq, role, text AS content FROM conversations",
-    "assemble_deltas": "SELECT conv_id, turn AS item_id, text FROM conversations",
+    "assemble_deltas": "SELECT conv_id, turn AS item_id, CAST(0 AS BIGINT) AS part_no, text, "
+    "CAST(length(text) - length(replace(text, ' ', '')) + 1 AS BIGINT) AS n_deltas FROM conversations",
     "tool_registry": f"SELECT t.*, coalesce(n, 0) AS calls FROM (VALUES {_registry_values()}) "
     f"t(tool_name, function_name, kind, param, description) "
     f"LEFT JOIN (SELECT name, count(*) AS n FROM ({CALLS}) GROUP BY 1) ON name = tool_name",

@@ -13,7 +13,9 @@ from lorebase.sources.extract import accepted, extract_documents, form_feed_page
 from lorebase.sources.publish import apply_changes, latest_version, publish, read_version
 from lorebase.sources.readers import stream_documents
 
-ASSEMBLED = "conv_id BIGINT, item_id BIGINT, text STRING, n_deltas BIGINT, status STRING"
+ASSEMBLED = "conv_id BIGINT, item_id BIGINT, part_no BIGINT, text STRING, n_deltas BIGINT, status STRING"
+DELTA_STATE = "seqs ARRAY<BIGINT>, texts ARRAY<STRING>, start BIGINT, last BIGINT, part_no BIGINT"
+PART = 1 << 20
 
 
 def ingest_stream(
@@ -36,40 +38,43 @@ def ingest_stream(
     )
 
 
-def assemble_stream(deltas: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000) -> DataFrame:
+def assemble_stream(deltas: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000, part: int = PART) -> DataFrame:
     """Text deltas (conv_id, item_id, seq, delta, done, ts) to complete items, emitted when their last delta is in.
 
-    The delta marked `done` tells how many there are (seq from 0). An item that stays silent longer than `idle` of
-    event time is emitted with status `abandoned`, so the state cannot grow for ever.
+    The delta marked `done` tells how many there are (seq from 0). Of a very long item every `part` deltas in
+    unbroken order are emitted ahead as a row with status `part`. An item that stays silent longer than `idle` of
+    event time is emitted with status `abandoned`. So the state of an item is bounded, and none stays for ever.
     """
+    columns = ["conv_id", "item_id", "part_no", "text", "n_deltas", "status"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending, last = ([], -1) if not state.exists else (list(zip(state.get[0], state.get[1])), state.get[2])
-        if not state.hasTimedOut:
-            for batch in batches:
-                pending += list(zip(batch["seq"].astype(int).tolist(), batch["delta"].tolist()))
-                done = batch.loc[batch["done"], "seq"]
-                last = int(done.max()) if len(done) else last
-        complete = last >= 0 and len({seq for seq, _ in pending}) == last + 1
+        seqs, texts, start, last, number = state.get if state.exists else ([], [], 0, -1, 0)
+        waiting = dict(zip(seqs, texts))
+
+        def taken(chosen: list[int], status: str) -> pd.DataFrame:
+            text = "".join(waiting.pop(seq) for seq in chosen)
+            return pd.DataFrame([(*key, number, text, len(chosen), status)], columns=columns)
+
+        for batch in [] if state.hasTimedOut else batches:
+            waiting.update(zip(batch["seq"].astype(int).tolist(), batch["delta"].tolist()))
+            done = batch.loc[batch["done"], "seq"]
+            last = int(done.max()) if len(done) else last
+            while len(waiting) > part and all(seq in waiting for seq in range(start, start + part)):
+                yield taken(list(range(start, start + part)), "part")
+                start, number = start + part, number + 1
+        complete = last >= 0 and len(waiting) == last + 1 - start
         if complete or state.hasTimedOut:
             if state.exists:
                 state.remove()
-            known = dict(pending)
-            text = "".join(known[seq] for seq in sorted(known))
-            status = "done" if complete else "abandoned"
-            yield pd.DataFrame(
-                [(key[0], key[1], text, len(known), status)], columns=["conv_id", "item_id", "text", "n_deltas", "status"]
-            )
+            yield taken(sorted(waiting), "done" if complete else "abandoned")
             return
-        state.update(([seq for seq, _ in pending], [text for _, text in pending], last))
+        state.update((list(waiting), list(waiting.values()), start, last, number))
         state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + idle_ms)
 
     return (
         deltas.withWatermark("ts", idle)
         .groupBy("conv_id", "item_id")
-        .applyInPandasWithState(
-            step, ASSEMBLED, "seqs ARRAY<BIGINT>, texts ARRAY<STRING>, last BIGINT", "append", GroupStateTimeout.EventTimeTimeout
-        )
+        .applyInPandasWithState(step, ASSEMBLED, DELTA_STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
 
 

@@ -190,9 +190,13 @@ def test_chunks_and_items(spark):
 def test_deltas(spark):
     words = [(1, 1, i, f"{i} ") for i in range(25)] + [(1, 2, 0, "x")]
     df = spark.createDataFrame(words, "conv_id BIGINT, item_id BIGINT, seq BIGINT, delta STRING").repartition(3)
-    assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 4)) == [
-        (1, 1, "".join(f"{i} " for i in range(25)), 25),
-        (1, 2, "x", 1),
+    assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 5)) == [
+        (1, 1, 0, "".join(f"{i} " for i in range(25)), 25),
+        (1, 2, 0, "x", 1),
+    ]
+    assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 4).filter("item_id = 1"), "part_no", "text") == [
+        (0, "".join(f"{i} " for i in range(16))),
+        (1, "".join(f"{i} " for i in range(16, 25))),
     ]
 
 

@@ -45,6 +45,8 @@ def test_items_are_assembled_across_batches(spark, tmp_path):
     drop(tmp_path / "in", "4.json", [part(5, 0, "end", True, 59)])
     stream = spark.readStream.schema(DELTA).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     found = {r.item_id: (r.text, r.n_deltas, r.status) for r in run(streams.assemble_stream(stream), "items").collect()}
+    parts = run(streams.assemble_stream(stream, part=2), "parts").filter("item_id = 1")
+    assert rows(parts, "part_no", "text", "status") == [(0, "ab", "part"), (1, "c", "done")]
     assert found == {
         1: ("abc", 3, "done"),
         2: ("lost", 1, "abandoned"),
