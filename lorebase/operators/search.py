@@ -7,7 +7,7 @@ holds more than one block of them at its bound.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from lorebase.functions.vectors import BITS, DIM, sign_cell, unit
+from lorebase.functions.vectors import BITS, DIM, sign_cell, sign_plane, unit
 from lorebase.session import stored
 
 QUERY_BYTES = 16 << 20
@@ -31,11 +31,11 @@ def _first_k(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) ->
     return order[rank < k]
 
 
-def _scan(block, k: int, within: int | None):
+def _scan(block, k: int):
     """Partition function: best k of the partition's vectors for each query of the block."""
 
     def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix, cells = block.value
+        ids, matrix, probes = block.value
         best_q = np.empty(0, dtype=np.int64)
         best_s, best_i = np.empty(0), np.empty(0, dtype=np.int64)
         floor = np.full(len(ids), -np.inf)
@@ -43,15 +43,12 @@ def _scan(block, k: int, within: int | None):
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
-                vectors = np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]])
+                vectors = _matrix(part["embedding"])
                 idents = part["vec_id"].to_numpy(dtype=np.int64)
                 groups = [(np.arange(len(ids)), np.arange(len(part)))]
-                if within is not None:
+                if probes is not None:
                     owner = part["cell"].to_numpy()
-                    groups = [
-                        (np.flatnonzero(np.bitwise_count(cells ^ cell) <= within), np.flatnonzero(owner == cell))
-                        for cell in np.unique(owner)
-                    ]
+                    groups = [(np.flatnonzero(probes[:, cell]), np.flatnonzero(owner == cell)) for cell in np.unique(owner)]
                 found_q, found_s, found_i = [best_q], [best_s], [best_i]
                 for asking, members in groups:
                     if not len(asking):
@@ -80,21 +77,20 @@ def _scan(block, k: int, within: int | None):
     return job
 
 
-def _blocks(queries: DataFrame, with_cells: bool, block_rows: int | None) -> Iterator[tuple]:
-    """The queries in blocks of about QUERY_BYTES, as (ids, matrix, cells). They are worked out and stored once."""
-    columns = ["query_id", "embedding"] + (["cell"] if with_cells else [])
-    kept = stored(queries.select(*columns), "queries")
+def _blocks(queries: DataFrame, cells: int, block_rows: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The queries in blocks of about QUERY_BYTES, as (ids, matrix). They are worked out and stored once."""
+    kept = stored(queries.select("query_id", "embedding"), "queries")
     total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
-    n = -(-total // (block_rows or max(1, QUERY_BYTES // (8 * dim))))
+    n = -(-total // (block_rows or max(1, QUERY_BYTES // max(8 * dim, cells))))
     dealt = kept.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))))
     for number in range(n):
-        rows = dealt.filter(F.col("_block") == number).select(*columns).toPandas()
+        rows = dealt.filter(F.col("_block") == number).select("query_id", "embedding").toPandas()
         if len(rows):
-            yield (
-                rows["query_id"].to_numpy(dtype=np.int64),
-                np.stack([np.asarray(v, dtype=np.float64) for v in rows["embedding"]]),
-                rows["cell"].to_numpy() if with_cells else None,
-            )
+            yield rows["query_id"].to_numpy(dtype=np.int64), _matrix(rows["embedding"])
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -106,20 +102,27 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _search(vectors: DataFrame, queries: DataFrame, k: int, within: int | None, bits: int, block_rows: int | None) -> DataFrame:
+def _search(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    block_rows: int | None,
+    cells: int = 0,
+    probe: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
+    """Best k per query. `probe` maps a block's matrix to a table (query, cell) of what each query looks into."""
     spark: SparkSession = vectors.sparkSession
-    columns = ["vec_id", "embedding"] + ([] if within is None else ["cell"])
     found = []
-    for ids, matrix, cells in _blocks(queries, within is not None, block_rows):
-        scanned = vectors.select(*columns)
-        if within is not None:
+    for ids, matrix in _blocks(queries, cells, block_rows):
+        if probe is None:
+            scanned, probes = vectors.select("vec_id", "embedding"), None
+        else:
             # Only the cells some query of the block probes are read; on a stored index this prunes folders.
-            every = np.arange(1 << bits)
-            near = {int(c) for own in np.unique(cells) for c in every[np.bitwise_count(every ^ int(own)) <= within]}
-            if len(near) < len(every):
-                scanned = scanned.filter(F.col("cell").isin(sorted(near)))
-        block = spark.sparkContext.broadcast((ids, matrix, cells))
-        found.append(scanned.mapInPandas(_scan(block, k, within), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
+            scanned, probes = vectors.select("vec_id", "embedding", "cell"), probe(matrix)
+            if not probes.any(axis=0).all():
+                scanned = scanned.filter(F.col("cell").isin(np.flatnonzero(probes.any(axis=0)).tolist()))
+        block = spark.sparkContext.broadcast((ids, matrix, probes))
+        found.append(scanned.mapInPandas(_scan(block, k), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
     if not found:
         return spark.createDataFrame([], "query_id BIGINT, rank INT, vec_id BIGINT, score DOUBLE")
     return _ranked(reduce(DataFrame.unionByName, found), k)
@@ -128,10 +131,10 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int, within: int | None,
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int | None = None) -> DataFrame:
     """Exact search: (query_id, rank, vec_id, score), the k vectors of highest inner product per query.
 
-    `vectors` has vec_id and embedding, `queries` query_id (once each) and embedding. Scores are rounded to 6 digits, equal
-    scores are ordered by vec_id.
+    `vectors` has vec_id and embedding, `queries` query_id (once each) and embedding. Scores are rounded to 6 digits,
+    equal scores are ordered by vec_id.
     """
-    return _search(vectors, queries, k, None, BITS, block_rows)
+    return _search(vectors, queries, k, block_rows)
 
 
 def with_cells(vectors: DataFrame, bits: int = BITS) -> DataFrame:
@@ -139,19 +142,61 @@ def with_cells(vectors: DataFrame, bits: int = BITS) -> DataFrame:
     return vectors.withColumn("cell", sign_cell(F.col("embedding"), bits))
 
 
-def write_index(vectors: DataFrame, path: str, bits: int = BITS) -> None:
-    """Store vectors in one folder per cell. Full cells are written as several files, sparse ones as one."""
-    with_cells(vectors, bits).hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
-
-
 def ann_top_k(
     index: DataFrame, queries: DataFrame, k: int = 5, within: int = 2, bits: int = BITS, block_rows: int | None = None
 ) -> DataFrame:
-    """Approximate search: as `top_k`, over the cells that differ from the query's own in at most `within` bits.
+    """Approximate search: as `top_k`, over the sign cells that differ from the query's own in at most `within` bits.
 
     `index` has vec_id, embedding and cell.
     """
-    return _search(index, with_cells(queries, bits), k, within, bits, block_rows)
+
+    def probe(matrix: np.ndarray) -> np.ndarray:
+        planes = np.array([sign_plane(bit, matrix.shape[1]) for bit in range(bits)], dtype=np.float64)
+        own = ((matrix @ planes.T >= 0) << np.arange(bits)).sum(axis=1)
+        return np.bitwise_count(own[:, None] ^ np.arange(1 << bits)[None, :]) <= within
+
+    return _search(index, queries, k, block_rows, 1 << bits, probe)
+
+
+def fit_centroids(vectors: DataFrame, cells: int = 64, seed: int = 1, rounds: int = 10) -> np.ndarray:
+    """Centres of `cells` clusters of the vectors, scaled to length 1."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    dense = F.transform("embedding", lambda x: x.cast("double"))
+    model = KMeans(k=cells, seed=seed, maxIter=rounds, featuresCol="_v").fit(vectors.select(array_to_vector(dense).alias("_v")))
+    centres = np.array(model.clusterCenters())
+    return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+
+
+def with_centroid_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
+    """Each vector with the cell of its nearest centroid; of equally near ones the first."""
+    near = vectors.sparkSession.sparkContext.broadcast(centroids)
+
+    @F.pandas_udf("int")
+    def nearest(batch: pd.Series) -> pd.Series:
+        return pd.Series(np.argmax(_matrix(batch) @ near.value.T, axis=1).astype(np.int32))
+
+    return vectors.withColumn("cell", nearest("embedding"))
+
+
+def centroid_top_k(
+    index: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int = 5, probes: int = 8, block_rows: int | None = None
+) -> DataFrame:
+    """Approximate search: as `top_k`, over the cells of the `probes` centroids nearest to each query."""
+
+    def probe(matrix: np.ndarray) -> np.ndarray:
+        scores = matrix @ centroids.T
+        looked = np.zeros(scores.shape, dtype=bool)
+        np.put_along_axis(looked, np.argsort(-scores, axis=1, kind="stable")[:, :probes], True, axis=1)
+        return looked
+
+    return _search(index, queries, k, block_rows, len(centroids), probe)
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """Store vectors with their cell in one folder per cell. Full cells are written as several files, sparse ones as one."""
+    index.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:

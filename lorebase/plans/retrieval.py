@@ -64,6 +64,15 @@ def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
     return search.recall(vector_topk(spark, sf), ann_topk(spark, sf))
 
 
+def centroid_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """The share of the exact hits that a search over 8 of 32 clusters finds."""
+    stored = _vectors(spark, sf)
+    centroids = search.fit_centroids(stored, 32)
+    queries = search.label_queries(stored)
+    found = search.centroid_top_k(search.with_centroid_cells(stored, centroids), queries, centroids, 10, 8)
+    return search.recall(vector_topk(spark, sf), found)
+
+
 def retrieval_relevance(spark: SparkSession, sf: str) -> DataFrame:
     relevant = _vectors(spark, sf).select(F.col("label").cast("long").alias("query_id"), "vec_id")
     return evaluate.retrieval_relevance(vector_topk(spark, sf), relevant)
@@ -137,6 +146,7 @@ QUERIES = {
         vector_topk,
         ann_topk,
         ann_recall,
+        centroid_recall,
         retrieval_relevance,
         search_documents,
         retrieval_safety,

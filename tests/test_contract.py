@@ -46,3 +46,7 @@ def test_query_equals_sql(spark, duck, name):
     expected = sorted(tuple(map(normal, r)) for r in result.fetchall())
     assert sorted(df.columns) == sorted(columns)
     assert sorted(tuple(map(normal, r)) for r in df.select(*columns).collect()) == expected
+
+
+def test_cluster_search_finds_most(spark):
+    assert contract.queries()["centroid_recall"](spark, FOLDER).first().recall > 0.6

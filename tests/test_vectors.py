@@ -81,7 +81,7 @@ def test_recall_has_a_floor(stored, asked):
 
 def test_stored_index_prunes_folders(spark, stored, asked):
     path = fresh_path(spark, "index")
-    search.write_index(stored, path, 4)
+    search.write_index(search.with_cells(stored, 4), path)
     index = spark.read.parquet(path)
     assert index.count() == 3_000
     one = search.ann_top_k(index, asked.filter("query_id = 60"), 3, 1, 4)
@@ -91,6 +91,21 @@ def test_stored_index_prunes_folders(spark, stored, asked):
     assert rows(one) == rows(memory)
 
 
+def test_search_by_centroids(stored, asked, data):
+    centroids = search.fit_centroids(stored, 12)
+    index = search.with_centroid_cells(stored, centroids).cache()
+    owner = dict(rows(index, "vec_id", "cell"))
+    cells = np.array([owner[i] for i in range(len(data))])
+    assert (cells == np.argmax(data @ centroids.T, axis=1)).mean() > 0.999
+
+    def near(q):
+        return np.isin(cells, np.argsort(-(centroids @ data[q]), kind="stable")[:3])
+
+    close([tuple(r) for r in search.centroid_top_k(index, asked, centroids, 4, 3).collect()], brute(data, range(0, 3_000, 60), 4, near))
+    every = search.centroid_top_k(index, asked, centroids, 4, 12, block_rows=9)
+    close([tuple(r) for r in every.collect()], brute(data, range(0, 3_000, 60), 4))
+
+
 def test_search_never_joins(stored, asked):
     shown = plan(search.top_k(stored, asked, 3))
     assert "Join" not in shown and "Cartesian" not in shown and "WindowGroupLimit" in shown
