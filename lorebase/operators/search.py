@@ -20,6 +20,7 @@ from lorebase.session import stored
 
 QUERY_BYTES = 16 << 20
 SCORES = 4 << 20
+TASKS_PER_CORE = 4
 
 
 def _first_k(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> np.ndarray:
@@ -121,6 +122,8 @@ def _search(
             scanned, probes = vectors.select("vec_id", "embedding", "cell"), probe(matrix)
             if not probes.any(axis=0).all():
                 scanned = scanned.filter(F.col("cell").isin(np.flatnonzero(probes.any(axis=0)).tolist()))
+        # Each task emits k rows per query, so there should not be many more tasks than cores.
+        scanned = scanned.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
         block = spark.sparkContext.broadcast((ids, matrix, probes))
         found.append(scanned.mapInPandas(_scan(block, k), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
     if not found:

@@ -7,6 +7,8 @@ its shuffle, when the operator is set up. Without a hot key the operators below
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
@@ -26,12 +28,9 @@ def whole(dividend: Column, divisor: int) -> Column:
 def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
     """The hot keys of `df` with their row count `_n`, at most 1,000 rows; None if there are none.
 
-    Null keys are left out: they join nothing, and the operators here expect ordered keys not to be null.
+    A null is a key like any other here.
     """
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    counts = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") > rows).orderBy(F.desc("_n"), *keys).limit(MAX_HOT)
     found = top.collect()
     return df.sparkSession.createDataFrame(found, top.schema) if found else None
@@ -41,8 +40,9 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     """Equi-join whose hot keys on the left are spread over several tasks.
 
     Left rows of a hot key are dealt to ceil(n / rows) salts; the right rows of that key are repeated once per
-    salt, every other right row exactly once. `how` is inner, left, left_semi or left_anti: each decides per left
-    row, so repeating right rows under different salts never changes the result.
+    salt, every other right row exactly once. Left rows with a null key match nothing and may go anywhere. `how` is
+    inner, left, left_semi or left_anti: each decides per left row, so repeating right rows under different salts
+    never changes the result.
     """
     hot = hot_keys(left, on, rows)
     if hot is None:
@@ -51,8 +51,11 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     hot = F.broadcast(hot.select(*on, salts.alias("_salts")))
     # The salt follows from the row and its task, so a task that is run again deals its rows the same way.
     hashed = [f.name for f in left.schema if not isinstance(f.dataType, T.MapType)]
-    dealt_to = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.col("_salts")).cast("int")
-    dealt = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), dealt_to).otherwise(0))
+    drawn = F.xxhash64(*hashed, F.spark_partition_id())
+    unmatched = reduce(Column.__or__, [F.col(key).isNull() for key in on])
+    dealt = left.join(hot, on, "left").withColumn(
+        "_salt", F.pmod(drawn, F.when(unmatched, MAX_SALT).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int")
+    )
     repeated = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
@@ -66,7 +69,7 @@ def running_sum(
 
     The rows of hot keys are range-partitioned by key and order into slots of about `rows` rows. Each slot is
     summed by itself and then lifted by the total of the slots before it, so a key may spread over any number of
-    tasks. The cut is stored, because both steps must see the same one.
+    tasks. The cut is stored, because both steps must see the same one. Keys must not be null.
     """
     upto = Window.unboundedPreceding, Window.currentRow
     plain = F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)).cast("long")

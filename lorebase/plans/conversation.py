@@ -86,7 +86,7 @@ def session_rollup(spark: SparkSession, sf: str) -> DataFrame:
     items = roles.messages(spark, sf).withColumn("session_id", F.col("conv_id"))
     rolled = ops.session_rollup(items)
     for column in ("first_ts", "last_ts"):
-        rolled = rolled.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+        rolled = rolled.withColumn(column, F.substring(F.col(column).cast("string"), 1, 19))
     return rolled
 
 

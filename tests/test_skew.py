@@ -28,6 +28,15 @@ def test_split_join_equals_join(spark, skewed, how):
     assert rows(split) == rows(skewed.join(right, ["k"], how).select(*split.columns))
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner"])
+def test_split_join_spreads_null_keys(spark, how):
+    left = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (None, "n")], "k BIGINT, w STRING")
+    split = split_join(left, right, ["k"], how, rows=60)
+    assert "_salt" in plan(split)
+    assert rows(split) == rows(left.join(right, ["k"], how).select(*split.columns))
+
+
 def test_split_join_deals_a_hot_key_out(spark, skewed):
     right = spark.createDataFrame([(1, "a")], "k BIGINT, w STRING")
     assert "_salt" in plan(split_join(skewed, right, ["k"], rows=20))
