@@ -7,8 +7,11 @@ unfinished folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from lorebase.session import stored
 
@@ -42,8 +45,8 @@ def publish(
 ) -> int:
     """Write `df` as the next version, replacing rows and schema; returns the version.
 
-    A batch of a stream (`source`, `batch_id`) already in the ledger is not written again. Rows are counted in
-    the write itself.
+    A batch of a stream (`source`, `batch_id`) already in the ledger is not written again. The rows are counted by
+    reading the written version back, which takes no more than the file footers and holds after task retries.
     """
     spark = df.sparkSession
     if source is not None:
@@ -53,10 +56,10 @@ def publish(
             return seen
     last = latest_version(spark, root)
     version = 0 if last is None else last + 1
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").parquet(f"{root}/v{version}")
+    df.write.mode("overwrite").parquet(f"{root}/v{version}")
+    written = spark.read.schema(df.schema).parquet(f"{root}/v{version}").count()
     entry = spark.createDataFrame(
-        [(version, operation, "overwrite", counted.get["row_count"], df.schema.json(), source, batch_id)],
+        [(version, operation, "overwrite", written, df.schema.json(), source, batch_id)],
         "version BIGINT, operation STRING, mode STRING, row_count BIGINT, schema_json STRING, source STRING, batch_id BIGINT",
     ).withColumn("ts", F.current_timestamp())
     entry.select("version", "ts", "operation", "mode", "row_count", "schema_json", "source", "batch_id").coalesce(
@@ -66,12 +69,14 @@ def publish(
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """A published version, the newest if none is named."""
-    if version is None:
-        version = latest_version(spark, root)
-        if version is None:
-            raise ValueError(f"nothing is published at {root}")
-    return spark.read.parquet(f"{root}/v{version}")
+    """A published version, the newest if none is named, with the schema it was published with."""
+    entries = ledger(spark, root)
+    if version is not None:
+        entries = entries.filter(F.col("version") == version)
+    entry = entries.agg(F.max_by(F.struct("version", "schema_json"), "version")).first()[0]
+    if entry is None:
+        raise ValueError(f"version {version} is not published at {root}" if version is not None else f"nothing is published at {root}")
+    return spark.read.schema(StructType.fromJson(json.loads(entry.schema_json))).parquet(f"{root}/v{entry.version}")
 
 
 def publish_catalog(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int = 0) -> None:
