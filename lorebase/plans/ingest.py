@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lorebase.functions.text import document_key
 from lorebase.operators import combine
 from lorebase.plans import roles
-from lorebase.session import fresh_path
+from lorebase.session import fresh_path, stored
 from lorebase.sources import extract, publish
 from lorebase.sources.readers import read_table, read_texts
 
@@ -105,7 +105,8 @@ def publish_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return publish.snapshot_changes(roles.first_version(spark, sf), roles.second_version(spark, sf), ["product_name"], 1)
+    cleaned = stored(roles.second_version(spark, sf), "cleaned")
+    return publish.snapshot_changes(roles.first_version(spark, sf), cleaned, ["product_name"], 1)
 
 
 def apply_changes(spark: SparkSession, sf: str) -> DataFrame:

@@ -103,8 +103,8 @@ def _k() -> Column:
 def messages(spark: SparkSession, sf: str) -> DataFrame:
     """Events as response items; a user's events in order of arrival are one conversation."""
     kind, k = F.col("event_type"), F.col("k")
-    events = read_table(spark, sf, "events").withColumnRenamed("user_id", "conv_id").withColumn("k", _k())
-    numbered = positions(events, ["conv_id"], ["event_id"], "_position")
+    events = read_table(spark, sf, "events").withColumnRenamed("user_id", "conv_id")
+    numbered = positions(events, ["conv_id"], ["event_id"], "_position").withColumn("k", _k())
     answer = F.when(k < 10, "").when(k < 20, "tool call").when(k >= 30, F.concat(F.lit("answer "), k.cast("string")))
     tool = F.when(k < 40, POLICY_TOOL).when(k < 75, HISTORY_TOOL).when(k < 92, SEARCH_TOOL).otherwise("kb__support__close_case")
     return numbered.select(

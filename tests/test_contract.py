@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from conftest import plan
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -50,3 +51,17 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_cluster_search_finds_most(spark):
     assert contract.queries()["centroid_recall"](spark, FOLDER).first().recall > 0.6
+
+
+@pytest.mark.parametrize(
+    "name", ["product_docs_combined", "extract_page_text", "merge_assistant_runs", "embed_documents", "return_eligibility", "eval_scores"]
+)
+def test_native_paths_stay_in_the_jvm(spark, name):
+    shown = plan(contract.queries()[name](spark, FOLDER), "simple")
+    assert "Python" not in shown and "Pandas" not in shown and "CartesianProduct" not in shown
+
+
+def test_no_query_multiplies_tables(spark):
+    for name in ("join_coverage", "dispatch_tools", "search_documents", "eval_scores", "route_questions"):
+        shown = plan(contract.queries()[name](spark, FOLDER), "simple")
+        assert "CartesianProduct" not in shown and "BroadcastNestedLoopJoin" not in shown
