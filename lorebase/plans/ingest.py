@@ -41,7 +41,7 @@ def derive_doc_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_page_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = read_texts(spark, sf, "pages", "page_id", "url", "html")
+    pages = read_texts(spark, sf, "pages", ["page_id"], "url", "html")
     return extract.extract_pages(pages, "url", "html").select("product_name", "product_doc")
 
 

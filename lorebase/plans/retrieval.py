@@ -20,7 +20,7 @@ ANN_BITS, ANN_WITHIN = 6, 2
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return read_texts(spark, sf, "documents", "doc_id", "text")
+    return read_texts(spark, sf, "documents", ["doc_id"], "text")
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:

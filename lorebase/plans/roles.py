@@ -134,7 +134,7 @@ def calls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chat(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read_texts(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    turns = read_texts(spark, sf, "conversations", ["conv_id", "turn"], "role", "text")
     return turns.select("conv_id", F.col("turn").alias("seq"), "role", F.col("text").alias("content"))
 
 
@@ -200,7 +200,7 @@ def deltas(spark: SparkSession, sf: str) -> DataFrame:
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as fetched files: an address with a fragment has no content of its own, one with a query an empty one."""
     url = F.col("url")
-    return read_texts(spark, sf, "pages", "page_id", "url", "html").select(
+    return read_texts(spark, sf, "pages", ["page_id"], "url", "html").select(
         "page_id", "url", F.when(url.contains("#"), None).when(url.contains("?"), "").otherwise(F.col("html")).alias("html")
     )
 
@@ -231,7 +231,7 @@ def second_version(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    texts = read_texts(spark, sf, "documents", "doc_id", "text")
+    texts = read_texts(spark, sf, "documents", ["doc_id"], "text")
     return embed(texts, ["doc_id"], "text").withColumnRenamed("doc_id", "vec_id")
 
 

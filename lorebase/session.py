@@ -51,9 +51,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def session_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/lorebase-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's folder."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application stored; DataFrames that read it are void afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 POLICY_SCHEMA = "policy STRING, policy_details STRING, last_updated DATE"
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -13,15 +13,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_texts(spark: SparkSession, folder: str, name: str, key: str, *columns: str) -> DataFrame:
-    """(key, columns) of a table whose texts are costly to work on.
+def read_texts(spark: SparkSession, folder: str, name: str, keys: list[str], *columns: str) -> DataFrame:
+    """(keys, columns) of a table whose texts are costly to work on.
 
     A file is cut at its row groups only, so a small table can arrive in fewer tasks than there are cores; then,
-    and only then, its rows are dealt out by key.
+    and only then, its rows are dealt out by their keys, which together are unique.
     """
-    rows = read_table(spark, folder, name).select(key, *columns)
+    rows = read_table(spark, folder, name).select(*keys, *columns)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, F.col(key)) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:

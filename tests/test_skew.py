@@ -61,3 +61,16 @@ def test_positions_are_dense(spark):
 def test_whole_division_is_exact(spark):
     big = 2**62 + 1
     assert spark.range(1).select(whole(F.lit(big), 2).alias("h")).first()[0] == 2**61
+
+
+def test_stored_tables_can_be_released(spark, tmp_path):
+    import os
+
+    from lorebase.session import release, session_folder, stored
+
+    kept = stored(spark.range(3).filter("id > 5"))
+    assert kept.count() == 0 and kept.columns == ["id"]
+    folder = session_folder(spark)
+    assert os.path.isdir(folder)
+    release(spark)
+    assert not os.path.isdir(folder)

@@ -64,12 +64,12 @@ def test_policy_file(spark, tmp_path):
 
 def test_texts_are_spread_only_when_there_are_few_tasks(spark, tmp_path):
     spark.range(100).select("id", F.lit("t").alias("t")).coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
-    assert read_texts(spark, str(tmp_path), "one", "id", "t").rdd.getNumPartitions() == 4
+    assert read_texts(spark, str(tmp_path), "one", ["id"], "t").rdd.getNumPartitions() == 4
     spark.range(100).select("id", F.lit("t").alias("t")).repartition(9).write.parquet(f"{tmp_path}/many.parquet")
     before = spark.conf.get("spark.sql.files.openCostInBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        assert read_texts(spark, str(tmp_path), "many", "id", "t").rdd.getNumPartitions() >= 9
+        assert read_texts(spark, str(tmp_path), "many", ["id"], "t").rdd.getNumPartitions() >= 9
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
