@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import tokens
 from lorebase.functions.vectors import dot, embed
+from lorebase.operators.skew import HOT_ROWS, split_join
 
 # Words an answer must not contain.
 UNSAFE_WORDS = ["password", "secret", "credential"]
@@ -79,13 +80,14 @@ def retrieval_relevance(hits: DataFrame, relevant: DataFrame) -> DataFrame:
     )
 
 
-def safe_retrieval(hits: DataFrame, labels: DataFrame) -> DataFrame:
+def safe_retrieval(hits: DataFrame, labels: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
     """Share of each query's retrieved documents that carry no toxic label: (query_id, hits, safety).
 
     `hits` has query_id and doc_id; documents without a label count as safe.
     """
     toxic = labels.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    return hits.join(toxic, "doc_id", "left").groupBy("query_id").agg(
+    # Many questions may hit the same document.
+    return split_join(hits, toxic, ["doc_id"], "left", rows).groupBy("query_id").agg(
         F.count(F.lit(1)).alias("hits"),
         F.round(1 - F.avg(F.coalesce("_toxic", F.lit(0))), 6).alias("safety"),
     )

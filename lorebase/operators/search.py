@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from lorebase.functions.vectors import BITS, DIM, sign_cell, sign_plane, unit
+from lorebase.operators.skew import HOT_ROWS, split_join
 from lorebase.session import stored
 
 QUERY_BYTES = 16 << 20
@@ -225,7 +226,7 @@ def label_queries(vectors: DataFrame, dim: int = DIM) -> DataFrame:
 
 
 def assemble_context(
-    hits: DataFrame, chunks: DataFrame, facts: DataFrame, separator: str = "\n---\n"
+    hits: DataFrame, chunks: DataFrame, facts: DataFrame, separator: str = "\n---\n", rows: int = HOT_ROWS
 ) -> DataFrame:
     """Context and default answer per question: (query_id, context, answer).
 
@@ -233,7 +234,8 @@ def assemble_context(
     chunk_no and chunk; `facts` query_id and fact, one row per question. The context lists the chunks by rank and
     then the fact; the answer is the chunk of rank 1.
     """
-    picked = hits.join(chunks, ["doc_id", "chunk_no"])
+    # Many questions may hit the same chunk.
+    picked = split_join(hits, chunks, ["doc_id", "chunk_no"], rows=rows)
     told = picked.groupBy("query_id").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", "chunk"))), lambda p: p["chunk"]), separator

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.operators.skew import HOT_ROWS, positions, running_sum, split_join
+from lorebase.session import stored
 
 RETURNS_PER_YEAR = 12
 RETURN_DAYS = 30
@@ -52,7 +53,7 @@ def trailing_counts(service: DataFrame, spans: dict[str, Column], rows: int = HO
     One row per (email, ts) with `cases` at that moment and one count per entry of `spans` (column name to
     interval). Each count is the difference of two running sums, so no frame is ever held in memory.
     """
-    moments = service.groupBy("email", "ts").agg(F.count(F.lit(1)).alias("cases"))
+    moments = stored(service.groupBy("email", "ts").agg(F.count(F.lit(1)).alias("cases")), "moments")
     marks = [F.struct(F.col("ts").alias("at"), F.lit(1).alias("side"), F.lit("").alias("span"), F.col("cases").alias("add"))]
     # A mark at the open end sorts before the cases of that very moment, which belong to the span.
     marks += [

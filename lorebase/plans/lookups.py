@@ -11,6 +11,7 @@ from lorebase.functions.tables import create_get_policy, create_get_service_hist
 from lorebase.operators import service
 from lorebase.plans import roles
 from lorebase.plans.roles import AS_OF, CATEGORIES
+from lorebase.session import stored
 from lorebase.sources.readers import read_table
 
 SPANS = {
@@ -62,7 +63,8 @@ def trailing_returns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def return_eligibility(spark: SparkSession, sf: str) -> DataFrame:
-    judged = service.return_eligibility(roles.returns(spark, sf), ["l_orderkey", "l_linenumber"])
+    returned = stored(roles.returns(spark, sf), "returns")
+    judged = service.return_eligibility(returned, ["l_orderkey", "l_linenumber"])
     return judged.select("l_orderkey", "l_linenumber", "customer", "return_year", "ordinal", "days_kept", "eligible")
 
 

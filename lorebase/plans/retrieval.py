@@ -10,6 +10,7 @@ from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
 from lorebase.plans.roles import TOOLS
+from lorebase.session import stored
 from lorebase.sources.readers import read_table, read_texts
 
 # A chunk's vector id packs its document and its number; a text of 2 GB has fewer than 2^23 chunks.
@@ -50,14 +51,14 @@ def index_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The vectors most typical of each label."""
-    stored = _vectors(spark, sf)
-    return search.top_k(stored, search.label_queries(stored), 10)
+    known = _vectors(spark, sf)
+    return search.top_k(known, search.label_queries(known), 10)
 
 
 def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
-    stored = _vectors(spark, sf)
-    index = search.with_cells(stored, ANN_BITS)
-    return search.ann_top_k(index, search.label_queries(stored), 10, ANN_WITHIN, ANN_BITS)
+    known = _vectors(spark, sf)
+    index = search.with_cells(known, ANN_BITS)
+    return search.ann_top_k(index, search.label_queries(known), 10, ANN_WITHIN, ANN_BITS)
 
 
 def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,10 +67,10 @@ def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 def centroid_recall(spark: SparkSession, sf: str) -> DataFrame:
     """The share of the exact hits that a search over 8 of 32 clusters finds."""
-    stored = _vectors(spark, sf)
-    centroids = search.fit_centroids(stored, 32)
-    queries = search.label_queries(stored)
-    found = search.centroid_top_k(search.with_centroid_cells(stored, centroids), queries, centroids, 10, 8)
+    known = _vectors(spark, sf)
+    centroids = search.fit_centroids(known, 32)
+    index = search.with_centroid_cells(known, centroids)
+    found = search.centroid_top_k(index, search.label_queries(known), centroids, 10, 8)
     return search.recall(vector_topk(spark, sf), found)
 
 
@@ -83,15 +84,15 @@ def search_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retrieval_safety(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search_documents(spark, sf).withColumnRenamed("vec_id", "doc_id")
+    hits = stored(search_documents(spark, sf), "hits").withColumnRenamed("vec_id", "doc_id")
     return evaluate.safe_retrieval(hits, read_table(spark, sf, "labels"))
 
 
 def search_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The chunks most like each question: (query_id, rank, doc_id, chunk_no, score)."""
     chunks = vectors.embed(chunk_fixed(spark, sf), ["doc_id", "chunk_no"], "chunk")
-    stored = chunks.select((F.col("doc_id") * CHUNKS_PER_DOC + F.col("chunk_no")).alias("vec_id"), "embedding")
-    hits = search.top_k(stored, roles.question_vectors(spark, sf), CONTEXT_CHUNKS)
+    numbered = chunks.select((F.col("doc_id") * CHUNKS_PER_DOC + F.col("chunk_no")).alias("vec_id"), "embedding")
+    hits = search.top_k(numbered, roles.question_vectors(spark, sf), CONTEXT_CHUNKS)
     return hits.select(
         "query_id",
         "rank",
@@ -103,7 +104,7 @@ def search_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     """Context and default answer for every question; only documents that were hit are cut again."""
-    hits = search_chunks(spark, sf)
+    hits = stored(search_chunks(spark, sf), "hits")
     hit_docs = _texts(spark, sf).join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     policies = service.newest_policies(roles.policies(spark, sf))
     facts = policies.select(

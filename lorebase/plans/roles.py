@@ -11,7 +11,7 @@ from lorebase.functions.vectors import embed
 from lorebase.operators.messages import TOOL_CALLS
 from lorebase.operators.search import top_k
 from lorebase.operators.service import newest_policies, service_history
-from lorebase.operators.skew import positions
+from lorebase.operators.skew import positions, split_join
 from lorebase.operators.tools import Tool
 from lorebase.sources.extract import extract_pages
 from lorebase.sources.readers import read_table, read_texts
@@ -85,14 +85,14 @@ def service(spark: SparkSession, sf: str) -> DataFrame:
 def returns(spark: SparkSession, sf: str) -> DataFrame:
     """Returned order lines with their customer; lines sent back for exchange carry another flag."""
     lines = read_table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
-    orders = read_table(spark, sf, "orders")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    orders = read_table(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    joined = split_join(lines.select("l_orderkey", "l_linenumber", "l_shipdate"), orders, ["l_orderkey"])
+    return joined.select(
         F.col("o_custkey").alias("customer"),
         F.col("o_orderdate").alias("purchased"),
         F.col("l_shipdate").alias("returned"),
         "l_orderkey",
         "l_linenumber",
-        "l_partkey",
     )
 
 
