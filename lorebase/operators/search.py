@@ -33,46 +33,59 @@ def _first_k(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) ->
     return order[rank < k]
 
 
+def _candidates(scores: np.ndarray, floor: np.ndarray, worst: np.ndarray, idents: np.ndarray, k: int):
+    """(query, vector, score) of a slice that may still be among the best k.
+
+    A query that has k hits takes only scores above its lowest, or equal ones of a smaller id; one that has not
+    takes the best k of the slice. Only the few scores near the limit are rounded.
+    """
+    open_rows = np.flatnonzero(np.isneginf(floor))
+    if len(open_rows) and scores.shape[1] > k:
+        floor, worst = floor.copy(), worst.copy()
+        floor[open_rows] = np.round(np.partition(scores[open_rows], -k, axis=1)[:, -k], 6)
+        worst[open_rows] = np.iinfo(np.int64).max
+    query, vector = np.nonzero(scores >= (floor - 1e-6)[:, None])
+    score = np.round(scores[query, vector], 6)
+    limit = floor[query]
+    taken = (score > limit) | ((score == limit) & (idents[vector] < worst[query]))
+    return query[taken], vector[taken], score[taken]
+
+
 def _scan(block, k: int):
     """Partition function: best k of the partition's vectors for each query of the block."""
 
     def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, matrix, probes = block.value
-        best_q = np.empty(0, dtype=np.int64)
-        best_s, best_i = np.empty(0), np.empty(0, dtype=np.int64)
-        floor = np.full(len(ids), -np.inf)
+        every = np.arange(len(ids))
+        best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), np.empty(0, dtype=np.int64)
+        floor, worst = np.full(len(ids), -np.inf), np.full(len(ids), np.iinfo(np.int64).max)
         step = max(16, SCORES // len(ids))
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
                 vectors = _matrix(part["embedding"])
                 idents = part["vec_id"].to_numpy(dtype=np.int64)
-                groups = [(np.arange(len(ids)), np.arange(len(part)))]
-                if probes is not None:
-                    owner = part["cell"].to_numpy()
-                    groups = [(np.flatnonzero(probes[:, cell]), np.flatnonzero(owner == cell)) for cell in np.unique(owner)]
                 found_q, found_s, found_i = [best_q], [best_s], [best_i]
-                for asking, members in groups:
+                owner = np.zeros(len(part), dtype=int) if probes is None else part["cell"].to_numpy()
+                for cell in np.unique(owner):
+                    asking = every if probes is None else np.flatnonzero(probes[:, cell])
                     if not len(asking):
                         continue
-                    scores = np.round(matrix[asking] @ vectors[members].T, 6)
-                    cut = floor[asking]
-                    if len(members) > k:
-                        cut = np.maximum(cut, np.partition(scores, -k, axis=1)[:, -k])
-                    q, v = np.nonzero(scores >= cut[:, None])
+                    members = owner == cell
+                    scores = (matrix if len(asking) == len(ids) else matrix[asking]) @ vectors[members].T
+                    q, v, s = _candidates(scores, floor[asking], worst[asking], idents[members], k)
                     found_q.append(asking[q])
-                    found_s.append(scores[q, v])
-                    found_i.append(idents[members[v]])
+                    found_s.append(s)
+                    found_i.append(idents[members][v])
                 q, s, i = np.concatenate(found_q), np.concatenate(found_s), np.concatenate(found_i)
-                if not len(q):
+                if len(q) == len(best_q):
                     continue
                 kept = _first_k(q, s, i, k)
                 best_q, best_s, best_i = q[kept], s[kept], i[kept]
-                # A query with k hits takes no score below its k-th any more.
-                full = np.bincount(best_q, minlength=len(ids)) == k
-                last = np.full(len(ids), np.inf)
-                np.minimum.at(last, best_q, best_s)
-                floor = np.where(full, last, -np.inf)
+                # The hits are in order of query and rank: where there are k, the last one sets the limit.
+                ends = np.flatnonzero(np.r_[best_q[1:] != best_q[:-1], True])
+                ends = ends[np.diff(np.r_[-1, ends]) == k]
+                floor[best_q[ends]], worst[best_q[ends]] = best_s[ends], best_i[ends]
         if len(best_q):
             yield pd.DataFrame({"query_id": ids[best_q], "vec_id": best_i, "score": best_s})
 

@@ -53,6 +53,19 @@ def test_exact_search(stored, asked, data, block_rows):
     close([tuple(r) for r in search.top_k(stored, asked, 4, block_rows).collect()], brute(data, ids, 4))
 
 
+@pytest.mark.parametrize("cells", [False, True])
+def test_search_over_many_small_slices(stored, asked, data, monkeypatch, cells):
+    monkeypatch.setattr(search, "SCORES", 64)  # 16 vectors at a time
+    known = stored.orderBy(F.desc("vec_id")).coalesce(2)  # copies arrive with falling ids
+    if cells:
+        found = search.ann_top_k(search.with_cells(known, 4), asked, 4, 4, 4)
+    else:
+        found = search.top_k(known, asked, 4)
+    close([tuple(r) for r in found.collect()], brute(data, range(0, 3_000, 60), 4))
+    copies = search.top_k(known, asked.filter("query_id = 0"), 5)
+    assert [r.vec_id for r in copies.orderBy("rank").collect()] == [0, 1000, 1001, 1002, 1003]
+
+
 def test_search_keeps_equal_scores_by_id(stored, asked):
     best = search.top_k(stored, asked.filter("query_id = 0"), 5)
     assert [r.vec_id for r in best.orderBy("rank").collect()] == [0, 1000, 1001, 1002, 1003]
