@@ -181,20 +181,28 @@ def response_chunks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def response_events(spark: SparkSession, sf: str) -> DataFrame:
+def as_response_events(events: DataFrame) -> DataFrame:
     done = F.when(F.col("event_type") == "purchase", "response.output_item.done").otherwise("response.output_text.delta")
-    return read_table(spark, sf, "events").select(
+    return events.select(
         F.col("user_id").alias("conv_id"), F.col("event_id").alias("seq"), done.alias("type"), F.col("props").alias("item")
     )
 
 
+def response_events(spark: SparkSession, sf: str) -> DataFrame:
+    return as_response_events(read_table(spark, sf, "events"))
+
+
+def as_deltas(turns: DataFrame, done: Column) -> DataFrame:
+    """Turns with their list `_words` as one row per word; `done` marks the last."""
+    words = turns.select("conv_id", F.col("turn").alias("item_id"), "_words", F.posexplode("_words").alias("seq", "_word"))
+    delta = F.when(F.col("seq") > 0, F.concat(F.lit(" "), "_word")).otherwise(F.col("_word"))
+    return words.select("conv_id", "item_id", "seq", delta.alias("delta"), done.alias("done"))
+
+
 def deltas(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns broken into the words a model would stream."""
-    return (
-        read_table(spark, sf, "conversations")
-        .select("conv_id", F.col("turn").alias("item_id"), F.posexplode(F.split("text", " ")).alias("seq", "_word"))
-        .select("conv_id", "item_id", "seq", F.when(F.col("seq") > 0, F.concat(F.lit(" "), "_word")).otherwise(F.col("_word")).alias("delta"))
-    )
+    turns = read_table(spark, sf, "conversations").withColumn("_words", F.split("text", " "))
+    return as_deltas(turns, F.col("seq") == F.size("_words") - 1)
 
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:

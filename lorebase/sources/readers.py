@@ -13,6 +13,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream, in the schema it has now."""
+    schema = read_table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 def read_texts(spark: SparkSession, folder: str, name: str, keys: list[str], *columns: str) -> DataFrame:
     """(keys, columns) of a table whose texts are costly to work on.
 

@@ -28,9 +28,13 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Read the documents that are new since the last run, append the accepted ones to `target`, stop."""
     extracted = extract_documents(stream_documents(spark, folder, suffix), pages, suffix)
+    return append_stream(accepted(extracted), target, checkpoint)
+
+
+def append_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append what a stream yields for the input there is now to the table at `target`, each row once, and stop."""
     return (
-        accepted(extracted)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
