@@ -94,7 +94,7 @@ def _scan(block, k: int):
 
 def _blocks(queries: DataFrame, cells: int, block_rows: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The queries in blocks of about QUERY_BYTES, as (ids, matrix). They are worked out and stored once."""
-    kept = stored(queries.select("query_id", "embedding"), "queries")
+    kept = stored(queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull()), "queries")
     total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     n = -(-total // (block_rows or max(1, QUERY_BYTES // max(8 * dim, cells))))
     dealt = kept.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))))
@@ -137,7 +137,8 @@ def _search(
             if not probes.any(axis=0).all():
                 scanned = scanned.filter(F.col("cell").isin(np.flatnonzero(probes.any(axis=0)).tolist()))
         # Each task emits k rows per query, so there should not be many more tasks than cores.
-        scanned = scanned.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+        present = scanned.filter(F.col("embedding").isNotNull())
+        scanned = present.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
         block = spark.sparkContext.broadcast((ids, matrix, probes))
         found.append(scanned.mapInPandas(_scan(block, k), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
     if not found:

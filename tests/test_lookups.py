@@ -41,6 +41,18 @@ def test_one_policy(spark, policies):
     )
 
 
+def test_functions_kept_in_the_catalog(spark, policies, cases):
+    policies.write.mode("overwrite").saveAsTable("lore_policies")
+    cases.write.mode("overwrite").saveAsTable("lore_cases")
+    for _ in range(2):  # creating again replaces
+        create_get_policy(spark, "lore_policies", "default.lore_get_policy", temporary=False)
+        create_get_service_history(spark, "lore_cases", "default.lore_history", temporary=False)
+    assert rows(spark.sql("SELECT policy_details FROM lore_get_policy('Refund')")) == [("new a",)]
+    assert spark.sql("SELECT * FROM lore_history('a@x')").count() == 2
+    for drop in ("FUNCTION lore_get_policy", "FUNCTION lore_history", "TABLE lore_policies", "TABLE lore_cases"):
+        spark.sql(f"DROP {drop}")
+
+
 def test_lateral_call_answers_every_request(spark, policies):
     create_get_policy(spark, "test_policies", "policy_of")
     spark.createDataFrame([(1, "Refund"), (2, "Return"), (3, "Missing"), (4, "Refund")], "id INT, p STRING").createOrReplaceTempView("asked")

@@ -71,6 +71,12 @@ def test_search_keeps_equal_scores_by_id(stored, asked):
     assert [r.vec_id for r in best.orderBy("rank").collect()] == [0, 1000, 1001, 1002, 1003]
 
 
+def test_rows_without_a_vector_take_no_part(spark, stored, asked):
+    gap = spark.createDataFrame([(9_999, None)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = search.top_k(stored.unionByName(gap), asked.unionByName(gap.withColumnRenamed("vec_id", "query_id")), 2)
+    assert rows(found) == rows(search.top_k(stored, asked, 2))
+
+
 def test_no_queries_and_few_vectors(stored, asked):
     assert search.top_k(stored, asked.filter("false")).count() == 0
     assert search.top_k(stored.filter("vec_id < 3"), asked.filter("query_id = 60"), 5).count() == 3
