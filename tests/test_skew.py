@@ -21,6 +21,13 @@ def test_hot_keys(skewed):
     assert hot_keys(skewed, ["k"], 1_000) is None
 
 
+def test_hot_keys_of_a_large_table_are_estimated(spark):
+    df = spark.range(3_000_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
+    ((key, n),) = rows(hot_keys(df, ["k"], 500_000))
+    assert key is None and 900_000 < n < 1_100_000
+    assert hot_keys(df, ["k"], 1_500_000) is None
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_split_join_equals_join(spark, skewed, how):
     right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "n")], "k BIGINT, w STRING")
