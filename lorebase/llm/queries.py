@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorebase.llm import pieces
+from lorebase.llm import neardup, pieces
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -40,8 +40,14 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document by four-word shingles and a similarity of 0.8 or more."""
+    return neardup.near_duplicates(read_table(spark, folder, "documents"), size=4)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op9_neardup": op9_neardup,
 }
 
 ORACLES: dict[str, str] = {}
