@@ -8,12 +8,13 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorebase.llm import neardup, pieces
+from lorebase.llm import neardup, pieces, token_files
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
 #: Tokenizer files by the place that their package gives; every operator takes the path as a parameter.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _sentencepiece_digests(batches: Batches) -> Batches:
@@ -40,6 +41,11 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, number and checksum of every document's ids, read back from the token files."""
+    return token_files.checksums(token_files.write(read_table(spark, folder, "documents"), BYTE_MODEL, end_id=2))
+
+
 def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document by four-word shingles and a similarity of 0.8 or more."""
     return neardup.near_duplicates(read_table(spark, folder, "documents"), size=4)
@@ -47,6 +53,7 @@ def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
 }
 
