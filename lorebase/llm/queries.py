@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorebase.llm import neardup, pieces, token_files
+from lorebase.llm import neardup, pieces, token_files, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -41,6 +41,26 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """What the archives of all pages hold, read back from them."""
+    listing = warc.write(read_table(spark, folder, "pages"))
+    return warc.read(listing, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH sized AS (
+    SELECT page_id, coalesce(html, '') AS payload, octet_length(CAST(encode(coalesce(html, '')) AS BLOB)) AS payload_bytes
+    FROM pages
+), grouped AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS largest FROM sized
+)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM grouped
+"""
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from the token files."""
     return token_files.checksums(token_files.write(read_table(spark, folder, "documents"), BYTE_MODEL, end_id=2))
@@ -53,8 +73,11 @@ def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_warc": op5_warc,
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op5_warc": OP5_SQL,
+}
