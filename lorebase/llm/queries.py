@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorebase.llm import neardup, pieces, token_files, warc
+from lorebase.llm import decontaminate, neardup, pieces, token_files, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -61,6 +61,11 @@ FROM grouped
 """
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every passage of a document that is a benchmark item or within its edit budget."""
+    return decontaminate.passages(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from the token files."""
     return token_files.checksums(token_files.write(read_table(spark, folder, "documents"), BYTE_MODEL, end_id=2))
@@ -74,6 +79,7 @@ def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_warc": op5_warc,
+    "op6_decontaminate": op6_decontaminate,
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
 }
