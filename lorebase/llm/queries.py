@@ -6,9 +6,9 @@ import hashlib
 
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import decontaminate, neardup, pieces, token_files, warc
+from lorebase.llm import decontaminate, neardup, pieces, secrets, token_files, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -66,6 +66,24 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.passages(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and a digest of the strong findings of every document, and the spans of all."""
+    findings = secrets.scan(read_table(spark, folder, "documents"))
+
+    def listed(column: Column) -> Column:
+        named = F.transform(column, lambda f: F.concat_ws(":", f.kind, f.start.cast("string"), f.end.cast("string")))
+        return F.concat_ws(",", named)
+
+    base = F.filter("findings", lambda f: f.strong)
+    counts = {f"n_{kind}": F.size(F.filter("findings", lambda f: f.kind == kind)).cast("long") for kind in secrets.KINDS[:3]}
+    return findings.select(
+        "doc_id",
+        *(column.alias(name) for name, column in counts.items()),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("findings")).alias("spans"),
+    )
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from the token files."""
     return token_files.checksums(token_files.write(read_table(spark, folder, "documents"), BYTE_MODEL, end_id=2))
@@ -80,6 +98,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
+    "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
 }
