@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import decontaminate, neardup, pieces, rules, secrets, token_files, warc
+from lorebase.llm import decontaminate, neardup, pieces, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -41,6 +41,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity, grade and verdict of every document."""
+    docs = read_table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, read_table(spark, folder, "labels")))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rules and log-likelihood verdict of every document."""
     return rules.quality_rules(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -101,6 +107,7 @@ def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
