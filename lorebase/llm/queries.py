@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import decontaminate, neardup, pieces, rules, secrets, token_files, toxicity, warc
+from lorebase.llm import decontaminate, neardup, pieces, quality, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -105,6 +105,17 @@ def op9_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, folder, "documents"), size=4)
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Calibrated probability that a document has quality 1, learned from the rows that aren't held out."""
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    vectors = spark.sparkContext.broadcast(quality.word_vectors(docs))
+    remainder = F.pmod(F.crc32(F.col("labelled").cast("string").cast("binary")), F.lit(4))
+    network = quality.trained(docs, labels, vectors, among=remainder != 2)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    scores = quality.scored(docs, vectors, network)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -114,6 +125,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
