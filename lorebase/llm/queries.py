@@ -8,7 +8,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import decontaminate, neardup, pieces, quality, rules, secrets, token_files, toxicity, warc
+from lorebase.llm import chat, decontaminate, neardup, pieces, quality, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -47,6 +47,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.trained(docs, read_table(spark, folder, "labels")))
 
 
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn with its repair and its piece of the rendered conversation."""
+    return chat.repaired(read_table(spark, folder, "conversations"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rules and log-likelihood verdict of every document."""
     return rules.quality_rules(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -119,6 +124,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
+    "op3_chat": op3_chat,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc": op5_warc,
     "op6_decontaminate": op6_decontaminate,
