@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lorebase.session import fresh_path
 
@@ -66,6 +67,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def key_type(df: DataFrame, key: str) -> tuple[str, pa.DataType]:
+    """The type of a column in SQL and in Arrow."""
+    kind = df.schema[key].dataType
+    return kind.simpleString(), to_arrow_type(kind)
+
+
 class Written:
     """A table written once to the shared folder; `drop()` removes its files when nothing reads it any more."""
 

@@ -25,14 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.llm.common import Batches, Written, in_batches, map_batches, rows_of
+from lorebase.llm.common import Batches, Written, in_batches, key_type, map_batches, rows_of
 
 WORD = re.compile(r"\w+")
 #: Shortest piece in words, and words of an item per edit.
 PIECE, PER_EDIT = 4, 5
 BLOCK_CHARS = 4 << 20
 PRIME, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-FIELDS = "doc_id BIGINT, item_id BIGINT, distance BIGINT, n_words BIGINT, start BIGINT, end BIGINT"
+NUMBERS = ("item_id", "distance", "n_words", "start", "end")
 
 
 def budget(words: int) -> int:
@@ -168,8 +168,8 @@ def merged(stretches: list[tuple[int, int]], size: int) -> list[tuple[int, int]]
     return found
 
 
-def find_step(block):
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "distance", "n_words", "start", "end")])
+def find_step(block, key: pa.DataType):
+    schema = pa.schema([("doc_id", key)] + [(name, pa.int64()) for name in NUMBERS])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         items = Items(block.value)
@@ -194,9 +194,12 @@ def passages(
     item_text: str = "text",
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """(doc_id, item_id, distance, n_words, start, end): where documents hold items; characters, end exclusive."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(key).cast("long"), F.col(text))
+    """(doc_id, item_id, distance, n_words, start, end): where documents hold items; characters, end exclusive.
+
+    `doc_id` holds the key, which may be of any type."""
+    spark, texts = docs.sparkSession, docs.select(key, text)
+    name, arrow = key_type(docs, key)
+    fields = ", ".join([f"doc_id {name}", *(f"{number} BIGINT" for number in NUMBERS)])
     items = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // block_chars)
@@ -205,6 +208,13 @@ def passages(
         of_block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
         # The hash deals items evenly, so a block is of about block_chars characters.
         block = spark.sparkContext.broadcast([tuple(row) for row in of_block.orderBy("item", "text").collect()])
-        found.append(Written(map_batches(texts, FIELDS, find_step(block)), "passages").df)
+        found.append(Written(map_batches(texts, fields, find_step(block, arrow)), "passages").df)
         block.destroy()
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], FIELDS)
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], fields)
+
+
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of `docs` without any passage, with all their columns. The verdict follows the text, whatever the key."""
+    named = docs.select(F.md5(F.col(text)).alias("digest"), F.col(text).alias("text"))
+    found = passages(named, benchmark, "digest", "text", item, item_text).select(F.col("doc_id").alias("contaminated")).distinct()
+    return docs.join(found, F.md5(docs[text]) == found["contaminated"], "left_anti")

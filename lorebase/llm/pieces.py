@@ -19,10 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
-from lorebase.llm.common import Batches, in_batches, map_batches, rows_of
+from lorebase.llm.common import Batches, free_name, in_batches, key_type, map_batches, rows_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -333,13 +336,6 @@ def tables_of(df: DataFrame, path: str) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(PieceModel(path))
 
 
-def key_type(df: DataFrame, key: str) -> tuple[str, pa.DataType]:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    kind = df.schema[key].dataType
-    return kind.simpleString(), to_arrow_type(kind)
-
-
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", bos: bool = True, eos: bool = True) -> DataFrame:
     """(key, ids): the ids of every whole text, as the library gives them without sampling."""
     name, arrow = key_type(df, key)
@@ -360,3 +356,42 @@ def roundtrip(df: DataFrame, path: str, schema: str, *steps, key: str = "doc_id"
     _, arrow = key_type(df, key)
     tables = tables_of(df, path)
     return map_batches(df.select(key, text), schema, encode_step(tables, arrow, True, True), decode_step(tables, arrow), *steps)
+
+
+def tokenised(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`df` with the ids of `text`, their number, and whether they decode to the text again.
+
+    The new columns are called ids, n_tokens and round_trip, with underscores before them where `df` has such columns.
+    """
+    tables, place = tables_of(df, path), df.columns.index(text)
+    names = [free_name(df, name) for name in ("ids", "n_tokens", "round_trip")]
+    added = [pa.field(name, kind) for name, kind in zip(names, (pa.list_(pa.int32()), pa.int64(), pa.bool_()))]
+
+    def step(batches: Batches) -> Batches:
+        model: PieceModel = tables.value
+        encoder = Encoder(model)
+        begin, end = (np.array([one], dtype=np.int32) for one in (model.bos, model.eos))
+        for batch in batches:
+            schema = pa.schema([*batch.schema, *added])
+            for start, count in runs_of(batch.column(place)):
+                part = batch.slice(start, count)
+                texts = [value or "" for value in part.column(place).to_pylist()]
+                ids = [np.concatenate([begin, np.frombuffer(one, dtype="<i4"), end]) for one in encoder.encode(texts)]
+                same = [decode_ids(model, one) == value for one, value in zip(ids, texts)]
+                columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(same)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], schema=schema)
+
+    fields = StructType([*df.schema.fields, *from_arrow_schema(pa.schema(added)).fields])
+    return df.mapInArrow(step, fields)
+
+
+def runs_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, count) of runs of rows with about ROUND_CHARS bytes of text."""
+    start, size = 0, 0
+    for place, length in enumerate(pc.binary_length(texts).to_pylist()):
+        size += length or 0
+        if size >= ROUND_CHARS:
+            yield start, place + 1 - start
+            start, size = place + 1, 0
+    if start < len(texts):
+        yield start, len(texts) - start
