@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Separators and markup patterns.
 TOKEN_SEPARATOR = r"[^\p{L}\p{N}]+"
-EDGE_SPACE = r"^\s+|\s+$"
+EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
 HTML_DROPPED = [
     r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>",
     r"(?s)<!--.*?-->",
@@ -19,7 +19,7 @@ HTML_DROPPED = [
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind from both ends (`trim` removes blanks only)."""
+    """Remove white space of every kind, Unicode's included, from both ends (`trim` removes blanks only)."""
     return F.regexp_replace(text, EDGE_SPACE, "")
 
 

@@ -14,7 +14,6 @@ from pyspark.sql.window import Window
 from lorebase.operators.skew import HOT_ROWS, positions, split_join, whole
 
 BLOCK = 8_192
-BLOCKS_PER_PART = 2
 PIECE = 1_024
 MAX_ITERATIONS = 10
 
@@ -72,7 +71,7 @@ def with_neighbours(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     """Each message with the role before it and the run it belongs to.
 
     Only consecutive assistant messages share a run. Adds prev_role, run_no (0-based within the conversation),
-    _block, _start_block and _edge (the run crosses a block border).
+    _block and _edge (the run crosses a block border).
     """
     joins = F.coalesce((F.col("role") == "assistant") & (F.col("_prev") == "assistant"), F.lit(False))
     within = Window.partitionBy("conv_id", "_block").orderBy("seq")
@@ -98,8 +97,6 @@ def with_neighbours(messages: DataFrame, block: int = BLOCK) -> DataFrame:
         .withColumn("_continues", continues)
         .withColumn("_total", F.col("_inner") + F.when(F.col("_continues"), 0).otherwise(1))
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-        # The block in which the run that reaches into this one was opened.
-        .withColumn("_reaching", F.last(F.when(F.col("_total") > 0, F.col("_block")), ignorenulls=True).over(earlier))
         .withColumn("_goes_on", F.coalesce(F.lead("_continues").over(chain), F.lit(False)))
         .drop("_first_role", "_last_role")
     )
@@ -108,9 +105,8 @@ def with_neighbours(messages: DataFrame, block: int = BLOCK) -> DataFrame:
         rows.join(state, ["conv_id", "_block"])
         .withColumn("prev_role", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev")))
         .withColumn("run_no", (F.col("_before") + F.when(F.col("_continues"), -1).otherwise(0) + F.col("_opened")).cast("long"))
-        .withColumn("_start_block", F.when(carried, F.col("_reaching")).otherwise(F.col("_block")))
         .withColumn("_edge", carried | (F.col("_goes_on") & (F.col("_opened") == F.col("_inner"))))
-        .drop("_prev", "_first", "_opens", "_opened", "_inner", "_carried", "_continues", "_total", "_before", "_reaching", "_goes_on")
+        .drop("_prev", "_first", "_opens", "_opened", "_inner", "_carried", "_continues", "_total", "_before", "_goes_on")
     )
 
 
@@ -138,29 +134,23 @@ def _folded() -> list[Column]:
         F.min_by("role", "seq").alias("role"),
         F.when(F.count(text) > 0, joined).otherwise(F.min_by("content", "seq")).alias("content"),
         F.min_by("call_id", "seq").alias("call_id"),
-        F.when(F.size(strung) > 0, strung).alias("tool_calls"),
+        F.when(F.size(strung) > 0, strung).otherwise(F.min_by("tool_calls", "seq")).alias("tool_calls"),
     ]
 
 
-def merge_assistant_runs(messages: DataFrame, block: int = BLOCK, blocks_per_part: int = BLOCKS_PER_PART) -> DataFrame:
-    """Consecutive assistant messages folded into one (conv_id, run_no, part_no, seq, n_messages, role, ...).
+def merge_assistant_runs(messages: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Consecutive assistant messages folded into one (conv_id, run_no, seq, n_messages, role, ...).
 
-    Runs are folded inside their block first, without moving the texts again; only runs that cross a border are
-    folded a second time. A run over more than `blocks_per_part` blocks comes as several parts, each folded by
-    the same rule, so that folding the parts gives the whole; every other run is one row with part_no 0.
+    Runs are folded inside their block first, without moving the texts again; of runs that cross a border only the
+    folded pieces, one a block, are folded a second time. A run is one row whatever its length, so its text must fit
+    into a row (2 GB); Spark stops with an error otherwise.
     """
     rows = with_neighbours(messages, block).withColumn("n_messages", F.lit(1).cast("long"))
     inner = rows.filter(~F.col("_edge")).groupBy("conv_id", "_block", "run_no").agg(*_folded())
-    border = (
-        rows.filter("_edge")
-        .groupBy("conv_id", "_block", "run_no")
-        .agg(*_folded(), F.first("_start_block").alias("_start_block"))
-        .withColumn("part_no", whole(F.col("_block") - F.col("_start_block"), blocks_per_part))
-        .withColumnRenamed("_seq", "seq")
-    )
-    columns = ["conv_id", "run_no", "part_no", "seq", "n_messages", "role", "content", "call_id", "tool_calls"]
-    contained = inner.withColumn("part_no", F.lit(0).cast("long")).withColumnRenamed("_seq", "seq")
-    crossing = border.groupBy("conv_id", "run_no", "part_no").agg(*_folded()).withColumnRenamed("_seq", "seq")
+    border = rows.filter("_edge").groupBy("conv_id", "_block", "run_no").agg(*_folded()).withColumnRenamed("_seq", "seq")
+    columns = ["conv_id", "run_no", "seq", "n_messages", "role", "content", "call_id", "tool_calls"]
+    contained = inner.withColumnRenamed("_seq", "seq")
+    crossing = border.groupBy("conv_id", "run_no").agg(*_folded()).withColumnRenamed("_seq", "seq")
     return contained.select(*columns).unionByName(crossing.select(*columns))
 
 
@@ -171,10 +161,11 @@ def last_message(messages: DataFrame) -> DataFrame:
 
 
 def pending_calls(messages: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
-    """Function calls without an output of the same call_id in their conversation."""
-    calls = messages.filter(F.col("type") == "function_call")
-    handled = messages.filter(F.col("type") == "function_call_output").select("conv_id", "call_id").distinct()
-    return split_join(calls, handled, ["conv_id", "call_id"], "left_anti", rows)
+    """Function calls without an output of the same call_id in their conversation; a missing call_id is an id as well."""
+    named = F.coalesce(F.concat(F.lit("="), "call_id"), F.lit("")).alias("_call")
+    calls = messages.filter(F.col("type") == "function_call").select("*", named)
+    handled = messages.filter(F.col("type") == "function_call_output").select("conv_id", named).distinct()
+    return split_join(calls, handled, ["conv_id", "_call"], "left_anti", rows).drop("_call")
 
 
 def next_action(messages: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
@@ -274,10 +265,9 @@ def event_json(*columns: str) -> Column:
 
 
 def assemble_deltas(deltas: DataFrame, keys: list[str], piece: int = PIECE) -> DataFrame:
-    """Text deltas (keys, seq, delta) put together into one text per item: (keys, part_no, text, n_deltas).
+    """Text deltas (keys, seq, delta) put together into one text per item: (keys, text, n_deltas).
 
-    Deltas are joined to pieces of `piece` positions, and as many pieces to a part. An item of up to `piece`²
-    deltas is one row with part_no 0; a longer one comes in several parts, so no task lists all of its deltas.
+    Deltas are joined to pieces of `piece` positions first, so no task lists all deltas of an item, only its pieces.
     """
 
     def glued(order: str, text: str) -> Column:
@@ -286,6 +276,6 @@ def assemble_deltas(deltas: DataFrame, keys: list[str], piece: int = PIECE) -> D
     pieces = deltas.groupBy(*keys, whole(F.col("seq"), piece).alias("_piece")).agg(
         glued("seq", "delta").alias("_text"), F.count(F.lit(1)).alias("_n")
     )
-    return pieces.groupBy(*keys, whole(F.col("_piece"), piece).alias("part_no")).agg(
+    return pieces.groupBy(*keys).agg(
         glued("_piece", "_text").alias("text"), F.sum("_n").alias("n_deltas")
     )

@@ -49,9 +49,16 @@ def function_name(tool_name: Column) -> Column:
 
 
 def parsed_arguments(arguments: Column) -> Column:
-    """JSON object as a map of strings; an empty map for anything else."""
-    empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.from_json(arguments, "map<string,string>"), empty)
+    """JSON object as a map of strings; an empty map for anything else.
+
+    The parser stops after the first value, so the text is parsed inside a list and inside an object: what follows an
+    object may close one of the two, but not both.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), arguments, F.lit("]")), "array<map<string,string>>", strict)
+    inside = F.from_json(F.concat(F.lit('{"a":'), arguments, F.lit("}")), "map<string,map<string,string>>", strict)
+    whole = (F.size(listed) == 1) & (F.size(inside) == 1)
+    return F.coalesce(F.when(whole, listed[0]), F.create_map().cast("map<string,string>"))
 
 
 def tool_result(value: Column, error: Column) -> Column:

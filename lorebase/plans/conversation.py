@@ -38,7 +38,7 @@ def _merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_assistant_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return _merged(spark, sf).select("conv_id", "run_no", "part_no", "seq", "n_messages", "role", "content")
+    return _merged(spark, sf).select("conv_id", "run_no", "seq", "n_messages", "role", "content")
 
 
 def merge_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
@@ -245,7 +245,7 @@ def runs(messages: str) -> str:
 
 def merged(messages: str) -> str:
     return f"""
-    SELECT conv_id, CAST(run_no AS BIGINT) AS run_no, CAST(0 AS BIGINT) AS part_no, min(seq) AS seq, count(*) AS n_messages,
+    SELECT conv_id, CAST(run_no AS BIGINT) AS run_no, min(seq) AS seq, count(*) AS n_messages,
            arg_min(coalesce(role, '~'), seq) AS role_or_none,
            CASE WHEN count(*) FILTER (content NOT IN ('', 'tool call')) > 0
                 THEN string_agg(content, chr(10) ORDER BY seq) FILTER (content NOT IN ('', 'tool call'))
@@ -326,7 +326,7 @@ def _registry_values() -> str:
 ORACLES = {
     "items_to_messages": SHAPED,
     "role_changes": f"SELECT conv_id, seq, role, prev_role, role IS DISTINCT FROM prev_role AS changed FROM ({runs(SHAPED)})",
-    "merge_assistant_runs": f"SELECT conv_id, run_no, part_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
+    "merge_assistant_runs": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
     f"FROM ({merged(SHAPED)})",
     "merge_tool_calls": f"SELECT conv_id, run_no, n_calls, calls FROM ({merged(SHAPED)}) WHERE n_calls > 0",
     "merge_chat": f"SELECT conv_id, run_no, seq, role_or_none AS role, content FROM ({merged(CHAT_SHAPED)})",
@@ -360,7 +360,7 @@ ORACLES = {
     "replies": "SELECT user_id AS conv_id, event_id AS seq, props AS item, 's' || c_custkey AS session_id "
     "FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'",
     "request_messages": "SELECT conv_id, CAST(0 AS BIGINT) AS seq, role, text AS content FROM conversations",
-    "assemble_deltas": "SELECT conv_id, turn AS item_id, CAST(0 AS BIGINT) AS part_no, text, "
+    "assemble_deltas": "SELECT conv_id, turn AS item_id, text, "
     "CAST(length(text) - length(replace(text, ' ', '')) + 1 AS BIGINT) AS n_deltas FROM conversations",
     "tool_registry": f"SELECT t.*, coalesce(n, 0) AS calls FROM (VALUES {_registry_values()}) "
     f"t(tool_name, function_name, kind, param, description) "

@@ -13,9 +13,10 @@ from lorebase.sources.extract import accepted, extract_documents, form_feed_page
 from lorebase.sources.publish import apply_changes, latest_version, publish, read_version
 from lorebase.sources.readers import stream_documents
 
-ASSEMBLED = "conv_id BIGINT, item_id BIGINT, part_no BIGINT, text STRING, n_deltas BIGINT, status STRING"
-DELTA_STATE = "seqs ARRAY<BIGINT>, texts ARRAY<STRING>, start BIGINT, last BIGINT, part_no BIGINT"
-PART = 1 << 20
+ASSEMBLED = "conv_id BIGINT, item_id BIGINT, text STRING, n_deltas BIGINT, status STRING"
+DELTA_STATE = "text STRING, next BIGINT, seqs ARRAY<BIGINT>, texts ARRAY<STRING>, last BIGINT, newest_ms BIGINT"
+#: What is added to a stream's rows by its change feed.
+FEED_COLUMNS = ["_change_type", "_commit_version"]
 
 
 def ingest_stream(
@@ -42,38 +43,38 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQ
     )
 
 
-def assemble_stream(deltas: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000, part: int = PART) -> DataFrame:
+def assemble_stream(deltas: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000) -> DataFrame:
     """Text deltas (conv_id, item_id, seq, delta, done, ts) to complete items, emitted when their last delta is in.
 
-    The delta marked `done` tells how many there are (seq from 0). Of a very long item every `part` deltas in
-    unbroken order are emitted ahead as a row with status `part`. An item that stays silent longer than `idle` of
-    event time is emitted with status `abandoned`. So the state of an item is bounded, and none stays for ever.
+    The delta marked `done` tells how many there are (seq from 0). An item is abandoned, with the text that is there, once the
+    watermark has passed its newest event by `idle`. Until then its state is its text, as deltas in unbroken order are joined
+    when they come, and the deltas that wait for an earlier one. So no item stays for ever, and an item is one row.
     """
-    columns = ["conv_id", "item_id", "part_no", "text", "n_deltas", "status"]
+    columns = ["conv_id", "item_id", "text", "n_deltas", "status"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seqs, texts, start, last, number = state.get if state.exists else ([], [], 0, -1, 0)
-        waiting = dict(zip(seqs, texts))
-
-        def taken(chosen: list[int], status: str) -> pd.DataFrame:
-            text = "".join(waiting.pop(seq) for seq in chosen)
-            return pd.DataFrame([(*key, number, text, len(chosen), status)], columns=columns)
-
+        text, following, seqs, texts, last, newest = state.get if state.exists else ("", 0, [], [], -1, 0)
+        waiting, joined = dict(zip(seqs, texts)), [text]
         for batch in [] if state.hasTimedOut else batches:
-            waiting.update(zip(batch["seq"].astype(int).tolist(), batch["delta"].tolist()))
-            done = batch.loc[batch["done"], "seq"]
-            last = int(done.max()) if len(done) else last
-            while len(waiting) > part and all(seq in waiting for seq in range(start, start + part)):
-                yield taken(list(range(start, start + part)), "part")
-                start, number = start + part, number + 1
-        complete = last >= 0 and len(waiting) == last + 1 - start
+            waiting.update(
+                (seq, delta) for seq, delta in zip(batch["seq"].astype(int), batch["delta"]) if seq >= following
+            )
+            done = batch.loc[batch["done"].fillna(False).astype(bool), "seq"]
+            last = max(last, int(done.max())) if len(done) else last
+            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
+        while following in waiting:
+            joined.append(waiting.pop(following) or "")
+            following += 1
+        complete = 0 <= last < following
         if complete or state.hasTimedOut:
             if state.exists:
                 state.remove()
-            yield taken(sorted(waiting), "done" if complete else "abandoned")
+            joined += [waiting[seq] or "" for seq in sorted(waiting)]
+            status = "done" if complete else "abandoned"
+            yield pd.DataFrame([(*key, "".join(joined), following + len(waiting), status)], columns=columns)
             return
-        state.update((list(waiting), list(waiting.values()), start, last, number))
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + idle_ms)
+        state.update(("".join(joined), following, list(waiting), list(waiting.values()), last, newest))
+        state.setTimeoutTimestamp(max(newest + idle_ms, state.getCurrentWatermarkMs() + 1))
 
     return (
         deltas.withWatermark("ts", idle)
@@ -92,7 +93,7 @@ def sync_changes(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = [c for c in batch.columns if not c.startswith("_")]
+        columns = [c for c in batch.columns if c not in FEED_COLUMNS]
         base = (
             batch.select(*columns).filter(F.lit(False))
             if latest_version(spark, root) is None

@@ -54,21 +54,28 @@ def folded(df):
 @pytest.mark.parametrize("seed,block", [(1, 1_024), (2, 1), (3, 3), (4, 7)])
 def test_runs_equal_a_walk(spark, seed, block):
     chat = random_chat(seed)
-    merged = ops.merge_assistant_runs(spark.createDataFrame(chat, CHAT).repartition(3), block, 1_000)
-    assert merged.filter("part_no > 0").count() == 0
+    merged = ops.merge_assistant_runs(spark.createDataFrame(chat, CHAT).repartition(3), block)
     assert folded(merged) == sequential(chat)
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_parts_of_long_runs_fold_to_the_whole(spark, seed):
-    chat = random_chat(seed)
-    merged = ops.merge_assistant_runs(spark.createDataFrame(chat, CHAT), 2, 2)
-    assert merged.filter("part_no > 0").count() > 0
-    assert merged.agg(F.max("n_messages")).first()[0] <= 4
-    again = [(r.conv_id, r.seq, r.role, r.content, r.call_id, [tuple(c) for c in r.tool_calls or []]) for r in merged.collect()]
-    walked = {(m[0], m[1]): m for m in sequential(chat)}
-    refolded = sequential(again)
-    assert [(m[0], m[1], m[2], m[4:]) for m in refolded] == [(m[0], m[1], m[2], m[4:]) for m in sorted(walked.values())]
+@pytest.mark.parametrize("start", [0, 3])
+def test_a_run_over_many_blocks_is_one_message(spark, start):
+    chat = [(1, start + n, "assistant", f"t{n}", None, []) for n in range(40)]
+    merged = ops.merge_assistant_runs(spark.createDataFrame(chat, CHAT), 4).collect()
+    assert [(r.n_messages, r.content) for r in merged] == [(40, "\n".join(f"t{n}" for n in range(40)))]
+
+
+def test_a_single_message_is_left_as_it_is(spark):
+    chat = [(1, 0, "assistant", "a", None, []), (1, 1, "user", "b", None, None), (1, 2, "assistant", "", None, None)]
+    merged = ops.merge_assistant_runs(spark.createDataFrame(chat, CHAT), 2)
+    assert rows(merged, "seq", "content", "tool_calls") == [(0, "a", []), (1, "b", None), (2, "", None)]
+
+
+def test_a_missing_call_id_is_an_id(spark):
+    schema = "conv_id BIGINT, seq BIGINT, type STRING, call_id STRING"
+    items = [(1, 0, "function_call", None), (1, 1, "function_call_output", None), (2, 0, "function_call", None), (2, 1, "function_call", "")]
+    items += [(2, 2, "function_call_output", "=")]
+    assert rows(ops.pending_calls(spark.createDataFrame(items, schema)), "conv_id", "seq") == [(2, 0), (2, 1)]
 
 
 @pytest.mark.parametrize("block", [1, 4, 1_024])
@@ -191,13 +198,10 @@ def test_deltas(spark):
     words = [(1, 1, i, f"{i} ") for i in range(25)] + [(1, 2, 0, "x")]
     df = spark.createDataFrame(words, "conv_id BIGINT, item_id BIGINT, seq BIGINT, delta STRING").repartition(3)
     assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 5)) == [
-        (1, 1, 0, "".join(f"{i} " for i in range(25)), 25),
-        (1, 2, 0, "x", 1),
-    ]
-    assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 4).filter("item_id = 1"), "part_no", "text") == [
-        (0, "".join(f"{i} " for i in range(16))),
-        (1, "".join(f"{i} " for i in range(16, 25))),
+        (1, 1, "".join(f"{i} " for i in range(25)), 25),
+        (1, 2, "x", 1),
     ]
+    assert rows(ops.assemble_deltas(df, ["conv_id", "item_id"], 2)) == rows(ops.assemble_deltas(df, ["conv_id", "item_id"]))
 
 
 def test_requests_and_replies(spark):
