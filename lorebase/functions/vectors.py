@@ -19,18 +19,23 @@ def _bucket(token: Column, dim: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
 
 
+def buckets(text: Column, dim: int = DIM) -> Column:
+    """The bucket of every word of a text."""
+    return F.transform(tokens(F.coalesce(text, F.lit(""))), lambda token: _bucket(token, dim))
+
+
+def unit_counts(found: Column, dim: int = DIM) -> Column:
+    """Counts per bucket scaled to length 1; `found` should be a column, as it is read once per bucket."""
+    return unit(F.array(*[F.size(found) - F.size(F.array_remove(found, b)) for b in range(dim)]), dim)
+
+
 def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim: int = DIM) -> DataFrame:
-    """Default embedding: hashed term counts scaled to length 1, one row per `ids`, as ARRAY<DOUBLE>.
+    """Default embedding: hashed term counts scaled to length 1, one row per row of `df`, as ARRAY<DOUBLE>.
 
-    Counts are summed before the shuffle, which then carries one row of `dim` numbers per text. A text without
-    words gets the zero vector.
+    Worked out within the row, without a shuffle. A text without words, null included, gets the zero vector.
     """
-    hashed = df.select(*ids, F.explode_outer(tokens(F.col(text))).alias("_token")).select(
-        *ids, _bucket(F.col("_token"), dim).alias("_bucket")
-    )
-    counts = hashed.groupBy(*ids).agg(*[F.count(F.when(F.col("_bucket") == b, b)).alias(f"_c{b}") for b in range(dim)])
-    listed = counts.select(*ids, F.array(*[f"_c{b}" for b in range(dim)]).alias("_counts"))
-    return listed.select(*ids, unit(F.col("_counts"), dim).alias(out))
+    hashed = df.select(*ids, buckets(F.col(text), dim).alias("_buckets"))
+    return hashed.select(*ids, unit_counts(F.col("_buckets"), dim).alias(out))
 
 
 def unit(vector: Column, dim: int = DIM) -> Column:

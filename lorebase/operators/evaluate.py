@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import tokens
-from lorebase.functions.vectors import dot, embed
+from lorebase.functions.vectors import buckets, dot, unit_counts
 from lorebase.operators.skew import HOT_ROWS, split_join
 
 # Words an answer must not contain.
@@ -23,22 +23,11 @@ def answered_questions(chat: DataFrame) -> DataFrame:
     return asked.join(replies, ["conv_id", "seq"])
 
 
-def relevance(pairs: DataFrame, ids: list[str]) -> DataFrame:
-    """(ids, relevance): cosine of question and answer, both embedded in one pass."""
-    sides = pairs.select(
-        *ids,
-        F.explode(
-            F.array(
-                F.struct(F.lit("q").alias("side"), F.col("question").alias("text")),
-                F.struct(F.lit("a").alias("side"), F.col("answer").alias("text")),
-            )
-        ).alias("_s"),
-    ).select(*ids, "_s.*")
-    both = embed(sides, [*ids, "side"], "text").groupBy(*ids).agg(
-        F.max(F.when(F.col("side") == "q", F.col("embedding"))).alias("_q"),
-        F.max(F.when(F.col("side") == "a", F.col("embedding"))).alias("_a"),
-    )
-    return both.select(*ids, F.round(dot(F.col("_q"), F.col("_a")), 6).alias("relevance"))
+def relevance(pairs: DataFrame) -> DataFrame:
+    """Adds `relevance`: the cosine of question and answer."""
+    hashed = pairs.withColumns({"_q": buckets(F.col("question")), "_a": buckets(F.col("answer"))})
+    cosine = dot(unit_counts(F.col("_q")), unit_counts(F.col("_a")))
+    return hashed.withColumn("relevance", F.round(cosine, 6)).drop("_q", "_a")
 
 
 def safe(answer: Column) -> Column:
@@ -54,11 +43,14 @@ def grounded(answer: Column, context: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(shared, F.size(words)), 6), F.lit(0.0))
 
 
-def scores(pairs: DataFrame, ids: list[str]) -> DataFrame:
-    """One row per answer and scorer: (ids, scorer, score)."""
-    wide = pairs.select(
-        *ids, safe(F.col("answer")).alias("safety"), grounded(F.col("answer"), F.col("question")).alias("groundedness")
-    ).join(relevance(pairs, ids), ids)
+def scores(pairs: DataFrame, ids: list[str], context: str = "question") -> DataFrame:
+    """One row per answer and scorer: (ids, scorer, score). An answer should be grounded in the column `context`."""
+    wide = relevance(pairs).select(
+        *ids,
+        "relevance",
+        safe(F.col("answer")).alias("safety"),
+        grounded(F.col("answer"), F.col(context)).alias("groundedness"),
+    )
     return wide.unpivot(ids, SCORERS, "scorer", "score")
 
 

@@ -1,8 +1,8 @@
 """Vector search: exact and by cells, many queries at once.
 
-The vectors are scanned where they lie; each task keeps the best k per query and emits only those. Queries travel
-to the tasks in blocks whose size is fixed; more queries mean more blocks, so neither the driver nor a task ever
-holds more than one block of them at its bound.
+The vectors are scanned where they lie; each task keeps the best k per query and emits only those. Queries are written to
+the shared folder in blocks whose size is fixed, and a task reads the one block that it works on; more queries mean more
+blocks and more scans. So no query passes through the driver, nothing is broadcast, and a task holds one block at a time.
 """
 
 from __future__ import annotations
@@ -12,147 +12,185 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from lorebase.functions.vectors import BITS, DIM, sign_cell, sign_plane, unit
 from lorebase.operators.skew import HOT_ROWS, split_join
-from lorebase.session import stored
+from lorebase.session import fresh_path, stored
 
 QUERY_BYTES = 16 << 20
 SCORES = 4 << 20
-TASKS_PER_CORE = 4
+VECTOR_ID = ("vec_id",)
 
 
-def _first_k(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> np.ndarray:
+def finite(vector: Column) -> Column:
+    """Whether a vector is there and none of its numbers is null, NaN or infinite."""
+    return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+
+
+def unusable(vectors: DataFrame) -> DataFrame:
+    """Vectors that no search looks at, because they are null or hold a number that is not finite."""
+    return vectors.filter(~finite(F.col("embedding")))
+
+
+def _first_k(query: np.ndarray, score: np.ndarray, idents: list[np.ndarray], k: int) -> np.ndarray:
     """Index of the k best rows of every query, best first, equal scores by id."""
-    order = np.lexsort((ident, -score, query))
+    order = np.lexsort((*idents[::-1], -score, query))
     sorted_query = query[order]
     starts = np.flatnonzero(np.r_[True, sorted_query[1:] != sorted_query[:-1]])
     rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
     return order[rank < k]
 
 
-def _candidates(scores: np.ndarray, floor: np.ndarray, worst: np.ndarray, idents: np.ndarray, k: int):
+def _candidates(scores: np.ndarray, floor: np.ndarray, k: int):
     """(query, vector, score) of a slice that may still be among the best k.
 
-    A query that has k hits takes only scores above its lowest, or equal ones of a smaller id; one that has not
-    takes the best k of the slice. Only the few scores near the limit are rounded.
+    A query that has k hits takes only scores from its lowest on; one that has not takes the best k of the slice and
+    what equals them. Only the few scores near the limit are rounded.
     """
     open_rows = np.flatnonzero(np.isneginf(floor))
     if len(open_rows) and scores.shape[1] > k:
-        floor, worst = floor.copy(), worst.copy()
+        floor = floor.copy()
         floor[open_rows] = np.round(np.partition(scores[open_rows], -k, axis=1)[:, -k], 6)
-        worst[open_rows] = np.iinfo(np.int64).max
     query, vector = np.nonzero(scores >= (floor - 1e-6)[:, None])
     score = np.round(scores[query, vector], 6)
-    limit = floor[query]
-    taken = (score > limit) | ((score == limit) & (idents[vector] < worst[query]))
+    taken = score >= floor[query]
     return query[taken], vector[taken], score[taken]
 
 
-def _scan(block, k: int):
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix, straight from the flat numbers of the batch."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError("vectors of different lengths")
+    numbers = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return numbers.reshape(len(lengths), -1)
+
+
+def _block(path: str, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """One block of the stored queries: (ids, matrix)."""
+    filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
+    table = ds.dataset(f"{name}/block={number}", filesystem=filesystem, format="parquet").to_table().combine_chunks()
+    if not table.num_rows:
+        return np.empty(0, dtype=np.int64), np.empty((0, 0))
+    return table["query_id"].to_numpy(), _matrix(table["embedding"].chunk(0))
+
+
+def _scan(path: str, number: int, ids: list[str], k: int, probe: Callable[[np.ndarray], np.ndarray] | None):
     """Partition function: best k of the partition's vectors for each query of the block."""
 
-    def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix, probes = block.value
-        every = np.arange(len(ids))
-        best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), np.empty(0, dtype=np.int64)
-        floor, worst = np.full(len(ids), -np.inf), np.full(len(ids), np.iinfo(np.int64).max)
-        step = max(16, SCORES // len(ids))
-        for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start : start + step]
-                vectors = _matrix(part["embedding"])
-                idents = part["vec_id"].to_numpy(dtype=np.int64)
-                found_q, found_s, found_i = [best_q], [best_s], [best_i]
-                owner = np.zeros(len(part), dtype=int) if probes is None else part["cell"].to_numpy()
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, matrix = _block(path, number)
+        probes = None if probe is None else probe(matrix)
+        every = np.arange(len(queries))
+        best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), [np.empty(0, dtype=np.int64) for _ in ids]
+        floor = np.full(len(queries), -np.inf)
+        step = max(16, SCORES // max(1, len(queries)))
+        for batch in batches if len(queries) else ():
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                vectors = _matrix(part.column("embedding"))
+                idents = [part.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ids]
+                found_q, found_s, found_i = [best_q], [best_s], [[one] for one in best_i]
+                owner = np.zeros(len(vectors), dtype=int) if probes is None else part.column("cell").to_numpy()
                 for cell in np.unique(owner):
                     asking = every if probes is None else np.flatnonzero(probes[:, cell])
                     if not len(asking):
                         continue
                     members = owner == cell
-                    scores = (matrix if len(asking) == len(ids) else matrix[asking]) @ vectors[members].T
-                    q, v, s = _candidates(scores, floor[asking], worst[asking], idents[members], k)
+                    scores = (matrix if len(asking) == len(queries) else matrix[asking]) @ vectors[members].T
+                    q, v, s = _candidates(scores, floor[asking], k)
                     found_q.append(asking[q])
                     found_s.append(s)
-                    found_i.append(idents[members][v])
-                q, s, i = np.concatenate(found_q), np.concatenate(found_s), np.concatenate(found_i)
+                    for held, one in zip(found_i, idents):
+                        held.append(one[members][v])
+                q, s, i = np.concatenate(found_q), np.concatenate(found_s), [np.concatenate(held) for held in found_i]
                 if len(q) == len(best_q):
                     continue
                 kept = _first_k(q, s, i, k)
-                best_q, best_s, best_i = q[kept], s[kept], i[kept]
+                best_q, best_s, best_i = q[kept], s[kept], [one[kept] for one in i]
                 # The hits are in order of query and rank: where there are k, the last one sets the limit.
                 ends = np.flatnonzero(np.r_[best_q[1:] != best_q[:-1], True])
                 ends = ends[np.diff(np.r_[-1, ends]) == k]
-                floor[best_q[ends]], worst[best_q[ends]] = best_s[ends], best_i[ends]
+                floor[best_q[ends]] = best_s[ends]
         if len(best_q):
-            yield pd.DataFrame({"query_id": ids[best_q], "vec_id": best_i, "score": best_s})
+            yield pa.record_batch([queries[best_q], *best_i, best_s], names=["query_id", *ids, "score"])
 
     return job
 
 
-def _blocks(queries: DataFrame, cells: int, block_rows: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The queries in blocks of about QUERY_BYTES, as (ids, matrix). They are worked out and stored once."""
-    kept = stored(queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull()), "queries")
+def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, str, int]:
+    """The usable queries, worked out once and written in blocks of about QUERY_BYTES: (queries, folder, blocks)."""
+    kept = stored(queries.select(F.col("query_id").cast("long"), "embedding").filter(finite(F.col("embedding"))), "queries")
     total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     n = -(-total // (block_rows or max(1, QUERY_BYTES // max(8 * dim, cells))))
-    dealt = kept.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(max(n, 1))))
-    for number in range(n):
-        rows = dealt.filter(F.col("_block") == number).select("query_id", "embedding").toPandas()
-        if len(rows):
-            yield rows["query_id"].to_numpy(dtype=np.int64), _matrix(rows["embedding"])
-
+    path = fresh_path(queries.sparkSession, "query-blocks")
+    if n:
+        dealt = kept.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n)))
+        dealt.repartition("block").write.partitionBy("block").parquet(path)
+    return kept, path, n
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
-
-def _ranked(hits: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+def _ranked(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), *ids)
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", *ids, "score")
     )
 
 
+def _probed(queries: DataFrame, probe: Callable[[np.ndarray], np.ndarray]) -> list[int]:
+    """The cells that any query looks into: at most as many numbers as there are cells."""
+
+    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                looked = np.flatnonzero(probe(_matrix(batch.column("embedding"))).any(axis=0))
+                yield pa.record_batch([looked.astype(np.int32)], names=["cell"])
+
+    return sorted(row.cell for row in queries.select("embedding").mapInArrow(cells_of, "cell INT").distinct().collect())
+
+
 def _search(
     vectors: DataFrame,
     queries: DataFrame,
     k: int,
     block_rows: int | None,
+    ids: tuple[str, ...] = VECTOR_ID,
     cells: int = 0,
     probe: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> DataFrame:
     """Best k per query. `probe` maps a block's matrix to a table (query, cell) of what each query looks into."""
-    spark: SparkSession = vectors.sparkSession
-    found = []
-    for ids, matrix in _blocks(queries, cells, block_rows):
-        if probe is None:
-            scanned, probes = vectors.select("vec_id", "embedding"), None
-        else:
-            # Only the cells some query of the block probes are read; on a stored index this prunes folders.
-            scanned, probes = vectors.select("vec_id", "embedding", "cell"), probe(matrix)
-            if not probes.any(axis=0).all():
-                scanned = scanned.filter(F.col("cell").isin(np.flatnonzero(probes.any(axis=0)).tolist()))
-        # Each task emits k rows per query, so there should not be many more tasks than cores.
-        present = scanned.filter(F.col("embedding").isNotNull())
-        scanned = present.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
-        block = spark.sparkContext.broadcast((ids, matrix, probes))
-        found.append(scanned.mapInPandas(_scan(block, k), "query_id BIGINT, vec_id BIGINT, score DOUBLE"))
+    names = list(ids)
+    asked, path, n = _stored_queries(queries, cells, block_rows)
+    present = vectors.filter(finite(F.col("embedding")))
+    scanned = present.select(*names, "embedding") if probe is None else present.select(*names, "embedding", "cell")
+    if probe is not None and n:
+        # Only the cells some query probes are read; on a stored index this prunes folders.
+        looked = _probed(asked, probe)
+        scanned = scanned.filter(F.col("cell").isin(looked)) if len(looked) < cells else scanned
+    fields = f"query_id BIGINT, {', '.join(f'{name} BIGINT' for name in names)}, score DOUBLE"
+    found = [scanned.mapInArrow(_scan(path, number, names, k, probe), fields) for number in range(n)]
     if not found:
-        return spark.createDataFrame([], "query_id BIGINT, rank INT, vec_id BIGINT, score DOUBLE")
-    return _ranked(reduce(DataFrame.unionByName, found), k)
+        return _ranked(vectors.sparkSession.createDataFrame([], fields), names, k)
+    return _ranked(reduce(DataFrame.unionByName, found), names, k)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int | None = None) -> DataFrame:
-    """Exact search: (query_id, rank, vec_id, score), the k vectors of highest inner product per query.
+def top_k(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int | None = None, ids: tuple[str, ...] = VECTOR_ID
+) -> DataFrame:
+    """Exact search: (query_id, rank, ids, score), the k vectors of highest inner product per query.
 
-    `vectors` has vec_id and embedding, `queries` query_id (once each) and embedding. Scores are rounded to 6 digits,
-    equal scores are ordered by vec_id.
+    `vectors` has the whole numbers `ids`, which together occur once, and embedding, `queries` query_id (once each) and
+    embedding. Scores are rounded to 6 digits, equal scores are ordered by the ids. Vectors and queries that are null or
+    not finite are left out (`unusable` lists them).
     """
-    return _search(vectors, queries, k, block_rows)
+    return _search(vectors, queries, k, block_rows, ids)
 
 
 def with_cells(vectors: DataFrame, bits: int = BITS) -> DataFrame:
@@ -173,7 +211,7 @@ def ann_top_k(
         own = ((matrix @ planes.T >= 0) << np.arange(bits)).sum(axis=1)
         return np.bitwise_count(own[:, None] ^ np.arange(1 << bits)[None, :]) <= within
 
-    return _search(index, queries, k, block_rows, 1 << bits, probe)
+    return _search(index, queries, k, block_rows, VECTOR_ID, 1 << bits, probe)
 
 
 def fit_centroids(vectors: DataFrame, cells: int = 64, seed: int = 1, rounds: int = 10) -> np.ndarray:
@@ -193,7 +231,8 @@ def with_centroid_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
 
     @F.pandas_udf("int")
     def nearest(batch: pd.Series) -> pd.Series:
-        return pd.Series(np.argmax(_matrix(batch) @ near.value.T, axis=1).astype(np.int32))
+        vectors = _matrix(pa.array(batch))
+        return pd.Series(np.argmax(vectors @ near.value.T, axis=1).astype(np.int32))
 
     return vectors.withColumn("cell", nearest("embedding"))
 
@@ -209,7 +248,7 @@ def centroid_top_k(
         np.put_along_axis(looked, np.argsort(-scores, axis=1, kind="stable")[:, :probes], True, axis=1)
         return looked
 
-    return _search(index, queries, k, block_rows, len(centroids), probe)
+    return _search(index, queries, k, block_rows, VECTOR_ID, len(centroids), probe)
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -217,6 +256,11 @@ def write_index(index: DataFrame, path: str) -> None:
     index.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """A stored index; a filter on `cell` reads only the folders of those cells."""
+    return spark.read.parquet(path)
+
+
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     """One row: exact hits, how many of them the approximate search found, and their share."""
     hits = approximate.select("query_id", "vec_id", F.lit(1).alias("_hit"))

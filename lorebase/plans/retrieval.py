@@ -10,14 +10,13 @@ from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
 from lorebase.plans.roles import TOOLS
-from lorebase.session import stored
+from lorebase.session import fresh_path, stored
 from lorebase.sources.readers import read_table, read_texts
 
-# A chunk's vector id packs its document and its number; a text of 2 GB has fewer than 2^23 chunks.
-CHUNK_BITS = 23
-CHUNKS_PER_DOC = 1 << CHUNK_BITS
 CONTEXT_CHUNKS = 3
-ANN_BITS, ANN_WITHIN = 6, 2
+ANN_BITS, ANN_WITHIN = 8, 2
+#: What the search over 8 of 32 clusters finds at least.
+CENTROID_RECALL = 0.6
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,9 +55,11 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search over a stored index of sign cells, of which only the probed ones are read."""
     known = _vectors(spark, sf)
-    index = search.with_cells(known, ANN_BITS)
-    return search.ann_top_k(index, search.label_queries(known), 10, ANN_WITHIN, ANN_BITS)
+    path = fresh_path(spark, "index")
+    search.write_index(search.with_cells(known.select("vec_id", "embedding"), ANN_BITS), path)
+    return search.ann_top_k(search.read_index(spark, path), search.label_queries(known), 10, ANN_WITHIN, ANN_BITS)
 
 
 def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,12 +67,14 @@ def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def centroid_recall(spark: SparkSession, sf: str) -> DataFrame:
-    """The share of the exact hits that a search over 8 of 32 clusters finds."""
+    """Whether a search over 8 of 32 stored clusters finds the share of the exact hits that it should."""
     known = _vectors(spark, sf)
     centroids = search.fit_centroids(known, 32)
-    index = search.with_centroid_cells(known, centroids)
-    found = search.centroid_top_k(index, search.label_queries(known), centroids, 10, 8)
-    return search.recall(vector_topk(spark, sf), found)
+    path = fresh_path(spark, "index")
+    search.write_index(search.with_centroid_cells(known.select("vec_id", "embedding"), centroids), path)
+    found = search.centroid_top_k(search.read_index(spark, path), search.label_queries(known), centroids, 10, 8)
+    reached = (F.col("recall") >= CENTROID_RECALL).alias("reached")
+    return search.recall(vector_topk(spark, sf), found).select("expected", reached)
 
 
 def retrieval_relevance(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,15 +94,8 @@ def retrieval_safety(spark: SparkSession, sf: str) -> DataFrame:
 def search_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The chunks most like each question: (query_id, rank, doc_id, chunk_no, score)."""
     chunks = vectors.embed(chunk_fixed(spark, sf), ["doc_id", "chunk_no"], "chunk")
-    numbered = chunks.select((F.col("doc_id") * CHUNKS_PER_DOC + F.col("chunk_no")).alias("vec_id"), "embedding")
-    hits = search.top_k(numbered, roles.question_vectors(spark, sf), CONTEXT_CHUNKS)
-    return hits.select(
-        "query_id",
-        "rank",
-        F.shiftright("vec_id", CHUNK_BITS).alias("doc_id"),
-        F.pmod("vec_id", F.lit(CHUNKS_PER_DOC)).cast("int").alias("chunk_no"),
-        "score",
-    )
+    hits = search.top_k(chunks, roles.question_vectors(spark, sf), CONTEXT_CHUNKS, ids=("doc_id", "chunk_no"))
+    return hits.withColumn("chunk_no", F.col("chunk_no").cast("int"))
 
 
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,13 +215,14 @@ DOC_SCORES = f"""
     GROUP BY 1, 2"""
 DOC_HITS = best(DOC_SCORES, "item_id", "doc_id", 5)
 CHUNK_SCORES = f"""
-    SELECT item_id, vec_id, round(sum(q.weight * d.weight), 6) AS score
+    SELECT item_id, vec_id.doc_id AS doc_id, vec_id.chunk_no AS chunk_no, round(sum(q.weight * d.weight), 6) AS score
     FROM ({ITEMS}) q
-    JOIN ({embedded(f"SELECT doc_id * {CHUNKS_PER_DOC} + chunk_no AS vec_id, chunk AS text FROM ({CHUNKS})", "vec_id")}) d USING (bucket)
-    GROUP BY 1, 2"""
+    JOIN ({embedded(f"SELECT struct_pack(doc_id := doc_id, chunk_no := chunk_no) AS vec_id, chunk AS text FROM ({CHUNKS})", "vec_id")}) d
+    USING (bucket) GROUP BY 1, 2, 3"""
 CHUNK_HITS = f"""
-    SELECT query_id, rank, vec_id // {CHUNKS_PER_DOC} AS doc_id, CAST(vec_id % {CHUNKS_PER_DOC} AS INT) AS chunk_no, score
-    FROM ({best(CHUNK_SCORES, "item_id", "vec_id", CONTEXT_CHUNKS)})"""
+    SELECT item_id AS query_id, CAST(n AS INT) AS rank, doc_id, chunk_no, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_no) AS n FROM ({CHUNK_SCORES}))
+    WHERE n <= {CONTEXT_CHUNKS}"""
 PAIRS = f"""
     SELECT q.conv_id, q.seq, q.content AS question, a.content AS answer
     FROM ({CHAT}) q JOIN ({CHAT}) a ON a.conv_id = q.conv_id AND a.seq = q.seq + 1
@@ -270,6 +267,7 @@ ORACLES = {
     "ann_topk": ANN,
     "ann_recall": f"SELECT count(*) AS expected, count(a.vec_id) AS found, round(count(a.vec_id) / count(*), 6) AS recall "
     f"FROM ({TOPK}) e LEFT JOIN ({ANN}) a ON a.query_id = e.query_id AND a.vec_id = e.vec_id",
+    "centroid_recall": f"SELECT count(*) AS expected, true AS reached FROM ({TOPK})",
     "retrieval_relevance": f"SELECT query_id, count(*) AS hits, round(count(*) FILTER (label = query_id) / count(*), 6) AS relevance "
     f"FROM ({TOPK}) JOIN embeddings USING (vec_id) GROUP BY 1",
     "search_documents": DOC_HITS,

@@ -8,6 +8,7 @@ unfinished folder.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -90,10 +91,23 @@ def publish_catalog(df: DataFrame, table: str, keys: list[str] | None = None, bu
     writer.saveAsTable(table)
 
 
-def _fingerprint(columns: list[str]) -> list[Column]:
-    """128 bits over all columns. Null flags are hashed too, because the hash passes over nulls."""
-    parts = [*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns]]
-    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+def _fingerprint(columns: list[str]) -> Column:
+    """128 bits over all columns. The text form tells nulls from everything else, at any depth."""
+    exact = {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    return F.md5(F.to_json(F.struct(*columns), exact))
+
+
+def _named(key: list[str], name: str) -> list[Column]:
+    return [F.col(k).alias(f"{name}{place}") for place, k in enumerate(key)]
+
+
+def _same(key: list[str], one: str, other: str) -> Column:
+    """The keys are equal; a null key is a key like any other."""
+    return reduce(Column.__and__, [F.col(f"{one}{n}").eqNullSafe(F.col(f"{other}{n}")) for n in range(len(key))])
 
 
 def snapshot_changes(before: DataFrame, after: DataFrame, key: list[str], version: int) -> DataFrame:
@@ -104,19 +118,19 @@ def snapshot_changes(before: DataFrame, after: DataFrame, key: list[str], versio
     so that Spark knows how few they are when it fetches their rows.
     """
     columns = before.columns
-    low, high = _fingerprint(columns)
-    old = before.select(*key, F.struct(low, high).alias("_old"))
-    new = after.select(*key, F.struct(low, high).alias("_new"))
+    old = before.select(*_named(key, "_a"), _fingerprint(columns).alias("_old"))
+    new = after.select(*_named(key, "_b"), _fingerprint(columns).alias("_new"))
+    keys = [F.coalesce(f"_a{n}", f"_b{n}").alias(f"_c{n}") for n in range(len(key))]
     changed = stored(
-        old.join(new, key, "full_outer")
+        old.join(new, _same(key, "_a", "_b"), "full_outer")
         .filter(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select(*key, F.col("_old").isNotNull().alias("_was"), F.col("_new").isNotNull().alias("_is")),
+        .select(*keys, F.col("_old").isNotNull().alias("_was"), F.col("_new").isNotNull().alias("_is")),
         "changed",
     )
     both = F.col("_was") & F.col("_is")
 
     def rows(side: DataFrame, present: str, kind: Column) -> DataFrame:
-        return side.join(changed.filter(present), key).select(
+        return side.select("*", *_named(key, "_a")).join(changed.filter(present), _same(key, "_a", "_c")).select(
             *columns, kind.alias("_change_type"), F.lit(version).cast("long").alias("_commit_version")
         )
 
@@ -133,7 +147,8 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: list[str]) -> DataFr
         .groupBy(*key)
         .agg(F.max_by(F.struct("_change_type", *columns), "_commit_version").alias("_last"))
     )
-    kept = base.join(last.select(*key), key, "left_anti").select(*columns)
+    touched = last.select(*_named(key, "_b"))
+    kept = base.select("*", *_named(key, "_a")).join(touched, _same(key, "_a", "_b"), "left_anti").select(*columns)
     written = last.filter(F.col("_last._change_type") != "delete").select(*[F.col(f"_last.{c}").alias(c) for c in columns])
     return kept.unionByName(written)
 

@@ -112,3 +112,21 @@ def test_gate(spark):
     assert rows(publish.publish_gate(source, bad, "k")) == [(2, 3, 1, 2, False)]
     assert rows(publish.publish_gate(source, source.filter("false"), "k")) == [(2, 0, 0, 0, False)]
     assert publish.schema_matches(source, bad) and not publish.schema_matches(source, source.select("v", "k"))
+
+
+def test_changes_in_nested_nulls_and_null_keys(spark):
+    before = spark.sql("""SELECT * FROM VALUES
+        ('a', named_struct('a', 'v', 'b', CAST(NULL AS STRING)), array(1), TIMESTAMP '2024-01-01 00:00:00.000001'),
+        ('b', named_struct('a', 'v', 'b', 'w'), array(1, NULL), TIMESTAMP '2024-01-01 00:00:00'),
+        ('c', named_struct('a', 'v', 'b', 'w'), array(1), TIMESTAMP '2024-01-01 00:00:00.000001'),
+        (NULL, NULL, NULL, NULL) AS t(k, s, l, t)""")
+    after = spark.sql("""SELECT * FROM VALUES
+        ('a', named_struct('a', CAST(NULL AS STRING), 'b', 'v'), array(1), TIMESTAMP '2024-01-01 00:00:00.000001'),
+        ('b', named_struct('a', 'v', 'b', 'w'), array(1), TIMESTAMP '2024-01-01 00:00:00'),
+        ('c', named_struct('a', 'v', 'b', 'w'), array(1), TIMESTAMP '2024-01-01 00:00:00.000002') AS t(k, s, l, t)""")
+    feed = publish.snapshot_changes(before, after, ["k"], 1)
+    kinds = rows(feed, "k", "_change_type")
+    both = [(k, kind) for k in "abc" for kind in ("update_postimage", "update_preimage")]
+    assert kinds == sorted([*both, (None, "delete")], key=lambda r: [(v is None, str(v)) for v in r])
+    assert rows(publish.apply_changes(before, feed, ["k"])) == rows(after)
+    assert rows(publish.apply_changes(after, publish.snapshot_changes(after, before, ["k"], 2), ["k"])) == rows(before)

@@ -71,3 +71,9 @@ def test_scalars(spark):
     shown = spark.range(1).select(text.preview(F.lit("é" * 600)).alias("p"), text.preview(F.lit("ab")).alias("q")).first()
     assert shown.p == "é" * 500 + "..." and shown.q == "ab..."
     assert spark.range(1).select(text.tokens(F.lit("Hé, 2 x-Y_z!")).alias("t")).first().t == ["hé", "2", "x", "y", "z"]
+
+
+def test_strip_removes_unicode_white_space(spark):
+    texts = ["\u00a0a\u3000", "\u2028a b\u2028\n", "\x1ca\x1f", "\u200ba", " \t\n\x0b\x0c\r\x85"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    assert [r.s for r in df.select(text.strip(F.col("t")).alias("s")).collect()] == [t.strip() for t in texts]

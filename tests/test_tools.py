@@ -25,6 +25,13 @@ def calls(spark):
     )
 
 
+def test_only_whole_json_objects_are_arguments(spark):
+    texts = ['{"k": 1}', ' {"k": 1} ', "{'k': 1}", '{"k": 1} trailing', '{"k": 1}, {"k": 2}', '{"k": 1}] x', '{"k": 1}} x', '[1]', "", None, '{"k": 1}, "b": 2', "{}"]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n INT, arguments STRING")
+    found = dict(rows(df.select("n", F.to_json(tools.parsed_arguments(F.col("arguments"))))))
+    assert found == {n: '{"k":"1"}' if n < 2 else "{}" for n in range(len(texts))}
+
+
 def test_arguments(calls):
     args = calls.select("call_id", tools.parsed_arguments(F.col("arguments")).alias("m"))
     found = {r.call_id: r.m for r in args.collect()}

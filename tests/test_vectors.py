@@ -130,6 +130,25 @@ def test_search_never_joins(stored, asked):
     assert "Join" not in shown and "Cartesian" not in shown and "WindowGroupLimit" in shown
 
 
+def test_vectors_that_are_not_finite_are_left_out(spark):
+    rows_ = [(i, [float(i), 0.0]) for i in range(8)] + [(8, [float("nan"), 1.0]), (9, None), (10, [float("inf"), 0.0]), (11, [1.0, None])]
+    known = spark.createDataFrame(rows_, "vec_id BIGINT, embedding ARRAY<DOUBLE>").coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, [float("nan"), 0.0])], "query_id BIGINT, embedding ARRAY<DOUBLE>")
+    assert rows(search.top_k(known, asked, 1)) == [(1, 1, 7, 7.0)]
+    assert rows(search.unusable(known), "vec_id") == [(10,), (11,), (8,), (9,)]
+
+
+def test_ids_of_several_columns(spark):
+    known = spark.createDataFrame([(1 << 40, 3, [1.0]), (1 << 40, 1, [1.0]), (5, 9, [1.0]), (4, 0, [0.5])], "a BIGINT, b INT, embedding ARRAY<DOUBLE>")
+    asked = spark.createDataFrame([(1, [1.0])], "query_id BIGINT, embedding ARRAY<DOUBLE>")
+    assert rows(search.top_k(known, asked, 2, ids=("a", "b")), "rank", "a", "b") == [(1, 5, 9), (2, 1 << 40, 1)]
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "id BIGINT, t STRING")
+    assert vectors.embed(df, ["id"], "t").count() == 3
+
+
 def test_embedding(spark):
     texts = ["", "a b a", "Été, été!", "x" * 50]
     df = spark.createDataFrame(list(enumerate(texts)), "id BIGINT, t STRING")
