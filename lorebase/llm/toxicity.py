@@ -33,7 +33,7 @@ WORD = re.compile(r"\w+")
 FEATURES = 1 << 20
 #: Lengths of the word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 5, 6, 7)
-MAX_LABELLED = 10_000
+MAX_LABELLED = 5_000
 #: A feature is used if it occurs in so many texts; the most telling ones are kept.
 LEAST_TEXTS, MAX_FEATURES = 3, 2048
 #: Numbers of telling words from which the second and third grade of a toxic text start.
@@ -55,7 +55,7 @@ def words_of(text: str | None) -> set[str]:
 
 
 def feature_list(text: str | None) -> np.ndarray:
-    return np.sort(np.array([f for word in words_of(text) for f in features_of(word)], dtype=np.int64))
+    return np.sort(np.array([f for word in words_of(text) for f in features_of(word)], dtype=np.int32))
 
 
 class OrdinalModel:
@@ -104,7 +104,7 @@ def distinct_rows(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.n
     """One of each group of near copies: those with the same label and the same three smallest mixed features."""
     seen, chosen = set(), []
     for number, row in enumerate(rows):
-        smallest = np.sort((np.unique(row) * 0x9E3779B1 + 12345) % 0x7FFFFFFF)[:3]
+        smallest = np.sort((np.unique(row).astype(np.int64) * 0x9E3779B1 + 12345) % 0x7FFFFFFF)[:3]
         name = (int(labels[number]), *smallest.tolist())
         if name not in seen:
             seen.add(name)
@@ -172,7 +172,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ridge: float = 2e-3, steps:
 
 
 def features_step(batches: Batches) -> Batches:
-    schema = pa.schema([("labelled", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int64()))])
+    schema = pa.schema([("labelled", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32()))])
 
     def rows() -> Iterator[tuple]:
         for labelled, label, text in rows_of(batches):
@@ -184,10 +184,13 @@ def features_step(batches: Batches) -> Batches:
 def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> OrdinalModel | None:
     """The model fitted on at most MAX_LABELLED labelled documents."""
     sample = labelled_texts(docs, labelled_ids(labels, key, label, MAX_LABELLED), key, text)
-    found = map_batches(sample, "labelled BIGINT, label INT, features ARRAY<BIGINT>", features_step)
+    found = map_batches(sample, "labelled BIGINT, label INT, features ARRAY<INT>", features_step)
     # Rows that share an id: one of them.
-    rows = found.groupBy("labelled").agg(F.min(F.struct("label", "features")).alias("one")).orderBy("labelled").collect()
-    return fit([np.array(r.one.features, dtype=np.int64) for r in rows], np.array([r.one.label for r in rows], dtype=np.int64))
+    one = found.groupBy("labelled").agg(F.min(F.struct("label", "features")).alias("one")).select("labelled", "one.*")
+    table = one.toArrow().sort_by("labelled").combine_chunks()
+    lists = table["features"].combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(np.r_[0, lists.value_lengths().to_numpy(zero_copy_only=False)]).tolist()
+    return fit([flat[a:b] for a, b in zip(ends, ends[1:])], table["label"].to_numpy())
 
 
 def scored(docs: DataFrame, model: OrdinalModel | None, key: str = "doc_id", text: str = "text", reject: float = REJECT) -> DataFrame:
