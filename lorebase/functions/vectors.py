@@ -24,9 +24,12 @@ def buckets(text: Column, dim: int = DIM) -> Column:
     return F.transform(tokens(F.coalesce(text, F.lit(""))), lambda token: _bucket(token, dim))
 
 
-def unit_counts(found: Column, dim: int = DIM) -> Column:
-    """Counts per bucket scaled to length 1; `found` should be a column, as it is read once per bucket."""
-    return unit(F.array(*[F.size(found) - F.size(F.array_remove(found, b)) for b in range(dim)]), dim)
+def counts(found: Column, dim: int = DIM) -> Column:
+    """How many words are in each bucket; `found` should be a column, as it is read once per bucket.
+
+    A transform rather than an array of `dim` expressions: that many of them make a method too long to be compiled.
+    """
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.size(found) - F.size(F.array_remove(found, b)))
 
 
 def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim: int = DIM) -> DataFrame:
@@ -35,7 +38,8 @@ def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim:
     Worked out within the row, without a shuffle. A text without words, null included, gets the zero vector.
     """
     hashed = df.select(*ids, buckets(F.col(text), dim).alias("_buckets"))
-    return hashed.select(*ids, unit_counts(F.col("_buckets"), dim).alias(out))
+    counted = hashed.select(*ids, counts(F.col("_buckets"), dim).alias("_counts"))
+    return counted.select(*ids, unit(F.col("_counts"), dim).alias(out))
 
 
 def unit(vector: Column, dim: int = DIM) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import tokens
-from lorebase.functions.vectors import buckets, dot, unit_counts
+from lorebase.functions.vectors import buckets, counts, dot, unit
 from lorebase.operators.skew import HOT_ROWS, split_join
 
 # Words an answer must not contain.
@@ -25,9 +25,10 @@ def answered_questions(chat: DataFrame) -> DataFrame:
 
 def relevance(pairs: DataFrame) -> DataFrame:
     """Adds `relevance`: the cosine of question and answer."""
-    hashed = pairs.withColumns({"_q": buckets(F.col("question")), "_a": buckets(F.col("answer"))})
-    cosine = dot(unit_counts(F.col("_q")), unit_counts(F.col("_a")))
-    return hashed.withColumn("relevance", F.round(cosine, 6)).drop("_q", "_a")
+    vectors = pairs.withColumns({"_q": buckets(F.col("question")), "_a": buckets(F.col("answer"))})
+    for step in (counts, unit):
+        vectors = vectors.withColumns({side: step(F.col(side)) for side in ("_q", "_a")})
+    return vectors.withColumn("relevance", F.round(dot(F.col("_q"), F.col("_a")), 6)).drop("_q", "_a")
 
 
 def safe(answer: Column) -> Column:

@@ -227,14 +227,15 @@ def resolve_session(requests: DataFrame) -> DataFrame:
 
 
 def session_rollup(messages: DataFrame) -> DataFrame:
-    """Messages, calls, outputs and other items per session, with the first and last time."""
+    """Messages, calls, outputs, errors and other items per session, with the first and last time."""
     kind = F.col("type")
     return messages.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count_if(kind == "message").alias("messages"),
         F.count_if(kind == "function_call").alias("calls"),
         F.count_if(kind == "function_call_output").alias("outputs"),
-        F.count_if(~kind.isin("message", "function_call", "function_call_output")).alias("others"),
+        F.count_if(kind == "error").alias("errors"),
+        F.count_if(~kind.isin("message", "function_call", "function_call_output", "error")).alias("others"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     )

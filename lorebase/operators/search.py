@@ -13,6 +13,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -71,6 +72,14 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return numbers.reshape(len(lengths), -1)
 
 
+def _usable(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows with a vector of finite numbers, and these vectors."""
+    batch = batch.filter(pc.is_valid(batch.column("embedding")))
+    vectors = _matrix(batch.column("embedding"))
+    good = np.isfinite(vectors).all(axis=1)
+    return (batch, vectors) if good.all() else (batch.filter(pa.array(good)), vectors[good])
+
+
 def _block(path: str, number: int) -> tuple[np.ndarray, np.ndarray]:
     """One block of the stored queries: (ids, matrix)."""
     filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
@@ -92,8 +101,9 @@ def _scan(path: str, number: int, ids: list[str], k: int, probe: Callable[[np.nd
         step = max(16, SCORES // max(1, len(queries)))
         for batch in batches if len(queries) else ():
             for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                vectors = _matrix(part.column("embedding"))
+                part, vectors = _usable(batch.slice(start, step))
+                if not len(vectors):
+                    continue
                 idents = [part.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ids]
                 found_q, found_s, found_i = [best_q], [best_s], [[one] for one in best_i]
                 owner = np.zeros(len(vectors), dtype=int) if probes is None else part.column("cell").to_numpy()
@@ -125,7 +135,7 @@ def _scan(path: str, number: int, ids: list[str], k: int, probe: Callable[[np.nd
 
 def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, str, int]:
     """The usable queries, worked out once and written in blocks of about QUERY_BYTES: (queries, folder, blocks)."""
-    kept = stored(queries.select(F.col("query_id").cast("long"), "embedding").filter(finite(F.col("embedding"))), "queries")
+    kept = stored(queries.select(F.col("query_id").cast("long"), "embedding"), "queries").filter(finite(F.col("embedding")))
     total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     n = -(-total // (block_rows or max(1, QUERY_BYTES // max(8 * dim, cells))))
     path = fresh_path(queries.sparkSession, "query-blocks")
@@ -168,8 +178,8 @@ def _search(
     """Best k per query. `probe` maps a block's matrix to a table (query, cell) of what each query looks into."""
     names = list(ids)
     asked, path, n = _stored_queries(queries, cells, block_rows)
-    present = vectors.filter(finite(F.col("embedding")))
-    scanned = present.select(*names, "embedding") if probe is None else present.select(*names, "embedding", "cell")
+    # Tasks leave out unusable vectors: a filter here would be worked out before the vectors, and so make them twice.
+    scanned = vectors.select(*names, "embedding") if probe is None else vectors.select(*names, "embedding", "cell")
     if probe is not None and n:
         # Only the cells some query probes are read; on a stored index this prunes folders.
         looked = _probed(asked, probe)

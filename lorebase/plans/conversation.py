@@ -83,11 +83,20 @@ def resolve_session(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def session_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    items = roles.messages(spark, sf).withColumn("session_id", F.col("conv_id"))
-    rolled = ops.session_rollup(items)
-    for column in ("first_ts", "last_ts"):
-        rolled = rolled.withColumn(column, F.substring(F.col(column).cast("string"), 1, 19))
-    return rolled
+    """Items per resolved session; times as text with all their digits."""
+    rolled = ops.session_rollup(roles.session_items(spark, sf))
+    return rolled.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("first_ts", "last_ts")})
+
+
+def tool_specs(spark: SparkSession, sf: str) -> DataFrame:
+    """The function record of every call without its `strict` field, as JSON."""
+    spec = F.struct("name", F.lit(True).alias("strict"), "call_id")
+    return roles.calls(spark, sf).select("conv_id", "seq", F.to_json(tools.without_strict(spec)).alias("spec"))
+
+
+def event_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message as an event without null fields."""
+    return roles.messages(spark, sf).select("conv_id", "seq", ops.event_json("conv_id", "seq", "role").alias("event"))
 
 
 def nonempty_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,6 +204,8 @@ QUERIES = {
         iteration_budget,
         resolve_session,
         session_rollup,
+        tool_specs,
+        event_json,
         nonempty_chunks,
         done_items,
         replies,
@@ -224,7 +235,7 @@ MESSAGES = f"""
            CASE WHEN kind IN ('click', 'purchase') THEN CAST(k AS VARCHAR) END AS call_id,
            CASE WHEN kind = 'click' THEN CASE WHEN k < 40 THEN '{POLICY_TOOL}' WHEN k < 75 THEN '{HISTORY_TOOL}'
                 WHEN k < 92 THEN '{SEARCH_TOOL}' ELSE 'kb__support__close_case' END END AS name,
-           CASE WHEN kind = 'click' THEN CASE WHEN k BETWEEN 85 AND 94 THEN substring(props, 1, 3) ELSE props END END AS arguments
+           CASE WHEN kind = 'click' THEN props END AS arguments
     FROM (SELECT user_id AS conv_id, ts, event_type AS kind, props, CAST(json_extract(props, '$.k') AS INT) AS k,
                  row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS seq FROM events)"""
 SHAPED = f"""
@@ -323,6 +334,10 @@ def _registry_values() -> str:
     )
 
 
+SESSIONS = """
+        SELECT event_id, nullif(CASE event_type WHEN 'view' THEN 's' || k WHEN 'click' THEN NULL
+                 ELSE CASE WHEN k < 50 THEN 'c' || user_id WHEN k < 75 THEN '' END END, '') AS session_id
+        FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)"""
 ORACLES = {
     "items_to_messages": SHAPED,
     "role_changes": f"SELECT conv_id, seq, role, prev_role, role IS DISTINCT FROM prev_role AS changed FROM ({runs(SHAPED)})",
@@ -344,16 +359,17 @@ ORACLES = {
                CASE WHEN 2 * tool_rounds + 2 > 10 THEN 'Max iterations reached. Stopping.' END AS closing_text,
                CASE WHEN 2 * tool_rounds + 2 > 10 THEN md5(conv_id || '|' || tool_rounds) END AS closing_id
         FROM (SELECT conv_id, count(*) FILTER (n_calls > 0) AS tool_rounds FROM ({merged(SHAPED)}) GROUP BY 1)""",
-    "resolve_session": """
-        SELECT event_id, nullif(CASE event_type WHEN 'view' THEN 's' || k WHEN 'click' THEN NULL
-                 ELSE CASE WHEN k < 50 THEN 'c' || user_id WHEN k < 75 THEN '' END END, '') AS session_id
-        FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)""",
+    "resolve_session": SESSIONS,
     "session_rollup": f"""
-        SELECT conv_id AS session_id, count(*) AS items, count(*) FILTER (type = 'message') AS messages,
-               count(*) FILTER (type = 'function_call') AS calls, count(*) FILTER (type = 'function_call_output') AS outputs,
-               count(*) FILTER (type = 'reasoning') AS others,
-               strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
-        FROM ({MESSAGES}) GROUP BY 1""",
+        SELECT session_id, count(*) AS items, count(*) FILTER (event_type IN ('view', 'signup')) AS messages,
+               count(*) FILTER (event_type = 'click') AS calls, count(*) FILTER (event_type = 'purchase') AS outputs,
+               count(*) FILTER (event_type = 'error') AS errors,
+               count(*) FILTER (event_type NOT IN ('view', 'signup', 'click', 'purchase', 'error')) AS others,
+               strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts
+        FROM events JOIN ({SESSIONS}) USING (event_id) GROUP BY 1""",
+    "tool_specs": f"SELECT conv_id, seq, '{{\"name\":\"' || name || '\",\"call_id\":\"' || call_id || '\"}}' AS spec FROM ({CALLS})",
+    "event_json": f"SELECT conv_id, seq, '{{\"conv_id\":' || conv_id || ',\"seq\":' || seq || "
+    f"CASE WHEN role IS NULL THEN '' ELSE ',\"role\":\"' || role || '\"' END || '}}' AS event FROM ({MESSAGES})",
     "nonempty_chunks": "SELECT event_id, 'k' || CAST(json_extract(props, '$.k') AS INT) AS content FROM events "
     "WHERE event_type NOT IN ('error', 'signup')",
     "done_items": "SELECT user_id AS conv_id, event_id AS seq, props AS item FROM events WHERE event_type = 'purchase'",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,9 +12,12 @@ from lorebase.operators import combine
 from lorebase.plans import roles
 from lorebase.session import fresh_path, stored
 from lorebase.sources import extract, publish
-from lorebase.sources.readers import read_table, read_texts
+from lorebase.sources.readers import read_documents, read_policies, read_table, read_texts
+from lorebase.sources.readers import scan as read_catalog
 
-COUNTED = ["part", "documents", "benchmark", "events", "pages", "conversations", "embeddings", "labels"]
+COUNTED = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def scan_products(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,9 +96,24 @@ def doc_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    root = fresh_path(spark, "combined")
-    publish.publish(product_docs_combined(spark, sf), root)
-    return publish.read_version(spark, root)
+    """Overwritten in the catalog with another schema, then read back by name."""
+    name, folder = f"combined_{uuid.uuid4().hex}", fresh_path(spark, "combined")
+    publish.publish_catalog(roles.products(spark, sf), name, path=folder)
+    publish.publish_catalog(product_docs_combined(spark, sf), name, path=folder)
+    return read_catalog(spark, name)
+
+
+def document_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Files listed, read, keyed and extracted; the accepted ones."""
+    files = read_documents(spark, roles.page_files(spark, sf))
+    return extract.accepted(extract.extract_documents(files))
+
+
+def policy_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The policies written to a CSV file and read from it."""
+    path = fresh_path(spark, "policies")
+    roles.policies(spark, sf).write.option("header", True).option("quoteAll", True).csv(path)
+    return read_policies(spark, path).withColumn("last_updated", F.col("last_updated").cast("string"))
 
 
 def publish_history(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,9 +133,10 @@ def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """The gate over products under their trade names, which repeat."""
-    named = roles.named_products(spark, sf)
-    return publish.publish_gate(read_table(spark, sf, "part"), named, "product_name")
+    """The gate over what was published and is read back: products under their trade names, which repeat."""
+    root, named = fresh_path(spark, "named"), roles.named_products(spark, sf)
+    publish.publish(named, root)
+    return publish.publish_gate(named, publish.read_version(spark, root), "product_name")
 
 
 QUERIES = {
@@ -140,6 +160,8 @@ QUERIES = {
         preview_products,
         doc_preview,
         publish_roundtrip,
+        document_job,
+        policy_file,
         publish_history,
         snapshot_changes,
         apply_changes,
@@ -162,10 +184,11 @@ def page_text(html: str) -> str:
 
 
 DOC_KEY = "replace(list_extract(string_split(url, '/'), -1), '.html', '')"
-RAW_PAGES = (
-    "SELECT page_id, url, CASE WHEN contains(url, '#') THEN NULL WHEN contains(url, '?') THEN '' ELSE html END AS html FROM pages"
+EXTRACTED = f"SELECT {DOC_KEY} AS product_name, {page_text('html')} AS product_doc FROM pages"
+PAGE_FILES = (
+    "SELECT 'page-' || page_id AS product_name, regexp_replace(html, '^[\\s\\x{85}\\x{a0}]+|[\\s\\x{85}\\x{a0}]+$', '', 'g') "
+    "AS product_doc FROM pages WHERE html IS NOT NULL AND html <> ''"
 )
-EXTRACTED = f"SELECT {DOC_KEY} AS product_name, {page_text('html')} AS product_doc FROM ({RAW_PAGES})"
 TAGGED = (
     "'<product_category>' || product_category || '</product_category>' || chr(10) || "
     "'<product_sub_category>' || product_sub_category || '</product_sub_category>' || chr(10) || "
@@ -211,6 +234,9 @@ ORACLES = {
     "doc_preview": f"SELECT product_name, substring(indexed_doc, 1, 500) || '...' AS shown FROM ({COMBINED}) "
     "ORDER BY product_name LIMIT 1",
     "publish_roundtrip": COMBINED,
+    "document_job": PAGE_FILES,
+    "policy_file": "SELECT 'Policy ' || item_id AS policy, text AS policy_details, "
+    "CAST(CAST(DATE '2023-01-01' + CAST(item_id % 365 AS INT) AS DATE) AS VARCHAR) AS last_updated FROM benchmark",
     "publish_history": f"SELECT CAST(0 AS BIGINT) AS version, 'CREATE' AS operation, 'overwrite' AS mode, count(*) AS row_count "
     f"FROM ({DOCS}) UNION ALL SELECT CAST(1 AS BIGINT), 'REPLACE', 'overwrite', count(*) FROM ({SECOND})",
     "snapshot_changes": f"""

@@ -53,6 +53,25 @@ def batch_service_history(spark: SparkSession, sf: str) -> DataFrame:
     return _text_dates(service.lookup_service_history(asked, roles.service(spark, sf), roles.as_of()))
 
 
+def lateral_policies(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function called for every product's brand."""
+    roles.brand_policies(spark, sf).createOrReplaceTempView("brand_policies")
+    create_get_policy(spark, "brand_policies", "get_brand_policy")
+    read_table(spark, sf, "part").createOrReplaceTempView("asked_parts")
+    return _text_dates(
+        spark.sql("SELECT p_partkey AS request_id, found.* FROM asked_parts, LATERAL get_brand_policy(p_brand) AS found")
+    )
+
+
+def lateral_service_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function called for every customer."""
+    roles.service(spark, sf).createOrReplaceTempView("service_cases")
+    create_get_service_history(spark, "service_cases", "get_case_history", as_of=f"DATE '{AS_OF}'")
+    customers = read_table(spark, sf, "customer").select(roles.email(F.col("c_custkey")).alias("email"))
+    customers.createOrReplaceTempView("asking_customers")
+    return _text_dates(spark.sql("SELECT email, found.* FROM asking_customers, LATERAL get_case_history(email) AS found"))
+
+
 def service_history_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return service.service_history_pivot(roles.service(spark, sf), CATEGORIES)
 
@@ -76,6 +95,8 @@ QUERIES = {
         policy_latest,
         batch_policy_lookup,
         batch_service_history,
+        lateral_policies,
+        lateral_service_history,
         service_history_pivot,
         trailing_returns,
         return_eligibility,
@@ -105,6 +126,9 @@ ORACLES = {
     "batch_policy_lookup": f"SELECT p_partkey AS request_id, b.* FROM part JOIN ({BRANDS}) b ON policy = p_brand",
     "batch_service_history": f"SELECT h.* FROM ({HISTORY}) h "
     "WHERE email IN (SELECT 'user' || c_custkey || '@example.com' FROM customer)",
+    "lateral_policies": f"SELECT p_partkey AS request_id, b.* FROM part JOIN ({BRANDS}) b ON policy = p_brand",
+    "lateral_service_history": f"SELECT h.* FROM ({HISTORY}) h "
+    "WHERE email IN (SELECT 'user' || c_custkey || '@example.com' FROM customer)",
     "service_history_pivot": "SELECT email, "
     + ", ".join(f"count(*) FILTER (issue_category = '{c}') AS {c}" for c in CATEGORIES)
     + f", count(*) AS total FROM ({SERVICE}) GROUP BY 1",

@@ -127,6 +127,21 @@ def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.summary(eval_scores(spark, sf))
 
 
+def rag_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the answers that `rag_context` gives, grounded in the context that they were given."""
+    asked = roles.questions(spark, sf).withColumnRenamed("text", "question")
+    answered = stored(rag_context(spark, sf), "answers").join(asked, "query_id")
+    return evaluate.scores(answered, ["query_id"], "context")
+
+
+def model_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """A caller's embedding model and answer model, here the lengths of texts, in their slots."""
+    texts = _texts(spark, sf).withColumnRenamed("text", "context")
+    sized = vectors.embed_with(texts, "context", lambda batch: batch.str.len().map(lambda n: [float(n)]))
+    answered = search.generate(sized, lambda batch: batch.str.len().astype(str))
+    return answered.select("doc_id", F.get("embedding", F.lit(0)).alias("length"), "answer")
+
+
 def groundedness(spark: SparkSession, sf: str) -> DataFrame:
     share = evaluate.grounded(F.col("answer"), F.col("question"))
     return _pairs(spark, sf).select("conv_id", "seq", share.alias("groundedness"))
@@ -153,6 +168,8 @@ QUERIES = {
         eval_scores,
         eval_summary,
         groundedness,
+        rag_scores,
+        model_slots,
     )
 }
 
@@ -245,6 +262,10 @@ SCORES = f"""
     SELECT conv_id, seq, 'relevance' AS scorer, score FROM ({RELEVANCE})
     UNION ALL SELECT conv_id, seq, 'safety', score FROM ({SAFE})
     UNION ALL SELECT conv_id, seq, 'groundedness', score FROM ({GROUNDED})"""
+RAG = f"""
+        SELECT query_id, string_agg(chunk, chr(10) || '---' || chr(10) ORDER BY rank) || chr(10) || '---' || chr(10)
+                 || max(policy) || ' of ' || max(last_updated) AS context, arg_min(chunk, rank) AS answer
+        FROM ({CHUNK_HITS}) JOIN ({CHUNKS}) USING (doc_id, chunk_no) JOIN ({POLICIES}) ON policy = 'Policy ' || query_id GROUP BY 1"""
 ORACLES = {
     "chunk_fixed": CHUNKS,
     "chunk_packed": r"""
@@ -274,10 +295,18 @@ ORACLES = {
     "retrieval_safety": f"SELECT query_id, count(*) AS hits, round(1 - avg(coalesce(toxic, 0)), 6) AS safety "
     f"FROM ({DOC_HITS}) LEFT JOIN labels ON doc_id = vec_id GROUP BY 1",
     "search_chunks": CHUNK_HITS,
-    "rag_context": f"""
-        SELECT query_id, string_agg(chunk, chr(10) || '---' || chr(10) ORDER BY rank) || chr(10) || '---' || chr(10)
-                 || max(policy) || ' of ' || max(last_updated) AS context, arg_min(chunk, rank) AS answer
-        FROM ({CHUNK_HITS}) JOIN ({CHUNKS}) USING (doc_id, chunk_no) JOIN ({POLICIES}) ON policy = 'Policy ' || query_id GROUP BY 1""",
+    "model_slots": "SELECT doc_id, CAST(length(text) AS DOUBLE) AS length, CAST(length(text) AS VARCHAR) AS answer FROM documents",
+    "rag_scores": f"""
+        WITH r AS (SELECT query_id, text AS question, context, answer FROM ({RAG}) JOIN benchmark ON item_id = query_id),
+        words AS (SELECT query_id, list_distinct(list_filter(regexp_split_to_array(lower(answer), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS a,
+                         list_filter(regexp_split_to_array(lower(context), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '') AS c FROM r)
+        SELECT query_id, 'groundedness' AS scorer, coalesce(round(len(list_intersect(a, c)) / nullif(len(a), 0), 6), 0) AS score FROM words
+        UNION ALL SELECT query_id, 'safety', CASE WHEN regexp_matches(lower(answer), '\\b(password|secret|credential)\\b')
+                    THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END FROM r
+        UNION ALL SELECT query_id, 'relevance', round(coalesce(sum(q.weight * a.weight), 0), 6)
+        FROM (SELECT query_id FROM r) LEFT JOIN ({embedded("SELECT query_id, question AS text FROM r", "query_id")}) q USING (query_id)
+        LEFT JOIN ({embedded("SELECT query_id, answer AS text FROM r", "query_id")}) a USING (query_id, bucket) GROUP BY 1""",
+    "rag_context": RAG,
     "route_questions": ROUTED,
     "eval_scores": SCORES,
     "eval_summary": f"SELECT scorer, round(avg(score), 6) AS mean_score, count(*) AS n_rows FROM ({SCORES}) GROUP BY 1",

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lorebase.functions.text import html_text, strip
 from lorebase.functions.vectors import embed
-from lorebase.operators.messages import TOOL_CALLS
+from lorebase.operators.messages import TOOL_CALLS, resolve_session
 from lorebase.operators.search import top_k
 from lorebase.operators.service import newest_policies, service_history
 from lorebase.operators.skew import positions, split_join
 from lorebase.operators.tools import Tool
 from lorebase.sources.extract import extract_pages
+from lorebase.session import fresh_path
+from lorebase.sources.files import write_files
 from lorebase.sources.readers import read_table, read_texts
 
 AS_OF = "2024-02-01"
@@ -123,8 +125,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
         .alias("content"),
         F.when(kind.isin("click", "purchase"), k.cast("string")).alias("call_id"),
         F.when(kind == "click", tool).alias("name"),
-        # Some calls come with arguments that are not valid JSON.
-        F.when(kind == "click", F.when(k.between(85, 94), F.left("props", F.lit(3))).otherwise(F.col("props"))).alias("arguments"),
+        F.when(kind == "click", F.col("props")).alias("arguments"),
         F.lit(None).cast(TOOL_CALLS).alias("tool_calls"),
     )
 
@@ -205,16 +206,27 @@ def deltas(spark: SparkSession, sf: str) -> DataFrame:
     return as_deltas(turns, F.col("seq") == F.size("_words") - 1)
 
 
-def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages as fetched files: an address with a fragment has no content of its own, one with a query an empty one."""
-    url = F.col("url")
-    return read_texts(spark, sf, "pages", ["page_id"], "url", "html").select(
-        "page_id", "url", F.when(url.contains("#"), None).when(url.contains("?"), "").otherwise(F.col("html")).alias("html")
+def extracted_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_pages(read_texts(spark, sf, "pages", ["page_id"], "url", "html"), "url", "html")
+
+
+def page_files(spark: SparkSession, sf: str) -> str:
+    """The pages written out as files, one each, for the document jobs; the folder they are in."""
+    folder = fresh_path(spark, "page-files")
+    pages = read_table(spark, sf, "pages").select(
+        F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".pdf")).alias("name"), F.encode("html", "UTF-8").alias("content")
     )
+    write_files(pages, folder)
+    return folder
 
 
-def extracted_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_pages(raw_pages(spark, sf), "url", "html")
+def session_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as the items of the session that their request resolves to: (session_id, type, ts)."""
+    kind = F.col("event_type")
+    types = F.when(kind.isin("view", "signup"), "message").when(kind == "click", "function_call")
+    types = types.when(kind == "purchase", "function_call_output").when(kind == "error", "error").otherwise("reasoning")
+    events = read_table(spark, sf, "events").select("event_id", types.alias("type"), "ts")
+    return events.join(resolve_session(requests(spark, sf)).select("event_id", "session_id"), "event_id")
 
 
 def first_version(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from lorebase.plans.conversation import ORACLES as CONVERSATION
 from lorebase.session import fresh_path
 from lorebase.sources import publish
 from lorebase.sources.readers import stream_table
-from lorebase.streaming.streams import append_stream, assemble_stream, sync_changes
+from lorebase.streaming.streams import append_stream, assemble_stream, ingest_stream, sync_changes
 
 
 def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -44,10 +44,18 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
     return publish.read_version(spark, root)
 
 
-QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes)}
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """New document files read, extracted and appended by a stream."""
+    target = fresh_path(spark, "ingested")
+    ingest_stream(spark, roles.page_files(spark, sf), target, fresh_path(spark, "ingested-state")).awaitTermination()
+    return spark.read.schema("product_name STRING, product_doc STRING").parquet(target)
+
+
+QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes, stream_ingest)}
 
 ORACLES = {
     "stream_done_items": CONVERSATION["done_items"],
     "stream_deltas": f"SELECT *, 'done' AS status FROM ({CONVERSATION['assemble_deltas']})",
     "stream_changes": ingest.SECOND,
+    "stream_ingest": ingest.PAGE_FILES,
 }

@@ -80,12 +80,16 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.schema(StructType.fromJson(json.loads(entry.schema_json))).parquet(f"{root}/v{entry.version}")
 
 
-def publish_catalog(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int = 0) -> None:
-    """Overwrite a managed catalog table together with its schema.
+def publish_catalog(
+    df: DataFrame, table: str, keys: list[str] | None = None, buckets: int = 0, path: str | None = None
+) -> None:
+    """Overwrite a catalog table together with its schema; managed by the catalog unless a path is given.
 
     With `buckets` the rows are bucketed by `keys`; tables bucketed alike join on those keys without a shuffle.
     """
     writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        writer = writer.option("path", path)
     if buckets:
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     writer.saveAsTable(table)
