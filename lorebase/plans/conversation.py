@@ -168,15 +168,16 @@ def tool_result(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def answer_questions(spark: SparkSession, sf: str) -> DataFrame:
-    """Every user turn routed to a tool, the tool run with the conversation's number, its output the answer.
+    """Every user turn routed to a tool, the tool run with the turn's text and the conversation's number, its output the answer.
 
     A turn that no tool fits has no output.
     """
     asked = roles.chat(spark, sf).filter(F.col("role") == "user")
-    routed = tools.route(asked, ["conv_id", "seq"], "content", TOOLS).filter(F.col("tool_name") != "none")
-    argument = F.to_json(F.struct(F.col("conv_id").alias("k")))
+    # Stored before the filter, which would otherwise be worked out before the scores and so make them twice.
+    routed = stored(tools.route(asked, ["conv_id", "seq", "content"], "content", TOOLS), "routed").filter(F.col("tool_name") != "none")
+    argument = F.to_json(F.struct(F.col("conv_id").alias("k"), F.col("content").alias("query")))
     calls = routed.select("conv_id", "seq", ops.generated_id("conv_id", "seq").alias("call_id"), F.col("tool_name").alias("name"), argument.alias("arguments"))
-    answers = tools.dispatch(stored(calls, "calls"), roles.tools(spark, sf))
+    answers = tools.dispatch(calls, roles.tools(spark, sf))
     return asked.select("conv_id", "seq").join(answers.select("conv_id", "seq", "name", "output"), ["conv_id", "seq"], "left")
 
 
@@ -235,7 +236,7 @@ MESSAGES = f"""
            CASE WHEN kind IN ('click', 'purchase') THEN CAST(k AS VARCHAR) END AS call_id,
            CASE WHEN kind = 'click' THEN CASE WHEN k < 40 THEN '{POLICY_TOOL}' WHEN k < 75 THEN '{HISTORY_TOOL}'
                 WHEN k < 92 THEN '{SEARCH_TOOL}' ELSE 'kb__support__close_case' END END AS name,
-           CASE WHEN kind = 'click' THEN props END AS arguments
+           CASE WHEN kind = 'click' THEN CASE WHEN k BETWEEN 75 AND 91 THEN '{{"query":"question ' || k || '"}}' ELSE props END END AS arguments
     FROM (SELECT user_id AS conv_id, ts, event_type AS kind, props, CAST(json_extract(props, '$.k') AS INT) AS k,
                  row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS seq FROM events)"""
 SHAPED = f"""
@@ -286,31 +287,31 @@ def embedded(source: str, ident: str) -> str:
           WHERE token <> '' GROUP BY 1, 2)"""
 
 
-BEST_DOCUMENT = f"""
-    SELECT item_id, 'doc-' || doc_id AS document
-    FROM (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n
-          FROM (SELECT item_id, doc_id, round(sum(q.weight * d.weight), 6) AS score
-                FROM ({embedded("SELECT item_id, text FROM benchmark", "item_id")}) q
-                JOIN ({embedded("SELECT doc_id, text FROM documents", "doc_id")}) d USING (bucket) GROUP BY 1, 2))
-    WHERE n = 1"""
-
-
 def dispatched(calls: str) -> str:
     return f"""
+    WITH c AS (SELECT *, CASE WHEN json_valid(arguments) THEN json_extract_string(arguments, '$.k') END AS k,
+                      CASE WHEN json_valid(arguments) THEN json_extract_string(arguments, '$.query') END AS query FROM ({calls})),
+    asked AS (SELECT DISTINCT query FROM c WHERE name = '{SEARCH_TOOL}'),
+    best AS (SELECT query, 'doc-' || doc_id AS document
+             FROM (SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS n
+                   FROM (SELECT query, doc_id, round(sum(q.weight * d.weight), 6) AS score
+                         FROM ({embedded("SELECT query, query AS text FROM asked", "query")}) q
+                         JOIN ({embedded("SELECT doc_id, text FROM documents", "doc_id")}) d USING (bucket) GROUP BY 1, 2))
+             WHERE n = 1)
     SELECT conv_id, seq, call_id, name,
            CASE WHEN name NOT IN ({KNOWN}) THEN 'unknown tool: ' || name
+                WHEN name = '{SEARCH_TOOL}' THEN CASE WHEN query IS NULL THEN 'missing argument: query' ELSE coalesce(document, '[]') END
                 WHEN k IS NULL THEN 'missing argument: k'
                 WHEN name = '{POLICY_TOOL}' THEN coalesce(p.value, '[]')
-                WHEN name = '{HISTORY_TOOL}' THEN coalesce(h.value, '[]')
-                ELSE coalesce(d.document, '[]') END AS output
-    FROM (SELECT *, CASE WHEN json_valid(arguments) THEN json_extract_string(arguments, '$.k') END AS k FROM ({calls})) c
+                ELSE coalesce(h.value, '[]') END AS output
+    FROM c
     LEFT JOIN (SELECT CAST(regexp_extract(policy, '[0-9]+$') AS VARCHAR) AS k,
                       CAST(json_object('policy', policy, 'policy_details', policy_details, 'last_updated', last_updated) AS VARCHAR) AS value
                FROM ({POLICIES})) p USING (k)
     LEFT JOIN (SELECT regexp_extract(email, '[0-9]+') AS k, '[' || string_agg(CAST(json_object('issue_category', issue_category,
                       'returns_last_12_months', returns_last_12_months) AS VARCHAR), ',' ORDER BY issue_category) || ']' AS value
                FROM ({HISTORY}) GROUP BY 1) h USING (k)
-    LEFT JOIN (SELECT CAST(item_id AS VARCHAR) AS k, document FROM ({BEST_DOCUMENT})) d USING (k)"""
+    LEFT JOIN best USING (query)"""
 
 
 OFFERS = ", ".join(f"('{t.name}', '{t.description}')" for t in TOOLS)
@@ -324,8 +325,9 @@ ROUTED = f"""
     SELECT conv_id, seq, CASE WHEN score >= 0.1 THEN tool ELSE 'none' END AS tool_name, score
     FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, seq ORDER BY score DESC, tool) AS n FROM s) WHERE n = 1"""
 ROUTED_CALLS = f"""
-    SELECT conv_id, seq, md5(conv_id || '|' || seq) AS call_id, tool_name AS name, '{{"k": ' || conv_id || '}}' AS arguments
-    FROM ({ROUTED}) WHERE tool_name <> 'none'"""
+    SELECT r.conv_id, r.seq, md5(r.conv_id || '|' || r.seq) AS call_id, tool_name AS name,
+           CAST(json_object('k', r.conv_id, 'query', t.content) AS VARCHAR) AS arguments
+    FROM ({ROUTED}) r JOIN ({CHAT}) t ON t.conv_id = r.conv_id AND t.seq = r.seq WHERE tool_name <> 'none'"""
 
 
 def _registry_values() -> str:

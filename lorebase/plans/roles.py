@@ -14,7 +14,7 @@ from lorebase.operators.service import newest_policies, service_history
 from lorebase.operators.skew import positions, split_join
 from lorebase.operators.tools import Tool
 from lorebase.sources.extract import extract_pages
-from lorebase.session import fresh_path
+from lorebase.session import fresh_path, stored
 from lorebase.sources.files import write_files
 from lorebase.sources.readers import read_table, read_texts
 
@@ -108,6 +108,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events").withColumnRenamed("user_id", "conv_id")
     numbered = positions(events, ["conv_id"], ["event_id"], "_position").withColumn("k", _k())
     answer = F.when(k < 10, "").when(k < 20, "tool call").when(k >= 30, F.concat(F.lit("answer "), k.cast("string")))
+    asked = F.concat(F.lit("question "), k.cast("string"))
     tool = F.when(k < 40, POLICY_TOOL).when(k < 75, HISTORY_TOOL).when(k < 92, SEARCH_TOOL).otherwise("kb__support__close_case")
     return numbered.select(
         "conv_id",
@@ -125,7 +126,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
         .alias("content"),
         F.when(kind.isin("click", "purchase"), k.cast("string")).alias("call_id"),
         F.when(kind == "click", tool).alias("name"),
-        F.when(kind == "click", F.col("props")).alias("arguments"),
+        F.when(kind == "click", F.when(k.between(75, 91), F.to_json(F.struct(asked.alias("query")))).otherwise(F.col("props"))).alias("arguments"),
         F.lit(None).cast(TOOL_CALLS).alias("tool_calls"),
     )
 
@@ -262,12 +263,12 @@ def question_vectors(spark: SparkSession, sf: str) -> DataFrame:
 TOOLS = [
     Tool(POLICY_TOOL, "the details of a company policy by its exact name", "k"),
     Tool(HISTORY_TOOL, "the number of service cases of a customer per issue category", "k"),
-    Tool(SEARCH_TOOL, "documents that tell about the products in the question", "k", "retriever"),
+    Tool(SEARCH_TOOL, "documents that tell about the products in the question", "query", "retriever"),
 ]
 
 
 def tools(spark: SparkSession, sf: str) -> list[Tool]:
-    """The tools bound to the given tables. Each argument `k` names a policy, a customer or a question."""
+    """The tools bound to the given tables. An argument `k` names a policy or a customer, `query` is a text to search for."""
     found_policies = newest_policies(policies(spark, sf))
     policy_json = F.to_json(F.struct("policy", "policy_details", F.col("last_updated").cast("string").alias("last_updated")))
     per_customer = (
@@ -275,14 +276,26 @@ def tools(spark: SparkSession, sf: str) -> list[Tool]:
         .groupBy("email")
         .agg(F.array_sort(F.collect_list(F.struct("issue_category", "returns_last_12_months"))).alias("cases"))
     )
-    best = top_k(document_vectors(spark, sf), question_vectors(spark, sf), 1)
     answers = {
         POLICY_TOOL: found_policies.select(F.regexp_extract("policy", r"(\d+)$", 1).alias("key"), policy_json.alias("value")),
         HISTORY_TOOL: per_customer.select(
             F.regexp_extract("email", r"^user(\d+)@", 1).alias("key"), F.to_json("cases").alias("value")
         ),
-        SEARCH_TOOL: best.select(
-            F.col("query_id").cast("string").alias("key"), F.concat(F.lit("doc-"), F.col("vec_id").cast("string")).alias("value")
-        ),
     }
-    return [replace(tool, answers=answers[tool.name]) for tool in TOOLS]
+    bound = {SEARCH_TOOL: lambda calls: find_document(calls, document_vectors(spark, sf))}
+    return [replace(tool, answers=answers.get(tool.name), run=bound.get(tool.name)) for tool in TOOLS]
+
+
+def find_document(calls: DataFrame, documents: DataFrame) -> DataFrame:
+    """The retriever: for every call the document most like its `query`, or "[]" where none shares a word with it."""
+    asked = calls.withColumn("_query", F.try_element_at("args", F.lit("query")))
+    texts = asked.select("_query").filter(F.col("_query").isNotNull()).distinct()
+    # Stored, so that the numbers stay with their texts.
+    texts = stored(texts.withColumn("query_id", F.monotonically_increasing_id()), "asked")
+    best = top_k(documents, embed(texts, ["query_id"], "_query"), 1).filter(F.col("score") > 0)
+    found = texts.join(best, "query_id").select("_query", F.concat(F.lit("doc-"), F.col("vec_id").cast("string")).alias("_found"))
+    return split_join(asked, found, ["_query"], "left").select(
+        *calls.columns,
+        F.coalesce("_found", F.lit("[]")).alias("value"),
+        F.when(F.col("_query").isNull(), "missing argument: query").alias("error"),
+    )
