@@ -265,6 +265,8 @@ def near_duplicates(
     component = classes.join(final.df.withColumnRenamed("node", "rep"), "rep", "left").select(
         "high", "low", F.coalesce("component", "rep").alias("found")
     )
+    # Written, so that both sides of the last join are dealt out for it and adaptive execution can split a class of many copies.
+    component = Written(component, "classes").df
     own = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
     return (
         sketches.df.drop("bands")
