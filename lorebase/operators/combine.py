@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lorebase.functions.text import preview
 from lorebase.operators.skew import HOT_ROWS, split_join
 
+# The columns of the published table; the tags below are named after them.
 COMBINED = ["product_id", "product_name", "product_doc", "product_category", "product_sub_category", "indexed_doc"]
 
 
@@ -18,7 +19,7 @@ def join_documents(products: DataFrame, docs: DataFrame, rows: int = HOT_ROWS) -
 
 def tagged_document() -> Column:
     """Category, sub-category, name and text, each inside its tag; null when any of them is null."""
-    lines = [F.lit("")]
+    lines = []
     for field in ("product_category", "product_sub_category", "product_name"):
         lines += [F.lit(f"<{field}>"), F.col(field), F.lit(f"</{field}>\n")]
     return F.concat(*lines, F.lit("<product_doc>\n"), F.col("product_doc"), F.lit("\n</product_doc>"))

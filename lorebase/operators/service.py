@@ -40,9 +40,10 @@ def lookup_service_history(requests: DataFrame, service: DataFrame, as_of: Colum
 
 
 def service_history_pivot(service: DataFrame, categories: list[str]) -> DataFrame:
-    """One row per customer, one column per category, 0 where there is no case."""
+    """One row per customer, one column per category, 0 where there is no case; `other` counts all other categories."""
     return service.groupBy("email").agg(
         *[F.count_if(F.col("issue_category") == c).alias(c) for c in categories],
+        F.count_if(~F.coalesce(F.col("issue_category").isin(categories), F.lit(False))).alias("other"),
         F.count(F.lit(1)).alias("total"),
     )
 

@@ -12,6 +12,8 @@ from lorebase.session import stored
 from lorebase.plans.roles import ENDPOINT, HISTORY_TOOL, POLICY_TOOL, SEARCH_TOOL, TOOLS
 
 PROMPT = "Answer from the knowledge base."
+#: Small sizes for the queries that show what happens to long conversations and hot keys.
+BLOCK, SMALL = 3, 1
 
 
 def _call_list(calls: Column) -> Column:
@@ -41,6 +43,17 @@ def merge_assistant_runs(spark: SparkSession, sf: str) -> DataFrame:
     return _merged(spark, sf).select("conv_id", "run_no", "seq", "n_messages", "role", "content")
 
 
+def merge_in_small_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in blocks of BLOCK positions, so that runs cross borders as they do in long conversations."""
+    merged = ops.merge_assistant_runs(ops.items_to_messages(_history(spark, sf)), BLOCK)
+    return merged.select("conv_id", "run_no", "seq", "n_messages", "role", "content")
+
+
+def pending_calls_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """Pending calls with every call id of more than SMALL calls dealt to salts, as hot ones are at full size."""
+    return ops.pending_calls(_history(spark, sf), SMALL).select("conv_id", "seq", "call_id", "name")
+
+
 def merge_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     merged = _merged(spark, sf).filter(F.col("tool_calls").isNotNull())
     return merged.select(
@@ -196,6 +209,8 @@ QUERIES = {
         items_to_messages,
         role_changes,
         merge_assistant_runs,
+        merge_in_small_blocks,
+        pending_calls_salted,
         merge_tool_calls,
         merge_chat,
         prepend_system,
@@ -345,6 +360,9 @@ ORACLES = {
     "role_changes": f"SELECT conv_id, seq, role, prev_role, role IS DISTINCT FROM prev_role AS changed FROM ({runs(SHAPED)})",
     "merge_assistant_runs": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
     f"FROM ({merged(SHAPED)})",
+    "merge_in_small_blocks": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
+    f"FROM ({merged(SHAPED)})",
+    "pending_calls_salted": f"SELECT conv_id, seq, call_id, name FROM ({PENDING})",
     "merge_tool_calls": f"SELECT conv_id, run_no, n_calls, calls FROM ({merged(SHAPED)}) WHERE n_calls > 0",
     "merge_chat": f"SELECT conv_id, run_no, seq, role_or_none AS role, content FROM ({merged(CHAT_SHAPED)})",
     "prepend_system": f"{CHAT} UNION ALL SELECT DISTINCT conv_id, -1, 'system', '{PROMPT}' FROM conversations",

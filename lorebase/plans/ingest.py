@@ -69,6 +69,11 @@ def join_fanout(spark: SparkSession, sf: str) -> DataFrame:
     return combine.join_documents(roles.named_products(spark, sf), roles.named_docs(spark, sf))
 
 
+def join_fanout_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with every name of more than two products dealt to salts, as hot ones are at full size."""
+    return combine.join_documents(roles.named_products(spark, sf), roles.named_docs(spark, sf), rows=2)
+
+
 def fanout_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return combine.fan_out(roles.named_products(spark, sf), roles.named_products(spark, sf))
 
@@ -153,6 +158,7 @@ QUERIES = {
         ingest_summary,
         join_products_docs,
         join_fanout,
+        join_fanout_salted,
         fanout_sizes,
         join_coverage,
         product_docs_combined,
@@ -205,6 +211,12 @@ SECOND = (
     f"UNION ALL SELECT 'page-' || page_id, {page_text('html')} FROM pages"
 )
 
+FANOUT = (
+    "SELECT p_name AS product_name, p_partkey AS product_id, f.doc_id, n_chars FROM part "
+    "JOIN (SELECT p_name AS name, min(p_partkey) AS doc_id FROM part GROUP BY 1) f ON name = p_name "
+    "JOIN documents ON documents.doc_id = f.doc_id"
+)
+
 ORACLES = {
     "scan_products": PRODUCTS,
     "scan_docs": DOCS,
@@ -219,9 +231,8 @@ ORACLES = {
     f"count(*) FILTER (product_doc IS NULL OR product_doc = '') AS failed, "
     f"CAST(coalesce(sum(length(product_doc)), 0) AS BIGINT) AS characters FROM ({EXTRACTED})",
     "join_products_docs": f"SELECT * FROM ({PRODUCTS}) JOIN ({DOCS}) USING (product_name)",
-    "join_fanout": "SELECT p_name AS product_name, p_partkey AS product_id, f.doc_id, n_chars FROM part "
-    "JOIN (SELECT p_name AS name, min(p_partkey) AS doc_id FROM part GROUP BY 1) f ON name = p_name "
-    "JOIN documents ON documents.doc_id = f.doc_id",
+    "join_fanout": FANOUT,
+    "join_fanout_salted": FANOUT,
     "fanout_sizes": "SELECT p_name AS product_name, count(*) AS products, count(*) AS docs, count(*) * count(*) AS joined "
     "FROM part GROUP BY 1",
     "join_coverage": f"SELECT 'product without document' AS side, product_name, count(*) AS row_count FROM ({PRODUCTS}) "

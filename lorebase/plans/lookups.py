@@ -14,6 +14,8 @@ from lorebase.plans.roles import AS_OF, CATEGORIES
 from lorebase.session import stored
 from lorebase.sources.readers import read_table
 
+#: Rows from which a key counts as hot where a query shows how hot keys are dealt out.
+SMALL = 100
 SPANS = {
     "trailing_7_days": "INTERVAL 7 DAYS",
     "trailing_12_months": "INTERVAL 12 MONTHS",
@@ -81,6 +83,12 @@ def trailing_returns(spark: SparkSession, sf: str) -> DataFrame:
     return service.trailing_counts(roles.service(spark, sf), spans)
 
 
+def trailing_returns_in_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with every customer of more than SMALL marks cut into slots, as hot ones are at full size."""
+    spans = {name: F.expr(width) for name, width in SPANS.items()}
+    return service.trailing_counts(roles.service(spark, sf), spans, SMALL)
+
+
 def return_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     returned = stored(roles.returns(spark, sf), "returns")
     judged = service.return_eligibility(returned, ["l_orderkey", "l_linenumber"])
@@ -99,6 +107,7 @@ QUERIES = {
         lateral_service_history,
         service_history_pivot,
         trailing_returns,
+        trailing_returns_in_slots,
         return_eligibility,
     )
 }
@@ -118,6 +127,14 @@ HISTORY = (
     f"FROM ({SERVICE}) GROUP BY 1, 2"
 )
 
+TRAILING = f"""
+        SELECT email, ts, count(*) AS cases, max(d) AS trailing_7_days, max(y) AS trailing_12_months
+        FROM (SELECT email, ts,
+                count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS d,
+                count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN INTERVAL 12 MONTH PRECEDING AND CURRENT ROW) AS y
+              FROM ({SERVICE}))
+        GROUP BY 1, 2"""
+
 ORACLES = {
     "get_policy": f"SELECT * FROM ({POLICIES}) WHERE policy = 'Policy 7'",
     "get_service_history": f"SELECT returns_last_12_months, issue_category, todays_date FROM ({HISTORY}) "
@@ -131,14 +148,11 @@ ORACLES = {
     "WHERE email IN (SELECT 'user' || c_custkey || '@example.com' FROM customer)",
     "service_history_pivot": "SELECT email, "
     + ", ".join(f"count(*) FILTER (issue_category = '{c}') AS {c}" for c in CATEGORIES)
-    + f", count(*) AS total FROM ({SERVICE}) GROUP BY 1",
-    "trailing_returns": f"""
-        SELECT email, ts, count(*) AS cases, max(d) AS trailing_7_days, max(y) AS trailing_12_months
-        FROM (SELECT email, ts,
-                count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS d,
-                count(*) OVER (PARTITION BY email ORDER BY ts RANGE BETWEEN INTERVAL 12 MONTH PRECEDING AND CURRENT ROW) AS y
-              FROM ({SERVICE}))
-        GROUP BY 1, 2""",
+    + ", count(*) FILTER (issue_category IS NULL OR issue_category NOT IN ("
+    + ", ".join(f"'{c}'" for c in CATEGORIES)
+    + f")) AS other, count(*) AS total FROM ({SERVICE}) GROUP BY 1",
+    "trailing_returns": TRAILING,
+    "trailing_returns_in_slots": TRAILING,
     "return_eligibility": """
         SELECT l_orderkey, l_linenumber, customer, return_year, ordinal, days_kept,
                ordinal <= 12 AND days_kept BETWEEN 0 AND 30 AS eligible
