@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lorebase.functions.vectors import fingerprint
 from lorebase.operators import messages as ops
 from lorebase.plans import ingest, roles
-from lorebase.plans.conversation import ORACLES as CONVERSATION
+from lorebase.plans.conversation import ORACLES as CONVERSATION, embedded
 from lorebase.session import fresh_path
 from lorebase.sources import publish
 from lorebase.sources.readers import stream_table
-from lorebase.streaming.streams import append_stream, assemble_stream, ingest_stream, sync_changes
+from lorebase.streaming.streams import (
+    append_stream,
+    assemble_stream,
+    index_rows,
+    ingest_stream,
+    sync_changes,
+    sync_index,
+    write_buckets,
+)
 
 
 def _finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -44,6 +53,16 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
     return publish.read_version(spark, root)
 
 
+def stream_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A vector index brought to the second version by a stream of the change feed."""
+    path, feed = fresh_path(spark, "index"), fresh_path(spark, "feed")
+    write_buckets(index_rows(roles.first_version(spark, sf), ["product_name"], "product_doc"), path)
+    ingest.snapshot_changes(spark, sf).write.parquet(feed)
+    changes = spark.readStream.schema(spark.read.parquet(feed).schema).parquet(feed)
+    sync_index(changes, path, ["product_name"], "product_doc", fresh_path(spark, "index-state")).awaitTermination()
+    return spark.read.parquet(path).select("product_name", fingerprint(F.col("embedding")).alias("embedding"))
+
+
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """New document files read, extracted and appended by a stream."""
     target = fresh_path(spark, "ingested")
@@ -51,11 +70,16 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("product_name STRING, product_doc STRING").parquet(target)
 
 
-QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes, stream_ingest)}
+QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes, stream_index, stream_ingest)}
 
 ORACLES = {
     "stream_done_items": CONVERSATION["done_items"],
     "stream_deltas": f"SELECT *, 'done' AS status FROM ({CONVERSATION['assemble_deltas']})",
     "stream_changes": ingest.SECOND,
+    "stream_index": f"""
+        WITH s AS ({ingest.SECOND})
+        SELECT product_name, string_agg(CAST(CAST(round(coalesce(weight, 0) * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY bucket) AS embedding
+        FROM (SELECT product_name, unnest(range(64)) AS bucket FROM s)
+        LEFT JOIN ({embedded("SELECT product_name, product_doc AS text FROM s", "product_name")}) USING (product_name, bucket) GROUP BY 1""",
     "stream_ingest": ingest.PAGE_FILES,
 }

@@ -61,10 +61,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file(spark: SparkSession, path: str):
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that path."""
+    filesystem, named = _file(spark, path)
+    return filesystem.exists(named)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder."""
+    filesystem, named = _file(spark, path)
+    filesystem.delete(named, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove everything this application stored; DataFrames that read it are void afterwards."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, session_folder(spark))
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lorebase.functions.vectors import embed
+from lorebase.session import exists, remove
 from lorebase.sources.extract import accepted, extract_documents, form_feed_pages
 from lorebase.sources.publish import apply_changes, latest_version, publish, read_version
 from lorebase.sources.readers import stream_documents
 
 ASSEMBLED = "conv_id BIGINT, item_id BIGINT, text STRING, n_deltas BIGINT, status STRING"
 DELTA_STATE = "text STRING, next BIGINT, seqs ARRAY<BIGINT>, texts ARRAY<STRING>, last BIGINT, newest_ms BIGINT"
+#: Folders of a vector index that is kept in step.
+BUCKETS = 64
 #: What is added to a stream's rows by its change feed.
 FEED_COLUMNS = ["_change_type", "_commit_version"]
 
@@ -107,3 +112,60 @@ def sync_changes(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def index_rows(texts: DataFrame, key: list[str], text: str, buckets: int = BUCKETS) -> DataFrame:
+    """Texts as rows of a vector index: key, embedding and the bucket of the key."""
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket")
+    return embed(texts, key, text).select(*key, "embedding", bucket)
+
+
+def write_buckets(index: DataFrame, path: str) -> None:
+    """Store index rows, one folder per bucket; folders of other buckets stay as they are."""
+    writer = index.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(path)
+
+
+def sync_index(
+    changes: DataFrame, path: str, key: list[str], text: str, checkpoint: str, buckets: int = BUCKETS
+) -> StreamingQuery:
+    """Apply a stream of change rows to the vector index at `path`.
+
+    Of each batch only the changed texts are embedded and only the buckets of their keys are rewritten. The new rows of
+    these buckets are stored beside the index before any folder is replaced, so a batch that is repeated after a failure
+    finds them and replaces the folders again. One writer at a time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        staged = f"{path}-staged/batch={batch_id}"
+        if not exists(spark, f"{staged}/_SUCCESS"):
+            changed = batch.filter(F.col("_change_type") != "update_preimage").groupBy(*key).agg(
+                F.max_by(F.struct("_change_type", text), "_commit_version").alias("_last")
+            )
+            live = changed.filter(F.col("_last._change_type") != "delete").select(*key, F.col(f"_last.{text}").alias(text))
+            of_key = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+            touched = sorted(row.bucket for row in changed.select(of_key.alias("bucket")).distinct().collect())
+            fresh = index_rows(live, key, text, buckets)
+            if exists(spark, path):
+                before = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*fresh.columns)
+                names = changed.select(*[F.col(k).alias(f"_{n}") for n, k in enumerate(key)])
+                same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{n}")) for n, k in enumerate(key)])
+                fresh = fresh.unionByName(before.join(names, same, "left_anti"))
+            fresh.write.mode("overwrite").parquet(staged)
+            spark.createDataFrame([(b,) for b in touched], "bucket INT").coalesce(1).write.mode("overwrite").parquet(f"{staged}-touched")
+        rows = spark.read.parquet(staged)
+        filled = {row.bucket for row in rows.select("bucket").distinct().collect()}
+        write_buckets(rows, path)
+        for row in spark.read.parquet(f"{staged}-touched").collect():
+            if row.bucket not in filled:
+                remove(spark, f"{path}/bucket={row.bucket}")
+        remove(spark, staged)
+        remove(spark, f"{staged}-touched")
+
+    return (
+        changes.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

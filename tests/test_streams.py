@@ -105,3 +105,26 @@ def test_change_feed_keeps_a_copy_in_step(spark, tmp_path, per_batch):
     versions = publish.history(spark, root).count()
     streams.sync_changes(changes, root, ["k"], state).awaitTermination(120)
     assert publish.history(spark, root).count() == versions
+
+
+def test_an_index_is_kept_in_step(spark, tmp_path):
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "index").rglob("*.parquet")}
+
+    before = spark.createDataFrame([(f"k{n}", f"text {n}") for n in range(40)] + [(None, "null key")], "k STRING, v STRING")
+    after = before.filter("k <> 'k3'").unionByName(spark.createDataFrame([("k3", "other words"), ("new", "more")], "k STRING, v STRING"))
+    after = after.filter("k <> 'k9'")
+    path = str(tmp_path / "index")
+    streams.write_buckets(streams.index_rows(before, ["k"], "v", 8), path)
+    old = files()
+    publish.snapshot_changes(before, after, ["k"], 1).write.parquet(str(tmp_path / "feed"))
+    changes = spark.readStream.schema(spark.read.parquet(str(tmp_path / "feed")).schema).parquet(str(tmp_path / "feed"))
+    streams.sync_index(changes, path, ["k"], "v", str(tmp_path / "state"), 8).awaitTermination(120)
+    wanted = rows(streams.index_rows(after, ["k"], "v", 8))
+    assert rows(spark.read.parquet(path), "k", "embedding", "bucket") == wanted
+    kept = {p for p, changed in old.items() if files().get(p) == changed}
+    assert 0 < len(kept) < len(old)
+    # All rows gone: no bucket keeps a stale one.
+    publish.snapshot_changes(after, after.limit(0), ["k"], 2).write.mode("append").parquet(str(tmp_path / "feed"))
+    streams.sync_index(changes, path, ["k"], "v", str(tmp_path / "state"), 8).awaitTermination(120)
+    assert not files()
