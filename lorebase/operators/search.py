@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from lorebase.functions.vectors import BITS, DIM, sign_cell, sign_plane, unit
 from lorebase.operators.skew import HOT_ROWS, split_join
-from lorebase.session import fresh_path, stored
+from lorebase.session import fresh_path
 
 QUERY_BYTES = 16 << 20
 SCORES = 4 << 20
@@ -66,7 +66,9 @@ def _candidates(scores: np.ndarray, floor: np.ndarray, k: int):
 def _matrix(vectors: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix, straight from the flat numbers of the batch."""
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
-    if len(lengths) and (lengths != lengths[0]).any():
+    if not len(lengths):
+        return np.empty((0, 0))
+    if (lengths != lengths[0]).any():
         raise ValueError("vectors of different lengths")
     numbers = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return numbers.reshape(len(lengths), -1)
@@ -80,20 +82,21 @@ def _usable(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
     return (batch, vectors) if good.all() else (batch.filter(pa.array(good)), vectors[good])
 
 
-def _block(path: str, number: int) -> tuple[np.ndarray, np.ndarray]:
+def _block(folder: str) -> tuple[np.ndarray, np.ndarray]:
     """One block of the stored queries: (ids, matrix)."""
-    filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
-    table = ds.dataset(f"{name}/block={number}", filesystem=filesystem, format="parquet").to_table().combine_chunks()
+    filesystem, name = pyarrow.fs.FileSystem.from_uri(folder)
+    table = ds.dataset(name, filesystem=filesystem, format="parquet").to_table(["query_id", "embedding"]).combine_chunks()
     if not table.num_rows:
         return np.empty(0, dtype=np.int64), np.empty((0, 0))
-    return table["query_id"].to_numpy(), _matrix(table["embedding"].chunk(0))
+    rows, matrix = _usable(table.to_batches()[0])
+    return rows.column("query_id").to_numpy(), matrix
 
 
-def _scan(path: str, number: int, ids: list[str], k: int, probe: Callable[[np.ndarray], np.ndarray] | None):
+def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.ndarray] | None):
     """Partition function: best k of the partition's vectors for each query of the block."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, matrix = _block(path, number)
+        queries, matrix = _block(folder)
         probes = None if probe is None else probe(matrix)
         every = np.arange(len(queries))
         best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), [np.empty(0, dtype=np.int64) for _ in ids]
@@ -133,16 +136,21 @@ def _scan(path: str, number: int, ids: list[str], k: int, probe: Callable[[np.nd
     return job
 
 
-def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, str, int]:
-    """The usable queries, worked out once and written in blocks of about QUERY_BYTES: (queries, folder, blocks)."""
-    kept = stored(queries.select(F.col("query_id").cast("long"), "embedding"), "queries").filter(finite(F.col("embedding")))
+def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, list[str]]:
+    """The queries, worked out and written once, and the folders of their blocks of about QUERY_BYTES."""
+    spark, path = queries.sparkSession, fresh_path(queries.sparkSession, "queries")
+    queries.select(F.col("query_id").cast("long"), "embedding").write.parquet(path)
+    kept = spark.read.parquet(path).filter(finite(F.col("embedding")))
     total, dim = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     n = -(-total // (block_rows or max(1, QUERY_BYTES // max(8 * dim, cells))))
-    path = fresh_path(queries.sparkSession, "query-blocks")
-    if n:
-        dealt = kept.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n)))
-        dealt.repartition("block").write.partitionBy("block").parquet(path)
-    return kept, path, n
+    if n < 2:
+        return kept, [path] * n
+    blocks = fresh_path(spark, "query-blocks")
+    dealt = kept.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n)))
+    dealt.repartition("block").write.partitionBy("block").parquet(blocks)
+    # With few queries to a block one may be empty, and have no folder.
+    used = spark.read.parquet(blocks).select("block").distinct().collect()
+    return kept, [f"{blocks}/block={number}" for number in sorted(row.block for row in used)]
 
 
 def _ranked(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
@@ -177,15 +185,15 @@ def _search(
 ) -> DataFrame:
     """Best k per query. `probe` maps a block's matrix to a table (query, cell) of what each query looks into."""
     names = list(ids)
-    asked, path, n = _stored_queries(queries, cells, block_rows)
+    asked, blocks = _stored_queries(queries, cells, block_rows)
     # Tasks leave out unusable vectors: a filter here would be worked out before the vectors, and so make them twice.
     scanned = vectors.select(*names, "embedding") if probe is None else vectors.select(*names, "embedding", "cell")
-    if probe is not None and n:
+    if probe is not None and blocks:
         # Only the cells some query probes are read; on a stored index this prunes folders.
         looked = _probed(asked, probe)
         scanned = scanned.filter(F.col("cell").isin(looked)) if len(looked) < cells else scanned
     fields = f"query_id BIGINT, {', '.join(f'{name} BIGINT' for name in names)}, score DOUBLE"
-    found = [scanned.mapInArrow(_scan(path, number, names, k, probe), fields) for number in range(n)]
+    found = [scanned.mapInArrow(_scan(folder, names, k, probe), fields) for folder in blocks]
     if not found:
         return _ranked(vectors.sparkSession.createDataFrame([], fields), names, k)
     return _ranked(reduce(DataFrame.unionByName, found), names, k)
