@@ -158,9 +158,9 @@ def components(edges: DataFrame) -> Written:
         state = tuple(found)
         both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
         lowest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.join(lowest, "a").where("b > a").selectExpr("b AS a", "low AS b").distinct()
+        large = with_lowest(both, lowest).where("b > a").selectExpr("b AS a", "low AS b").distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(lowest, "a").where("b <> low").selectExpr("b AS a", "low AS b")
+        small = with_lowest(large, lowest).where("b <> low").selectExpr("b AS a", "low AS b")
         after = Written(small.unionByName(lowest.selectExpr("a", "low AS b")).distinct(), "edges")
         current.drop()
         current = after
@@ -170,6 +170,16 @@ def components(edges: DataFrame) -> Written:
     return labels
 
 
+def with_lowest(links: DataFrame, lowest: DataFrame) -> DataFrame:
+    """Links with the smallest neighbour of their first node.
+
+    The nodes are compared as decimals, so that both sides are dealt out for this join and not as they were for the grouping
+    before it: only then can adaptive execution split the links of a hub.
+    """
+    named = lowest.select(F.col("a").cast("decimal(20,0)").alias("hub"), "low")
+    return links.join(named, links["a"].cast("decimal(20,0)") == named["hub"]).select("a", "b", "low")
+
+
 def tile_links(percent: int):
     """Links between classes of different components in one tile; only those that join components are handed on."""
 
