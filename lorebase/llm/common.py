@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lorebase.session import fresh_path
+from lorebase.session import fresh_path, remove
 
 #: Bytes and rows after which a task hands a batch on.
 BATCH_BYTES = 4 << 20
@@ -48,6 +49,18 @@ def rows_of(batches: Batches) -> Iterator[tuple]:
             yield from zip(*(column.to_pylist() for column in part.columns))
 
 
+def runs_of(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(start, count) of runs of rows with about `size` bytes of text, a longer text alone."""
+    start, held = 0, 0
+    for place, length in enumerate(pc.binary_length(texts).to_pylist()):
+        held += length or 0
+        if held >= size:
+            yield start, place + 1 - start
+            start, held = place + 1, 0
+    if start < len(texts):
+        yield start, len(texts) - start
+
+
 def map_batches(df: DataFrame, schema: str, *steps: Callable[[Batches], Batches]) -> DataFrame:
     """`df` through `steps`, one after the other in the same task."""
 
@@ -84,8 +97,3 @@ class Written:
     def drop(self) -> None:
         remove(self.spark, self.path)
 
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Remove a folder of the shared file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -19,13 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
-from lorebase.llm.common import Batches, free_name, in_batches, key_type, map_batches, rows_of
+from lorebase.llm.common import Batches, free_name, in_batches, key_type, map_batches, rows_of, runs_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -373,7 +372,7 @@ def tokenised(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         begin, end = (np.array([one], dtype=np.int32) for one in (model.bos, model.eos))
         for batch in batches:
             schema = pa.schema([*batch.schema, *added])
-            for start, count in runs_of(batch.column(place)):
+            for start, count in runs_of(batch.column(place), ROUND_CHARS):
                 part = batch.slice(start, count)
                 texts = [value or "" for value in part.column(place).to_pylist()]
                 ids = [np.concatenate([begin, np.frombuffer(one, dtype="<i4"), end]) for one in encoder.encode(texts)]
@@ -384,14 +383,3 @@ def tokenised(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     fields = StructType([*df.schema.fields, *from_arrow_schema(pa.schema(added)).fields])
     return df.mapInArrow(step, fields)
 
-
-def runs_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, count) of runs of rows with about ROUND_CHARS bytes of text."""
-    start, size = 0, 0
-    for place, length in enumerate(pc.binary_length(texts).to_pylist()):
-        size += length or 0
-        if size >= ROUND_CHARS:
-            yield start, place + 1 - start
-            start, size = place + 1, 0
-    if start < len(texts):
-        yield start, len(texts) - start

@@ -13,7 +13,7 @@ An Elias-Fano sequence of n ascending numbers below u keeps the lower floor(log2
 upper bits as a bit vector with one bit per number and one per step: about 2 + log2(u / n) bits a number. For select, every
 512th one of the bit vector has its position as a 32-bit integer; from there a few bytes are counted.
 
-Encoding: the tokenizers library encodes every word, the words that are new to a task together. For byte-level BPE with the
+Encoding: the tokenizers library encodes every word, the words that are new to a worker together. For byte-level BPE with the
 usual pattern a text may be cut before a lone space between two characters that are not white space, as no token reaches
 across; and a NUL that stands between words merges with nothing. Where a tokenizer or a text doesn't allow that, whole texts
 go to the library.
@@ -33,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lorebase.llm.common import Batches, Written, in_batches, map_batches, rows_of
+from lorebase.llm.common import Batches, Written, in_batches, map_batches, rows_of, runs_of
 from lorebase.llm.files import attempt_path, one_file_a_task, open_input, open_output
 from lorebase.session import fresh_path
 
@@ -44,8 +45,16 @@ MAGIC = b"EFTOKENS"
 SAMPLE = 512
 #: A file is closed once it holds so many ids, or so many documents; the numbers inside stay below 32 bits.
 FILE_IDS, FILE_DOCUMENTS = 1 << 27, 1 << 20
-#: Words that a task remembers, and words that go to the library in one call.
-MEMO_WORDS, CALL_WORDS = 1 << 18, 2000
+#: Words that a Python worker remembers from task to task (about 200 MB), and words that go to the library in one call.
+MEMO_WORDS, CALL_WORDS = 1 << 20, 200
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 16 << 20
+#: Signs that the usual pattern never joins to a letter before them, nor splits.
+SIGNS = ".,;:!?"
+# In byte-level vocabularies a visible byte stands for itself, the others, in order, for the characters from 256.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {byte: chr(byte) for byte in VISIBLE}
+BYTE_LETTERS |= {byte: chr(256 + place) for place, byte in enumerate(sorted(set(range(256)) - set(VISIBLE)))}
 POPULATION = np.array([bin(value).count("1") for value in range(256)], dtype=np.uint8)
 
 
@@ -212,9 +221,10 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
-        self.kind = f"<u{width}"
+        self.kind, self.size = f"<u{width}", width
         model = json.loads(definition)
         before = model.get("pre_tokenizer") or {}
+        added = model.get("added_tokens", [])
         nul = self.library.encode("\0", add_special_tokens=False)
         self.by_words = (
             model["model"]["type"] == "BPE"
@@ -224,11 +234,19 @@ class TextEncoder:
             and model.get("truncation") is None
             and model.get("padding") is None
             and len(nul.ids) == 1
+            # Special tokens inside a word are found there as well; those that take in spaces are not.
+            and not any(token["lstrip"] or token["rstrip"] or token["single_word"] for token in added)
+            and not any(token["content"].isalpha() for token in added)
+            and not any(len(token["content"].split()) != 1 or "\0" in token["content"] for token in added)
             and sum(nul.tokens[0] in token for token in model["model"]["vocab"]) == 1
         )
         self.between = nul.ids[0] if nul.ids else -1
-        self.special = [token["content"] for token in model.get("added_tokens", [])]
+        if self.by_words:
+            # The same merges without the usual pattern: it only splits at the character that stands for NUL.
+            apart = {"type": "Split", "pattern": {"String": BYTE_LETTERS[0]}, "behavior": "Isolated", "invert": False}
+            self.merges = Tokenizer.from_str(json.dumps(model | {"pre_tokenizer": apart}))
         self.memo: dict[str, bytes | None] = {}
+        self.signs: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
@@ -236,59 +254,110 @@ class TextEncoder:
     def whole(self, text: str) -> bytes:
         return self.packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Remember the ids of words that follow a space; None for a word that can't be cut off."""
-        plain = []
-        for word in words:
-            if not word or word[0].isspace() or word[-1].isspace() or "\0" in word or any(s in word for s in self.special):
-                self.memo[word] = None
-            else:
-                plain.append(word)
-        for start in range(0, len(plain), CALL_WORDS):
-            some = plain[start : start + CALL_WORDS]
-            joined = self.library.encode_batch_fast([" " + "\0 ".join(some)], add_special_tokens=False)[0].ids
+        if "" in words:
+            self.memo[""] = None
+        odd = [w for w in words if w and (w[0].isspace() or w[-1].isspace() or "\0" in w)]
+        self.memo.update(dict.fromkeys(odd))
+        # Signs after a letter are tokens of their own, so words that differ in them only are encoded once.
+        ends = [(w, core) for w in words.difference(odd, [""]) if (core := w.rstrip(SIGNS)) is not w and core and core[-1].isalpha()]
+        cores = {core for _, core in ends}
+        self.encode_words(list(words.difference(odd, [""], [w for w, _ in ends]) | (cores - self.memo.keys())))
+        for word, core in ends:
+            sign = word[len(core) :]
+            if sign not in self.signs:
+                self.signs[sign] = self.whole(sign)
+            self.memo[word] = self.memo[core] + self.signs[sign]
+
+    def encode_words(self, words: list[str]) -> None:
+        """Words without odd characters, each after a space, with a NUL between them.
+
+        A word of letters is one token before the merges, so the library need not look for where to split.
+        """
+        letters = list(filter(str.isalpha, words))
+        self.encode_joined(letters, self.merges, self.as_letters)
+        if len(letters) < len(words):
+            self.encode_joined([word for word in words if not word.isalpha()], self.library, lambda text: text)
+
+    def as_letters(self, text: str) -> str:
+        """The bytes of a text as the characters that stand for them in the vocabulary."""
+        return text.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+    def encode_joined(self, words: list[str], library, mapped) -> None:
+        for start in range(0, len(words), CALL_WORDS):
+            some = words[start : start + CALL_WORDS]
+            joined = library.encode_batch_fast([mapped(" " + "\0 ".join(some))], add_special_tokens=False)[0].ids
             ids = np.array(joined, dtype=self.kind)
             cuts = np.flatnonzero(ids == self.between)
             if len(cuts) != len(some) - 1:
                 raise ValueError("words and ids don't fit together")
             data, size = ids.tobytes(), ids.itemsize
             starts, ends = [0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(data)]
-            self.memo.update((word, data[a:b]) for word, a, b in zip(some, starts, ends))
+            self.memo.update(zip(some, map(data.__getitem__, map(slice, starts, ends))))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_words:
-            return [self.whole(text) for text in texts]
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text. Arrow finds the words and their distinct ones, and numpy puts their ids together."""
+        texts = texts.fill_null("")
+        if not self.by_words or not len(texts):
+            return [self.whole(text) for text in texts.to_pylist()]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        split = [text.split(" ") for text in texts]
-        new = {word for words in split for word in words[1:] if word not in self.memo}
-        self.learn(sorted(new))
-        memo, found = self.memo.__getitem__, []
-        for text, words in zip(texts, split):
-            rest = list(map(memo, words[1:]))
-            if None in rest or not words[0] or words[0][-1].isspace() or len(words) < 2:
-                found.append(self.whole(text) if text else b"")
+        split = pc.split_pattern(texts, " ")
+        words, borders = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        borders = (borders - borders[0]).astype(np.int64)
+        distinct = words.dictionary.to_pylist()
+        self.learn({word for word in distinct if word not in self.memo})
+        ids = list(map(self.memo.__getitem__, distinct))
+        cut_off = np.fromiter((one is not None for one in ids), dtype=bool, count=len(ids))
+        sizes = np.fromiter((len(one or b"") for one in ids), dtype=np.int32, count=len(ids)) // self.size
+        flat, starts = np.frombuffer(b"".join(filter(None, ids)), dtype=self.kind), np.cumsum(sizes, dtype=np.int32) - sizes
+        # The first word of a text follows no space, so it is encoded by itself.
+        index, first = words.indices.to_numpy(), borders[:-1]
+        firsts = words.dictionary.take(words.indices.take(pa.array(first))).to_pylist()
+        whole_words = cut_off[index]
+        whole_words[first] = [word != "" and not word[-1].isspace() for word in firsts]
+        plain = np.logical_and.reduceat(whole_words, first)
+        length = sizes[index]
+        length[first] = 0
+        length[~np.repeat(plain, np.diff(borders))] = 0
+        ends = np.cumsum(length, dtype=np.int32)
+        place = np.arange(ends[-1], dtype=np.int32) + np.repeat(starts[index] - ends + length, length)
+        together, after = flat[place], np.r_[0, ends][borders].tolist()
+        found = []
+        for number, (one, ok) in enumerate(zip(firsts, plain.tolist())):
+            if ok:
+                found.append(self.whole(one) + together[after[number] : after[number + 1]].tobytes())
             else:
-                found.append(self.whole(words[0]) + b"".join(rest))
+                # A word that can't be cut off, or nothing to cut: the whole text at once.
+                text = texts[number].as_py()
+                found.append(self.whole(text) if text else b"")
         return found
 
 
-def write_step(folder: str, definition: str, end_id: int, width: int):
+class SharedEncoder:
+    """What the driver broadcasts: each worker makes one encoder of it and keeps that for its later tasks."""
+
+    def __init__(self, definition: str, width: int):
+        self.definition, self.width, self.encoder = definition, width, None
+
+    def get(self) -> TextEncoder:
+        self.encoder = self.encoder or TextEncoder(self.definition, self.width)
+        return self.encoder
+
+
+def write_step(folder: str, shared: Broadcast, end_id: int):
     schema = pa.schema([("path", pa.string())] + [(n, pa.int64()) for n in ("task", "number", "documents", "ids")])
 
     def rows(batches: Batches) -> Iterator[tuple]:
-        encoder = TextEncoder(definition, width)
+        encoder, width = shared.value.get(), shared.value.width
         end, task, number, out = encoder.packed([end_id]), TaskContext.get().partitionId(), 0, None
 
         def encoded() -> Iterator[tuple]:
-            held, size = [], 0
-            for key, text in rows_of(batches):
-                held.append((key, text or ""))
-                size += len(held[-1][1])
-                if size >= 1 << 20:
-                    yield from zip((k for k, _ in held), encoder.encode([t for _, t in held]))
-                    held, size = [], 0
-            yield from zip((k for k, _ in held), encoder.encode([t for _, t in held]))
+            for batch in batches:
+                keys, texts = batch.columns
+                for start, count in runs_of(texts, ENCODE_BYTES):
+                    yield from zip(keys.slice(start, count).to_pylist(), encoder.encode(texts.slice(start, count)))
 
         for key, ids in encoded():
             if out and not out.takes(key):
@@ -322,7 +391,8 @@ def write(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str
         .select("key", "text")
     )
     fields = "path STRING, task BIGINT, number BIGINT, documents BIGINT, ids BIGINT"
-    step = write_step(folder, definition, end_id, 2 if largest < 1 << 16 else 4)
+    encoder = SharedEncoder(definition, 2 if largest < 1 << 16 else 4)
+    step = write_step(folder, df.sparkSession.sparkContext.broadcast(encoder), end_id)
     listing = Written(map_batches(ordered, fields, step), "token-listing").df
     # One row per file, so the sum over all of them is small.
     before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -35,14 +36,18 @@ def encoder():
 @given(st.text(alphabet="ab'stré1. \n\t\0  \x85\x1c!<|>日😀́"))
 def test_ids_of_any_text(text):
     encoder = made_once()
-    assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == wanted_ids(text)
+    assert np.frombuffer(encoder.encode(pa.array([text]))[0], "<u2").tolist() == wanted_ids(text)
+
+
+def test_nothing_to_encode(encoder):
+    assert encoder.encode(pa.array([], pa.string())) == []
 
 
 def test_ids_of_odd_texts(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_WORDS", 50)
     texts = ["", " ", "a", " a", "a ", "it's don't 's", "x <|endoftext|> y z", "a<|endoftext|>b c", "a \0b c\0 d", "word " * 3000, "x" * 9000]
     for _ in range(2):
-        for text, ids in zip(texts, encoder.encode(texts)):
+        for text, ids in zip(texts, encoder.encode(pa.array(texts))):
             assert np.frombuffer(ids, "<u2").tolist() == wanted_ids(text), text[:30]
 
 
