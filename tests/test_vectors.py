@@ -164,3 +164,15 @@ def test_model_slots(spark):
     assert rows(sized) == [("", [0.0]), ("abc", [3.0])]
     answered = search.generate(df.withColumnRenamed("t", "context"), lambda texts: texts.str.upper())
     assert rows(answered, "answer") == [("",), ("ABC",)]
+
+
+def test_cell_search_finds_nine_tenths(spark):
+    from lorebase.plans import retrieval
+
+    assert retrieval.ann_recall(spark, "/root/testdata/sf0.01").first().recall >= 0.9
+    # Rows of the table as queries.
+    known = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    asked = known.where("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "embedding")
+    index = search.with_cells(known, retrieval.ANN_BITS)
+    found = search.ann_top_k(index, asked, 10, retrieval.ANN_WITHIN, retrieval.ANN_BITS)
+    assert search.recall(search.top_k(known, asked, 10), found).first().recall >= 0.9
