@@ -101,3 +101,10 @@ def test_query(spark):
     assert len(found) == 1000 and {type(r.doc_id) for r in found} == {int}
     assert np.mean([r.toxic for r in found if flags.get(r.doc_id) == 1]) > 0.8
     assert np.mean([r.toxic for r in found if flags.get(r.doc_id) == 0]) < 0.02
+
+
+def test_ten_thousand_labelled_documents_are_learned_from(spark, monkeypatch):
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    labels = spark.range(12_000).selectExpr("id AS doc_id", "CAST(id % 9 = 0 AS INT) AS toxic")
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels: len(rows))
+    assert toxicity.trained(docs, labels) == 10_000
