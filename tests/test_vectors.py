@@ -176,3 +176,12 @@ def test_cell_search_finds_nine_tenths(spark):
     index = search.with_cells(known, retrieval.ANN_BITS)
     found = search.ann_top_k(index, asked, 10, retrieval.ANN_WITHIN, retrieval.ANN_BITS)
     assert search.recall(search.top_k(known, asked, 10), found).first().recall >= 0.9
+
+
+def test_cluster_search_finds_nine_tenths(spark):
+    from lorebase.plans import retrieval
+
+    assert retrieval.CENTROID_RECALL >= 0.9
+    assert tuple(retrieval.centroid_recall(spark, "/root/testdata/sf0.01").first()) == (100, True)
+    recalls = {r.queries: r.recall for r in retrieval.centroid_recalls(spark, "/root/testdata/sf0.01").collect()}
+    assert set(recalls) == {"labels", "rows"} and min(recalls.values()) >= 0.9
