@@ -7,7 +7,7 @@ that complement each other stand in one scope, a stretch without a blank line, a
 identifier and a secret, and the endpoints that lie within reach of one of the two.
 
 Linking is an interval join within a document: the parts of a scope are sorted by place, and each looks for the nearest
-complementary interval before and after it by bisection, so many parts cost n log n and no pairs are listed. Strong findings
+complementary interval before (by the furthest end so far) and after it by bisection, so many parts cost n log n and no pairs are listed. Strong findings
 take part as complements (an access key id as an identifier, the others as secrets). A document is one row, and rows don't
 meet, so nothing is shuffled and no key can be hot.
 
@@ -19,6 +19,7 @@ and null ids are scanned one by one; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -94,11 +95,16 @@ def weak(text: str, taken: list[Finding]) -> list[Finding]:
     return found
 
 
-def near(intervals: list[Finding], part: Finding) -> bool:
-    """Whether one of the intervals, apart from each other and in order, lies within reach of the part."""
+def furthest(intervals: list[Finding]) -> list[int]:
+    """The largest end among the intervals up to each one; those of different kinds may overlap."""
+    return list(itertools.accumulate((f.end for f in intervals), max))
+
+
+def near(intervals: list[Finding], ends: list[int], part: Finding) -> bool:
+    """Whether one of the intervals, in order and with their `furthest` ends, lies within reach of the part."""
     place = bisect.bisect_left(intervals, part)
     after = place < len(intervals) and intervals[place].start - part.end <= REACH
-    return after or place > 0 and part.start - intervals[place - 1].end <= REACH
+    return after or place > 0 and part.start - ends[place - 1] <= REACH
 
 
 def linked(text: str, base: list[Finding]) -> list[Finding]:
@@ -114,10 +120,12 @@ def linked(text: str, base: list[Finding]) -> list[Finding]:
     for parts in scopes.values():
         identifiers = sorted(p for p in parts if p.kind in (1, 3))
         secrets = sorted(p for p in parts if p.kind in (0, 2, 4))
-        paired = [p for p in identifiers if near(secrets, p)], [p for p in secrets if near(identifiers, p)]
+        to_secrets, to_identifiers = furthest(secrets), furthest(identifiers)
+        paired = [p for p in identifiers if near(secrets, to_secrets, p)], [p for p in secrets if near(identifiers, to_identifiers, p)]
         chosen = sorted([*paired[0], *paired[1]])
+        to_chosen = furthest(chosen)
         found += [p for p in chosen if p.kind > 2]
-        found += [p for p in parts if p.kind == 5 and near(chosen, p)]
+        found += [p for p in parts if p.kind == 5 and near(chosen, to_chosen, p)]
     return found
 
 

@@ -116,3 +116,9 @@ def test_query(spark):
         assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == n for _, k, _ in base) for n in range(3)]
         listed = [(int(s), k, int(e)) for k, s, e in (part.split(":") for part in re.findall(r"[^,]+", row.spans))]
         assert set(joined.split(",")) - {""} <= set(row.spans.split(",")) and listed == sorted(listed, key=lambda x: (x[0], secrets.KINDS.index(x[1])))
+
+
+def test_a_long_finding_reaches_beyond_one_inside_it():
+    long = "token=" + "a1" * 32 + "." + "x" * 400
+    assert kinds(long + " user = alice") == ["identifier"]
+    assert kinds(long + " user = alice https://example.org/a") == ["identifier", "endpoint"]
