@@ -30,6 +30,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,13 @@ from lorebase.session import fresh_path
 
 MAGIC = b"EFTOKENS"
 SAMPLE = 512
+#: Values whose low bits are packed at once.
+SLICE = 1 << 13
 #: A file is closed once it holds so many ids, or so many documents; the numbers inside stay below 32 bits.
 FILE_IDS, FILE_DOCUMENTS = 1 << 27, 1 << 20
-#: Words that a Python worker remembers from task to task (about 200 MB), and words that go to the library in one call.
-MEMO_WORDS, CALL_WORDS = 1 << 20, 200
+#: Words, and ids of words, that a Python worker remembers from task to task (about 200 MB), and words that go to the library
+#: in one call.
+MEMO_WORDS, MEMO_IDS, CALL_WORDS = 1 << 20, 1 << 24, 200
 #: Bytes of text that are encoded at once.
 ENCODE_BYTES = 16 << 20
 #: Signs that the usual pattern never joins to a letter before them, nor splits.
@@ -71,8 +75,13 @@ class EliasFano:
         if not count:
             return cls(0, 0, *(np.empty(0, dtype=np.uint8),) * 2, np.empty(0, dtype="<u4"))
         width = max(0, (int(values[-1]) // count).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(width)) & 1
-        low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
+        # Slices of a multiple of eight values end at whole bytes.
+        low = np.concatenate(
+            [
+                np.packbits(((part[:, None] >> np.arange(width)) & 1).astype(np.uint8).ravel(), bitorder="little")
+                for part in np.split(values, range(SLICE, count, SLICE))
+            ]
+        )
         ones = (values >> width) + np.arange(count)
         vector = np.zeros(int(ones[-1]) + 1, dtype=np.uint8)
         vector[ones] = 1
@@ -135,21 +144,24 @@ class TokenFileWriter:
         self.file = open_output(path)
         self.file.write(MAGIC)
 
-    def takes(self, key: int | None) -> bool:
-        """Whether a document still belongs here: the file isn't full, and the keys span less than 63 bits."""
-        if self.ids >= FILE_IDS or len(self.ends) >= FILE_DOCUMENTS:
-            return False
-        return key is None or not self.keys or key - self.keys[0] < 1 << 63
-
-    def add(self, key: int | None, ids: bytes) -> None:
-        """Keys ascend, nulls come first."""
-        if key is None:
-            self.nulls += 1
-        else:
-            self.keys.append(key)
-        self.file.write(ids)
-        self.ids += len(ids) // self.width
-        self.ends.append(self.ids)
+    def room(self, keys: pa.Array, ends: np.ndarray) -> int:
+        """How many of the next documents still belong here: the file isn't full, and the keys span less than 63 bits."""
+        before = self.ids + np.r_[0, ends[:-1]]
+        many = min(int(np.searchsorted(before, FILE_IDS)), FILE_DOCUMENTS - len(self.ends), len(ends))
+        known = keys.drop_null().to_pylist()
+        first = self.keys[0] if self.keys else known[0] if known else 0
+        if known and known[-1] - first >= 1 << 63:
+            many = min(many, keys.null_count + sum(key - first < 1 << 63 for key in known))
+        return many
+
+    def add(self, keys: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        """A run of documents; keys ascend, nulls come first."""
+        known = keys.drop_null().to_numpy()
+        self.nulls += keys.null_count
+        self.keys.frombytes(known.astype(np.int64).tobytes())
+        self.ends.frombytes((self.ids + ends).astype(np.int64).tobytes())
+        self.file.write(ids.tobytes())
+        self.ids += len(ids)
 
     def close(self) -> tuple[str, int, int]:
         """Path, number of documents and of ids."""
@@ -215,7 +227,11 @@ class TokenFile:
 
 
 class TextEncoder:
-    """Whole texts to packed ids, as the tokenizers library gives them without special tokens."""
+    """Whole texts to ids, as the tokenizers library gives them without special tokens.
+
+    A word that a worker has met has a slot: a stretch of one flat array that holds its ids. Texts are put together from the
+    stretches of their words with numpy, all texts of a call at once.
+    """
 
     def __init__(self, definition: str, width: int):
         from tokenizers import Tokenizer
@@ -245,94 +261,143 @@ class TextEncoder:
             # The same merges without the usual pattern: it only splits at the character that stands for NUL.
             apart = {"type": "Split", "pattern": {"String": BYTE_LETTERS[0]}, "behavior": "Isolated", "invert": False}
             self.merges = Tokenizer.from_str(json.dumps(model | {"pre_tokenizer": apart}))
-        self.memo: dict[str, bytes | None] = {}
-        self.signs: dict[str, bytes] = {}
-
-    def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.kind).tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return self.packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of words that follow a space; None for a word that can't be cut off."""
-        if "" in words:
-            self.memo[""] = None
-        odd = [w for w in words if w and (w[0].isspace() or w[-1].isspace() or "\0" in w)]
-        self.memo.update(dict.fromkeys(odd))
-        # Signs after a letter are tokens of their own, so words that differ in them only are encoded once.
-        ends = [(w, core) for w in words.difference(odd, [""]) if (core := w.rstrip(SIGNS)) is not w and core and core[-1].isalpha()]
-        cores = {core for _, core in ends}
-        self.encode_words(list(words.difference(odd, [""], [w for w, _ in ends]) | (cores - self.memo.keys())))
-        for word, core in ends:
-            sign = word[len(core) :]
-            if sign not in self.signs:
-                self.signs[sign] = self.whole(sign)
-            self.memo[word] = self.memo[core] + self.signs[sign]
-
-    def encode_words(self, words: list[str]) -> None:
-        """Words without odd characters, each after a space, with a NUL between them.
-
-        A word of letters is one token before the merges, so the library need not look for where to split.
-        """
-        letters = list(filter(str.isalpha, words))
-        self.encode_joined(letters, self.merges, self.as_letters)
-        if len(letters) < len(words):
-            self.encode_joined([word for word in words if not word.isalpha()], self.library, lambda text: text)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with no word but the empty one, which has no ids."""
+        self.flat, self.used = np.empty(1 << 16, dtype=self.kind), 0
+        self.starts, self.sizes, self.slots = np.zeros(1 << 14, dtype=np.int32), np.zeros(1 << 14, dtype=np.int32), 1
+        #: Slots of words that follow a space (-1: can't be cut off), of words that start a text, and of signs.
+        self.spaced: dict[str, int] = {}
+        self.first: dict[str, int] = {"": 0}
+        self.signs: dict[str, int] = {}
+
+    def store(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """The new slots of words with so many ids each."""
+        first, used = self.slots, self.used
+        self.slots, self.used = first + len(sizes), used + len(ids)
+        self.flat = grown(self.flat, self.used)
+        self.starts, self.sizes = grown(self.starts, self.slots), grown(self.sizes, self.slots)
+        self.flat[used : self.used] = ids
+        self.sizes[first : self.slots] = sizes
+        self.starts[first : self.slots] = used + np.cumsum(sizes) - sizes
+        return range(first, self.slots)
+
+    def gathered(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of slots one after the other, and where those of each end."""
+        sizes = self.sizes[slots]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.arange(total, dtype=np.int32) + np.repeat(self.starts[slots] - ends + sizes, sizes)
+        return self.flat[place], ends
+
+    def whole(self, texts: list[str]) -> range:
+        """New slots with the ids of whole texts, from the library."""
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        lists = [one.ids for one in found]
+        sizes = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
+        return self.store(np.fromiter(chain.from_iterable(lists), dtype=self.kind, count=int(sizes.sum())), sizes)
+
+    def learn(self, words: list[str]) -> None:
+        """Give slots to new words that follow a space."""
+        spaced, letters, others, ends = self.spaced, [], [], []
+        for word in words:
+            if not word or word[0].isspace() or word[-1].isspace() or "\0" in word:
+                spaced[word] = -1
+            elif word.isalpha():
+                letters.append(word)
+            # Signs after a letter are tokens of their own, so words that differ in them only are encoded once.
+            elif word[-1] in SIGNS and (core := word.rstrip(SIGNS)) and core[-1].isalpha():
+                ends.append((word, core))
+            else:
+                others.append(word)
+        cores = {core for _, core in ends if core not in spaced}.difference(letters, others)
+        letters += filter(str.isalpha, cores)
+        others += [core for core in cores if not core.isalpha()]
+        # A word of letters is one token before the merges, so the library need not look for where to split.
+        self.learn_joined(letters, self.merges, self.as_letters)
+        self.learn_joined(others, self.library, lambda text: text)
+        if ends:
+            tails = [word[len(core) :] for word, core in ends]
+            new = sorted(set(tails) - self.signs.keys())
+            self.signs.update(zip(new, self.whole(new)))
+            both = np.array([(spaced[core], self.signs[tail]) for (_, core), tail in zip(ends, tails)], dtype=np.int32)
+            ids, stops = self.gathered(both.ravel())
+            spaced.update(zip((word for word, _ in ends), self.store(ids, np.diff(stops[1::2], prepend=0))))
 
     def as_letters(self, text: str) -> str:
         """The bytes of a text as the characters that stand for them in the vocabulary."""
         return text.encode().decode("latin-1").translate(BYTE_LETTERS)
 
-    def encode_joined(self, words: list[str], library, mapped) -> None:
+    def learn_joined(self, words: list[str], library, mapped) -> None:
+        """Words without odd characters, each after a space, with a NUL between them, many in one call."""
         for start in range(0, len(words), CALL_WORDS):
             some = words[start : start + CALL_WORDS]
             joined = library.encode_batch_fast([mapped(" " + "\0 ".join(some))], add_special_tokens=False)[0].ids
             ids = np.array(joined, dtype=self.kind)
-            cuts = np.flatnonzero(ids == self.between)
+            kept = ids != self.between
+            cuts = np.flatnonzero(~kept)
             if len(cuts) != len(some) - 1:
                 raise ValueError("words and ids don't fit together")
-            data, size = ids.tobytes(), ids.itemsize
-            starts, ends = [0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(data)]
-            self.memo.update(zip(some, map(data.__getitem__, map(slice, starts, ends))))
+            sizes = np.diff(np.r_[-1, cuts, len(ids)]) - 1
+            self.spaced.update(zip(some, self.store(ids[kept], sizes)))
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """The ids of each text. Arrow finds the words and their distinct ones, and numpy puts their ids together."""
+    def slots_of(self, known: dict[str, int], words: list[str], learn) -> np.ndarray:
+        new = [word for word in words if word not in known]
+        if new:
+            learn(new)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
+
+    def encode_flat(self, texts: pa.Array, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where those of each end.
+
+        Arrow finds the words and their distinct ones. `spaced`: every text as if a space stood before it.
+        """
         texts = texts.fill_null("")
-        if not self.by_words or not len(texts):
-            return [self.whole(text) for text in texts.to_pylist()]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        if not len(texts):
+            return np.empty(0, dtype=self.kind), np.empty(0, dtype=np.int64)
+        if not self.by_words:
+            self.forget()
+            return self.gathered(np.array(self.whole([" " * spaced + text for text in texts.to_pylist()])))
+        if len(self.spaced) + len(self.first) > MEMO_WORDS or self.used > MEMO_IDS:
+            self.forget()
         split = pc.split_pattern(texts, " ")
         words, borders = split.flatten().dictionary_encode(), split.offsets.to_numpy()
         borders = (borders - borders[0]).astype(np.int64)
-        distinct = words.dictionary.to_pylist()
-        self.learn({word for word in distinct if word not in self.memo})
-        ids = list(map(self.memo.__getitem__, distinct))
-        cut_off = np.fromiter((one is not None for one in ids), dtype=bool, count=len(ids))
-        sizes = np.fromiter((len(one or b"") for one in ids), dtype=np.int32, count=len(ids)) // self.size
-        flat, starts = np.frombuffer(b"".join(filter(None, ids)), dtype=self.kind), np.cumsum(sizes, dtype=np.int32) - sizes
-        # The first word of a text follows no space, so it is encoded by itself.
-        index, first = words.indices.to_numpy(), borders[:-1]
-        firsts = words.dictionary.take(words.indices.take(pa.array(first))).to_pylist()
-        whole_words = cut_off[index]
-        whole_words[first] = [word != "" and not word[-1].isspace() for word in firsts]
-        plain = np.logical_and.reduceat(whole_words, first)
-        length = sizes[index]
-        length[first] = 0
-        length[~np.repeat(plain, np.diff(borders))] = 0
-        ends = np.cumsum(length, dtype=np.int32)
-        place = np.arange(ends[-1], dtype=np.int32) + np.repeat(starts[index] - ends + length, length)
-        together, after = flat[place], np.r_[0, ends][borders].tolist()
-        found = []
-        for number, (one, ok) in enumerate(zip(firsts, plain.tolist())):
-            if ok:
-                found.append(self.whole(one) + together[after[number] : after[number + 1]].tobytes())
-            else:
-                # A word that can't be cut off, or nothing to cut: the whole text at once.
-                text = texts[number].as_py()
-                found.append(self.whole(text) if text else b"")
-        return found
+        slots = self.slots_of(self.spaced, words.dictionary.to_pylist(), self.learn)[words.indices.to_numpy()]
+        starts = borders[:-1]
+        if not spaced:
+            # The first word of a text follows no space, so it is encoded by itself; white space at its end reaches further.
+            firsts = words.dictionary.take(words.indices.take(pa.array(starts))).to_pylist()
+            slots[starts] = self.slots_of(self.first, firsts, self.learn_first)
+        # A word that can't be cut off, or nothing to cut: the whole text at once, in the place of its first word.
+        odd = np.flatnonzero(np.minimum.reduceat(slots, starts) < 0)
+        before = self.slots, self.used
+        if len(odd):
+            slots[np.repeat(np.isin(np.arange(len(texts)), odd), np.diff(borders))] = 0
+            slots[starts[odd]] = self.whole([" " * spaced + texts[number].as_py() for number in odd.tolist()])
+        ids, ends = self.gathered(slots)
+        self.slots, self.used = before
+        return ids, ends[borders[1:] - 1].astype(np.int64)
+
+    def learn_first(self, words: list[str]) -> None:
+        new = list(dict.fromkeys(words))
+        self.first.update(zip(new, self.whole(new)))
+        self.first.update((word, -1) for word in new if word[-1].isspace())
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of each text."""
+        ids, ends = self.encode_flat(texts)
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """`values` with room for `size` numbers."""
+    if size <= len(values):
+        return values
+    out = np.zeros(max(size, 2 * len(values)), dtype=values.dtype)
+    out[: len(values)] = values
+    return out
 
 
 class SharedEncoder:
@@ -346,26 +411,35 @@ class SharedEncoder:
         return self.encoder
 
 
+def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """`end_id` after the ids of every text."""
+    return np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+
+
 def write_step(folder: str, shared: Broadcast, end_id: int):
     schema = pa.schema([("path", pa.string())] + [(n, pa.int64()) for n in ("task", "number", "documents", "ids")])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         encoder, width = shared.value.get(), shared.value.width
-        end, task, number, out = encoder.packed([end_id]), TaskContext.get().partitionId(), 0, None
+        task, number, out = TaskContext.get().partitionId(), 0, None
 
         def encoded() -> Iterator[tuple]:
             for batch in batches:
                 keys, texts = batch.columns
                 for start, count in runs_of(texts, ENCODE_BYTES):
-                    yield from zip(keys.slice(start, count).to_pylist(), encoder.encode(texts.slice(start, count)))
-
-        for key, ids in encoded():
-            if out and not out.takes(key):
-                path, documents, total = out.close()
-                yield path, task, number, documents, total
-                out, number = None, number + 1
-            out = out or TokenFileWriter(attempt_path(folder, "ids", task, number, ".eft"), width)
-            out.add(key, ids + end)
+                    yield keys.slice(start, count), *with_end(*encoder.encode_flat(texts.slice(start, count)), end_id)
+
+        for keys, ids, ends in encoded():
+            while len(ends):
+                if out and not out.room(keys, ends):
+                    path, documents, total = out.close()
+                    yield path, task, number, documents, total
+                    out, number = None, number + 1
+                out = out or TokenFileWriter(attempt_path(folder, "ids", task, number, ".eft"), width)
+                many = out.room(keys, ends)
+                stop = int(ends[many - 1])
+                out.add(keys.slice(0, many), ids[:stop], ends[:many])
+                keys, ids, ends = keys.slice(many), ids[stop:], ends[many:] - stop
         if out:
             path, documents, total = out.close()
             yield path, task, number, documents, total
@@ -386,7 +460,8 @@ def write(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str
     ordered = (
         df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
         .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("key", "tie")
+        # Rows equal in id and text are dealt out as well; they give the same ids in any order.
+        .repartitionByRange("key", "tie", F.rand(seed=0))
         .sortWithinPartitions("key", "tie")
         .select("key", "text")
     )
