@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import chat, decontaminate, neardup, pieces, quality, rules, secrets, token_files, toxicity, warc
+from lorebase.llm import chat, decontaminate, neardup, packing, pieces, quality, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -121,6 +122,22 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def _packing_digests(batches: Batches) -> Batches:
+    """The pieces with a checksum in place of their ids."""
+    for batch in batches:
+        lists = batch.column("ids")
+        flat, ends = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
+        sums = pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())], type=pa.int64())
+        yield pa.record_batch([*batch.columns[:-1], sums], names=[*batch.schema.names[:-1], "ids_crc32"])
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in a sequence of 1024 ids, with a checksum of its ids."""
+    fields = "doc_id BIGINT, start BIGINT, length BIGINT, doc_tokens BIGINT, sequence_id BIGINT, offset BIGINT, ids_crc32 BIGINT"
+    docs = read_table(spark, folder, "documents")
+    return packing.pack(docs, BYTE_MODEL, end_id=0, schema=fields, steps=(_packing_digests,))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -132,6 +149,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
     "op10_quality": op10_quality,
+    "op12_packing": op12_packing,
 }
 
 ORACLES = {
