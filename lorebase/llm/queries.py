@@ -9,7 +9,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import chat, decontaminate, neardup, packing, pieces, quality, rules, secrets, token_files, toxicity, warc
+from lorebase.llm import chat, decontaminate, derivation, neardup, packing, pieces, quality, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -138,6 +138,11 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, BYTE_MODEL, end_id=0, schema=fields, steps=(_packing_digests,))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and its digest of every damaged conversation."""
+    return derivation.repairs(derivation.damaged(read_table(spark, folder, "conversations")), copies="copies")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -150,6 +155,7 @@ QUERIES = {
     "op9_neardup": op9_neardup,
     "op10_quality": op10_quality,
     "op12_packing": op12_packing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
