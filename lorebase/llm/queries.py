@@ -9,7 +9,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lorebase.llm import chat, decontaminate, derivation, neardup, packing, pieces, quality, rules, secrets, token_files, toxicity, warc
+from lorebase.llm import alignment, chat, decontaminate, derivation, neardup, packing, pieces, quality, rules, secrets, token_files, toxicity, warc
 from lorebase.llm.common import Batches
 from lorebase.sources.readers import read_table
 
@@ -122,6 +122,13 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document, and how widespread the linked ids are."""
+    found = alignment.alignment(read_table(spark, folder, "documents"), BYTE_MODEL, PIECE_MODEL, digest=True)
+    counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return found.select("doc_id", *counts, F.col("groups").alias("groups_sha256"))
+
+
 def _packing_digests(batches: Batches) -> Batches:
     """The pieces with a checksum in place of their ids."""
     for batch in batches:
@@ -154,6 +161,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_neardup": op9_neardup,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
     "op12_packing": op12_packing,
     "op13_conversation_repair": op13_conversation_repair,
 }

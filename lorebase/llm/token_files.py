@@ -226,6 +226,17 @@ class TokenFile:
         self.file.close()
 
 
+#: Distinct words, the number of each word among them, and the places of the first word of each text and of the end.
+Words = tuple[list[str], np.ndarray, np.ndarray]
+
+
+def words_of(texts: pa.Array) -> Words:
+    """What stands between single spaces; Arrow finds the words and their distinct ones."""
+    split = pc.split_pattern(texts.fill_null(""), " ")
+    words, borders = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+    return words.dictionary.to_pylist(), words.indices.to_numpy(), (borders - borders[0]).astype(np.int64)
+
+
 class TextEncoder:
     """Whole texts to ids, as the tokenizers library gives them without special tokens.
 
@@ -348,10 +359,10 @@ class TextEncoder:
             learn(new)
         return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
 
-    def encode_flat(self, texts: pa.Array, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    def encode_flat(self, texts: pa.Array, spaced: bool = False, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where those of each end.
 
-        Arrow finds the words and their distinct ones. `spaced`: every text as if a space stood before it.
+        `spaced`: every text as if a space stood before it. `words`: `words_of(texts)`, if it is known.
         """
         texts = texts.fill_null("")
         if not len(texts):
@@ -361,14 +372,12 @@ class TextEncoder:
             return self.gathered(np.array(self.whole([" " * spaced + text for text in texts.to_pylist()])))
         if len(self.spaced) + len(self.first) > MEMO_WORDS or self.used > MEMO_IDS:
             self.forget()
-        split = pc.split_pattern(texts, " ")
-        words, borders = split.flatten().dictionary_encode(), split.offsets.to_numpy()
-        borders = (borders - borders[0]).astype(np.int64)
-        slots = self.slots_of(self.spaced, words.dictionary.to_pylist(), self.learn)[words.indices.to_numpy()]
+        distinct, index, borders = words or words_of(texts)
+        slots = self.slots_of(self.spaced, distinct, self.learn)[index]
         starts = borders[:-1]
         if not spaced:
             # The first word of a text follows no space, so it is encoded by itself; white space at its end reaches further.
-            firsts = words.dictionary.take(words.indices.take(pa.array(starts))).to_pylist()
+            firsts = list(map(distinct.__getitem__, index[starts].tolist()))
             slots[starts] = self.slots_of(self.first, firsts, self.learn_first)
         # A word that can't be cut off, or nothing to cut: the whole text at once, in the place of its first word.
         odd = np.flatnonzero(np.minimum.reduceat(slots, starts) < 0)
