@@ -23,18 +23,19 @@ from __future__ import annotations
 import json
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.llm.common import Batches, in_batches, map_batches, runs_of
+from lorebase.llm.common import BATCH_ROWS, Batches, map_batches, runs_of
 from lorebase.llm.token_files import SharedEncoder, with_end
 
 CAPACITY = 1024
 #: Bytes of text that are encoded at once.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 16 << 20
 #: Sequences that a task can number.
 TASK_SEQUENCES = 1 << 40
 
@@ -116,20 +117,33 @@ PIECE_SCHEMA = pa.schema(
 
 
 def pack_step(shared: Broadcast, end_id: int, capacity: int):
-    def rows(batches: Batches) -> Iterator[tuple]:
+    def step(batches: Batches) -> Batches:
         encoder = shared.value.get()
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() * TASK_SEQUENCES)
         for batch in batches:
             keys, texts = batch.columns
             for start, count in runs_of(texts, ENCODE_BYTES):
                 ids, ends = with_end(*encoder.encode_flat(texts.slice(start, count)), end_id)
-                before = 0
-                for key, end in zip(keys.slice(start, count).to_pylist(), ends.tolist()):
-                    yield from packer.add(key, ids[before:end])
-                    before = end
-        yield from packer.close()
+                yield from records(packed(packer, keys.slice(start, count).to_pylist(), ids, ends.tolist()))
+        yield from records(packer.close())
 
-    return lambda batches: in_batches(rows(batches), PIECE_SCHEMA)
+    return step
+
+
+def packed(packer: HarmonicPacker, keys: list, ids: np.ndarray, ends: list[int]) -> Iterator[tuple]:
+    before = 0
+    for key, end in zip(keys, ends):
+        yield from packer.add(key, ids[before:end])
+        before = end
+
+
+def records(pieces: Iterator[tuple]) -> Batches:
+    """Pieces as record batches, with their ids in one flat array."""
+    while some := list(islice(pieces, BATCH_ROWS)):
+        *columns, ids = zip(*some)
+        offsets = np.cumsum([0, *columns[2]], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))
+        yield pa.record_batch([*(pa.array(column, pa.int64()) for column in columns), lists], schema=PIECE_SCHEMA)
 
 
 def pack(
