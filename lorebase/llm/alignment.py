@@ -38,7 +38,7 @@ from lorebase.llm.pieces import SPACE, PieceModel
 from lorebase.llm.token_files import BYTE_LETTERS, TextEncoder, words_of
 
 #: Bytes of text that are aligned at once, and tokens of A after which a long document gets another strip.
-BATCH_BYTES, STRIP = 4 << 20, 256
+BATCH_BYTES, STRIP = 2 << 20, 256
 #: Tokens that are tried for the cut of a strip.
 TRIES = 32
 #: Rows of a file of counts; rows of counts that a worker holds (about 300 MB); distinct pairs after which a task hands its counts on.
@@ -54,7 +54,7 @@ class PieceEncoder(TextEncoder):
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_proto=model)
-        self.kind, self.by_words = "<u2" if size < 1 << 16 else "<u4", by_words
+        self.kind, self.by_words, self.sharing = "<u2" if size < 1 << 16 else "<u4", by_words, 2
         self.forget()
 
     def stored(self, texts: list[str]) -> range:
@@ -110,7 +110,7 @@ class Tokenizers:
 
     def encoders(self) -> tuple[TextEncoder, PieceEncoder]:
         if self.made is None:
-            by_bytes = TextEncoder(self.definition, 2 if self.sizes[0] < 1 << 16 else 4)
+            by_bytes = TextEncoder(self.definition, 2 if self.sizes[0] < 1 << 16 else 4, sharing=2)
             self.made = by_bytes, PieceEncoder(self.model, self.sizes[1], self.piece_words)
         return self.made
 

@@ -241,12 +241,14 @@ class TextEncoder:
     """Whole texts to ids, as the tokenizers library gives them without special tokens.
 
     A word that a worker has met has a slot: a stretch of one flat array that holds its ids. Texts are put together from the
-    stretches of their words with numpy, all texts of a call at once.
+    stretches of their words with numpy, all texts of a call at once. `sharing`: encoders that share a worker's memory.
     """
 
-    def __init__(self, definition: str, width: int):
+    def __init__(self, definition: str, width: int, sharing: int = 1):
         from tokenizers import Tokenizer
 
+        self.sharing = sharing
+
         self.library = Tokenizer.from_str(definition)
         self.kind, self.size = f"<u{width}", width
         model = json.loads(definition)
@@ -370,7 +372,7 @@ class TextEncoder:
         if not self.by_words:
             self.forget()
             return self.gathered(np.array(self.whole([" " * spaced + text for text in texts.to_pylist()])))
-        if len(self.spaced) + len(self.first) > MEMO_WORDS or self.used > MEMO_IDS:
+        if len(self.spaced) + len(self.first) > MEMO_WORDS // self.sharing or self.used > MEMO_IDS // self.sharing:
             self.forget()
         distinct, index, borders = words or words_of(texts)
         slots = self.slots_of(self.spaced, distinct, self.learn)[index]
