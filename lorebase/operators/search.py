@@ -38,7 +38,7 @@ def unusable(vectors: DataFrame) -> DataFrame:
     return vectors.filter(~finite(F.col("embedding")))
 
 
-def _first_k(query: np.ndarray, score: np.ndarray, idents: list[np.ndarray], k: int) -> np.ndarray:
+def first_k(query: np.ndarray, score: np.ndarray, idents: list[np.ndarray], k: int) -> np.ndarray:
     """Index of the k best rows of every query, best first, equal scores by id."""
     order = np.lexsort((*idents[::-1], -score, query))
     sorted_query = query[order]
@@ -47,7 +47,7 @@ def _first_k(query: np.ndarray, score: np.ndarray, idents: list[np.ndarray], k:
     return order[rank < k]
 
 
-def _candidates(scores: np.ndarray, floor: np.ndarray, k: int):
+def candidates(scores: np.ndarray, floor: np.ndarray, k: int):
     """(query, vector, score) of a slice that may still be among the best k.
 
     A query that has k hits takes only scores from its lowest on; one that has not takes the best k of the slice and
@@ -63,7 +63,7 @@ def _candidates(scores: np.ndarray, floor: np.ndarray, k: int):
     return query[taken], vector[taken], score[taken]
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
+def matrix_of(vectors: pa.Array) -> np.ndarray:
     """Vectors of one length as a matrix, straight from the flat numbers of the batch."""
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
     if not len(lengths):
@@ -74,21 +74,21 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return numbers.reshape(len(lengths), -1)
 
 
-def _usable(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+def usable(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
     """The rows with a vector of finite numbers, and these vectors."""
     batch = batch.filter(pc.is_valid(batch.column("embedding")))
-    vectors = _matrix(batch.column("embedding"))
+    vectors = matrix_of(batch.column("embedding"))
     good = np.isfinite(vectors).all(axis=1)
     return (batch, vectors) if good.all() else (batch.filter(pa.array(good)), vectors[good])
 
 
-def _block(folder: str) -> tuple[np.ndarray, np.ndarray]:
+def query_block(folder: str) -> tuple[np.ndarray, np.ndarray]:
     """One block of the stored queries: (ids, matrix)."""
     filesystem, name = pyarrow.fs.FileSystem.from_uri(folder)
     table = ds.dataset(name, filesystem=filesystem, format="parquet").to_table(["query_id", "embedding"]).combine_chunks()
     if not table.num_rows:
         return np.empty(0, dtype=np.int64), np.empty((0, 0))
-    rows, matrix = _usable(table.to_batches()[0])
+    rows, matrix = usable(table.to_batches()[0])
     return rows.column("query_id").to_numpy(), matrix
 
 
@@ -96,7 +96,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
     """Partition function: best k of the partition's vectors for each query of the block."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, matrix = _block(folder)
+        queries, matrix = query_block(folder)
         probes = None if probe is None else probe(matrix)
         every = np.arange(len(queries))
         best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), [np.empty(0, dtype=np.int64) for _ in ids]
@@ -104,7 +104,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
         step = max(16, SCORES // max(1, len(queries)))
         for batch in batches if len(queries) else ():
             for start in range(0, batch.num_rows, step):
-                part, vectors = _usable(batch.slice(start, step))
+                part, vectors = usable(batch.slice(start, step))
                 if not len(vectors):
                     continue
                 idents = [part.column(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ids]
@@ -116,7 +116,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
                         continue
                     members = owner == cell
                     scores = (matrix if len(asking) == len(queries) else matrix[asking]) @ vectors[members].T
-                    q, v, s = _candidates(scores, floor[asking], k)
+                    q, v, s = candidates(scores, floor[asking], k)
                     found_q.append(asking[q])
                     found_s.append(s)
                     for held, one in zip(found_i, idents):
@@ -124,7 +124,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
                 q, s, i = np.concatenate(found_q), np.concatenate(found_s), [np.concatenate(held) for held in found_i]
                 if len(q) == len(best_q):
                     continue
-                kept = _first_k(q, s, i, k)
+                kept = first_k(q, s, i, k)
                 best_q, best_s, best_i = q[kept], s[kept], [one[kept] for one in i]
                 # The hits are in order of query and rank: where there are k, the last one sets the limit.
                 ends = np.flatnonzero(np.r_[best_q[1:] != best_q[:-1], True])
@@ -136,7 +136,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
     return job
 
 
-def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, list[str]]:
+def stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> tuple[DataFrame, list[str]]:
     """The queries, worked out and written once, and the folders of their blocks of about QUERY_BYTES."""
     spark, path = queries.sparkSession, fresh_path(queries.sparkSession, "queries")
     queries.select(F.col("query_id").cast("long"), "embedding").write.parquet(path)
@@ -153,7 +153,8 @@ def _stored_queries(queries: DataFrame, cells: int, block_rows: int | None) -> t
     return kept, [f"{blocks}/block={number}" for number in sorted(row.block for row in used)]
 
 
-def _ranked(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
+def ranked(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
+    """The k best hits of each query, equal scores by id, with their rank."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), *ids)
     return (
         hits.withColumn("rank", F.row_number().over(best))
@@ -168,7 +169,7 @@ def _probed(queries: DataFrame, probe: Callable[[np.ndarray], np.ndarray]) -> li
     def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                looked = np.flatnonzero(probe(_matrix(batch.column("embedding"))).any(axis=0))
+                looked = np.flatnonzero(probe(matrix_of(batch.column("embedding"))).any(axis=0))
                 yield pa.record_batch([looked.astype(np.int32)], names=["cell"])
 
     return sorted(row.cell for row in queries.select("embedding").mapInArrow(cells_of, "cell INT").distinct().collect())
@@ -185,7 +186,7 @@ def _search(
 ) -> DataFrame:
     """Best k per query. `probe` maps a block's matrix to a table (query, cell) of what each query looks into."""
     names = list(ids)
-    asked, blocks = _stored_queries(queries, cells, block_rows)
+    asked, blocks = stored_queries(queries, cells, block_rows)
     # Tasks leave out unusable vectors: a filter here would be worked out before the vectors, and so make them twice.
     scanned = vectors.select(*names, "embedding") if probe is None else vectors.select(*names, "embedding", "cell")
     if probe is not None and blocks:
@@ -195,8 +196,8 @@ def _search(
     fields = f"query_id BIGINT, {', '.join(f'{name} BIGINT' for name in names)}, score DOUBLE"
     found = [scanned.mapInArrow(_scan(folder, names, k, probe), fields) for folder in blocks]
     if not found:
-        return _ranked(vectors.sparkSession.createDataFrame([], fields), names, k)
-    return _ranked(reduce(DataFrame.unionByName, found), names, k)
+        return ranked(vectors.sparkSession.createDataFrame([], fields), names, k)
+    return ranked(reduce(DataFrame.unionByName, found), names, k)
 
 
 def top_k(
@@ -249,7 +250,7 @@ def with_centroid_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
 
     @F.pandas_udf("int")
     def nearest(batch: pd.Series) -> pd.Series:
-        vectors = _matrix(pa.array(batch))
+        vectors = matrix_of(pa.array(batch))
         return pd.Series(np.argmax(vectors @ near.value.T, axis=1).astype(np.int32))
 
     return vectors.withColumn("cell", nearest("embedding"))

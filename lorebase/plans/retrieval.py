@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorebase.functions import text, vectors
-from lorebase.operators import evaluate, search, service, tools
+from lorebase.operators import evaluate, quantised, search, service, tools
 from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
 from lorebase.plans.roles import TOOLS
-from lorebase.session import fresh_path, stored
+from lorebase.session import stored
 from lorebase.sources.readers import read_table, read_texts
 
 CONTEXT_CHUNKS = 3
 #: The least share of cells that found 0.9 of the exact hits on every table measured (README).
 ANN_BITS, ANN_WITHIN = 7, 4
-#: What the search over CENTROID_PROBES of 32 clusters finds at least.
-CENTROID_RECALL, CENTROID_PROBES = 0.9, 20
+#: What the search over the codes of 32 clusters finds at least.
+CENTROID_RECALL = 0.9
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,34 +56,46 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """The same search over a stored index of sign cells, of which only the probed ones are read."""
+    """The same search over the sign cells near each query's own, worked out in the scan: an index pays off for many searches."""
     known = _vectors(spark, sf)
-    path = fresh_path(spark, "index")
-    search.write_index(search.with_cells(known.select("vec_id", "embedding"), ANN_BITS), path)
-    return search.ann_top_k(search.read_index(spark, path), search.label_queries(known), 10, ANN_WITHIN, ANN_BITS)
+    return search.ann_top_k(search.with_cells(known.select("vec_id", "embedding"), ANN_BITS), search.label_queries(known), 10, ANN_WITHIN, ANN_BITS)
 
 
 def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
     return search.recall(vector_topk(spark, sf), ann_topk(spark, sf))
 
 
-def centroid_recalls(spark: SparkSession, sf: str) -> DataFrame:
-    """The recall of a search over CENTROID_PROBES of 32 stored clusters, by label means and by each twentieth row as queries."""
+def _quantised(spark: SparkSession, sf: str) -> quantised.Index:
+    """The stored codes of all vectors, by clusters and what is left of each vector."""
     known = _vectors(spark, sf)
-    centroids = search.fit_centroids(known, 32)
-    path = fresh_path(spark, "index")
-    search.write_index(search.with_centroid_cells(known.select("vec_id", "embedding"), centroids), path)
+    return quantised.build(known, quantised.fit(known))
+
+
+def pq_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors most typical of each label, found among the codes of all vectors and ranked by their exact scores."""
+    return quantised.quantised_top_k(_quantised(spark, sf), search.label_queries(_vectors(spark, sf)), 10)
+
+
+def centroid_recalls(spark: SparkSession, sf: str) -> DataFrame:
+    """Recall of the search over codes by label means and by each twentieth row as queries, and the share of the vectors' bytes it reads."""
+    known, index = _vectors(spark, sf), _quantised(spark, sf)
     rows = known.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
 
     def measured(name: str, asked: DataFrame) -> DataFrame:
-        found = search.centroid_top_k(search.read_index(spark, path), asked, centroids, 10, CENTROID_PROBES)
-        return search.recall(search.top_k(known, asked, 10), found).select(F.lit(name).alias("queries"), "expected", "found", "recall")
+        found = search.recall(search.top_k(known, asked, 10), quantised.quantised_top_k(index, asked, 10))
+        read = quantised.bytes_read(index, asked, 10).select("share")
+        return found.crossJoin(F.broadcast(read)).select(F.lit(name).alias("queries"), "expected", "found", "recall", "share")
 
     return measured("labels", search.label_queries(known)).unionByName(measured("rows", rows))
 
 
+def pq_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """`centroid_recalls` as a query: (queries, expected, found, recall, share)."""
+    return centroid_recalls(spark, sf)
+
+
 def centroid_recall(spark: SparkSession, sf: str) -> DataFrame:
-    """The exact hits by label, and whether the search by clusters finds the share that it should, by label and by rows."""
+    """The exact hits by label, and whether the search over codes finds the share that it should, by label and by rows."""
     enough = F.bool_and(F.coalesce(F.col("recall") >= CENTROID_RECALL, F.lit(True)))
     expected = F.max(F.when(F.col("queries") == "labels", F.col("expected")))
     return centroid_recalls(spark, sf).agg(expected.alias("expected"), enough.alias("reached"))
@@ -171,6 +183,8 @@ QUERIES = {
         ann_topk,
         ann_recall,
         centroid_recall,
+        pq_topk,
+        pq_recall,
         retrieval_relevance,
         search_documents,
         retrieval_safety,
