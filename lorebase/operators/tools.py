@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lorebase.functions.vectors import as_array, dot, embed, literal_vector
 from lorebase.operators.skew import HOT_ROWS, split_join
@@ -16,7 +17,8 @@ from lorebase.operators.skew import HOT_ROWS, split_join
 class Tool:
     """A named tool. It answers all calls at once, in one of two ways.
 
-    `answers` has one row (key, value) per value of the argument `param`; calls are joined to it. `run` maps call
+    `answers` has one row (key, value) per value of the argument `param`; calls are joined to it. Of a tool with several
+    arguments, `param` lists them with commas between, and the key is what `joint_key` makes of their values. `run` maps call
     rows (conv_id, seq, call_id, name, args) to the same rows with `value` and `error`; it takes precedence.
     """
 
@@ -27,6 +29,25 @@ class Tool:
     answers: DataFrame | None = None
     run: Callable[[DataFrame], DataFrame] | None = None
 
+    @property
+    def needs(self) -> list[str]:
+        """The names of its arguments."""
+        return [name.strip() for name in self.param.split(",") if name.strip()]
+
+
+def joint_key(*values: Column) -> Column:
+    """One key for several arguments, told apart whatever they hold; null if one is null."""
+    every = reduce(lambda a, b: a & b, [value.isNotNull() for value in values])
+    return F.when(every, F.to_json(F.array(*(value.cast("string") for value in values))))
+
+
+def function_tool(spark: SparkSession, function: str, name: str = "", **bound) -> Tool:
+    """A tool described by the comments of an SQL function: its own is the description, its parameters are the arguments."""
+    lines = [row[0] for row in spark.sql(f"DESCRIBE FUNCTION EXTENDED {function}").collect()]
+    usage = next((json.loads(line[len("Usage: ") :]) for line in lines if line.startswith("Usage: {")), {})
+    params = T.StructType.fromDDL(usage.get("sqlFunction.inputParam", ""))
+    return Tool(name or function, usage.get("sqlFunction.comment", ""), ",".join(params.names), **bound)
+
 
 def registered(tools: list[Tool]) -> dict[str, Tool]:
     """Tools by name; of two with one name the later counts."""
@@ -90,13 +111,16 @@ def dispatch(calls: DataFrame, tools: list[Tool], rows: int = HOT_ROWS) -> DataF
     keyed = [t for t in known.values() if t.run is None and t.answers is not None]
     asked = calls.select(*keep, parsed_arguments(F.col("arguments")).alias("args"))
 
+    def argument(param: str) -> Column:
+        return F.try_element_at("args", F.lit(param))
+
     def key_of(tool: Tool) -> Column:
-        return F.try_element_at("args", F.lit(tool.param))
+        return argument(tool.param) if len(tool.needs) < 2 else joint_key(*map(argument, tool.needs))
 
     key, error = F.lit(None).cast("string"), F.concat(F.lit("unknown tool: "), F.coalesce("name", F.lit("null")))
     for tool in keyed:
         key = F.when(F.col("name") == tool.name, key_of(tool)).otherwise(key)
-        missing = F.when(key_of(tool).isNull(), f"missing argument: {tool.param}")
+        missing = F.coalesce(*(F.when(argument(param).isNull(), f"missing argument: {param}") for param in tool.needs or [tool.param]))
         error = F.when(F.col("name") == tool.name, missing).otherwise(error)
     shared = asked.filter(~F.coalesce(F.col("name").isin([t.name for t in own]), F.lit(False)))
     shared = shared.select(*keep, key.alias("_key"), error.alias("error"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lorebase.operators import messages as ops
-from lorebase.operators import tools
+from lorebase.operators import naming, tools
 from lorebase.plans import roles
 from lorebase.plans.lookups import HISTORY, POLICIES
 from lorebase.session import stored
-from lorebase.plans.roles import ENDPOINT, HISTORY_TOOL, POLICY_TOOL, SEARCH_TOOL, TOOLS
+from lorebase.plans.roles import CASES_TOOL, ENDPOINT, HISTORY_TOOL, POLICY_TOOL, SEARCH_TOOL, TOOLS
 
 PROMPT = "Answer from the knowledge base."
 #: Small sizes for the queries that show what happens to long conversations and hot keys.
@@ -194,6 +194,29 @@ def answer_questions(spark: SparkSession, sf: str) -> DataFrame:
     return asked.select("conv_id", "seq").join(answers.select("conv_id", "seq", "name", "output"), ["conv_id", "seq"], "left")
 
 
+def _mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """The names in the questions, with their kind."""
+    names = roles.known_names(spark, sf)
+    found = naming.mentions(roles.asked(spark, sf), ["conv_id", "seq"], "content", names)
+    return found.join(names.distinct(), "name")
+
+
+def question_names(spark: SparkSession, sf: str) -> DataFrame:
+    """What every question mentions, and how often."""
+    return _mentions(spark, sf).groupBy("conv_id", "kind", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def answer_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Questions answered by the tools that fit what they mention, with arguments read from the question; all others by the retriever."""
+    bound = roles.named_tools(spark, sf)
+    calls = naming.asked_calls(
+        roles.asked(spark, sf), ["conv_id", "seq"], "content", _mentions(spark, sf), bound[:-1], roles.NAME_KINDS, bound[-1]
+    )
+    calls = stored(calls.withColumn("call_id", ops.generated_id("conv_id", "name")), "asked-calls")
+    done = tools.dispatch(calls, bound)
+    return done.join(calls.select("call_id", "arguments"), "call_id").select("conv_id", "name", "arguments", "output")
+
+
 def append_tool_outputs(spark: SparkSession, sf: str) -> DataFrame:
     history = _history(spark, sf)
     waiting = stored(ops.pending_calls(history).select("conv_id", "call_id", "seq", "name"), "pending")
@@ -236,6 +259,8 @@ QUERIES = {
         dispatch_tools,
         tool_result,
         answer_questions,
+        question_names,
+        answer_by_name,
         append_tool_outputs,
     )
 }
@@ -345,6 +370,53 @@ ROUTED_CALLS = f"""
     FROM ({ROUTED}) r JOIN ({CHAT}) t ON t.conv_id = r.conv_id AND t.seq = r.seq WHERE tool_name <> 'none'"""
 
 
+ASKED = """
+    SELECT event_id AS conv_id, CASE k % 5
+        WHEN 0 THEN 'What does Policy ' || event_id % 60 || ' say? And policy ' || (event_id * 7) % 60 || '?'
+        WHEN 1 THEN 'How often did user' || user_id || '@example.com write?'
+        WHEN 2 THEN 'Count the ' || event_type || ' cases of <USER' || user_id || '@EXAMPLE.COM>.'
+        WHEN 3 THEN 'user' || user_id || '@example.com asks for Policy ' || event_id % 60 || '0, not xuser' || user_id || '@example.com'
+        ELSE 'question ' || k END AS content
+    FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)"""
+NAMED = f"""
+    SELECT policy AS name, 'policy' AS kind FROM ({POLICIES})
+    UNION SELECT 'user' || user_id || '@example.com', 'email' FROM events UNION SELECT event_type, 'category' FROM events"""
+# Every question with every name of its text; names end at the edges of words, in either case.
+MENTIONED = f"""
+    SELECT conv_id, kind, name, len(regexp_extract_all(low, pattern)) AS n, length(regexp_extract(low, '^(.*?)' || pattern, 1)) AS place
+    FROM (SELECT conv_id, lower(content) AS low FROM ({ASKED})),
+         (SELECT *, lower(name) AS key, '\\b' || replace(lower(name), '.', '\\.') || '\\b' AS pattern FROM ({NAMED}))
+    WHERE contains(low, key) AND regexp_matches(low, pattern)"""
+BY_NAME = f"""
+    WITH m AS ({MENTIONED}),
+    first AS (SELECT conv_id, arg_min(name, place) FILTER (kind = 'policy') AS policy, arg_min(name, place) FILTER (kind = 'email') AS email,
+                     arg_min(name, place) FILTER (kind = 'category') AS category FROM m GROUP BY 1),
+    history AS (SELECT * FROM ({HISTORY})),
+    texts AS (SELECT DISTINCT content AS query FROM ({ASKED}) a WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.conv_id = a.conv_id
+              AND (policy IS NOT NULL OR email IS NOT NULL))),
+    best AS (SELECT query, 'doc-' || doc_id AS document
+             FROM (SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS n
+                   FROM (SELECT query, doc_id, round(sum(q.weight * d.weight), 6) AS score
+                         FROM ({embedded("SELECT query, query AS text FROM texts", "query")}) q
+                         JOIN ({embedded("SELECT doc_id, text FROM documents", "doc_id")}) d USING (bucket) GROUP BY 1, 2))
+             WHERE n = 1)
+    SELECT conv_id, '{POLICY_TOOL}' AS name, CAST(json_object('policy_name', f.policy) AS VARCHAR) AS arguments,
+           CAST(json_object('policy', p.policy, 'policy_details', policy_details, 'last_updated', last_updated) AS VARCHAR) AS output
+    FROM first f JOIN ({POLICIES}) p ON p.policy = f.policy
+    UNION ALL
+    SELECT conv_id, '{HISTORY_TOOL}', CAST(json_object('user_email', f.email) AS VARCHAR), value
+    FROM first f JOIN (SELECT email, '[' || string_agg(CAST(json_object('issue_category', issue_category,
+                      'returns_last_12_months', returns_last_12_months) AS VARCHAR), ',' ORDER BY issue_category) || ']' AS value
+                      FROM history GROUP BY 1) h ON h.email = f.email
+    UNION ALL
+    SELECT conv_id, '{CASES_TOOL}', CAST(json_object('user_email', f.email, 'issue_category', category) AS VARCHAR),
+           coalesce(CAST(h.returns_last_12_months AS VARCHAR), '[]')
+    FROM first f LEFT JOIN history h ON h.email = f.email AND h.issue_category = category WHERE f.email IS NOT NULL AND category IS NOT NULL
+    UNION ALL
+    SELECT conv_id, '{SEARCH_TOOL}', CAST(json_object('query', content) AS VARCHAR), coalesce(document, '[]')
+    FROM ({ASKED}) JOIN texts ON query = content LEFT JOIN best USING (query)"""
+
+
 def _registry_values() -> str:
     return ", ".join(
         f"('{t.name}', '{t.name.replace('__', '.')}', '{t.kind}', '{t.param}', '{t.description}')" for t in TOOLS
@@ -417,6 +489,8 @@ ORACLES = {
     "answer_questions": f"""
         SELECT c.conv_id, c.seq, name, output FROM ({CHAT}) c
         LEFT JOIN ({dispatched(ROUTED_CALLS)}) d ON d.conv_id = c.conv_id AND d.seq = c.seq WHERE c.role = 'user'""",
+    "question_names": f"SELECT conv_id, kind, name, n FROM ({MENTIONED})",
+    "answer_by_name": BY_NAME,
     "append_tool_outputs": f"""
         SELECT conv_id, seq, type, role, content, call_id FROM ({MESSAGES})
         UNION ALL

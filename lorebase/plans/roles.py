@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from lorebase.operators.messages import TOOL_CALLS, resolve_session
 from lorebase.operators.search import top_k
 from lorebase.operators.service import newest_policies, service_history
 from lorebase.operators.skew import positions, split_join
-from lorebase.operators.tools import Tool
+from lorebase.operators.tools import Tool, joint_key
 from lorebase.sources.extract import extract_pages
 from lorebase.session import fresh_path, stored
 from lorebase.sources.files import write_files
@@ -144,6 +145,22 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
+def asked(spark: SparkSession, sf: str) -> DataFrame:
+    """Questions that name policies, customers and kinds of cases, or none of them; one per event."""
+    number, k = F.col("event_id"), _k()
+    policy = F.concat(F.lit("Policy "), F.pmod(number, F.lit(60)).cast("string"))
+    other = F.concat(F.lit("policy "), F.pmod(number * 7, F.lit(60)).cast("string"))
+    who = email(F.col("user_id"))
+    text = (
+        F.when(k % 5 == 0, F.concat(F.lit("What does "), policy, F.lit(" say? And "), other, F.lit("?")))
+        .when(k % 5 == 1, F.concat(F.lit("How often did "), who, F.lit(" write?")))
+        .when(k % 5 == 2, F.concat(F.lit("Count the "), F.col("event_type"), F.lit(" cases of <"), F.upper(who), F.lit(">.")))
+        .when(k % 5 == 3, F.concat(who, F.lit(" asks for "), policy, F.lit("0, not x"), who))
+        .otherwise(F.concat(F.lit("question "), k.cast("string")))
+    )
+    return read_table(spark, sf, "events").select(number.alias("conv_id"), F.lit(0).cast("long").alias("seq"), text.alias("content"))
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """Requests whose session is named in every way a request can name it."""
     kind, k = F.col("event_type"), F.col("k")
@@ -286,6 +303,39 @@ def tools(spark: SparkSession, sf: str) -> list[Tool]:
     return [replace(tool, answers=answers.get(tool.name), run=bound.get(tool.name)) for tool in TOOLS]
 
 
+CASES_TOOL = "kb__support__count_cases"
+#: Tools whose arguments are the names in a question, and what kind of name each argument is.
+NAMED_TOOLS = [
+    Tool(POLICY_TOOL, "the details of a company policy by its exact name", "policy_name"),
+    Tool(HISTORY_TOOL, "the number of service cases of a customer per issue category", "user_email"),
+    Tool(CASES_TOOL, "the number of service cases of a customer in one issue category", "user_email, issue_category"),
+]
+NAME_KINDS = {"policy_name": "policy", "user_email": "email", "issue_category": "category"}
+
+
+def known_names(spark: SparkSession, sf: str) -> DataFrame:
+    """(name, kind): what a question may be about."""
+    policies_, cases = policies(spark, sf).select(F.col("policy").alias("name")), service(spark, sf)
+    named = [policies_.withColumn("kind", F.lit("policy"))]
+    named.append(cases.select(F.col("email").alias("name")).distinct().withColumn("kind", F.lit("email")))
+    named.append(cases.select(F.col("issue_category").alias("name")).distinct().withColumn("kind", F.lit("category")))
+    return reduce(DataFrame.unionByName, named)
+
+
+def named_tools(spark: SparkSession, sf: str) -> list[Tool]:
+    """The tools bound to the given tables, by whole names, and the retriever."""
+    policy_json = F.to_json(F.struct("policy", "policy_details", F.col("last_updated").cast("string").alias("last_updated")))
+    counted = stored(service_history(service(spark, sf), as_of()), "history")
+    per_customer = counted.groupBy("email").agg(F.array_sort(F.collect_list(F.struct("issue_category", "returns_last_12_months"))).alias("cases"))
+    answers = {
+        POLICY_TOOL: newest_policies(policies(spark, sf)).select(F.col("policy").alias("key"), policy_json.alias("value")),
+        HISTORY_TOOL: per_customer.select(F.col("email").alias("key"), F.to_json("cases").alias("value")),
+        CASES_TOOL: counted.select(joint_key(F.col("email"), F.col("issue_category")).alias("key"), F.col("returns_last_12_months").cast("string").alias("value")),
+    }
+    retriever = replace(TOOLS[-1], run=lambda calls: find_document(calls, document_vectors(spark, sf)))
+    return [*(replace(tool, answers=answers[tool.name]) for tool in NAMED_TOOLS), retriever]
+
+
 def find_document(calls: DataFrame, documents: DataFrame) -> DataFrame:
     """The retriever: for every call the document most like its `query`, or "[]" where none shares a word with it."""
     asked = calls.withColumn("_query", F.try_element_at("args", F.lit("query")))
