@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from lorebase.functions.vectors import embed
 from lorebase.session import exists, remove
@@ -17,7 +15,8 @@ from lorebase.sources.publish import apply_changes, latest_version, publish, rea
 from lorebase.sources.readers import stream_documents
 
 ASSEMBLED = "conv_id BIGINT, item_id BIGINT, text STRING, n_deltas BIGINT, status STRING"
-DELTA_STATE = "text STRING, next BIGINT, seqs ARRAY<BIGINT>, texts ARRAY<STRING>, last BIGINT, newest_ms BIGINT"
+DELTA_STATE = "count BIGINT, last BIGINT, newest_ms BIGINT, timer BIGINT"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Folders of a vector index that is kept in step.
 BUCKETS = 64
 #: What is added to a stream's rows by its change feed.
@@ -48,44 +47,65 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQ
     )
 
 
+class Assembly(StatefulProcessor):
+    """The deltas of one item: each is a row of a map state of its own, so a batch writes what it brings and nothing else."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.deltas = handle.getMapState("deltas", "seq BIGINT", "delta STRING")
+        self.head = handle.getValueState("head", DELTA_STATE)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        count, last, newest, timer = self.head.get() if self.head.exists() else (0, -1, 0, 0)
+        for row in rows:
+            newest = max(newest, int(row.ts.timestamp() * 1000))
+            if row.done:
+                last = max(last, row.seq)
+            if not self.deltas.containsKey((row.seq,)):
+                self.deltas.updateValue((row.seq,), (row.delta,))
+                count += 1
+        # Only when there are enough of them is it worth looking whether none is missing.
+        if 0 <= last < count and all(self.deltas.containsKey((seq,)) for seq in range(last + 1)):
+            yield self.emitted(key, "done")
+            if timer:
+                self.handle.deleteTimer(timer)
+            return
+        due = max(newest + self.idle_ms, timerValues.getCurrentWatermarkInMs() + 1)
+        if due != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        self.head.update((count, last, newest, due))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.head.exists():
+            yield self.emitted(key, "abandoned")
+
+    def emitted(self, key: tuple, status: str) -> Row:
+        """The item's text, whose state is dropped; its deltas are read once."""
+        found = sorted((seq[0], delta[0]) for seq, delta in self.deltas.iterator())
+        self.deltas.clear()
+        self.head.clear()
+        return Row(conv_id=key[0], item_id=key[1], text="".join(delta or "" for _, delta in found), n_deltas=len(found), status=status)
+
+    def close(self) -> None:
+        pass
+
+
 def assemble_stream(deltas: DataFrame, idle: str = "10 minutes", idle_ms: int = 600_000) -> DataFrame:
     """Text deltas (conv_id, item_id, seq, delta, done, ts) to complete items, emitted when their last delta is in.
 
-    The delta marked `done` tells how many there are (seq from 0). An item is abandoned, with the text that is there, once the
-    watermark has passed its newest event by `idle`. Until then its state is its text, as deltas in unbroken order are joined
-    when they come, and the deltas that wait for an earlier one. So no item stays for ever, and an item is one row.
+    The delta marked `done` tells how many there are (seq from 0); of two with one number the first counts. An item is abandoned, with
+    the deltas that are there in their order, once the watermark has passed its newest event by `idle`; a delta that comes later than
+    the watermark is dropped. So no item stays for ever. State is kept by RocksDB, delta by delta: a batch adds its own deltas and a
+    row of four numbers per item that it touches. A null delta counts as empty.
     """
-    columns = ["conv_id", "item_id", "text", "n_deltas", "status"]
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        text, following, seqs, texts, last, newest = state.get if state.exists else ("", 0, [], [], -1, 0)
-        waiting, joined = dict(zip(seqs, texts)), [text]
-        for batch in [] if state.hasTimedOut else batches:
-            waiting.update(
-                (seq, delta) for seq, delta in zip(batch["seq"].astype(int), batch["delta"]) if seq >= following
-            )
-            done = batch.loc[batch["done"].fillna(False).astype(bool), "seq"]
-            last = max(last, int(done.max())) if len(done) else last
-            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
-        while following in waiting:
-            joined.append(waiting.pop(following) or "")
-            following += 1
-        complete = 0 <= last < following
-        if complete or state.hasTimedOut:
-            if state.exists:
-                state.remove()
-            joined += [waiting[seq] or "" for seq in sorted(waiting)]
-            status = "done" if complete else "abandoned"
-            yield pd.DataFrame([(*key, "".join(joined), following + len(waiting), status)], columns=columns)
-            return
-        state.update(("".join(joined), following, list(waiting), list(waiting.values()), last, newest))
-        state.setTimeoutTimestamp(max(newest + idle_ms, state.getCurrentWatermarkMs() + 1))
-
-    return (
-        deltas.withWatermark("ts", idle)
-        .groupBy("conv_id", "item_id")
-        .applyInPandasWithState(step, ASSEMBLED, DELTA_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    deltas.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    typed = deltas.select("conv_id", "item_id", F.col("seq").cast("long").alias("seq"), "delta", F.coalesce("done", F.lit(False)).alias("done"), "ts")
+    return typed.withWatermark("ts", idle).groupBy("conv_id", "item_id").transformWithState(Assembly(idle_ms), ASSEMBLED, "Append", "EventTime")
 
 
 def sync_changes(

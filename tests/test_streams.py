@@ -67,6 +67,48 @@ def test_a_waiting_item_outlives_batches_without_it(spark, tmp_path):
     assert rows(run(streams.assemble_stream(stream), "waiting"), "item_id", "text", "status") == [(1, "ab", "done"), (2, "x", "done")]
 
 
+def parts(item, seqs, minute=0, last=None):
+    return [{"conv_id": 1, "item_id": item, "seq": n, "delta": f"{n},", "done": n == last, "ts": f"2024-01-01T00:{minute:02d}:00Z"} for n in seqs]
+
+
+def test_a_batch_writes_what_it_brings(spark, tmp_path):
+    """State of an item of 600 deltas: each batch adds its own ones, not the text so far."""
+    for number in range(6):
+        drop(tmp_path / "in", f"{number}.json", parts(1, range(100 * number, 100 * number + 100), last=599))
+    stream = spark.readStream.schema(DELTA).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    query = (
+        streams.assemble_stream(stream).writeStream.format("memory").queryName("written").outputMode("append")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination(240)
+    row = spark.table("written").first()
+    assert (row.text, row.n_deltas) == ("".join(f"{n}," for n in range(600)), 600)
+    progress = [json.loads(p.json)["stateOperators"][0] for p in query.recentProgress]
+    updated = [p["numRowsUpdated"] for p in progress if p["numRowsUpdated"]]
+    # 100 deltas, the head, and the timer with its index.
+    assert len(updated) >= 5 and max(updated) <= 100 + 8
+    assert progress[-1]["numRowsTotal"] == 0
+
+
+def test_late_missing_and_repeated_deltas(spark, tmp_path):
+    folder, state = tmp_path / "in", str(tmp_path / "state")
+    drop(folder, "1.json", parts(1, [0, 2], last=2) + parts(2, [1, 1, 0]) + [{**parts(3, [0])[0], "delta": None}, {**parts(3, [1], last=1)[0], "delta": "z"}])
+    drop(folder, "2.json", parts(2, [1, 2], 1, last=2) + parts(4, [0], 45))
+    drop(folder, "3.json", parts(5, [0], 58, last=0))
+    drop(folder, "4.json", parts(1, [1], 1))
+    stream = spark.readStream.schema(DELTA).option("maxFilesPerTrigger", 1).json(str(folder))
+    target = str(tmp_path / "out")
+    streams.append_stream(streams.assemble_stream(stream), target, state).awaitTermination(240)
+    # Item 1 lacked a delta until the watermark had passed it; the delta came after that and is dropped.
+    wanted = [(1, "0,2,", 2, "abandoned"), (2, "0,1,2,", 3, "done"), (3, "z", 2, "done"), (5, "0,", 1, "done")]
+    assert rows(spark.read.parquet(target), "item_id", "text", "n_deltas", "status") == wanted
+    # A restart goes on with the state that there is: item 4 ends with what comes now.
+    drop(folder, "5.json", parts(4, [1], 59, last=1))
+    stream = spark.readStream.schema(DELTA).option("maxFilesPerTrigger", 1).json(str(folder))
+    streams.append_stream(streams.assemble_stream(stream), target, state).awaitTermination(240)
+    assert rows(spark.read.parquet(target).filter("item_id = 4"), "text", "status") == [("0,1,", "done")]
+
+
 def test_ingest_reads_each_file_once(spark, tmp_path):
     source, target, state = tmp_path / "pdf", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()
