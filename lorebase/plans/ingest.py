@@ -11,10 +11,12 @@ from lorebase.functions.text import document_key
 from lorebase.operators import combine
 from lorebase.plans import roles
 from lorebase.session import fresh_path, stored
-from lorebase.sources import extract, publish
+from lorebase.sources import extract, pages, publish
 from lorebase.sources.readers import read_documents, read_policies, read_table, read_texts
 from lorebase.sources.readers import scan as read_catalog
 
+#: Bytes of a document that one task reads; small, so that documents of the given tables are cut as long ones are.
+PAGE_SPLIT = 8 << 10
 COUNTED = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -114,6 +116,12 @@ def document_job(spark: SparkSession, sf: str) -> DataFrame:
     return extract.accepted(extract.extract_documents(files))
 
 
+def document_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents read page by page through the data source, long ones by several tasks, and put together; the accepted ones."""
+    read = pages.read_pages(spark, roles.paged_files(spark, sf), split_bytes=PAGE_SPLIT)
+    return extract.accepted(pages.documents_of(read))
+
+
 def policy_file(spark: SparkSession, sf: str) -> DataFrame:
     """The policies written to a CSV file and read from it."""
     path = fresh_path(spark, "policies")
@@ -167,6 +175,7 @@ QUERIES = {
         doc_preview,
         publish_roundtrip,
         document_job,
+        document_pages,
         policy_file,
         publish_history,
         snapshot_changes,
@@ -195,6 +204,10 @@ PAGE_FILES = (
     "SELECT 'page-' || page_id AS product_name, regexp_replace(html, '^[\\s\\x{85}\\x{a0}]+|[\\s\\x{85}\\x{a0}]+$', '', 'g') "
     "AS product_doc FROM pages WHERE html IS NOT NULL AND html <> ''"
 )
+PAGED_FILES = (
+    "SELECT * FROM (SELECT 'doc-' || doc_id AS product_name, regexp_replace(replace(text, chr(12), chr(10)), "
+    "'^[\\s\\x{85}\\x{a0}\\x{1c}-\\x{1f}]+|[\\s\\x{85}\\x{a0}\\x{1c}-\\x{1f}]+$', '', 'g') AS product_doc FROM documents) WHERE product_doc <> ''"
+)
 TAGGED = (
     "'<product_category>' || product_category || '</product_category>' || chr(10) || "
     "'<product_sub_category>' || product_sub_category || '</product_sub_category>' || chr(10) || "
@@ -246,6 +259,7 @@ ORACLES = {
     "ORDER BY product_name LIMIT 1",
     "publish_roundtrip": COMBINED,
     "document_job": PAGE_FILES,
+    "document_pages": PAGED_FILES,
     "policy_file": "SELECT 'Policy ' || item_id AS policy, text AS policy_details, "
     "CAST(CAST(DATE '2023-01-01' + CAST(item_id % 365 AS INT) AS DATE) AS VARCHAR) AS last_updated FROM benchmark",
     "publish_history": f"SELECT CAST(0 AS BIGINT) AS version, 'CREATE' AS operation, 'overwrite' AS mode, count(*) AS row_count "

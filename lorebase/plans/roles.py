@@ -238,6 +238,17 @@ def page_files(spark: SparkSession, sf: str) -> str:
     return folder
 
 
+def paged_files(spark: SparkSession, sf: str) -> str:
+    """The documents written out as files with a page per line; the folder they are in."""
+    folder = fresh_path(spark, "paged-files")
+    paged = F.encode(F.translate("text", "\n", "\f"), "UTF-8")
+    docs = read_table(spark, sf, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), paged.alias("content")
+    )
+    write_files(docs, folder)
+    return folder
+
+
 def session_items(spark: SparkSession, sf: str) -> DataFrame:
     """Events as the items of the session that their request resolves to: (session_id, type, ts)."""
     kind = F.col("event_type")

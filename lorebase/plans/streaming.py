@@ -9,7 +9,8 @@ from lorebase.operators import messages as ops
 from lorebase.plans import ingest, roles
 from lorebase.plans.conversation import ORACLES as CONVERSATION, embedded
 from lorebase.session import fresh_path
-from lorebase.sources import publish
+from lorebase.sources import pages, publish
+from lorebase.sources.extract import accepted
 from lorebase.sources.readers import stream_table
 from lorebase.streaming.streams import (
     append_stream,
@@ -70,7 +71,13 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("product_name STRING, product_doc STRING").parquet(target)
 
 
-QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes, stream_index, stream_ingest)}
+def stream_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages of new document files appended by a stream, and the documents they make."""
+    arriving = pages.stream_pages(spark, roles.paged_files(spark, sf), split_bytes=ingest.PAGE_SPLIT)
+    return accepted(pages.documents_of(_finished(spark, arriving, "pages")))
+
+
+QUERIES = {f.__name__: f for f in (stream_done_items, stream_deltas, stream_changes, stream_index, stream_ingest, stream_pages)}
 
 ORACLES = {
     "stream_done_items": CONVERSATION["done_items"],
@@ -82,4 +89,5 @@ ORACLES = {
         FROM (SELECT product_name, unnest(range(64)) AS bucket FROM s)
         LEFT JOIN ({embedded("SELECT product_name, product_doc AS text FROM s", "product_name")}) USING (product_name, bucket) GROUP BY 1""",
     "stream_ingest": ingest.PAGE_FILES,
+    "stream_pages": ingest.PAGED_FILES,
 }
