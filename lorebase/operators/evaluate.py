@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, exp, factorial
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import tokens
@@ -62,6 +64,43 @@ def summary(scored: DataFrame) -> DataFrame:
     )
 
 
+#: Replicates of the bootstrap, and the share of them below and above its interval.
+REPLICATES, TAIL = 200, 0.025
+#: In 2^20 draws of a Poisson variable of mean 1, how many are at most 0, 1, 2, …
+POISSON = [ceil((1 << 20) * sum(exp(-1) / factorial(n) for n in range(most + 1))) for most in range(9)]
+
+
+def intervals(scored: DataFrame, ids: list[str], replicates: int = REPLICATES, tail: float = TAIL) -> DataFrame:
+    """Mean score per scorer with the bounds of a Poisson bootstrap: (scorer, mean_score, low, high, n_rows).
+
+    In each replicate a row counts as often as a Poisson variable of mean 1 says that is drawn from a hash of its ids and the
+    replicate's number, so any engine and any number of tasks draw the same. One pass: a row gives one small row per replicate, which are added
+    up before the shuffle. The bounds are order statistics of the replicates' means; a replicate without rows is left out.
+    """
+    each = scored.filter("score IS NOT NULL").withColumn("_key", F.concat_ws("|", *ids, "scorer"))
+    each = each.select("scorer", "score", "_key", F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("_replicate"))
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("|", "_key", "_replicate")), 1, 5), 16, 10).cast("long")
+    times = sum((F.when(drawn >= limit, 1).otherwise(0) for limit in POISSON), F.lit(0))
+    # Replicate 0 takes every row once.
+    each = each.withColumn("_times", F.when(F.col("_replicate") == 0, 1).otherwise(times))
+    means = each.groupBy("scorer", "_replicate").agg(
+        F.try_divide(F.sum(F.col("score") * F.col("_times")), F.sum("_times")).alias("_mean"), F.count(F.lit(1)).alias("_rows")
+    )
+    found = means.groupBy("scorer").agg(
+        F.max(F.when(F.col("_replicate") == 0, F.col("_mean"))).alias("_whole"),
+        F.array_sort(F.collect_list(F.when(F.col("_replicate") > 0, F.col("_mean")))).alias("_means"),
+        F.max("_rows").alias("n_rows"),
+    )
+    skipped = F.floor(F.size("_means") * F.lit(tail)).cast("int")
+    return found.select(
+        "scorer",
+        F.round("_whole", 6).alias("mean_score"),
+        F.round(F.get("_means", skipped), 6).alias("low"),
+        F.round(F.get("_means", F.size("_means") - 1 - skipped), 6).alias("high"),
+        "n_rows",
+    )
+
+
 def retrieval_relevance(hits: DataFrame, relevant: DataFrame) -> DataFrame:
     """Share of each query's hits that are marked relevant: (query_id, hits, relevance).
 

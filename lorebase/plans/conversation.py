@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lorebase.functions.runs import create_fold_runs
 from lorebase.operators import messages as ops
 from lorebase.operators import naming, tools
 from lorebase.plans import roles
@@ -43,6 +44,13 @@ def merge_assistant_runs(spark: SparkSession, sf: str) -> DataFrame:
     return _merged(spark, sf).select("conv_id", "run_no", "seq", "n_messages", "role", "content")
 
 
+def fold_runs_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same fold by a table function in SQL."""
+    create_fold_runs(spark)
+    ops.items_to_messages(_history(spark, sf)).select("conv_id", "seq", "role", "content").createOrReplaceTempView("shaped_messages")
+    return spark.sql("SELECT * FROM fold_runs(TABLE(SELECT conv_id, seq, role, content FROM shaped_messages) PARTITION BY conv_id ORDER BY seq)")
+
+
 def merge_in_small_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same in blocks of BLOCK positions, so that runs cross borders as they do in long conversations."""
     merged = ops.merge_assistant_runs(ops.items_to_messages(_history(spark, sf)), BLOCK)
@@ -232,6 +240,7 @@ QUERIES = {
         items_to_messages,
         role_changes,
         merge_assistant_runs,
+        fold_runs_sql,
         merge_in_small_blocks,
         pending_calls_salted,
         merge_tool_calls,
@@ -432,6 +441,8 @@ ORACLES = {
     "role_changes": f"SELECT conv_id, seq, role, prev_role, role IS DISTINCT FROM prev_role AS changed FROM ({runs(SHAPED)})",
     "merge_assistant_runs": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
     f"FROM ({merged(SHAPED)})",
+    "fold_runs_sql": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
+    f"FROM ({merged(SHAPED)})",
     "merge_in_small_blocks": f"SELECT conv_id, run_no, seq, n_messages, nullif(role_or_none, '~') AS role, content "
     f"FROM ({merged(SHAPED)})",
     "pending_calls_salted": f"SELECT conv_id, seq, call_id, name FROM ({PENDING})",

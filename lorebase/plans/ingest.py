@@ -152,6 +152,13 @@ def publish_gate(spark: SparkSession, sf: str) -> DataFrame:
     return publish.publish_gate(named, publish.read_version(spark, root), "product_name")
 
 
+def content_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate by content over the published policies: of every column and of whole rows."""
+    root, source = fresh_path(spark, "policies"), roles.policies(spark, sf)
+    publish.publish(source, root)
+    return publish.content_gate(source, publish.read_version(spark, root))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -181,6 +188,7 @@ QUERIES = {
         snapshot_changes,
         apply_changes,
         publish_gate,
+        content_gate,
     )
 }
 
@@ -208,6 +216,10 @@ PAGED_FILES = (
     "SELECT * FROM (SELECT 'doc-' || doc_id AS product_name, regexp_replace(replace(text, chr(12), chr(10)), "
     "'^[\\s\\x{85}\\x{a0}\\x{1c}-\\x{1f}]+|[\\s\\x{85}\\x{a0}\\x{1c}-\\x{1f}]+$', '', 'g') AS product_doc FROM documents) WHERE product_doc <> ''"
 )
+GATED = (
+    "SELECT 'Policy ' || item_id AS policy, text AS policy_details, "
+    "CAST(CAST(DATE '2023-01-01' + CAST(item_id % 365 AS INT) AS DATE) AS VARCHAR) AS last_updated FROM benchmark"
+)
 TAGGED = (
     "'<product_category>' || product_category || '</product_category>' || chr(10) || "
     "'<product_sub_category>' || product_sub_category || '</product_sub_category>' || chr(10) || "
@@ -273,6 +285,15 @@ ORACLES = {
         UNION ALL SELECT old_name, old_doc, 'update_preimage', 1 FROM j WHERE old_name = new_name AND old_doc IS DISTINCT FROM new_doc
         UNION ALL SELECT new_name, new_doc, 'update_postimage', 1 FROM j WHERE old_name = new_name AND old_doc IS DISTINCT FROM new_doc""",
     "apply_changes": SECOND,
+    "content_gate": f"""
+        WITH p AS ({GATED}),
+        t AS (SELECT 'policy' AS "column", CAST(json_object('v', policy) AS VARCHAR) AS v, policy IS NULL AS gone FROM p
+              UNION ALL SELECT 'policy_details', CAST(json_object('v', policy_details) AS VARCHAR), policy_details IS NULL FROM p
+              UNION ALL SELECT 'last_updated', CAST(json_object('v', last_updated) AS VARCHAR), last_updated IS NULL FROM p
+              UNION ALL SELECT '*', md5(CAST(json_object('policy', policy, 'policy_details', policy_details, 'last_updated', last_updated) AS VARCHAR)), false FROM p)
+        SELECT "column", count(*) AS rows_in, count(*) AS rows_out, count(*) FILTER (gone) AS nulls_in, count(*) FILTER (gone) AS nulls_out,
+               CAST(sum(CAST(CAST('0x' || substring(md5(v), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS checksum, true AS passed
+        FROM t GROUP BY 1""",
     "publish_gate": """
         WITH n AS (SELECT p_name, count(*) AS c FROM part GROUP BY 1)
         SELECT (SELECT count(*) FROM part) AS rows_in, CAST(sum(c) AS BIGINT) AS rows_out,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lorebase.functions import text, vectors
+from lorebase.functions import segments, text, vectors
 from lorebase.operators import evaluate, quantised, search, service, tools
 from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
@@ -40,6 +40,11 @@ def chunk_semantic(spark: SparkSession, sf: str) -> DataFrame:
     return text.semantic_chunks(_texts(spark, sf), "text")
 
 
+def chunk_global(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of the cheapest segmentation of each whole text."""
+    return segments.global_chunks(_texts(spark, sf), "text")
+
+
 def embed_documents(spark: SparkSession, sf: str) -> DataFrame:
     embedded_docs = vectors.embed(_texts(spark, sf), ["doc_id"], "text")
     return embedded_docs.select("doc_id", vectors.fingerprint(F.col("embedding")).alias("embedding"))
@@ -151,6 +156,11 @@ def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.summary(eval_scores(spark, sf))
 
 
+def eval_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean scores with the bounds of a bootstrap."""
+    return evaluate.intervals(eval_scores(spark, sf), ["conv_id", "seq"])
+
+
 def rag_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of the answers that `rag_context` gives, grounded in the context that they were given."""
     asked = roles.questions(spark, sf).withColumnRenamed("text", "question")
@@ -177,6 +187,7 @@ QUERIES = {
         chunk_fixed,
         chunk_packed,
         chunk_semantic,
+        chunk_global,
         embed_documents,
         index_buckets,
         vector_topk,
@@ -193,6 +204,7 @@ QUERIES = {
         route_questions,
         eval_scores,
         eval_summary,
+        eval_intervals,
         groundedness,
         rag_scores,
         model_slots,
@@ -336,5 +348,14 @@ ORACLES = {
     "route_questions": ROUTED,
     "eval_scores": SCORES,
     "eval_summary": f"SELECT scorer, round(avg(score), 6) AS mean_score, count(*) AS n_rows FROM ({SCORES}) GROUP BY 1",
+    "eval_intervals": f"""
+        WITH r AS (SELECT *, conv_id || '|' || seq || '|' || scorer AS key FROM ({SCORES})),
+        d AS (SELECT *, CAST('0x' || substring(md5(key || '|' || b), 1, 5) AS BIGINT) AS u FROM r, (SELECT unnest(range({evaluate.REPLICATES + 1})) AS b)),
+        m AS (SELECT scorer, b, count(*) AS n, sum(score * t) / nullif(sum(t), 0) AS mean
+              FROM (SELECT *, CASE WHEN b = 0 THEN 1 ELSE {" + ".join(f"CASE WHEN u >= {limit} THEN 1 ELSE 0 END" for limit in evaluate.POISSON)} END AS t FROM d)
+              GROUP BY 1, 2),
+        s AS (SELECT scorer, max(mean) FILTER (b = 0) AS whole, list_sort(list(mean) FILTER (b > 0 AND mean IS NOT NULL)) AS means, max(n) AS n FROM m GROUP BY 1)
+        SELECT scorer, round(whole, 6) AS mean_score, round(means[1 + CAST(floor(len(means) * {evaluate.TAIL}) AS INT)], 6) AS low,
+               round(means[len(means) - CAST(floor(len(means) * {evaluate.TAIL}) AS INT)], 6) AS high, n AS n_rows FROM s""",
     "groundedness": f"SELECT conv_id, seq, score AS groundedness FROM ({GROUNDED})",
 }

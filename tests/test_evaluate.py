@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from conftest import rows
 
 from lorebase.operators import evaluate, search
@@ -41,3 +44,30 @@ def test_context(spark):
     facts = spark.createDataFrame([(7, "fact")], "query_id BIGINT, fact STRING")
     assert rows(search.assemble_context(hits, chunks, facts, "|")) == [(7, "three|zero|fact", "three")]
     assert rows(search.assemble_context(hits, chunks, facts.filter("false"), "|")) == [(7, "three|zero", "three")]
+
+
+def test_intervals_equal_plain_draws(spark):
+    import hashlib
+
+    draw = random.Random(3)
+    made = [(n, draw.choice(["a", "b"]), draw.random()) for n in range(120)] + [(200, "a", None)]
+    found = evaluate.intervals(spark.createDataFrame(made, "id INT, scorer STRING, score DOUBLE"), ["id"], 60, 0.05).collect()
+    assert sorted(r.scorer for r in found) == ["a", "b"]
+    for row in found:
+        mine = [(n, score) for n, scorer, score in made if scorer == row.scorer and score is not None]
+        means = []
+        for replicate in range(1, 61):
+            times = []
+            for n, _ in mine:
+                value = int(hashlib.md5(f"{n}|{row.scorer}|{replicate}".encode()).hexdigest()[:5], 16)
+                times.append(sum(value >= limit for limit in evaluate.POISSON))
+            means.append(sum(t * s for t, (_, s) in zip(times, mine)) / sum(times))
+        means.sort()
+        assert row.n_rows == len(mine) and row.mean_score == pytest.approx(sum(s for _, s in mine) / len(mine), abs=1e-6)
+        assert (row.low, row.high) == (pytest.approx(means[3], abs=2e-6), pytest.approx(means[-4], abs=2e-6))
+        assert row.low < row.mean_score < row.high
+
+
+def test_poisson_draws_have_mean_one():
+    counts = [sum(value >= limit for limit in evaluate.POISSON) for value in range(0, 1 << 20, 7)]
+    assert abs(sum(counts) / len(counts) - 1) < 0.001

@@ -130,3 +130,28 @@ def test_changes_in_nested_nulls_and_null_keys(spark):
     assert kinds == sorted([*both, (None, "delete")], key=lambda r: [(v is None, str(v)) for v in r])
     assert rows(publish.apply_changes(before, feed, ["k"])) == rows(after)
     assert rows(publish.apply_changes(after, publish.snapshot_changes(after, before, ["k"], 2), ["k"])) == rows(before)
+
+
+def test_content_gate(spark):
+    rows_ = [(i, f"t{i % 7}", None if i % 5 == 0 else i / 2) for i in range(200)]
+    source = spark.createDataFrame(rows_, "k INT, t STRING, v DOUBLE").repartition(3)
+
+    def failed(changed):
+        found = publish.content_gate(source, spark.createDataFrame(changed, "k INT, t STRING, v DOUBLE").repartition(5))
+        return sorted(r.column for r in found.filter("NOT passed").collect())
+
+    assert failed(rows_[::-1]) == []
+    assert failed([*rows_[:-1], (199, "other", 99.5)]) == ["*", "t"]
+    assert failed(rows_[:-1]) == ["*", "k", "t", "v"] and failed([*rows_, rows_[3]]) == ["*", "k", "t", "v"]
+    assert failed([*rows_[:-1], rows_[0]]) == ["*", "k", "t", "v"]
+    assert failed([(k, t, 0.0 if v is None else v) for k, t, v in rows_]) == ["*", "v"]
+    # Values that only change places are told by the rows.
+    swapped = [(rows_[1][0], rows_[2][1], rows_[1][2]), (rows_[2][0], rows_[1][1], rows_[2][2])]
+    assert failed([rows_[0], *swapped, *rows_[3:]]) == ["*"]
+    less = publish.content_gate(source, source.drop("v"))
+    assert rows(less.filter("NOT passed"), "column") == [("*",), ("v",)]
+    empty = publish.content_gate(source.limit(0), source.limit(0))
+    assert rows(empty, "column", "rows_in", "checksum", "passed") == [(c, 0, "0", True) for c in ("*", "k", "t", "v")]
+    sketched = {r.column: r for r in publish.content_sums(source, sketches=True).collect()}
+    assert sketched["t"].distinct == 7 and sketched["v"].nulls == 40 and sketched["t"].quantiles is None
+    assert abs(sketched["k"].quantiles[0] - 100) < 3
