@@ -6,8 +6,8 @@ too few to train on, their last bytes serve as a raw dictionary. The first recor
 
 Payloads that are equal, by SHA-1 and length, and have at least `least` bytes are archived once: the row with the largest id is the
 response, the others are revisit records that refer to it and keep the HTTP header with the payload's length. Rows are
-compared by joining them with the largest id of each repeated digest; a digest that many rows share is split by adaptive
-execution, as nothing is gathered by digest.
+compared by joining them with the largest id of each repeated digest. These are written first: a join of two plain shuffles is one whose
+hot digest adaptive execution splits, which it doesn't do where one side is still being added up.
 
 Cases: a null payload counts as empty; a row with a null id is always a response and nothing refers to it; rows that
 share the largest id of a payload are all responses; a null URL gives a record without a target; blanks and control characters in a
@@ -194,6 +194,7 @@ def write(
         .where("lowest < response")
         .drop("lowest")
     )
+    repeated = Written(repeated, "repeated-payloads").df
     marked = (
         pages.withColumn("bytes", F.octet_length("payload"))
         .join(repeated, ["digest", "bytes"], "left")

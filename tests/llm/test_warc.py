@@ -81,3 +81,27 @@ def test_query(spark):
     result = con.execute(queries.ORACLES["op5_warc"])
     columns = [d[0] for d in result.description]
     assert sorted(map(tuple, queries.op5_warc(spark, folder).select(*columns).collect())) == sorted(result.fetchall())
+
+
+def test_a_hot_payload_is_spread(spark):
+    """Half of the rows share a payload: with small thresholds adaptive execution splits their join."""
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = [(k, "u", "x" * 1500 if k % 2 else f"{k}" * 300) for k in range(8000)]
+        listing = warc.write(spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").repartition(8))
+        assert max(r.records for r in listing.collect()) < 8000 / 5
+        assert warc.read(listing, "record_type").where("record_type = 'revisit'").count() == 3999
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
