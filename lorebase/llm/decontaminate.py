@@ -1,14 +1,15 @@
 """Benchmark decontamination: passages of documents within an edit budget of a test item.
 
-Method: texts are compared as lower-case words. An item of n words may differ from a passage by k = min(n // 5, n // 4 - 1)
+Method: texts are compared as lower-case words; in scripts that set no blanks between words every character is one. An item of n words may differ from a passage by k = min(n // 5, n // 4 - 1)
 insertions, deletions and replacements of words. It is split into k + 1 pieces of four words or more; by the pigeonhole
 principle one of them stands unchanged in any passage within the budget. Exact hits of pieces are found by their leading words
 in every window of every document; hits of one item that lie close together make one stretch of the document, which is
 searched once with Myers' bit-parallel distance, so a document that repeats a passage costs no more than its length.
 
-The items are a stated query set. They go to the tasks in blocks of at most BLOCK_CHARS characters (or a single longer item), one
-block at a time: each block is one scan of the documents without a shuffle, and its hits are stored before the next one. So
-memory is bounded for any number of items, and documents that share a passage are spread as the scan spreads them.
+The items are a stated query set. Their distinct texts go to the tasks in blocks of about BLOCK_CHARS characters (or a single longer
+text), dealt by a hash of the text, one block at a time: each block is one scan of the documents without a shuffle, and its hits are
+stored before the next one. The ids of the items join the hits afterwards, so items that share a text cost no more than one. Memory is
+bounded for any number of items, and documents that share a passage are spread as the scan spreads them.
 
 Cases: a null text or item text has no words; an item without words is found nowhere; an item of fewer than eight words must
 stand there unchanged; repeated items and repeated documents are each reported; null ids are carried along; other columns
@@ -27,12 +28,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from lorebase.llm.common import Batches, Written, in_batches, key_type, map_batches, rows_of
 
-WORD = re.compile(r"\w+")
+# Ranges of characters of scripts without blanks (Thai, Lao, Myanmar, Khmer, kana, Han).
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 #: Shortest piece in words, and words of an item per edit.
 PIECE, PER_EDIT = 4, 5
 BLOCK_CHARS = 4 << 20
 PRIME, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-NUMBERS = ("item_id", "distance", "n_words", "start", "end")
+NUMBERS = ("distance", "n_words", "start", "end")
 
 
 def budget(words: int) -> int:
@@ -75,7 +78,7 @@ class Pattern:
 class Items:
     """A block of items with what finding them takes."""
 
-    def __init__(self, rows: list[tuple[int | None, str | None]]):
+    def __init__(self, rows: list[tuple[object, str | None]]):
         self.vocabulary: dict[str, int] = {}
         self.ids, self.words, entries = [], [], {}
         for item_id, text in rows:
@@ -169,7 +172,7 @@ def merged(stretches: list[tuple[int, int]], size: int) -> list[tuple[int, int]]
 
 
 def find_step(block, key: pa.DataType):
-    schema = pa.schema([("doc_id", key)] + [(name, pa.int64()) for name in NUMBERS])
+    schema = pa.schema([("doc_id", key), ("item", pa.string())] + [(name, pa.int64()) for name in NUMBERS])
 
     def rows(batches: Batches) -> Iterator[tuple]:
         items = Items(block.value)
@@ -199,22 +202,31 @@ def passages(
     `doc_id` holds the key, which may be of any type."""
     spark, texts = docs.sparkSession, docs.select(key, text)
     name, arrow = key_type(docs, key)
-    fields = ", ".join([f"doc_id {name}", *(f"{number} BIGINT" for number in NUMBERS)])
-    items = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    numbers = [f"{number} BIGINT" for number in NUMBERS]
+    items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).alias("wanted"))
+    # Equal texts are one, however many items have them.
+    distinct = Written(items.where("wanted IS NOT NULL").select("wanted").distinct(), "item-texts").df
+    chars = distinct.agg(F.sum(F.length("wanted"))).first()[0] or 0
     blocks = -(-chars // block_chars)
     found = []
     for number in range(blocks):
-        of_block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
-        # The hash deals items evenly, so a block is of about block_chars characters.
-        block = spark.sparkContext.broadcast([tuple(row) for row in of_block.orderBy("item", "text").collect()])
-        found.append(Written(map_batches(texts, fields, find_step(block, arrow)), "passages").df)
+        of_block = distinct.where(F.pmod(F.xxhash64("wanted"), F.lit(blocks)) == number)
+        # The hash deals different texts evenly, so a block is of about block_chars characters.
+        block = spark.sparkContext.broadcast([tuple(row) for row in of_block.select(F.md5("wanted"), "wanted").orderBy("wanted").collect()])
+        step = find_step(block, arrow)
+        found.append(Written(map_batches(texts, ", ".join([f"doc_id {name}, item STRING", *numbers]), step), "passages").df)
         block.destroy()
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], fields)
+    if not found:
+        return spark.createDataFrame([], ", ".join([f"doc_id {name}, item_id BIGINT", *numbers]))
+    named = items.select("item_id", F.md5("wanted").alias("item"))
+    return reduce(DataFrame.unionByName, found).join(named, "item").select("doc_id", "item_id", *NUMBERS)
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of `docs` without any passage, with all their columns. The verdict follows the text, whatever the key."""
     named = docs.select(F.md5(F.col(text)).alias("digest"), F.col(text).alias("text"))
     found = passages(named, benchmark, "digest", "text", item, item_text).select(F.col("doc_id").alias("contaminated")).distinct()
-    return docs.join(found, F.md5(docs[text]) == found["contaminated"], "left_anti")
+    # Written, so that the documents of a hot text can be split; a null text holds nothing and is kept out of the join.
+    found = Written(found, "contaminated").df
+    some = docs.where(F.col(text).isNotNull())
+    return some.join(found, F.md5(some[text]) == found["contaminated"], "left_anti").unionByName(docs.where(F.col(text).isNull()))

@@ -114,3 +114,30 @@ def test_query(spark):
     for doc_id, item_id in found - whole:
         text, item = (next(r.text for r in t if r[0] == k) for t, k in ((docs, doc_id), (items, item_id)))
         assert least_distance(words_of(item), words_of(text)) <= decontaminate.budget(len(words_of(item)))
+
+
+def test_scripts_without_blanks(spark):
+    item = "机器学习模型的评测集不应该出现在训练语料之中否则结果没有意义"
+    changed = item[:15] + "坏" + item[16:]
+    docs = [(1, f"前面的文字{item}后面的文字"), (2, f"前面{changed}后面"), (3, "完全不同的一段中文文字没有任何相同之处"), (4, "mixed 日本 words " + item[:10])]
+    found = decontaminate.passages(
+        spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame([(7, item)], "item_id BIGINT, text STRING")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in found) == [(1, 7, 0), (2, 7, 1)]
+    assert next(docs[0][1][r.start : r.end] for r in found if r.doc_id == 1) == item
+    assert decontaminate.WORD.findall("ab日本c ไทย é_1") == ["ab", "日", "本", "c", "ไ", "ท", "ย", "é_1"]
+
+
+def test_items_that_share_a_text(spark):
+    """A third of the items have one text: it is looked for once, in one block, and reported for each."""
+    text = "one two three four five six seven eight"
+    items = [(k, text) for k in range(300)] + [(300, "nine ten eleven twelve")] * 2
+    docs = spark.createDataFrame([(1, f"x {text} y"), (2, "nine ten eleven twelve")], "doc_id BIGINT, text STRING")
+    found = decontaminate.passages(docs, spark.createDataFrame(items, "item_id BIGINT, text STRING"), block_chars=30).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, k) for k in range(300)] + [(2, 300)] * 2
+
+
+def test_null_and_hot_texts_stay_or_go(spark):
+    docs = spark.createDataFrame([(k, None) for k in range(50)] + [(k, "a b c d e") for k in range(50)] + [(99, "other")], "doc_id BIGINT, text STRING")
+    kept = decontaminate.without_passages(docs, spark.createDataFrame([(1, "b c d")], "item_id BIGINT, text STRING"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(k, None) for k in range(50)] + [(99, "other")])
