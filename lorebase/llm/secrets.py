@@ -3,11 +3,13 @@
 Strong findings stand for themselves: assignments to a secret's name, access key ids, and long runs of hex digits. Weak candidates
 are parts that mean nothing alone: identifiers (a user, client or account name that is assigned), secrets (short assigned values
 and tokens that mix letters and digits), and endpoints (URLs, and hosts that are assigned). They are reported only where parts
-that complement each other stand in one scope, a stretch without a blank line, and at most REACH characters apart: an
-identifier and a secret, and the endpoints that lie within reach of one of the two.
+that complement each other stand in one scope, a stretch without a blank line, and belong together there: at most REACH characters
+apart, or, whatever the distance, in one structure, which is a run of `name: value` lines or an object in braces with all it
+holds. These are an identifier and a secret, and the endpoints that belong to one of the two.
 
 Linking is an interval join within a document: the parts of a scope are sorted by place, and each looks for the nearest
-complementary interval before (by the furthest end so far) and after it by bisection, so many parts cost n log n and no pairs are listed. Strong findings
+complementary interval before (by the furthest end so far) and after it by bisection, and whether its line run, an object around it or one
+inside its own object holds a complement is a flag of that structure; so many parts cost n log n and no pairs are listed. Strong findings
 take part as complements (an access key id as an identifier, the others as secrets). A document is one row, and rows don't
 meet, so nothing is shuffled and no key can be hot.
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -50,6 +52,9 @@ ENDPOINT = re.compile(
     r"""\b[a-z][a-z0-9+.-]{1,9}://[^\s"'<>]+|\b(?:host(?:_?name)?|endpoint|server|base_?url|url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.:/-]{4,})""",
     re.IGNORECASE | re.ASCII,
 )
+#: Lines that hold a name and a short value; other text on a line ends a run.
+NAMED_LINE = re.compile(r"""^[\x20\t]*(?:[-*#]\x20|export\x20)?["']?[A-Za-z_][\w.-]{0,60}["']?[\x20\t]*[:=][\x20\t]*\S[^\n]{0,120}$""", re.MULTILINE | re.ASCII)
+BRACE = re.compile(r"[{}]")
 BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -107,6 +112,61 @@ def near(intervals: list[Finding], ends: list[int], part: Finding) -> bool:
     return after or place > 0 and part.start - ends[place - 1] <= REACH
 
 
+class Structure:
+    """The line runs and the objects in braces of a scope."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.lines: list[tuple[int, int]] = []
+        for match in NAMED_LINE.finditer(text, start, end):
+            if self.lines and match.start() == self.lines[-1][1] + 1:
+                self.lines[-1] = self.lines[-1][0], match.end()
+            else:
+                self.lines.append(match.span())
+        opened, objects = [], []
+        for match in BRACE.finditer(text, start, end):
+            if match[0] == "{":
+                opened.append(match.start())
+            elif opened:
+                objects.append((opened.pop(), match.end()))
+        self.objects = sorted(objects)
+        # The next larger object around each one; they come in the order of their starts.
+        self.parents, around = [], []
+        for place, (first, _) in enumerate(self.objects):
+            while around and self.objects[around[-1]][1] <= first:
+                around.pop()
+            self.parents.append(around[-1] if around else -1)
+            around.append(place)
+
+    def line_run(self, part: Finding) -> int | None:
+        place = bisect.bisect_right(self.lines, (part.start, 1 << 60)) - 1
+        return place if place >= 0 and part.start < self.lines[place][1] else None
+
+    def innermost(self, part: Finding) -> int:
+        place = bisect.bisect_right(self.objects, (part.start, 1 << 60)) - 1
+        while place >= 0 and self.objects[place][1] <= part.start:
+            place = self.parents[place]
+        return place
+
+    def shared_with(self, others: list[Finding]) -> Callable[[Finding], bool]:
+        """Whether a part shares a line run, or an object, with one of the others."""
+        if not self.lines and not self.objects:
+            return lambda part: False
+        runs = {self.line_run(part) for part in others} - {None}
+        direct = {self.innermost(part) for part in others} - {-1}
+        above, inside = [], [place in direct for place in range(len(self.objects))]
+        for place, parent in enumerate(self.parents):
+            above.append(place in direct or (parent >= 0 and above[parent]))
+        for place in range(len(self.objects) - 1, -1, -1):
+            if inside[place] and self.parents[place] >= 0:
+                inside[self.parents[place]] = True
+
+        def shares(part: Finding) -> bool:
+            own = self.innermost(part)
+            return self.line_run(part) in runs or (own >= 0 and (above[own] or inside[own]))
+
+        return shares
+
+
 def linked(text: str, base: list[Finding]) -> list[Finding]:
     """The weak candidates with a complement within their scope and reach."""
     candidates = weak(text, base)
@@ -116,16 +176,23 @@ def linked(text: str, base: list[Finding]) -> list[Finding]:
     scopes: dict[int, list[Finding]] = {}
     for part in [*base, *candidates]:
         scopes.setdefault(bisect.bisect_right(borders, part.start), []).append(part)
+    edges = [0, *borders, len(text)]
     found = []
-    for parts in scopes.values():
+    for scope, parts in scopes.items():
         identifiers = sorted(p for p in parts if p.kind in (1, 3))
         secrets = sorted(p for p in parts if p.kind in (0, 2, 4))
-        to_secrets, to_identifiers = furthest(secrets), furthest(identifiers)
-        paired = [p for p in identifiers if near(secrets, to_secrets, p)], [p for p in secrets if near(identifiers, to_identifiers, p)]
-        chosen = sorted([*paired[0], *paired[1]])
-        to_chosen = furthest(chosen)
-        found += [p for p in chosen if p.kind > 2]
-        found += [p for p in parts if p.kind == 5 and near(chosen, to_chosen, p)]
+        if not identifiers or not secrets:
+            continue
+        structure = Structure(text, edges[scope], edges[scope + 1])
+
+        def belonging(some: list[Finding], others: list[Finding]) -> list[Finding]:
+            ends, shares = furthest(others), structure.shared_with(others)
+            return [p for p in some if near(others, ends, p) or shares(p)]
+
+        chosen = sorted([*belonging(identifiers, secrets), *belonging(secrets, identifiers)])
+        if chosen:
+            found += [p for p in chosen if p.kind > 2]
+            found += belonging([p for p in parts if p.kind == 5], chosen)
     return found
 
 

@@ -122,3 +122,76 @@ def test_a_long_finding_reaches_beyond_one_inside_it():
     long = "token=" + "a1" * 32 + "." + "x" * 400
     assert kinds(long + " user = alice") == ["identifier"]
     assert kinds(long + " user = alice https://example.org/a") == ["identifier", "endpoint"]
+
+
+def objects_around(text, start, low, high):
+    """All balanced objects of a scope that hold a place, by matching braces one by one."""
+    opened, found = [], []
+    for place in range(low, high):
+        if text[place] == "{":
+            opened.append(place)
+        elif text[place] == "}" and opened:
+            found.append((opened.pop(), place + 1))
+    return {o for o in found if o[0] <= start < o[1]}
+
+
+def plainly_linked(text):
+    """The linked weak parts by looking at all pairs."""
+    base = secrets.strong(text)
+    parts = sorted([*base, *secrets.weak(text, base)])
+    borders = [0, *(m.end() for m in secrets.BLANK_LINE.finditer(text)), len(text)]
+    scope = {p: max(n for n, b in enumerate(borders[:-1]) if b <= p.start) for p in parts}
+
+    def run(part):
+        low = text.rfind("\n", 0, part.start) + 1
+        lines, first = [], low
+        while secrets.NAMED_LINE.fullmatch(text[first : text.find("\n", first) if "\n" in text[first:] else len(text)]):
+            lines.append(first)
+            if first == 0:
+                break
+            first = text.rfind("\n", 0, first - 1) + 1
+        return min(lines) if lines else None
+
+    def together(a, b):
+        low, high = borders[scope[a]], borders[scope[a] + 1]
+        if scope[a] != scope[b]:
+            return False
+        if max(a.start, b.start) - min(a.end, b.end) <= secrets.REACH:
+            return True
+        if run(a) is not None and run(a) == run(b):
+            return True
+        one, two = (objects_around(text, p.start, low, high) for p in (a, b))
+        inner = [min(o, key=lambda x: x[1] - x[0]) for o in (one, two) if o]
+        return len(inner) == 2 and (inner[0] in two or inner[1] in one)
+
+    ids, keys = [p for p in parts if p.kind in (1, 3)], [p for p in parts if p.kind in (0, 2, 4)]
+    chosen = [p for p in ids if any(together(p, q) for q in keys)] + [p for p in keys if any(together(p, q) for q in ids)]
+    ends = [p for p in parts if p.kind == 5 and any(together(p, q) for q in chosen)]
+    return sorted([p for p in chosen if p.kind > 2] + ends)
+
+
+def test_links_equal_all_pairs(monkeypatch):
+    monkeypatch.setattr(secrets, "REACH", 25)
+    draw = random.Random(12)
+    pieces = [
+        "user = alice", "pwd = hunter2", "https://example.org/a", "host: db.local", "some words in between that are long", "\n", "\n", "\n\n",
+        "{", "}", '"a": {', "}, ", "token = abcdefgh1", KEY, "note: short", " ", "client_id=abc",
+    ]
+    linked = 0
+    for _ in range(3000):
+        text = "".join(draw.choices(pieces, k=draw.randint(1, 24)))
+        found = sorted(secrets.scan_text(text)[1])
+        assert found == plainly_linked(text), text
+        linked += len(found)
+    assert linked > 1000
+
+
+def test_structures_lengthen_links():
+    filler = ", ".join(f'"field{n}": "value {n}"' for n in range(25))
+    assert kinds(f'{{"user_id": "alice01", {filler}, "pwd": "hunter2"}}') == ["identifier", "secret"]
+    assert kinds(f'{{"user_id": "alice01", {filler}, "auth": {{"pwd": "hunter2"}}}}') == ["identifier", "secret"]
+    assert kinds(f'{{"user_id": "alice01", {filler}}}, {{{filler}, "pwd": "hunter2"}}') == []
+    lines = "\n".join(f"option{n}: value number {n}" for n in range(30))
+    assert kinds(f"login: alice01\n{lines}\npwd: hunter2") == ["identifier", "secret"]
+    assert kinds(f"login: alice01\n{lines}\nThen there is a line of text without any value in it.\n{lines}\npwd: hunter2") == []
+    assert kinds("login: alice01\n" + "x: " + "y " * 200 + "\npwd: hunter2") == []
