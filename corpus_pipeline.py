@@ -24,8 +24,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each component by five-word shingles and a similarity of 0.8."""
     found = neardup.near_duplicates(docs, size=5, percent=80)
-    dropped = found.where("NOT kept").selectExpr("doc_id AS dropped").distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["dropped"], "left_anti")
+    # Written, so that the rows of an id that many share can be split; rows without an id go on and are kept out of the join.
+    dropped = Written(found.where("NOT kept AND doc_id IS NOT NULL").selectExpr("doc_id AS dropped").distinct(), "dropped").df
+    known = docs.where("doc_id IS NOT NULL")
+    return known.join(dropped, known["doc_id"] == dropped["dropped"], "left_anti").unionByName(docs.where("doc_id IS NULL"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
