@@ -12,7 +12,7 @@ from lorebase.operators import combine
 from lorebase.plans import roles
 from lorebase.session import fresh_path, stored
 from lorebase.sources import extract, pages, publish
-from lorebase.sources.readers import read_documents, read_policies, read_table, read_texts
+from lorebase.sources.readers import read_documents, read_policies, read_table, read_texts, schema_rows
 from lorebase.sources.readers import scan as read_catalog
 
 #: Bytes of a document that one task reads; small, so that documents of the given tables are cut as long ones are.
@@ -152,6 +152,12 @@ def publish_gate(spark: SparkSession, sf: str) -> DataFrame:
     return publish.publish_gate(named, publish.read_version(spark, root), "product_name")
 
 
+def table_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of every table as rows."""
+    rows = [schema_rows(read_table(spark, sf, name)).select(F.lit(name).alias("table"), "position", "column", "type") for name in COUNTED]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def content_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The gate by content over the published policies: of every column and of whole rows."""
     root, source = fresh_path(spark, "policies"), roles.policies(spark, sf)
@@ -189,6 +195,7 @@ QUERIES = {
         apply_changes,
         publish_gate,
         content_gate,
+        table_schemas,
     )
 }
 
@@ -285,6 +292,12 @@ ORACLES = {
         UNION ALL SELECT old_name, old_doc, 'update_preimage', 1 FROM j WHERE old_name = new_name AND old_doc IS DISTINCT FROM new_doc
         UNION ALL SELECT new_name, new_doc, 'update_postimage', 1 FROM j WHERE old_name = new_name AND old_doc IS DISTINCT FROM new_doc""",
     "apply_changes": SECOND,
+    "table_schemas": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", CAST(cid AS INT) AS position, name AS \"column\", CASE type WHEN 'VARCHAR' THEN 'string' "
+        f"WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(type) END AS type "
+        f"FROM pragma_table_info('{name}')"
+        for name in COUNTED
+    ),
     "content_gate": f"""
         WITH p AS ({GATED}),
         t AS (SELECT 'policy' AS "column", CAST(json_object('v', policy) AS VARCHAR) AS v, policy IS NULL AS gone FROM p

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorebase.functions import segments, text, vectors
-from lorebase.operators import evaluate, quantised, search, service, tools
+from lorebase.operators import contexts, evaluate, quantised, search, service, tools
 from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
@@ -13,7 +13,8 @@ from lorebase.plans.roles import TOOLS
 from lorebase.session import stored
 from lorebase.sources.readers import read_table, read_texts
 
-CONTEXT_CHUNKS = 3
+#: Chunks of a context, and hits from which a context under a budget is chosen.
+CONTEXT_CHUNKS, CANDIDATE_CHUNKS = 3, 12
 #: The least share of cells that found 0.9 of the exact hits on every table measured (README).
 ANN_BITS, ANN_WITHIN = 7, 4
 #: What the search over the codes of 32 clusters finds at least.
@@ -139,6 +140,16 @@ def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     return search.assemble_context(hits, text.fixed_chunks(hit_docs, "text"), facts)
 
 
+def rag_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunks of every question's context under a budget of words, chosen from its CANDIDATE_CHUNKS best hits."""
+    every = vectors.embed(chunk_fixed(spark, sf), ["doc_id", "chunk_no"], "chunk")
+    hits = stored(search.top_k(every, roles.question_vectors(spark, sf), CANDIDATE_CHUNKS, ids=("doc_id", "chunk_no")), "hits")
+    hits = hits.withColumn("chunk_no", F.col("chunk_no").cast("int"))
+    hit_docs = _texts(spark, sf).join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    chunks = vectors.embed(text.fixed_chunks(hit_docs, "text"), ["doc_id", "chunk_no", "chunk"], "chunk")
+    return contexts.budgeted(hits, chunks)
+
+
 def route_questions(spark: SparkSession, sf: str) -> DataFrame:
     asked = roles.chat(spark, sf).filter(F.col("role") == "user")
     return tools.route(asked, ["conv_id", "seq"], "content", TOOLS)
@@ -201,6 +212,7 @@ QUERIES = {
         retrieval_safety,
         search_chunks,
         rag_context,
+        rag_budget,
         route_questions,
         eval_scores,
         eval_summary,
