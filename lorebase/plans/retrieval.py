@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorebase.functions import segments, text, vectors
-from lorebase.operators import contexts, evaluate, quantised, search, service, tools
+from lorebase.operators import contexts, evaluate, quantised, search, semantic, service, tools
 from lorebase.plans import roles
 from lorebase.plans.conversation import CHAT, ROUTED, embedded
 from lorebase.plans.lookups import POLICIES
@@ -116,6 +116,14 @@ def search_documents(spark: SparkSession, sf: str) -> DataFrame:
     return search.top_k(roles.document_vectors(spark, sf), roles.question_vectors(spark, sf), 5)
 
 
+def search_learned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search in the space that an SVD of the documents' words gives."""
+    documents = _texts(spark, sf)
+    space = semantic.fit(documents, "text")
+    found = semantic.embed(documents, ["doc_id"], "text", space).withColumnRenamed("doc_id", "vec_id")
+    return search.top_k(found, semantic.embed(roles.questions(spark, sf), ["query_id"], "text", space), 5)
+
+
 def retrieval_safety(spark: SparkSession, sf: str) -> DataFrame:
     hits = stored(search_documents(spark, sf), "hits").withColumnRenamed("vec_id", "doc_id")
     return evaluate.safe_retrieval(hits, read_table(spark, sf, "labels"))
@@ -209,6 +217,7 @@ QUERIES = {
         pq_recall,
         retrieval_relevance,
         search_documents,
+        search_learned,
         retrieval_safety,
         search_chunks,
         rag_context,
