@@ -84,6 +84,23 @@ def test_files(spark, monkeypatch, tmp_path):
     assert token_files.read(token_files.write(df.limit(0), PATH, end_id=2)).collect() == []
 
 
+def test_rows_equal_in_id_and_text_are_spread(spark):
+    """A third of the rows are one document said again and again: no file holds them all, and the ids are right."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        rows = [(7, "the same text")] * 3000 + [(None, "no key")] * 600 + [(100 + k, f"text {k}") for k in range(5400)]
+        listing = token_files.write(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4), PATH, end_id=2)
+        assert max(r.documents for r in listing.collect()) < 2 * 9000 / 8
+        found = token_files.read(listing).collect()
+        assert sorted((r.doc_id, r.ids) for r in found if r.doc_id is not None) == sorted((k, wanted_ids(t) + [2]) for k, t in rows if k is not None)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     start = 0

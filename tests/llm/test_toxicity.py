@@ -108,3 +108,30 @@ def test_ten_thousand_labelled_documents_are_learned_from(spark, monkeypatch):
     labels = spark.range(12_000).selectExpr("id AS doc_id", "CAST(id % 9 = 0 AS INT) AS toxic")
     monkeypatch.setattr(toxicity, "fit", lambda rows, labels: len(rows))
     assert toxicity.trained(docs, labels) == 10_000
+
+
+def test_scores_equal_plain_sums(spark):
+    """Every score of the query by hand: weights of all words and beginnings, then the chance of each grade."""
+    import math
+    import re
+    import zlib
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.trained(docs, labels)
+    found = toxicity.scored(docs, model).collect()
+    texts = {}
+    for row in docs.collect():
+        texts.setdefault(row.doc_id, []).append(row.text)
+    assert model is not None and len(found) == sum(map(len, texts.values()))
+    for row in found:
+        scores = []
+        for text in texts[row.doc_id]:
+            total = 0
+            for word in set(re.findall(r"\w+", (text or "").lower())):
+                for part in [word] + ["^" + word[:n] for n in (4, 5, 6, 7) if len(word) >= n]:
+                    total += model.millionths.get(zlib.crc32(part.encode()) % (1 << 20), 0)
+            above = [1 / (1 + math.exp(-(total / 1e6 - cut))) for cut in model.thresholds]
+            shares = [a - b for a, b in zip([1.0, *above], [*above, 0.0])]
+            scores.append((sum(above), shares.index(max(shares))))
+        assert any(abs(row.severity - s) < 1e-9 and row.grade == g and row.toxic == (s >= 0.5) for s, g in scores)
