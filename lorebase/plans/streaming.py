@@ -15,6 +15,7 @@ from lorebase.sources.readers import stream_table
 from lorebase.streaming.streams import (
     append_stream,
     assemble_stream,
+    bucket_count,
     index_rows,
     ingest_stream,
     sync_changes,
@@ -57,10 +58,12 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
 def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     """A vector index brought to the second version by a stream of the change feed."""
     path, feed = fresh_path(spark, "index"), fresh_path(spark, "feed")
-    write_buckets(index_rows(roles.first_version(spark, sf), ["product_name"], "product_doc"), path)
+    first = roles.first_version(spark, sf)
+    buckets = bucket_count(first)
+    write_buckets(index_rows(first, ["product_name"], "product_doc", buckets), path)
     ingest.snapshot_changes(spark, sf).write.parquet(feed)
     changes = spark.readStream.schema(spark.read.parquet(feed).schema).parquet(feed)
-    sync_index(changes, path, ["product_name"], "product_doc", fresh_path(spark, "index-state")).awaitTermination()
+    sync_index(changes, path, ["product_name"], "product_doc", fresh_path(spark, "index-state"), buckets).awaitTermination()
     return spark.read.parquet(path).select("product_name", fingerprint(F.col("embedding")).alias("embedding"))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from lorebase.functions.vectors import embed
+from lorebase.functions.vectors import DIM, embed
 from lorebase.session import exists, remove
 from lorebase.sources.extract import accepted, extract_documents, form_feed_pages
 from lorebase.sources.publish import apply_changes, latest_version, publish, read_version
@@ -17,8 +17,8 @@ from lorebase.sources.readers import stream_documents
 ASSEMBLED = "conv_id BIGINT, item_id BIGINT, text STRING, n_deltas BIGINT, status STRING"
 DELTA_STATE = "count BIGINT, last BIGINT, newest_ms BIGINT, timer BIGINT"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Folders of a vector index that is kept in step.
-BUCKETS = 64
+#: Folders of a vector index that is kept in step, at least, and the bytes of vectors that one should hold.
+BUCKETS, BUCKET_BYTES = 64, 256 << 20
 #: What is added to a stream's rows by its change feed.
 FEED_COLUMNS = ["_change_type", "_commit_version"]
 
@@ -140,9 +140,17 @@ def index_rows(texts: DataFrame, key: list[str], text: str, buckets: int = BUCKE
     return embed(texts, key, text).select(*key, "embedding", bucket)
 
 
+def bucket_count(texts: DataFrame, dim: int = DIM, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """How many buckets an index of these texts should have; an index keeps its number for good, so leave room to grow."""
+    return max(BUCKETS, -(-texts.count() * dim * 8 // bucket_bytes))
+
+
 def write_buckets(index: DataFrame, path: str) -> None:
-    """Store index rows, one folder per bucket; folders of other buckets stay as they are."""
-    writer = index.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Store index rows, one folder per bucket; folders of other buckets stay as they are.
+
+    Adaptive execution gives a large bucket to several tasks, which write a file each, and small ones to one.
+    """
+    writer = index.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("bucket").parquet(path)
 
 

@@ -170,3 +170,16 @@ def test_an_index_is_kept_in_step(spark, tmp_path):
     publish.snapshot_changes(after, after.limit(0), ["k"], 2).write.mode("append").parquet(str(tmp_path / "feed"))
     streams.sync_index(changes, path, ["k"], "v", str(tmp_path / "state"), 8).awaitTermination(120)
     assert not files()
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    texts = spark.createDataFrame([(f"k{n}", f"text {n} of {n % 13}") for n in range(4000)], "k STRING, v STRING").repartition(8)
+    assert streams.bucket_count(texts) == 64 and streams.bucket_count(texts, bucket_bytes=1 << 10) == 2000
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        streams.write_buckets(streams.index_rows(texts, ["k"], "v", 2), str(tmp_path / "index"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert all(len(list((tmp_path / "index" / f"bucket={n}").glob("*.parquet"))) > 1 for n in range(2))
+    assert spark.read.parquet(str(tmp_path / "index")).count() == 4000
