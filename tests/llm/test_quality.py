@@ -94,3 +94,46 @@ def test_query(spark):
     assert len(right) > 500 and np.mean(right) > 0.97
     # Of the rows that get about the same probability, about that share has label 1.
     assert abs(np.mean([s for _, s in held_out]) - np.mean([label for label, _ in held_out])) < 0.02
+
+
+def plain_pool(text, vectors):
+    """Mean, spread, index means and agreements of a text's tokens, token by token."""
+    codes = [(zlib.crc32(t.encode()) % quality.BUCKETS, quality.shape_of(t)) for t in quality.TOKEN.findall(text or "")]
+    if not codes:
+        return np.zeros(quality.POOLED)
+    found = np.array([vectors[word] for word, _ in codes], dtype=np.float64)
+    index = []
+    for word, shape in codes:
+        one = np.zeros(quality.DIMENSIONS)
+        for sign, words, shapes in zip((1, -1), quality.WORD_PLACES, quality.SHAPE_PLACES):
+            one[words[word]] += sign
+            one[shapes[shape]] += sign
+        index.append(one)
+    words = []
+    for word, _ in codes:
+        words.append((quality.WORD_PLACES[0][word], quality.WORD_PLACES[1][word]))
+    agreements = np.zeros(quality.LAGS)
+    for lag in range(1, quality.LAGS + 1):
+        pairs = list(zip(words, words[lag:]))
+        if pairs:
+            agreements[lag - 1] = np.mean([int(a == c) + int(b == d) - int(a == d) - int(b == c) for (a, b), (c, d) in pairs])
+    spread = np.sqrt(np.maximum((found**2).mean(axis=0) - found.mean(axis=0) ** 2, 0))
+    return np.concatenate([found.mean(axis=0), spread, np.mean(index, axis=0), agreements])
+
+
+def test_scores_equal_plain_sums(spark):
+    """Pooling and both layers by hand, for odd texts and some of the given ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    table = quality.word_vectors(docs)
+    vectors = spark.sparkContext.broadcast(table)
+    network = quality.trained(docs, labels, vectors)
+    odd = spark.createDataFrame([(-n - 1, t) for n, t in enumerate(TEXTS)], "doc_id BIGINT, text STRING")
+    some = docs.where("doc_id < 40").unionByName(odd)
+    texts = {r.doc_id: r.text for r in some.collect()}
+    weights, bias, out, last = network.layers(network.point)
+    for row in quality.scored(some, vectors, network).collect():
+        inputs = (plain_pool(texts[row.doc_id], table) - network.mean) / network.scale
+        hidden = [np.tanh(sum(x * w for x, w in zip(inputs, column)) + b) for column, b in zip(weights.T, bias)]
+        logit = (sum(h * o for h, o in zip(hidden, out)) + last) / network.temperature
+        assert row.score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-4), row.doc_id
