@@ -6,8 +6,9 @@
 
 Rows: path, product_name (the file's name without the suffix), place (where the page starts in the file), text, error. Pages end at a
 form feed; what is cut is the file: a task reads the pages that start in its stretch of `splitBytes`, so a document is read in
-parallel, and a page is held one at a time. Small documents share a task. A filter on product_name for one or several names is
-pushed to the listing, so other files aren't opened. Options: suffix (".pdf"; case matters), splitBytes, filesPerTask.
+parallel, and a page is held one at a time. Small documents share a task, and of many small stretches a task takes about a TASKS-th
+of all bytes, so that the number of tasks doesn't grow with the folder where `splitBytes` is small. A filter on product_name for one or
+several names is pushed to the listing, so other files aren't opened. Options: suffix (".pdf"; case matters), splitBytes, filesPerTask.
 
 A page that can't be decoded has a null text and an error; `documents_of` puts pages together and makes such a document null. Other kinds of
 documents need a class of their own with `pages(file, start, end, size)`; one that can't be cut sets `whole`.
@@ -32,6 +33,8 @@ from lorebase.functions.text import strip
 PAGES = "path STRING, product_name STRING, place BIGINT, text STRING, error STRING"
 SCHEMA = pa.schema([("path", pa.string()), ("product_name", pa.string()), ("place", pa.int64()), ("text", pa.string()), ("error", pa.string())])
 SPLIT_BYTES, FILES_PER_TASK = 64 << 20, 1_000
+#: Tasks up to which each takes a single stretch; beyond it they take several, up to SPLIT_BYTES together.
+TASKS = 256
 #: Bytes read at once; bytes and pages of a batch.
 CHUNK, BATCH_BYTES, BATCH_PAGES = 1 << 20, 4 << 20, 1 << 12
 BREAK = b"\f"
@@ -103,19 +106,21 @@ class PageFolder:
         return path.rpartition("/")[2].replace(self.suffix, "")
 
     def cut(self, files: list[tuple[str, int, int]]) -> list[Stretch]:
-        """Stretches of at most `split` bytes; small files together."""
+        """Stretches of at most `split` bytes, small ones together; neighbours that meet in a task are one stretch."""
+        most = max(self.split, min(SPLIT_BYTES, sum(size for _, size, _ in files) // TASKS))
         tasks: list[Stretch] = []
         held, room = [], 0
         for path, size, _ in files:
-            if size > self.split and not self.kind.whole:
-                edges = [*range(0, size, self.split), size]
-                tasks += [Stretch([(path, start, end, size)]) for start, end in zip(edges, edges[1:])]
-                continue
-            if held and (room + size > self.split or len(held) >= self.most):
-                tasks.append(Stretch(held))
-                held, room = [], 0
-            held.append((path, 0, size, size))
-            room += size
+            edges = [0, size] if self.kind.whole or size <= self.split else [*range(0, size, self.split), size]
+            for start, end in zip(edges, edges[1:]):
+                if held and (room + end - start > most or len(held) >= self.most):
+                    tasks.append(Stretch(held))
+                    held, room = [], 0
+                if held and start and held[-1][0] == path:
+                    held[-1] = (path, held[-1][1], end, size)
+                else:
+                    held.append((path, start, end, size))
+                room += end - start
         return tasks + [Stretch(held)] if held else tasks
 
     def rows(self, part: Stretch) -> Iterator[tuple]:

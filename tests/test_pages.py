@@ -61,6 +61,25 @@ def test_a_long_document_is_many_tasks(spark, tmp_path):
     assert pages.documents_of(read).first().product_doc == "".join(f"{line}\n" for line in lines).strip()
 
 
+def test_many_small_stretches_share_tasks(spark, tmp_path, monkeypatch):
+    """The number of tasks is bounded where documents are cut into far more stretches than that; no page is lost or read twice."""
+    monkeypatch.setattr(pages, "TASKS", 8)
+    lines = [[f"d{n} p{m} " + "x" * (m * 7 % 50) for m in range(n % 40)] for n in range(120)]
+    for number, some in enumerate(lines):
+        (tmp_path / f"d{number}.pdf").write_bytes("\f".join(some).encode())
+    options = {"path": str(tmp_path), "splitbytes": "64"}
+    for tasks in (
+        pages.PageSource(options).reader(None).partitions(),
+        pages.PageSource(options).streamReader(None).partitions({"time": -1, "path": ""}, {"time": 1 << 62, "path": ""}),
+    ):
+        assert len(tasks) <= 10
+        assert any(start for task in tasks for _, start, _, _ in task.parts)
+        # Within a task a document is one stretch.
+        assert all(len({path for path, *_ in task.parts}) == len(task.parts) for task in tasks)
+    found = {r.product_name: r.product_doc for r in pages.documents_of(pages.read_pages(spark, str(tmp_path), split_bytes=64)).collect()}
+    assert found == {f"d{n}": "".join(f"{line}\n" for line in some).strip() for n, some in enumerate(lines)}
+
+
 def test_names_are_looked_up_in_the_listing(spark, folder):
     read = pages.read_pages(spark, folder, split_bytes=1 << 20)
     assert {r.product_name for r in read.filter("product_name IN ('start', 'end') AND place >= 0").collect()} == {"start", "end"}
