@@ -122,6 +122,20 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
     assert rows(spark.read.parquet(target)) == [("a", "one"), ("b", "two")]
 
 
+def test_ingest_looks_files_up_in_few_tasks(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for number in range(150):
+        (source / f"d{number}.pdf").write_bytes(b"x")
+    query = streams.ingest_stream(spark, str(source), str(tmp_path / "out"), str(tmp_path / "state"))
+    query.awaitTermination(120)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {stage for job in tracker.getJobIdsForGroup(str(query.runId)) for stage in tracker.getJobInfo(job).stageIds}
+    tasks = [tracker.getStageInfo(stage).numTasks for stage in stages]
+    assert tasks and max(tasks) <= 16
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 150
+
+
 def test_columns_of_a_table_may_start_with_an_underscore(spark, tmp_path):
     after = spark.createDataFrame([("a", 1)], "k STRING, _v INT")
     publish.snapshot_changes(after.limit(0), after, ["k"], 0).write.parquet(str(tmp_path / "feed"))
