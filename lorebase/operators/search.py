@@ -8,6 +8,7 @@ blocks and more scans. So no query passes through the driver, nothing is broadca
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -21,10 +22,14 @@ from pyspark.sql.window import Window
 
 from lorebase.functions.vectors import BITS, DIM, sign_cell, sign_plane, unit
 from lorebase.operators.skew import HOT_ROWS, split_join
-from lorebase.session import fresh_path
+from lorebase.session import fresh_path, stored
 
 QUERY_BYTES = 16 << 20
 SCORES = 4 << 20
+#: From this on numbers are multiplied in double precision.
+LARGE = 1e12
+#: Pairs whose exact scores are worked out at once.
+PAIRS = 1 << 16
 VECTOR_ID = ("vec_id",)
 
 
@@ -47,18 +52,50 @@ def first_k(query: np.ndarray, score: np.ndarray, idents: list[np.ndarray], k: i
     return order[rank < k]
 
 
-def candidates(scores: np.ndarray, floor: np.ndarray, k: int):
+@dataclass(frozen=True)
+class Asked:
+    """Queries as given, in single precision (large numbers in double), and their lengths."""
+
+    matrix: np.ndarray
+    quick: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, matrix: np.ndarray) -> Asked:
+        quick = matrix.astype(np.float32) if np.abs(matrix).max(initial=0) < LARGE else matrix
+        return cls(matrix, quick, np.linalg.norm(matrix, axis=1))
+
+    def take(self, rows: np.ndarray) -> Asked:
+        return self if len(rows) == len(self.matrix) else Asked(self.matrix[rows], self.quick[rows], self.lengths[rows])
+
+    def scores(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The products with all vectors, in single precision where no number is large, and a bound of each query's error."""
+        kind = self.quick.dtype if np.abs(vectors).max(initial=0) < LARGE else np.dtype(np.float64)
+        longest = np.sqrt((vectors * vectors).sum(axis=1).max(initial=0))
+        error = (vectors.shape[1] + 4) * float(np.finfo(kind).eps) * longest * self.lengths
+        return (self.quick if kind == self.quick.dtype else self.matrix) @ vectors.astype(kind).T, error
+
+
+def candidates(queries: Asked, vectors: np.ndarray, floor: np.ndarray, k: int):
     """(query, vector, score) of a slice that may still be among the best k.
 
     A query that has k hits takes only scores from its lowest on; one that has not takes the best k of the slice and
-    what equals them. Only the few scores near the limit are rounded.
+    what equals them. All pairs are scored in single precision, whose error is bounded by the vectors' lengths; only the few
+    scores near the limit are worked out in double precision and rounded.
     """
+    scores, error = queries.scores(vectors)
     open_rows = np.flatnonzero(np.isneginf(floor))
     if len(open_rows) and scores.shape[1] > k:
         floor = floor.copy()
-        floor[open_rows] = np.round(np.partition(scores[open_rows], -k, axis=1)[:, -k], 6)
-    query, vector = np.nonzero(scores >= (floor - 1e-6)[:, None])
-    score = np.round(scores[query, vector], 6)
+        kth = np.partition(scores[open_rows], -k, axis=1)[:, -k]
+        floor[open_rows] = np.round(kth.astype(np.float64) - error[open_rows], 6)
+    # The limit is rounded down, so that it stays a lower one.
+    limit = np.nextafter((floor - error - 1e-6).astype(scores.dtype), scores.dtype.type(-np.inf))
+    query, vector = np.nonzero(scores >= limit[:, None])
+    score = np.empty(len(query))
+    for start in range(0, len(query), PAIRS):
+        part = slice(start, start + PAIRS)
+        score[part] = np.round(np.einsum("ij,ij->i", queries.matrix[query[part]], vectors[vector[part]]), 6)
     taken = score >= floor[query]
     return query[taken], vector[taken], score[taken]
 
@@ -98,7 +135,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, matrix = query_block(folder)
         probes = None if probe is None else probe(matrix)
-        every = np.arange(len(queries))
+        every, block = np.arange(len(queries)), Asked.of(matrix)
         best_q, best_s, best_i = np.empty(0, dtype=np.int64), np.empty(0), [np.empty(0, dtype=np.int64) for _ in ids]
         floor = np.full(len(queries), -np.inf)
         step = max(16, SCORES // max(1, len(queries)))
@@ -115,8 +152,7 @@ def _scan(folder: str, ids: list[str], k: int, probe: Callable[[np.ndarray], np.
                     if not len(asking):
                         continue
                     members = owner == cell
-                    scores = (matrix if len(asking) == len(queries) else matrix[asking]) @ vectors[members].T
-                    q, v, s = candidates(scores, floor[asking], k)
+                    q, v, s = candidates(block.take(asking), vectors[members], floor[asking], k)
                     found_q.append(asking[q])
                     found_s.append(s)
                     for held, one in zip(found_i, idents):
@@ -193,6 +229,9 @@ def _search(
         # Only the cells some query probes are read; on a stored index this prunes folders.
         looked = _probed(asked, probe)
         scanned = scanned.filter(F.col("cell").isin(looked)) if len(looked) < cells else scanned
+    if len(blocks) > 1:
+        # Each block is a scan: vectors that are worked out are worked out once.
+        scanned = stored(scanned, "vectors")
     fields = f"query_id BIGINT, {', '.join(f'{name} BIGINT' for name in names)}, score DOUBLE"
     found = [scanned.mapInArrow(_scan(folder, names, k, probe), fields) for folder in blocks]
     if not found:

@@ -185,3 +185,35 @@ def test_cluster_search_finds_nine_tenths(spark):
     assert tuple(retrieval.centroid_recall(spark, "/root/testdata/sf0.01").first()) == (100, True)
     recalls = {r.queries: r.recall for r in retrieval.centroid_recalls(spark, "/root/testdata/sf0.01").collect()}
     assert set(recalls) == {"labels", "rows"} and min(recalls.values()) >= 0.9
+
+
+def test_vectors_are_worked_out_once_for_many_query_blocks(spark, data, asked):
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def made(vec_id):
+        worked.add(1)
+        return [float(x) for x in data[vec_id]]
+
+    known = spark.range(200).withColumnRenamed("id", "vec_id").withColumn("embedding", made("vec_id"))
+    found = search.top_k(known, asked, 3, block_rows=7)
+    want = []
+    for q in range(0, 3_000, 60):
+        scores = np.round(data[:200] @ data[q], 6)
+        want += [(q, r, int(i), float(scores[i])) for r, i in enumerate(np.lexsort((np.arange(200), -scores))[:3], 1)]
+    close([tuple(r) for r in found.collect()], want)
+    assert worked.value == 200
+
+
+@pytest.mark.parametrize("scale", [1e-9, 1.0, 1e6, 1e13])
+def test_quick_scores_lose_no_hit(data, scale):
+    """Vectors that differ by less than single precision can tell are still ranked by their exact scores."""
+    draw = np.random.default_rng(3)
+    known = np.repeat(data[:40], 25, axis=0) * (1 + draw.normal(size=(1_000, 1)) * 1e-8) * scale
+    queries = data[2_000:2_030]
+    exact = np.round(np.einsum("qj,vj->qv", queries, known), 6)
+    for floor in (np.full(30, -np.inf), np.sort(exact, axis=1)[:, -9]):
+        q, v, s = search.candidates(search.Asked.of(queries), known, floor, 5)
+        assert np.allclose(s, exact[q, v], rtol=1e-12, atol=2e-6)
+        for query in range(30):
+            assert (np.sort(s[q == query])[-5:] == pytest.approx(np.sort(exact[query])[-5:], rel=1e-12, abs=2e-6))
