@@ -25,7 +25,7 @@ def strip(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case words and numbers, in order."""
-    return F.filter(F.split(F.lower(text), TOKEN_SEPARATOR), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), TOKEN_SEPARATOR), "")
 
 
 def html_text(html: Column) -> Column:

@@ -13,6 +13,8 @@ from lorebase.functions.text import TOKEN_SEPARATOR, tokens
 
 DIM = 64
 BITS = 8
+#: Printable signs of one byte, and the first of them.
+MOST_SIGNS, FIRST_SIGN = 94, 33
 
 
 def _bucket(token: Column, dim: int) -> Column:
@@ -24,12 +26,23 @@ def buckets(text: Column, dim: int = DIM) -> Column:
     return F.transform(tokens(F.coalesce(text, F.lit(""))), lambda token: _bucket(token, dim))
 
 
+def signs(found: Column, dim: int = DIM) -> Column:
+    """Buckets as a text of one sign of a byte each, in which a bucket is counted faster than in an array; beyond MOST_SIGNS as they are."""
+    return F.array_join(F.transform(found, lambda b: F.char(b + FIRST_SIGN)), "") if dim <= MOST_SIGNS else found
+
+
 def counts(found: Column, dim: int = DIM) -> Column:
-    """How many words are in each bucket; `found` should be a column, as it is read once per bucket.
+    """How many words are in each bucket, given their `signs`; `found` should be a column, as it is read once per bucket.
 
     A transform rather than an array of `dim` expressions: that many of them make a method too long to be compiled.
     """
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.size(found) - F.size(F.array_remove(found, b)))
+
+    def count(b: Column) -> Column:
+        if dim > MOST_SIGNS:
+            return F.size(found) - F.size(F.array_remove(found, b))
+        return F.octet_length(found) - F.octet_length(F.replace(found, F.char(b + FIRST_SIGN), F.lit("")))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), count)
 
 
 def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim: int = DIM) -> DataFrame:
@@ -37,8 +50,8 @@ def embed(df: DataFrame, ids: list[str], text: str, out: str = "embedding", dim:
 
     Worked out within the row, without a shuffle. A text without words, null included, gets the zero vector.
     """
-    hashed = df.select(*ids, buckets(F.col(text), dim).alias("_buckets"))
-    counted = hashed.select(*ids, counts(F.col("_buckets"), dim).alias("_counts"))
+    hashed = df.select(*ids, signs(buckets(F.col(text), dim), dim).alias("_signs"))
+    counted = hashed.select(*ids, counts(F.col("_signs"), dim).alias("_counts"))
     return counted.select(*ids, unit(F.col("_counts"), dim).alias(out))
 
 

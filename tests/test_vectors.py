@@ -217,3 +217,12 @@ def test_quick_scores_lose_no_hit(data, scale):
         assert np.allclose(s, exact[q, v], rtol=1e-12, atol=2e-6)
         for query in range(30):
             assert (np.sort(s[q == query])[-5:] == pytest.approx(np.sort(exact[query])[-5:], rel=1e-12, abs=2e-6))
+
+
+@pytest.mark.parametrize("dim", [1, 16, 64, 94, 95, 130])
+def test_words_are_counted_by_bucket(spark, dim):
+    texts = ["", "one", "a a a b, c-d", " ".join(f"w{n % 57}" for n in range(500)), "Grüße 日本 ٣"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id LONG, t STRING")
+    found = df.select("id", vectors.buckets(F.col("t"), dim).alias("b"))
+    counted = found.select("id", "b", vectors.signs(F.col("b"), dim).alias("s")).select("b", vectors.counts(F.col("s"), dim).alias("c")).collect()
+    assert all(row.c == np.bincount(row.b, minlength=dim).tolist() for row in counted)
