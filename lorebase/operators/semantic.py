@@ -27,13 +27,27 @@ from lorebase.session import stored
 WORDS, DIMS, EXTRA, ROUNDS = 1 << 16, 64, 8, 3
 #: Parts of the matrix of words in which tasks hand on their sums; numbers of the matrix that are gathered at once.
 SLICES, NUMBERS = 64, 1 << 22
+#: Rows that are multiplied at once, at most, and how many of them hold a word that is multiplied densely: two or more, so that the
+#: dense part has at most ROWS numbers for every two entries.
+ROWS, SHARED = 256, 2
 SEPARATOR = regex.compile(TOKEN_SEPARATOR)
+#: Signs of ASCII other than letters and digits as blanks.
+BLANKED = bytes(byte if byte >= 128 or chr(byte).isalnum() else 32 for byte in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """The lower-case words of a text, in order."""
+    found = []
+    for run in (text or "").lower().encode().translate(BLANKED).split():
+        # What signs beyond ASCII do is for the separator to say.
+        found += [run] if run.isascii() else [word.encode() for word in SEPARATOR.split(run.decode()) if word]
+    return found
 
 
 def counted(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The hashed words of a text, ascending, and how often each occurs."""
-    found = [zlib.crc32(word.encode()) % words for word in SEPARATOR.split((text or "").lower()) if word]
-    return np.unique(np.array(found, dtype=np.int32), return_counts=True)
+    hashes = np.fromiter(map(zlib.crc32, words_of(text)), dtype=np.int64)
+    return np.unique((hashes % words).astype(np.int32), return_counts=True)
 
 
 def weighted(buckets: np.ndarray, times: np.ndarray, starts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -44,25 +58,65 @@ def weighted(buckets: np.ndarray, times: np.ndarray, starts: np.ndarray, idf: np
 
 
 def flat_rows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(buckets, times, starts) of runs of rows with about `size` entries."""
+    """(buckets, times, starts) of runs of at most ROWS rows with about `size` entries."""
     buckets, times = (batch.column(name) for name in ("buckets", "times"))
     ends = np.cumsum(np.r_[0, buckets.value_lengths().to_numpy()]).astype(np.int64)
     flat_buckets, flat_times = buckets.flatten().to_numpy(), times.flatten().to_numpy()
     first = 0
     while first < len(ends) - 1:
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + size, side="right")) - 1)
+        last = min(first + ROWS, max(first + 1, int(np.searchsorted(ends, ends[first] + size, side="right")) - 1))
         part = slice(ends[first], ends[last])
         yield flat_buckets[part], flat_times[part].astype(np.float64), ends[first:last] - ends[first]
         first = last
 
 
+@dataclass(frozen=True)
+class Split:
+    """Some rows of A in two parts: words that several of the rows hold as a dense matrix, the others entry by entry."""
+
+    head: np.ndarray
+    dense: np.ndarray
+    buckets: np.ndarray
+    weights: np.ndarray
+    owner: np.ndarray
+
+    @classmethod
+    def of(cls, buckets: np.ndarray, weights: np.ndarray, starts: np.ndarray, words: int) -> Split:
+        held = np.bincount(buckets, minlength=words)
+        owner = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(weights)]))
+        head = np.flatnonzero(held >= SHARED)
+        place = np.full(words, -1)
+        place[head] = np.arange(len(head))
+        there = place[buckets]
+        shared = there >= 0
+        dense = np.zeros((len(starts), len(head)))
+        dense[owner[shared], there[shared]] = weights[shared]
+        return cls(head, dense, buckets[~shared], weights[~shared], owner[~shared])
+
+    def times(self, block: np.ndarray) -> np.ndarray:
+        """The rows multiplied by a block of directions."""
+        rows = self.dense @ block[self.head]
+        add_runs(rows, self.owner, block[self.buckets] * self.weights[:, None])
+        return rows
+
+    def add_back(self, rows: np.ndarray, total: np.ndarray) -> None:
+        """Adds the product of the transposed rows with `rows` to `total`."""
+        total[self.head] += self.dense.T @ rows
+        order = np.argsort(self.buckets, kind="stable")
+        add_runs(total, self.buckets[order], rows[self.owner[order]] * self.weights[order][:, None])
+
+
+def add_runs(total: np.ndarray, places: np.ndarray, parts: np.ndarray) -> None:
+    """Adds parts to the rows of `total` at ascending places."""
+    if len(places):
+        first = np.flatnonzero(np.r_[True, np.diff(places) > 0])
+        total[places[first]] += np.add.reduceat(parts, first, axis=0)
+
+
 def product(buckets: np.ndarray, weights: np.ndarray, starts: np.ndarray, block: np.ndarray, total: np.ndarray) -> None:
     """Adds A' (A block) of some rows of A to `total`."""
-    rows = np.add.reduceat(weights[:, None] * block[buckets], starts, axis=0)
-    parts = weights[:, None] * np.repeat(rows, np.diff(np.r_[starts, len(weights)]), axis=0)
-    order = np.argsort(buckets, kind="stable")
-    first = np.flatnonzero(np.r_[True, np.diff(buckets[order]) > 0])
-    total[buckets[order][first]] += np.add.reduceat(parts[order], first, axis=0)
+    rows = Split.of(buckets, weights, starts, len(block))
+    rows.add_back(rows.times(block), total)
 
 
 def summed(rows: DataFrame, shape: tuple[int, int], step) -> np.ndarray:
@@ -99,12 +153,20 @@ class Space:
     basis: np.ndarray
     values: np.ndarray
 
-    def vector(self, text: str | None) -> np.ndarray:
-        buckets, times = counted(text, len(self.idf))
-        if not len(buckets):
-            return np.zeros(self.basis.shape[1])
-        found = weighted(buckets, times.astype(np.float64), np.zeros(1, dtype=np.int64), self.idf) @ self.basis[buckets]
-        return found / max(float(np.linalg.norm(found)), 1e-12)
+    def vectors(self, texts: list[str | None]) -> np.ndarray:
+        """The vectors of some texts; zero without words."""
+        out = np.zeros((len(texts), self.basis.shape[1]))
+        for first in range(0, len(texts), ROWS):
+            rows = [counted(text, len(self.idf)) for text in texts[first : first + ROWS]]
+            filled = np.flatnonzero([len(buckets) for buckets, _ in rows])
+            if not len(filled):
+                continue
+            buckets, times = (np.concatenate([rows[row][side] for row in filled]) for side in (0, 1))
+            starts = np.cumsum([0, *(len(rows[row][0]) for row in filled[:-1])])
+            weights = weighted(buckets, times.astype(np.float64), starts, self.idf)
+            found = Split.of(buckets, weights, starts, len(self.idf)).times(self.basis)
+            out[first + filled] = found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
+        return out
 
 
 def fit(texts: DataFrame, text: str, dims: int = DIMS, words: int = WORDS, rounds: int = ROUNDS, seed: int = 1) -> Space | None:
@@ -161,8 +223,9 @@ def embed(texts: DataFrame, ids: list[str], text: str, space: Space | None, out:
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = [shared.value.vector(value.as_py()) for value in batch.column(len(ids))]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(vectors, pa.list_(pa.float64()))], names=[*ids, out])
+            vectors = shared.value.vectors(batch.column(len(ids)).to_pylist())
+            offsets = np.arange(0, vectors.size + 1, vectors.shape[1], dtype=np.int32)
+            yield pa.record_batch([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))], names=[*ids, out])
 
     fields = ", ".join([*(f"`{name}` {kinds[name]}" for name in ids), f"`{out}` ARRAY<DOUBLE>"])
     return texts.select(*ids, F.col(text).cast("string")).mapInArrow(job, fields)

@@ -1,6 +1,7 @@
 """The space is that of a plain SVD; it finds passages that hashed counts lose."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,32 @@ def test_it_finds_passages(spark):
     hashed = found(vectors.embed(texts, ["doc_id"], "text"), vectors.embed(items, ["query_id"], "item"))
     print("learned", learned, "hashed", hashed, "of", len(holds))
     assert learned >= hashed
+
+
+def test_words_are_those_of_the_separator():
+    texts = [None, "", "a_b  C-d\x00e\x1cf", "Ünï cödé ²x ٣ 日本", "".join(map(chr, range(300))), "İx Σς K", "tab\tline\n9"]
+    for text in texts:
+        assert [w.decode() for w in semantic.words_of(text)] == [w for w in semantic.SEPARATOR.split((text or "").lower()) if w]
+
+
+def test_dense_and_sparse_products_are_the_same(monkeypatch):
+    draw = np.random.default_rng(2)
+    sizes = draw.integers(1, 60, 100)
+    buckets = np.concatenate([np.sort(draw.choice(500, size, replace=False)) for size in sizes]).astype(np.int32)
+    weights, starts = draw.random(len(buckets)), np.r_[0, np.cumsum(sizes)[:-1]]
+    block, plain = draw.normal(size=(500, 9)), np.zeros((100, 500))
+    for row, (start, size) in enumerate(zip(starts, sizes)):
+        plain[row, buckets[start : start + size]] = weights[start : start + size]
+    for held in (1, 2, 20, 1000):
+        monkeypatch.setattr(semantic, "SHARED", held)
+        total = np.zeros((500, 9))
+        semantic.product(buckets, weights, starts, block, total)
+        assert np.allclose(total, plain.T @ (plain @ block))
+        assert np.allclose(semantic.Split.of(buckets, weights, starts, 500).times(block), plain @ block)
+
+
+def test_runs_of_rows_are_bounded():
+    rows = 3 * semantic.ROWS + 5
+    batch = pa.record_batch([pa.array([[n % 7, 9] for n in range(rows)], pa.list_(pa.int32()))] * 2, names=["buckets", "times"])
+    sizes = [len(starts) for _, _, starts in semantic.flat_rows(batch, 1 << 30)]
+    assert sum(sizes) == rows and max(sizes) <= semantic.ROWS
