@@ -38,6 +38,8 @@ PARTS, CENTRES, LEVELS, ROUNDS = 32, 32, 256, 8
 FEW = 32
 #: Standard errors of a code's score that a candidate may lie below the k-th best one; candidates of a block, and of a query at least.
 MARGIN, CANDIDATES, DEPTH = 3.0, 1 << 22, 64
+#: New candidates that a task gathers before it cuts them to the best ones, at least; candidates of a batch that it gives out.
+MERGE, GIVEN = 1 << 19, 1 << 15
 #: Rows that are written, and bytes between two wanted rows up to which one read takes both.
 SLICE, GAP = 1 << 12, 1 << 14
 
@@ -187,6 +189,37 @@ def code_matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), width)
 
 
+class Shortlist:
+    """The candidates of a block's queries that a task holds: numbers only, 32 bytes each and as much again for what is new.
+
+    Candidates are added as they come and cut to the best ones when there are as many new ones as kept ones (or MERGE).
+    """
+
+    def __init__(self, queries: int, ids: int, k: int, depth: int, short: np.ndarray):
+        self.k, self.depth, self.short = k, depth, short
+        self.floor = np.full(queries, -np.inf)
+        self.kept = [np.empty(0, np.int32), np.empty(0, np.float32), np.empty(0, np.int32), *(np.empty(0, np.int64) for _ in range(1 + ids))]
+        self.fresh: list[list[np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, query: np.ndarray, score: np.ndarray, file: np.ndarray, row: np.ndarray, idents: list[np.ndarray]) -> None:
+        self.fresh.append([query.astype(np.int32), score, file, row, *idents])
+        self.waiting += len(query)
+        if self.waiting >= max(MERGE, len(self.kept[0])) or np.isneginf(self.floor).any():
+            self.cut()
+
+    def cut(self) -> None:
+        columns = [np.concatenate(some) for some in zip(self.kept, *self.fresh)]
+        self.fresh, self.waiting = [], 0
+        order = first_k(columns[0], columns[1], columns[4:], self.depth)
+        query, score = columns[0][order], columns[1][order].astype(np.float64)
+        starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
+        full = starts[np.diff(np.r_[starts, len(query)]) >= self.k]
+        self.floor[query[full]] = score[full + self.k - 1] - self.short[query[full]]
+        order = order[score >= self.floor[query]]
+        self.kept = [column[order] for column in columns]
+
+
 def scan_codes(folder: str, index: Index, k: int, margin: float):
     """Partition function: the partition's candidates for each query of the block, with the score that they may fall short by."""
     books, ids, width = index.books, index.ids, 1 + len(index.books.parts)
@@ -196,31 +229,28 @@ def scan_codes(folder: str, index: Index, k: int, margin: float):
         score = books.scorer(matrix) if len(queries) else None
         short = margin * books.error * np.linalg.norm(matrix, axis=1)
         step, depth = max(64, SCORES // max(1, len(queries))), most(k, len(queries))
-        floor = np.full(len(queries), -np.inf)
-        best_q, best_s, held = np.empty(0, dtype=np.int64), np.empty(0), None
+        held, files = Shortlist(len(queries), len(ids), k, depth, short), {}
         for batch in batches if len(queries) else ():
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                found = score(code_matrix(part.column("code"), width))
+                found, floor = score(code_matrix(part.column("code"), width)), held.floor
                 if found.shape[1] > k and (fresh := np.isneginf(floor)).any():
+                    floor = floor.copy()
                     floor[fresh] = np.partition(found[fresh], -k, axis=1)[:, -k] - short[fresh]
                 q, v = np.nonzero(found >= floor.astype(np.float32)[:, None])
                 if not len(q):
                     continue
-                # The rows of the hits, not of the batch, are kept.
-                rows = part.drop_columns(["code"]).take(pa.array(v))
-                q, s = np.concatenate([best_q, q]), np.concatenate([best_s, found[q, v]])
-                rows = pa.concat_batches([held, rows]) if held is not None else rows
-                kept = first_k(q, s, [rows.column(name).to_numpy() for name in ids], depth)
-                q, s = q[kept], s[kept]
-                starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-                full = starts[np.diff(np.r_[starts, len(q)]) >= k]
-                floor[q[full]] = s[full + k - 1] - short[q[full]]
-                near = s >= floor[q]
-                best_q, best_s, held = q[near], s[near], rows.take(pa.array(kept[near]))
-        if held is not None:
-            columns = [pa.array(queries[best_q]), *held.columns, pa.array(best_s), pa.array(short[best_q]), pa.array(np.full(len(best_q), depth))]
-            yield pa.record_batch(columns, names=["query_id", *held.schema.names, "score", "short", "depth"])
+                named = part.column("file").dictionary_encode()
+                numbers = np.array([files.setdefault(name, len(files)) for name in named.dictionary.to_pylist()], dtype=np.int32)
+                file, row = numbers[named.indices.to_numpy()][v], part.column("row").to_numpy()[v]
+                held.add(q, found[q, v], file, row, [part.column(name).to_numpy()[v] for name in ids])
+        if held.fresh:
+            held.cut()
+        names = pa.array(list(files), pa.string())
+        for start in range(0, len(held.kept[0]), GIVEN):
+            q, s, file, row, *idents = (column[start : start + GIVEN] for column in held.kept)
+            columns = [queries[q], *idents, names.take(pa.array(file)), row, s.astype(np.float64), short[q], np.full(len(q), depth)]
+            yield pa.record_batch([pa.array(column) for column in columns], names=["query_id", *ids, "file", "row", "score", "short", "depth"])
 
     return job
 

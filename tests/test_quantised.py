@@ -2,6 +2,8 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -120,3 +122,28 @@ def test_recall_on_the_given_tables(spark, folder):
     assert set(found) == {"labels", "rows"} and min(r.recall for r in found.values()) >= 0.98
     assert found["labels"].share <= 0.4
     assert retrieval.pq_topk(spark, folder).count() == 100
+
+
+def test_candidates_are_held_and_given_in_bounds(tmp_path, monkeypatch):
+    """A task gives its candidates in small batches, the same ones however often it cuts them."""
+    draw = np.random.default_rng(4)
+    made = draw.normal(size=(3_000, 16))
+    books = quantised.Codebooks.of(made, parts=8, levels=32)
+    asked = pa.table({"query_id": pa.array(range(70)), "embedding": pa.array(list(made[:70]), pa.list_(pa.float64()))})
+    pq.write_table(asked, tmp_path / "asked.parquet")
+    index = quantised.Index(None, books, ("vec_id",), "<f8", 16)
+
+    def batches():
+        for start in range(0, 3_000, 500):
+            code = [bytes(row) for row in books.encode(made[start : start + 500])]
+            columns = [range(start, start + 500), [f"f{start % 1_000}"] * 500, range(start, start + 500), code]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.binary()))], names=["vec_id", "file", "row", "code"])
+
+    found = []
+    for merge in (1, 1 << 19):
+        monkeypatch.setattr(quantised, "MERGE", merge)
+        monkeypatch.setattr(quantised, "GIVEN", 100)
+        given = list(quantised.scan_codes(str(tmp_path), index, 5, 1.0)(batches()))
+        assert len(given) > 1 and max(batch.num_rows for batch in given) <= 100
+        found.append(sorted(tuple(row.values()) for batch in given for row in batch.to_pylist()))
+    assert found[0] == found[1] and {row[2] for row in found[0]} == {"f0", "f500"} and all(row[1] == row[3] for row in found[0])
