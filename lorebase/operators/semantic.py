@@ -36,12 +36,15 @@ BLANKED = bytes(byte if byte >= 128 or chr(byte).isalnum() else 32 for byte in r
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """The lower-case words of a text, in order."""
-    found = []
-    for run in (text or "").lower().encode().translate(BLANKED).split():
-        # What signs beyond ASCII do is for the separator to say.
-        found += [run] if run.isascii() else [word.encode() for word in SEPARATOR.split(run.decode()) if word]
-    return found
+    """The lower-case words of a text; those in runs with signs beyond ASCII come last, as what these do is for the separator to say."""
+    low = (text or "").lower()
+    data = low.encode()
+    runs = data.translate(BLANKED).split()
+    if len(data) == len(low):
+        return runs
+    found = [run for run in runs if run.isascii()]
+    other = b" ".join([run for run in runs if not run.isascii()]).decode()
+    return found + [word.encode() for word in SEPARATOR.split(other) if word]
 
 
 def counted(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
