@@ -7,7 +7,7 @@ from math import ceil, exp, factorial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorebase.functions.text import tokens
-from lorebase.functions.vectors import buckets, counts, dot, unit
+from lorebase.functions.vectors import buckets, counts, dot, signs, unit
 from lorebase.operators.skew import HOT_ROWS, split_join
 
 # Words an answer must not contain.
@@ -27,7 +27,7 @@ def answered_questions(chat: DataFrame) -> DataFrame:
 
 def relevance(pairs: DataFrame) -> DataFrame:
     """Adds `relevance`: the cosine of question and answer."""
-    vectors = pairs.withColumns({"_q": buckets(F.col("question")), "_a": buckets(F.col("answer"))})
+    vectors = pairs.withColumns({"_q": signs(buckets(F.col("question"))), "_a": signs(buckets(F.col("answer")))})
     for step in (counts, unit):
         vectors = vectors.withColumns({side: step(F.col(side)) for side in ("_q", "_a")})
     return vectors.withColumn("relevance", F.round(dot(F.col("_q"), F.col("_a")), 6)).drop("_q", "_a")
