@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from lorebase.session import fresh_path, remove
 
+#: Bytes of text that a step over whole batches works on at a time.
+RUN_BYTES = 1 << 20
 #: Bytes and rows after which a task hands a batch on.
 BATCH_BYTES = 4 << 20
 BATCH_ROWS = 4096
@@ -61,15 +65,37 @@ def runs_of(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts) - start
 
 
-def map_batches(df: DataFrame, schema: str, *steps: Callable[[Batches], Batches]) -> DataFrame:
-    """`df` through `steps`, one after the other in the same task."""
+def by_runs(batches: Batches, place: int, size: int = RUN_BYTES) -> Batches:
+    """The batches cut into runs with about `size` bytes of text in the column at `place`."""
+    for batch in batches:
+        for start, count in runs_of(batch.column(place), size):
+            yield batch.slice(start, count)
+
+
+def give_back() -> None:
+    """Hand memory that is free to the system; otherwise a Python worker keeps the most it ever held for all later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def in_task(*steps: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """`steps`, one after the other in the same task, which gives its memory back at its end."""
 
     def job(batches: Batches) -> Batches:
         for step in steps:
             batches = step(batches)
-        return batches
+        yield from batches
+        del batches
+        give_back()
+
+    return job
 
-    return df.mapInArrow(job, schema)
+
+def map_batches(df: DataFrame, schema: str | StructType, *steps: Callable[[Batches], Batches]) -> DataFrame:
+    """`df` through `steps`, one after the other in the same task."""
+    return df.mapInArrow(in_task(*steps), schema)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
-from lorebase.llm.common import Batches, free_name, in_batches, key_type, map_batches, rows_of, runs_of
+from lorebase.llm.common import Batches, by_runs, free_name, in_batches, key_type, map_batches, rows_of
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -33,7 +33,7 @@ NO_RANK = np.iinfo(np.int32).max
 #: Words up to this length are remembered by a task, so many of them at most.
 MEMO_CHARS, MEMO_WORDS = 48, 1 << 17
 #: New words are merged together once they have so many characters; a longer text is cut into parts of about that size.
-ROUND_CHARS = 1 << 20
+ROUND_CHARS = 1 << 18
 
 
 class PieceModel:
@@ -370,16 +370,13 @@ def tokenised(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         model: PieceModel = tables.value
         encoder = Encoder(model)
         begin, end = (np.array([one], dtype=np.int32) for one in (model.bos, model.eos))
-        for batch in batches:
-            schema = pa.schema([*batch.schema, *added])
-            for start, count in runs_of(batch.column(place), ROUND_CHARS):
-                part = batch.slice(start, count)
-                texts = [value or "" for value in part.column(place).to_pylist()]
-                ids = [np.concatenate([begin, np.frombuffer(one, dtype="<i4"), end]) for one in encoder.encode(texts)]
-                same = [decode_ids(model, one) == value for one, value in zip(ids, texts)]
-                columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(same)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], schema=schema)
+        for part in by_runs(batches, place, ROUND_CHARS):
+            texts = [value or "" for value in part.column(place).to_pylist()]
+            ids = [np.concatenate([begin, np.frombuffer(one, dtype="<i4"), end]) for one in encoder.encode(texts)]
+            same = [decode_ids(model, one) == value for one, value in zip(ids, texts)]
+            columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(same)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], schema=pa.schema([*part.schema, *added]))
 
     fields = StructType([*df.schema.fields, *from_arrow_schema(pa.schema(added)).fields])
-    return df.mapInArrow(step, fields)
+    return map_batches(df, fields, step)
 

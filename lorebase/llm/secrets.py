@@ -29,7 +29,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.llm.common import Batches, in_batches, map_batches, rows_of
+from lorebase.llm.common import Batches, by_runs, in_batches, map_batches, rows_of
 
 # The strong kinds and what they match.
 ASSIGN = re.compile(
@@ -252,7 +252,7 @@ def redacted(df: DataFrame, text: str = "text", length: str | None = None, mark:
     place, size = df.columns.index(text), df.columns.index(length) if length else None
 
     def step(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in by_runs(batches, place):
             before = batch.column(place).to_pylist()
             after = [hidden(value, mark) if value else value for value in before]
             columns = list(batch.columns)
@@ -263,4 +263,4 @@ def redacted(df: DataFrame, text: str = "text", length: str | None = None, mark:
                 columns[size] = pa.array(new, type=columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return df.mapInArrow(step, df.schema)
+    return map_batches(df, df.schema, step)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lorebase.llm.common import Batches, in_batches, map_batches, rows_of
+from lorebase.llm.common import Batches, by_runs, in_batches, map_batches, rows_of
 from lorebase.llm.training import labelled_ids, labelled_texts, minimise, sigmoid
 
 WORD = re.compile(r"\w+")
@@ -218,11 +218,11 @@ def kept(docs: DataFrame, model: OrdinalModel | None, text: str = "text", reject
 
     def step(batches: Batches) -> Batches:
         weights = WordWeights(shared.value)
-        for batch in batches:
+        for batch in by_runs(batches, place):
             if shared.value is None:
                 yield batch
                 continue
             clean = [severity(shared.value, weights, value.as_py())[0] < reject for value in batch.column(place)]
             yield batch.filter(pa.array(clean, type=pa.bool_()))
 
-    return docs.mapInArrow(step, docs.schema)
+    return map_batches(docs, docs.schema, step)
