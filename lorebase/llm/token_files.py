@@ -15,8 +15,9 @@ upper bits as a bit vector with one bit per number and one per step: about 2 + l
 
 Encoding: the tokenizers library encodes every word, the words that are new to a worker together. For byte-level BPE with the
 usual pattern a text may be cut before a lone space between two characters that are not white space, as no token reaches
-across; and a NUL that stands between words merges with nothing. Where a tokenizer or a text doesn't allow that, whole texts
-go to the library.
+across; and a NUL that stands between words merges with nothing. A word of letters, signs after letters, and a lone line end
+after them are pieces of that pattern by themselves, so the library's model merges them without looking for where to
+split. Where a tokenizer or a text doesn't allow that, whole texts go to the library.
 
 Cases: a null text counts as empty; an empty text has only the end id; rows that share a key stand next to each other, ordered
 by a hash of their text; rows with a null key come first; other columns are ignored; an empty table gives no file and
@@ -30,7 +31,8 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +50,15 @@ SAMPLE = 512
 SLICE = 1 << 13
 #: A file is closed once it holds so many ids, or so many documents; the numbers inside stay below 32 bits.
 FILE_IDS, FILE_DOCUMENTS = 1 << 27, 1 << 20
-#: Words, and ids of words, that a Python worker remembers from task to task (about 200 MB), and words that go to the library
-#: in one call.
-MEMO_WORDS, MEMO_IDS, CALL_WORDS = 1 << 20, 1 << 24, 200
+#: Words, and ids of words, that a Python worker remembers from task to task (about 200 MB), words that go to the library
+#: in one call, and pieces whose tokens are held at once.
+MEMO_WORDS, MEMO_IDS, CALL_WORDS, MERGE_PIECES = 1 << 20, 1 << 24, 200, 1 << 13
 #: Bytes of text that are encoded at once.
-ENCODE_BYTES = 16 << 20
-#: Signs that the usual pattern never joins to a letter before them, nor splits.
-SIGNS = ".,;:!?"
+ENCODE_BYTES = 8 << 20
+#: Signs that the usual pattern never joins to a letter before them, nor splits: visible ASCII but for the apostrophe.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A word's slot before the library has seen it.
+UNKNOWN = -2
 # In byte-level vocabularies a visible byte stands for itself, the others, in order, for the characters from 256.
 VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {byte: chr(byte) for byte in VISIBLE}
@@ -234,7 +238,7 @@ def words_of(texts: pa.Array) -> Words:
     """What stands between single spaces; Arrow finds the words and their distinct ones."""
     split = pc.split_pattern(texts.fill_null(""), " ")
     words, borders = split.flatten().dictionary_encode(), split.offsets.to_numpy()
-    return words.dictionary.to_pylist(), words.indices.to_numpy(), (borders - borders[0]).astype(np.int64)
+    return words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(), (borders - borders[0]).astype(np.int64)
 
 
 class TextEncoder:
@@ -266,31 +270,41 @@ class TextEncoder:
             # Special tokens inside a word are found there as well; those that take in spaces are not.
             and not any(token["lstrip"] or token["rstrip"] or token["single_word"] for token in added)
             and not any(token["content"].isalpha() for token in added)
-            and not any(len(token["content"].split()) != 1 or "\0" in token["content"] for token in added)
+            and not any(sign.isspace() or sign == "\0" for token in added for sign in token["content"])
             and sum(nul.tokens[0] in token for token in model["model"]["vocab"]) == 1
         )
         self.between = nul.ids[0] if nul.ids else -1
-        if self.by_words:
-            # The same merges without the usual pattern: it only splits at the character that stands for NUL.
-            apart = {"type": "Split", "pattern": {"String": BYTE_LETTERS[0]}, "behavior": "Isolated", "invert": False}
-            self.merges = Tokenizer.from_str(json.dumps(model | {"pre_tokenizer": apart}))
+        # Signs that stand in no added token, so that none reaches from letters into them.
+        self.ending = "".join(sign for sign in SIGNS if not any(sign in token["content"] for token in added))
         self.forget()
 
     def forget(self) -> None:
         """Start with no word but the empty one, which has no ids."""
         self.flat, self.used = np.empty(1 << 16, dtype=self.kind), 0
         self.starts, self.sizes, self.slots = np.zeros(1 << 14, dtype=np.int32), np.zeros(1 << 14, dtype=np.int32), 1
-        #: Slots of words that follow a space (-1: can't be cut off), of words that start a text, and of signs.
+        #: Which slots a later call has met again.
+        self.again = np.zeros(1 << 14, dtype=bool)
+        #: Slots of words that follow a space (-1: can't be cut off), of words that start a text, and of pieces of the usual
+        #: pattern inside words.
         self.spaced: dict[str, int] = {}
         self.first: dict[str, int] = {"": 0}
-        self.signs: dict[str, int] = {}
+        self.pieces: dict[str, int] = {}
+
+    def forget_rare(self) -> None:
+        """Start with the words after a space that were met again: they needn't be encoded once more because of the rare ones."""
+        slots = np.fromiter(self.spaced.values(), dtype=np.int32, count=len(self.spaced))
+        met = (slots > 0) & self.again[slots]
+        kept = list(compress(self.spaced, met.tolist()))
+        ids, ends = self.gathered(slots[met])
+        self.forget()
+        self.spaced.update(zip(kept, self.store(ids, np.diff(ends, prepend=0))))
 
     def store(self, ids: np.ndarray, sizes: np.ndarray) -> range:
         """The new slots of words with so many ids each."""
         first, used = self.slots, self.used
         self.slots, self.used = first + len(sizes), used + len(ids)
         self.flat = grown(self.flat, self.used)
-        self.starts, self.sizes = grown(self.starts, self.slots), grown(self.sizes, self.slots)
+        self.starts, self.sizes, self.again = (grown(values, self.slots) for values in (self.starts, self.sizes, self.again))
         self.flat[used : self.used] = ids
         self.sizes[first : self.slots] = sizes
         self.starts[first : self.slots] = used + np.cumsum(sizes) - sizes
@@ -311,42 +325,73 @@ class TextEncoder:
         sizes = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
         return self.store(np.fromiter(chain.from_iterable(lists), dtype=self.kind, count=int(sizes.sum())), sizes)
 
+    def pieces_of(self, word: str) -> tuple[str, list[str]] | None:
+        """The letters that a word starts with and the pieces after them, if all of its lines are letters and then signs."""
+        found = []
+        for line in word.split("\n"):
+            letters = line.rstrip(self.ending)
+            if not letters.isalpha():
+                return None
+            found += ["\n", letters, line[len(letters) :]]
+        return found[1], list(filter(None, found[2:]))
+
     def learn(self, words: list[str]) -> None:
         """Give slots to new words that follow a space."""
-        spaced, letters, others, ends = self.spaced, [], [], []
+        letters, others, several, heads, rests, sizes = [], [], [], [], [], []
         for word in words:
-            if not word or word[0].isspace() or word[-1].isspace() or "\0" in word:
-                spaced[word] = -1
-            elif word.isalpha():
+            if word.isalpha():
                 letters.append(word)
-            # Signs after a letter are tokens of their own, so words that differ in them only are encoded once.
-            elif word[-1] in SIGNS and (core := word.rstrip(SIGNS)) and core[-1].isalpha():
-                ends.append((word, core))
+            elif (core := word.rstrip(self.ending)).isalpha():
+                several.append(word)
+                heads.append(core)
+                rests.append(word[len(core) :])
+                sizes.append(2)
+            elif not word or word[0].isspace() or word[-1].isspace() or "\0" in word:
+                self.spaced[word] = -1
+            elif found := self.pieces_of(word):
+                several.append(word)
+                heads.append(found[0])
+                rests += found[1]
+                sizes.append(1 + len(found[1]))
             else:
                 others.append(word)
-        cores = {core for _, core in ends if core not in spaced}.difference(letters, others)
-        letters += filter(str.isalpha, cores)
-        others += [core for core in cores if not core.isalpha()]
-        # A word of letters is one token before the merges, so the library need not look for where to split.
-        self.learn_joined(letters, self.merges, self.as_letters)
-        self.learn_joined(others, self.library, lambda text: text)
-        if ends:
-            tails = [word[len(core) :] for word, core in ends]
-            new = sorted(set(tails) - self.signs.keys())
-            self.signs.update(zip(new, self.whole(new)))
-            both = np.array([(spaced[core], self.signs[tail]) for (_, core), tail in zip(ends, tails)], dtype=np.int32)
-            ids, stops = self.gathered(both.ravel())
-            spaced.update(zip((word for word, _ in ends), self.store(ids, np.diff(stops[1::2], prepend=0))))
+        self.learn_joined(others)
+        letters = list(dict.fromkeys(chain(letters, (core for core in heads if core not in self.spaced))))
+        self.spaced.update(zip(letters, self.merged([" " + word for word in letters])))
+        if several:
+            stops = np.cumsum(sizes)
+            starts_word = np.zeros(stops[-1], dtype=bool)
+            starts_word[np.r_[0, stops[:-1]]] = True
+            slots = np.empty(stops[-1], dtype=np.int32)
+            slots[starts_word] = np.fromiter(map(self.spaced.__getitem__, heads), dtype=np.int32, count=len(heads))
+            slots[~starts_word] = self.slots_of(self.pieces, rests, self.learn_pieces)
+            ids, ends = self.gathered(slots)
+            self.spaced.update(zip(several, self.store(ids, np.diff(ends[stops - 1], prepend=0))))
+
+    def learn_pieces(self, pieces: list[str]) -> None:
+        new = list(dict.fromkeys(pieces))
+        self.pieces.update(zip(new, self.merged(new)))
+
+    def merged(self, pieces: list[str]) -> range:
+        """New slots with the ids of pieces of the usual pattern, none with a NUL: the library's model need only merge them."""
+        first = self.slots
+        for start in range(0, len(pieces), MERGE_PIECES):
+            joined = self.as_letters("\0".join(pieces[start : start + MERGE_PIECES]))
+            tokens = list(map(self.library.model.tokenize, joined.split(BYTE_LETTERS[0])))
+            sizes = np.fromiter(map(len, tokens), dtype=np.int32, count=len(tokens))
+            ids = map(attrgetter("id"), chain.from_iterable(tokens))
+            self.store(np.fromiter(ids, dtype=self.kind, count=int(sizes.sum())), sizes)
+        return range(first, self.slots)
 
     def as_letters(self, text: str) -> str:
         """The bytes of a text as the characters that stand for them in the vocabulary."""
         return text.encode().decode("latin-1").translate(BYTE_LETTERS)
 
-    def learn_joined(self, words: list[str], library, mapped) -> None:
+    def learn_joined(self, words: list[str]) -> None:
         """Words without odd characters, each after a space, with a NUL between them, many in one call."""
         for start in range(0, len(words), CALL_WORDS):
             some = words[start : start + CALL_WORDS]
-            joined = library.encode_batch_fast([mapped(" " + "\0 ".join(some))], add_special_tokens=False)[0].ids
+            joined = self.library.encode_batch_fast([" " + "\0 ".join(some)], add_special_tokens=False)[0].ids
             ids = np.array(joined, dtype=self.kind)
             kept = ids != self.between
             cuts = np.flatnonzero(~kept)
@@ -356,10 +401,13 @@ class TextEncoder:
             self.spaced.update(zip(some, self.store(ids[kept], sizes)))
 
     def slots_of(self, known: dict[str, int], words: list[str], learn) -> np.ndarray:
-        new = [word for word in words if word not in known]
-        if new:
+        slots = np.fromiter(map(known.get, words, repeat(UNKNOWN)), dtype=np.int32, count=len(words))
+        places = np.flatnonzero(slots == UNKNOWN)
+        if len(places):
+            new = list(map(words.__getitem__, places.tolist()))
             learn(new)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
+            slots[places] = np.fromiter(map(known.__getitem__, new), dtype=np.int32, count=len(new))
+        return slots
 
     def encode_flat(self, texts: pa.Array, spaced: bool = False, words: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where those of each end.
@@ -372,10 +420,14 @@ class TextEncoder:
         if not self.by_words:
             self.forget()
             return self.gathered(np.array(self.whole([" " * spaced + text for text in texts.to_pylist()])))
-        if len(self.spaced) + len(self.first) > MEMO_WORDS // self.sharing or self.used > MEMO_IDS // self.sharing:
-            self.forget()
+        remembered = len(self.spaced) + len(self.first) + len(self.pieces)
+        if remembered > MEMO_WORDS // self.sharing or self.used > MEMO_IDS // self.sharing:
+            self.forget_rare()
         distinct, index, borders = words or words_of(texts)
-        slots = self.slots_of(self.spaced, distinct, self.learn)[index]
+        known = self.slots
+        slots = self.slots_of(self.spaced, distinct, self.learn)
+        self.again[slots[(slots > 0) & (slots < known)]] = True
+        slots = slots[index]
         starts = borders[:-1]
         if not spaced:
             # The first word of a text follows no space, so it is encoded by itself; white space at its end reaches further.

@@ -1,6 +1,7 @@
 """Ids equal the library's; files give back what was written; boundaries are found by select."""
 
 import functools
+import json
 import random
 import zlib
 
@@ -51,6 +52,45 @@ def test_ids_of_odd_texts(encoder, monkeypatch):
             assert np.frombuffer(ids, "<u2").tolist() == wanted_ids(text), text[:30]
 
 
+def test_words_of_letters_signs_and_line_ends_are_cut_without_the_library(encoder, monkeypatch):
+    """Only the first words go through the library's search for where to split; what an added token holds is left to it."""
+    seen = []
+
+    class Seen:
+        model = LIBRARY.model
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    text = "First word.\nWord été$$$ a,\nb;\nc! (word) word--word the|> it's\x1c a.\n\nb a.\x85 x_\ny ,\nz a<|endoftext|>.\nb\n"
+    encoder.forget()
+    monkeypatch.setattr(encoder, "library", Seen())
+    assert np.frombuffer(encoder.encode(pa.array([text[:31]]))[0], "<u2").tolist() == wanted_ids(text[:31])
+    assert seen == ["First"]
+    assert np.frombuffer(encoder.encode(pa.array([text]))[0], "<u2").tolist() == wanted_ids(text)
+
+
+def test_signs_of_added_tokens_are_not_cut():
+    with open(PATH, encoding="utf-8") as file:
+        definition = json.load(file)
+    definition["added_tokens"].append(definition["added_tokens"][0] | {"id": 50257, "content": "d$$"})
+    library = Tokenizer.from_str(json.dumps(definition))
+    text = "a word$$$ word$$ d$$.\nword$$ word. word$"
+    found = token_files.TextEncoder(json.dumps(definition), 2).encode(pa.array([text]))[0]
+    assert np.frombuffer(found, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_met_again_outlive_the_rare_ones(encoder, monkeypatch):
+    encoder.forget()
+    for text in ("a often rare", "a often other"):
+        encoder.encode(pa.array([text]))
+    monkeypatch.setattr(token_files, "MEMO_WORDS", 1)
+    assert np.frombuffer(encoder.encode(pa.array(["a new"]))[0], "<u2").tolist() == wanted_ids("a new")
+    assert encoder.spaced.keys() == {"a", "often", "new"}
+    assert np.frombuffer(encoder.encode(pa.array(["new often a"]))[0], "<u2").tolist() == wanted_ids("new often a")
+
+
 @pytest.mark.parametrize("count, top", [(0, 1), (1, 0), (1, 10**12), (1000, 50), (3000, 10**9), (2500, 2500)])
 def test_elias_fano(count, top):
     values = np.sort(np.random.default_rng(4).integers(0, top + 1, count))
